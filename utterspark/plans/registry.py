@@ -14,6 +14,7 @@ _ORACLES: dict[str, str] = {}
 
 _MODULES = (
     "utterspark.plans.corpus_plans",
+    "utterspark.plans.split_plans",
 )
 
 

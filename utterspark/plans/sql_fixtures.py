@@ -30,3 +30,20 @@ utterances AS (
   SELECT text, intent, is_negative, source_file, min(row_pos) AS row_pos
   FROM raw_utterances WHERE text IS NOT NULL
   GROUP BY source_file, text, intent, is_negative)"""
+
+SPLIT = UTTERANCES + """,
+keyed AS (
+  SELECT *, md5('42' || '|' || source_file || '|' || CAST(row_pos AS VARCHAR)) AS shuffle_key
+  FROM utterances),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY shuffle_key, source_file, row_pos) AS rank,
+         count(*) OVER () AS n_all
+  FROM keyed),
+corpus_split AS (
+  SELECT *, CASE WHEN rank <= floor(n_all * CAST(0.7 AS DOUBLE)) THEN 'train'
+                 WHEN rank <= floor(n_all * CAST(0.7 AS DOUBLE)) + floor(n_all * CAST(0.15 AS DOUBLE)) THEN 'valid'
+                 ELSE 'test' END AS split
+  FROM ranked),
+label_dict AS (
+  SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS idx
+  FROM (SELECT DISTINCT intent AS label FROM corpus_split WHERE split = 'train') t)"""
