@@ -15,6 +15,7 @@ _ORACLES: dict[str, str] = {}
 _MODULES = (
     "utterspark.plans.corpus_plans",
     "utterspark.plans.split_plans",
+    "utterspark.plans.scoring_plans",
 )
 
 

@@ -47,3 +47,26 @@ corpus_split AS (
 label_dict AS (
   SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS idx
   FROM (SELECT DISTINCT intent AS label FROM corpus_split WHERE split = 'train') t)"""
+
+
+def scored_sql(scale: float = 128.0) -> str:
+    """CTEs: cells, centroid, logit (vec_id, y, c, z), prob (+ p), pred (pred_idx, p_max), names."""
+    return f"""
+cells AS (
+  SELECT vec_id, CAST(label AS INTEGER) AS y, unnest(embedding) AS v,
+         generate_subscripts(embedding, 1) - 1 AS dim
+  FROM embeddings),
+centroid AS (SELECT y AS c, dim, avg(CAST(v AS DOUBLE)) AS m FROM cells GROUP BY y, dim),
+logit AS (
+  SELECT x.vec_id, x.y, m.c, sum(CAST(x.v AS DOUBLE) * m.m) * {float(scale)!r} AS z
+  FROM cells x JOIN centroid m ON x.dim = m.dim GROUP BY x.vec_id, x.y, m.c),
+soft AS (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM logit),
+prob AS (SELECT vec_id, y, c, z, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM soft),
+pmax AS (SELECT vec_id, max(p) AS p_max FROM prob GROUP BY vec_id),
+pred AS (
+  SELECT pr.vec_id, pr.y, CAST(min(pr.c) AS INTEGER) AS pred_idx, any_value(m.p_max) AS p_max
+  FROM prob pr JOIN pmax m ON pr.vec_id = m.vec_id AND pr.p = m.p_max GROUP BY pr.vec_id, pr.y),
+names AS (
+  SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM (
+    SELECT DISTINCT CASE WHEN label = 0 THEN 'INVALID' ELSE 'class_' || CAST(label AS VARCHAR) END AS label
+    FROM embeddings) t)"""

@@ -46,3 +46,30 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     from utterspark.operators.corpus import dedup, to_utterances
 
     return dedup(to_utterances(sheet_rows(spark, sf_dir)), scope="file")
+
+
+# Fixed value: the logit scale of the centroid scorer fixture.
+SCORE_SCALE = 128.0
+
+
+def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label dictionary of the scored fixture: class 0 plays INVALID."""
+    from utterspark.operators.labels import fit_labels
+
+    ys = table(spark, sf_dir, "embeddings").select("label").distinct()
+    names = ys.select(F.when(F.col("label") == 0, F.lit("INVALID"))
+                      .otherwise(F.concat(F.lit("class_"), F.col("label").cast("string"))).alias("intent"))
+    return fit_labels(names)
+
+
+def scored(spark: SparkSession, sf_dir: str, scale: float = SCORE_SCALE) -> DataFrame:
+    """``embeddings`` scored by their class-centroid linear model.
+
+    Columns: vec_id, y (true class), z (logits), p (softmax), pred_idx, p_max.
+    """
+    from utterspark.operators.scoring import centroid_model, linear_logits, with_probabilities
+
+    emb = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.col("label").cast("int").alias("y"))
+    model = centroid_model(emb, "embedding", "y")
+    return with_probabilities(linear_logits(emb, model, "embedding", "z", scale)).drop("embedding")
