@@ -16,6 +16,7 @@ _MODULES = (
     "utterspark.plans.corpus_plans",
     "utterspark.plans.split_plans",
     "utterspark.plans.scoring_plans",
+    "utterspark.plans.metric_plans",
 )
 
 

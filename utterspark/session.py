@@ -59,3 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df):
+    """Cut lineage at a fan-out point: a reliable checkpoint in the shared folder.
+
+    Later branches read the written rows instead of recomputing the plan, and a
+    lost executor cannot force a recomputation from the sources.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

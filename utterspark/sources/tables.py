@@ -73,3 +73,43 @@ def scored(spark: SparkSession, sf_dir: str, scale: float = SCORE_SCALE) -> Data
         "vec_id", "embedding", F.col("label").cast("int").alias("y"))
     model = centroid_model(emb, "embedding", "y")
     return with_probabilities(linear_logits(emb, model, "embedding", "z", scale)).drop("embedding")
+
+
+def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scored`` plus ``k``: the prediction after the evaluation threshold."""
+    from utterspark.operators.decide import apply_threshold
+    from utterspark.operators.labels import index_of
+
+    inv = index_of(scored_labels(spark, sf_dir), "INVALID")
+    return apply_threshold(scored(spark, sf_dir), inv, out="k")
+
+
+# The synthetic training history (share of rows out of 10 whose
+# prediction is forced correct at epochs 1..5) and the number of epochs.
+HISTORY_SHARES = (2, 5, 7, 7, 6)
+
+
+def scored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``evaluated`` rows with split, batch ids, row loss and sample weight."""
+    from utterspark.operators.labels import index_of
+    from utterspark.operators.metrics import row_loss, sample_weight
+    from utterspark.operators.split import split_corpus, with_batch_id
+
+    inv = index_of(scored_labels(spark, sf_dir), "INVALID")
+    s = split_corpus(evaluated(spark, sf_dir), id_cols=("vec_id",))
+    s = with_batch_id(s, id_cols=("vec_id",))
+    return (s.withColumn("loss", row_loss("z", "y"))
+             .withColumn("w", sample_weight(F.col("y") == F.lit(inv)))
+             .withColumn("correct", F.col("k") == F.col("y")))
+
+
+def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-level training history: each scored row once per epoch."""
+    s = scored_split(spark, sf_dir).select("vec_id", "y", "pred_idx", "split", "batch_id", "loss", "w")
+    e = s.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(len(HISTORY_SHARES)))))
+    h = F.md5(F.concat_ws("|", F.col("epoch").cast("string"), F.col("vec_id").cast("string")))
+    u = F.conv(F.substring(h, 1, 4), 16, 10).cast("long") % 10
+    share = F.element_at(F.array(*[F.lit(x) for x in HISTORY_SHARES]), F.col("epoch"))
+    pred = F.when(u < share, F.col("y")).otherwise(F.col("pred_idx"))
+    return e.select("epoch", "split", "batch_id", (F.col("loss") / F.col("epoch")).alias("loss"), "w",
+                    (pred == F.col("y")).alias("correct"))
