@@ -17,6 +17,7 @@ _MODULES = (
     "utterspark.plans.split_plans",
     "utterspark.plans.scoring_plans",
     "utterspark.plans.metric_plans",
+    "utterspark.plans.feature_plans",
 )
 
 
