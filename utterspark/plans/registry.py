@@ -18,6 +18,7 @@ _MODULES = (
     "utterspark.plans.scoring_plans",
     "utterspark.plans.metric_plans",
     "utterspark.plans.feature_plans",
+    "utterspark.plans.model_plans",
 )
 
 
