@@ -19,6 +19,7 @@ _MODULES = (
     "utterspark.plans.metric_plans",
     "utterspark.plans.feature_plans",
     "utterspark.plans.model_plans",
+    "utterspark.plans.stream_plans",
 )
 
 
