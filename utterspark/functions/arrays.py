@@ -14,13 +14,28 @@ def array_max_value(c) -> Column:
     return F.array_max(_col(c))
 
 
+def _with_scalar(arr: Column, scalar: Column, fn) -> Column:
+    """``fn(x, s)`` per element with ``s`` evaluated once per row.
+
+    A scalar written inside a lambda is re-evaluated for every element; pairing
+    the array with ``array_repeat(s, n)`` evaluates it once.
+    """
+    return F.zip_with(arr, F.array_repeat(scalar, F.size(arr)), fn)
+
+
+def _sum(arr: Column) -> Column:
+    return F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
 def softmax(c) -> Column:
     """Numerically stable softmax of a DOUBLE array."""
     z = _col(c)
-    m = F.array_max(z)
-    e = F.transform(z, lambda x: F.exp(x - m))
-    total = F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.transform(e, lambda x: x / total)
+    e = _with_scalar(z, F.array_max(z), lambda x, m: F.exp(x - m))
+    return _normalise(e)
+
+
+def _normalise(arr: Column) -> Column:
+    return _with_scalar(arr, _sum(arr), lambda x, t: x / t)
 
 
 def argmax(c) -> Column:
@@ -54,5 +69,4 @@ def dot_rows(weights, x) -> Column:
 def sigmoid_normalised(c) -> Column:
     """One-vs-rest probabilities: per-class sigmoid, divided by their sum."""
     s = F.transform(_col(c), lambda x: F.lit(1.0) / (F.lit(1.0) + F.exp(-x)))
-    total = F.aggregate(s, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-    return F.transform(s, lambda x: x / total)
+    return _normalise(s)

@@ -45,9 +45,14 @@ def strip_punct(c) -> Column:
 
 
 def tokenize_ws(c) -> Column:
-    """Python ``str.split()``: whitespace runs, no empty tokens."""
-    parts = F.split(_col(c), f"[{ws_class()}]+")
-    return F.filter(parts, lambda t: t != F.lit(""))
+    """Python ``str.split()``: whitespace runs, no empty tokens.
+
+    Every whitespace character is first mapped to U+0020 (a character map, no
+    regex), so the split runs on a single character; the empty pieces between
+    consecutive separators are then dropped.
+    """
+    spaced = F.translate(_col(c), WHITESPACE_CHARS, " " * len(WHITESPACE_CHARS))
+    return F.filter(F.split(spaced, " "), lambda t: t != F.lit(""))
 
 
 # Fixed value: a mixed-script word piece is one Han character, or a run of

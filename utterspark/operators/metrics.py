@@ -173,8 +173,8 @@ def row_loss(z: str = "z", y: str = "y"):
     """Cross-entropy of one row from its logits: logsumexp(z) - z[y]."""
     zc = F.col(z)
     m = F.array_max(zc)
-    lse = m + F.log(F.aggregate(F.transform(zc, lambda v: F.exp(v - m)),
-                                F.lit(0.0).cast("double"), lambda a, b: a + b))
+    shifted = F.zip_with(zc, F.array_repeat(m, F.size(zc)), lambda v, mm: F.exp(v - mm))
+    lse = m + F.log(F.aggregate(shifted, F.lit(0.0).cast("double"), lambda a, b: a + b))
     return lse - F.element_at(zc, F.col(y) + 1)
 
 

@@ -15,8 +15,26 @@ SHEET_TIME_PREFIX = "20250310_"
 SHEET_DIR = "dataset/"
 
 
+# Text tables and their row ids: per-row work on them (regex, tokenising) is
+# CPU-heavy, so a scan narrower than the cluster is spread out by id.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id",
+                   "pages": "page_id"}
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition to the default parallelism only when the scan has fewer
+    partitions than that (e.g. a file written as one row group). A wide scan is
+    left alone, so at scale no extra shuffle is added."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
