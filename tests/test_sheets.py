@@ -3,6 +3,8 @@ import os
 from pyspark.sql import functions as F
 
 from tests.xlsx_writer import write_xlsx
+from utterspark.sources.sheets import write_sheets
+from utterspark.sources.xlsx import escape_ooxml, unescape_ooxml
 from utterspark.operators.corpus import dedup, to_utterances
 from utterspark.sources.sheets import corpus_files, read_sheets, split_rejects
 
@@ -57,3 +59,21 @@ def test_negatives_read_without_positives(spark, tmp_dir):
     ok, rejects = split_rejects(read_sheets(corpus_files(spark, tmp_dir)))
     assert rejects.count() == 0
     assert to_utterances(ok).filter(F.col("intent") == "INVALID").count() == 1
+
+
+def test_ooxml_escape_roundtrip():
+    for s in ["plain", "a\x0bb\x1c\r\n", "_x0041_ literal", "퟿", "tab\there"]:
+        assert unescape_ooxml(escape_ooxml(s)) == s
+
+
+def test_write_then_read_sheets(spark, tmp_dir):
+    rows = spark.createDataFrame(
+        [("A_validated_1.xlsx", 1, "hello"), ("A_validated_1.xlsx", 3, "ctrl\x0bchar\r\nx"),
+         ("A_validated_1.xlsx", 2, None), ("B_validated_negative_1.xlsx", 7, "  _x0041_ ")],
+        "file_name string, row_pos long, cell string")
+    written = {r["file_name"]: r["n_rows"] for r in write_sheets(rows, tmp_dir).collect()}
+    assert written == {"A_validated_1.xlsx": 3, "B_validated_negative_1.xlsx": 1}
+    back = read_sheets(corpus_files(spark, tmp_dir)).collect()
+    got = sorted((r["file_name"], r["row_pos"], r["cell"]) for r in back)
+    assert got == [("A_validated_1.xlsx", 2, "hello"), ("A_validated_1.xlsx", 4, "ctrl\x0bchar\r\nx"),
+                   ("B_validated_negative_1.xlsx", 2, "  _x0041_ ")]

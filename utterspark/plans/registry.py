@@ -20,6 +20,7 @@ _MODULES = (
     "utterspark.plans.feature_plans",
     "utterspark.plans.model_plans",
     "utterspark.plans.stream_plans",
+    "utterspark.plans.sheet_plans",
 )
 
 

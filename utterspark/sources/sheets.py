@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utterspark.sources.xlsx import MAX_SHEET_ROWS, sheet_bytes, unescape_ooxml
+
 SHEET_GLOB = "*_validated_*.xlsx"
 
 # The strings pandas' default reader turns into missing values
@@ -56,7 +58,7 @@ def _col_index(ref: str) -> int:
 
 
 def _text_of(el) -> str:
-    return "".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t"))
+    return unescape_ooxml("".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t")))
 
 
 def parse_first_column(content: bytes) -> list[tuple[int, object]]:
@@ -90,7 +92,7 @@ def parse_first_column(content: bytes) -> list[tuple[int, object]]:
             elif t == "s":
                 val = shared[int(v.text)]
             elif t in ("str", "e"):
-                val = v.text
+                val = unescape_ooxml(v.text)
             elif t == "b":
                 val = v.text == "1"
             else:
@@ -148,3 +150,39 @@ def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = rows.filter(F.col("error").isNull()).drop("error")
     rejects = rows.filter(F.col("error").isNotNull()).select("path", "file_name", "error")
     return ok, rejects
+
+
+def write_sheets(rows: DataFrame, directory: str, name_col: str = "file_name", cell_col: str = "cell",
+                 order_col: str = "row_pos", header: str = "text") -> DataFrame:
+    """Write one .xlsx per ``name_col`` value into ``directory`` (any filesystem
+    pyarrow reaches: local, HDFS, object stores); cells in ``order_col`` order.
+
+    A group is one worksheet, which the format bounds at ``MAX_SHEET_ROWS``; the
+    bound is checked with a count before any task collects a group.
+    Returns ``(file_name, n_rows, n_bytes)`` per written file.
+    """
+    biggest = rows.groupBy(name_col).count().agg(F.max("count")).first()[0] or 0
+    if biggest >= MAX_SHEET_ROWS:
+        raise ValueError(f"a sheet would hold {biggest} rows; the format allows {MAX_SHEET_ROWS - 1}")
+    base = directory.rstrip("/")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pyarrow.fs as pafs
+
+        pdf = pdf.sort_values(order_col, kind="stable")
+        name = pdf[name_col].iloc[0]
+        cells = [None if pd.isna(v) else v for v in pdf[cell_col]]
+        data = sheet_bytes(header, cells)
+        if base.startswith("file:"):
+            fs, root = pafs.LocalFileSystem(), "/" + re.sub(r"^file:/*", "", base)
+        elif "://" in base:
+            fs, root = pafs.FileSystem.from_uri(base)
+        else:
+            fs, root = pafs.LocalFileSystem(), base
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/{name}") as out:
+            out.write(data)
+        return pd.DataFrame({"file_name": [name], "n_rows": [len(cells)], "n_bytes": [len(data)]})
+
+    return (rows.select(name_col, cell_col, order_col).groupBy(name_col)
+                .applyInPandas(write, "file_name string, n_rows long, n_bytes long"))
