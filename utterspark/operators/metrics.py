@@ -20,6 +20,12 @@ def accuracy(df: DataFrame, y: str = "y", k: str = "pred_idx") -> DataFrame:
     return df.agg(F.avg((F.col(y) == F.col(k)).cast("double")).alias("accuracy"))
 
 
+def accuracy_from_confusion(cm: DataFrame) -> DataFrame:
+    """Accuracy from the confusion counts (no second pass over the rows)."""
+    return cm.agg((F.sum(F.when(F.col("y") == F.col("k"), F.col("n")).otherwise(F.lit(0)))
+                   / F.sum("n")).alias("accuracy"))
+
+
 def confusion(df: DataFrame, y: str = "y", k: str = "pred_idx") -> DataFrame:
     """Sparse confusion counts ``(y, k, n)``."""
     return df.groupBy(F.col(y).alias("y"), F.col(k).alias("k")).agg(F.count(F.lit(1)).alias("n"))

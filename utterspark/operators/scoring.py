@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterspark.functions.arrays import argmax, dot_rows, softmax
+from utterspark.session import materialize
 
 MAX_BROADCAST_CELLS = 2_000_000
 
@@ -53,6 +54,9 @@ def linear_logits(df: DataFrame, model: DataFrame, vec_col: str = "embedding",
     x = F.transform(F.col(vec_col), lambda v: v.cast("double"))
     cur = df.withColumn("_x", x)
     parts = []
+    # the model has one row per class: written once, then read by the size
+    # check and by every block instead of being recomputed from its inputs
+    model = materialize(model)
     for i, (lo, hi) in enumerate(_blocks(model)):
         block = (model.filter((F.col("class_idx") >= lo) & (F.col("class_idx") <= hi))
                  .agg(F.array_sort(F.collect_list(F.struct("class_idx", "w", "b"))).alias("_wb"))

@@ -140,7 +140,7 @@ SELECT round((SELECT avg(CASE WHEN y = k THEN 1.0 ELSE 0.0 END) FROM evaluated),
 """)
 def metrics_summary(spark, sf_dir):
     cm = _cm(spark, sf_dir)
-    return M.summary(M.accuracy(evaluated(spark, sf_dir), "y", "k"), M.weighted_prf(cm),
+    return M.summary(M.accuracy_from_confusion(cm), M.weighted_prf(cm),
                      M.macro_auc(M.auc_by_class(scored(spark, sf_dir))))
 
 

@@ -115,7 +115,7 @@ def metrics_document(spark, sf_dir):
     cm = materialize(M.confusion(ev, "y", "k"))
     labels = scored_labels(spark, sf_dir)
     aucs = M.auc_by_class(scored(spark, sf_dir))
-    final = (M.accuracy(ev, "y", "k").withColumn("_k", F.lit(0))
+    final = (M.accuracy_from_confusion(cm).withColumn("_k", F.lit(0))
              .join(F.broadcast(M.weighted_prf(cm).withColumn("_k", F.lit(0))), "_k")
              .join(F.broadcast(M.macro_auc(aucs).select("macro_auc").withColumn("_k", F.lit(0))), "_k")
              .drop("_k"))
