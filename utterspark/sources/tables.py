@@ -25,8 +25,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-repartition to the default parallelism only when the scan has fewer
     partitions than that (e.g. a file written as one row group). A wide scan is
     left alone, so at scale no extra shuffle is added."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
         return df
     return df.repartition(target, *keys)
 
