@@ -124,3 +124,36 @@ def metrics_document(spark, sf_dir):
     return store.metrics_document(M.epoch_metrics(history_rows(spark, sf_dir)), final,
                                   M.class_report(cm), M.false_positive_rate(cm, labels), cm, speed,
                                   labels, cfg)
+
+
+def evaluate_fitted(model, enc, labels, threshold: float = D.CONFIDENCE_THRESHOLD):
+    """The canonical evaluation of a fitted model on the test split.
+
+    Rows whose label is unknown to the train dictionary cannot be scored
+    against a class and are left out (the reference stops on them). Below the
+    threshold a prediction counts as INVALID, looked up in the dictionary.
+    Returns one row: accuracy, weighted and macro P/R/F1, macro AUC, n_test.
+    """
+    test = enc.filter((F.col("split") == "test") & F.col("label_idx").isNotNull())
+    scored_test = materialize(T.score(model, test).select(
+        F.col("label_idx").cast("int").alias("y"), "p", "pred_idx", "p_max"))
+    inv = L.index_of(labels, "INVALID")
+    ev = D.apply_threshold(scored_test, inv if inv is not None else 0, threshold, out="k")
+    cm = materialize(M.confusion(ev, "y", "k"))
+    one = lambda df: df.withColumn("_k", F.lit(0))
+    mprf = M.macro_prf(cm).select(*[F.col(c).alias(f"macro_{c}") for c in ("precision", "recall", "f1_score")])
+    mauc = M.macro_auc(M.auc_by_class(scored_test, "y", "p")).select("macro_auc")
+    n = cm.agg(F.sum("n").cast("long").alias("n_test"))
+    out = one(M.accuracy_from_confusion(cm))
+    for part in (M.weighted_prf(cm), mprf, mauc, n):
+        out = out.join(F.broadcast(one(part)), "_k")  # one-row sections
+    return out.drop("_k")
+
+
+@register("weighted_eval")
+def weighted_eval(spark, sf_dir):
+    """Train -> evaluate: the weighted model's test-split metrics with the
+    confidence threshold (the reference's final metrics, on its own model)."""
+    model, enc, labels = _weighted_model(spark, sf_dir)
+    r = evaluate_fitted(model, enc, labels)
+    return r.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in r.dtypes])
