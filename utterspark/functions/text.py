@@ -62,3 +62,35 @@ MIXED_TOKEN_PATTERN = "\\p{IsHan}|[0-9A-Za-z\\x{00C0}-\\x{024F}\\p{M}]+"
 
 def tokenize_mixed(c) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(MIXED_TOKEN_PATTERN), 0)
+
+
+# The character n-gram lengths and word boundary marks of the
+# subword model (FastText's defaults).
+SUBWORD_MIN_N = 3
+SUBWORD_MAX_N = 6
+WORD_BEGIN = "<"
+WORD_END = ">"
+
+
+def bounded_word(c) -> Column:
+    """``<word>``: the word with its boundary marks."""
+    return F.concat(F.lit(WORD_BEGIN), _col(c), F.lit(WORD_END))
+
+
+def char_ngrams(c, min_n: int = SUBWORD_MIN_N, max_n: int = SUBWORD_MAX_N) -> Column:
+    """All character n-grams of lengths ``min_n..max_n`` of a string column, by
+    length then position, repeats kept (``aaaa`` has ``aaa`` twice).
+
+    Pass a column (e.g. one holding :func:`bounded_word`), not an expression:
+    the lambdas then read it instead of recomputing it per element.
+    """
+    w = _col(c)
+    n_chars = F.length(w)
+
+    def grams_of_length(n: int) -> Column:
+        # a one-argument lambda: transform() passes the element (the start)
+        starts = F.sequence(F.lit(1), n_chars - n + 1)
+        return (F.when(n_chars >= n, F.transform(starts, lambda i: F.substring(w, i, F.lit(n))))
+                 .otherwise(F.array().cast("array<string>")))
+
+    return F.concat(*[grams_of_length(n) for n in range(min_n, max_n + 1)])
