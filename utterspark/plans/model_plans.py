@@ -157,3 +157,38 @@ def weighted_eval(spark, sf_dir):
     model, enc, labels = _weighted_model(spark, sf_dir)
     r = evaluate_fitted(model, enc, labels)
     return r.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in r.dtypes])
+
+
+@register("embedding_flow")
+def embedding_flow(spark, sf_dir):
+    """The embedding flow end to end: skip-gram word vectors on the train
+    texts; subword vectors for tokens unseen in training; text vectors as the
+    mean over tokens; one-vs-rest logistic regression fitted on train; the
+    top-3 labels with normalised one-vs-rest probabilities for every test row
+    and every incoming user turn."""
+    from utterspark.functions.arrays import sigmoid_normalised
+    from utterspark.operators.corpus import valid_inputs
+
+    enc, labels = _encoded(spark, sf_dir)
+    enc = materialize(enc.select(F.concat_ws("|", "source_file", F.col("row_pos").cast("string")).alias("uid"),
+                                 "text", "split", "label_idx"))
+    _, words = T.fit_word_vectors(enc.filter(F.col("split") == "train")
+                                  .select(tokenize_ws("text").alias("tokens")))
+    words = materialize(words)
+    grams = materialize(FT.fit_subword_vectors(words, dim=T.W2V_VECTOR_SIZE))
+    turns = valid_inputs(table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+                         .select(F.concat_ws("|", F.col("conv_id").cast("string"),
+                                             F.col("turn").cast("string")).alias("uid"), "text"))
+    texts = enc.select("uid", "text", "split", "label_idx").unionByName(
+        turns.select("uid", "text", F.lit("incoming").alias("split"), F.lit(None).cast("int").alias("label_idx")))
+    toks = texts.select(F.explode(tokenize_ws("text")).alias("token"))
+    tv = materialize(FT.token_vectors(toks, words, grams, dim=T.W2V_VECTOR_SIZE))
+    mv = FT.mean_vectors(texts, "uid", tokenize_ws("text"), tv, T.W2V_VECTOR_SIZE)
+    data = materialize(texts.select("uid", "split", "label_idx").join(mv, "uid"))
+    model = T.fit_ovr(data.filter((F.col("split") == "train") & F.col("label_idx").isNotNull()),
+                      "vector", "label_idx")
+    out = T.ovr_margins(model, data.filter(F.col("split").isin("test", "incoming")), "vector")
+    top = D.with_top_k(out.withColumn("p", sigmoid_normalised("raw")), labels, k=3)
+    e = top.select("uid", "split", "label_idx", F.posexplode("top").alias("pos", "t"))
+    return e.select("uid", "split", "label_idx", (F.col("pos") + 1).cast("int").alias("rank"),
+                    F.col("t.label").alias("label"), F.round("t.probability", 6).alias("probability"))
