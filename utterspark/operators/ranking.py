@@ -16,6 +16,20 @@ from pyspark.sql import functions as F
 
 from utterspark.session import ensure_checkpoint_dir, shuffle_partitions
 
+# Offset tables hold one row per (range partition, group): at most partitions +
+# groups rows. Up to this many rows they are broadcast; beyond it (very many
+# small groups) the join shuffles.
+MAX_BROADCAST_OFFSETS = 2_000_000
+
+
+def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], grouped: bool) -> DataFrame:
+    if not grouped:
+        # at most one row per range partition: a proven bound
+        return rows.join(F.broadcast(offsets), list(keys))
+    offsets = offsets.checkpoint(eager=True)
+    small = offsets.limit(MAX_BROADCAST_OFFSETS + 1).count() <= MAX_BROADCAST_OFFSETS
+    return rows.join(F.broadcast(offsets) if small else offsets, list(keys))
+
 
 def _ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
@@ -44,10 +58,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequen
         "_pid", *part, "_first",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(*part)).alias("_size"))
-    if not part:
-        # at most one row per range partition: a proven bound
-        offsets = F.broadcast(offsets)
-    out = r.join(offsets, ["_pid", *part])
+    out = _attach(r, offsets, ["_pid", *part], bool(part))
     cols = [c for c in df.columns]
     extra = [(F.col("_off") + (F.col("_mid") - F.col("_first")) + 1).alias(rank_col)]
     if size_col:
@@ -81,9 +92,7 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], value_cols: Sequenc
         if total_prefix:
             off_cols.append(F.sum(f"_tot_{c}").over(whole).alias(f"_all_{c}"))
     offsets = totals.select("_pid", *part, *off_cols)
-    if not part:
-        offsets = F.broadcast(offsets)
-    out = local.join(offsets, ["_pid", *part])
+    out = _attach(local, offsets, ["_pid", *part], bool(part))
     extra = [(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}") for c in value_cols]
     if total_prefix:
         extra += [F.col(f"_all_{c}").alias(f"{total_prefix}{c}") for c in value_cols]
