@@ -77,3 +77,21 @@ def test_write_then_read_sheets(spark, tmp_dir):
     got = sorted((r["file_name"], r["row_pos"], r["cell"]) for r in back)
     assert got == [("A_validated_1.xlsx", 2, "hello"), ("A_validated_1.xlsx", 4, "ctrl\x0bchar\r\nx"),
                    ("B_validated_negative_1.xlsx", 2, "  _x0041_ ")]
+
+
+def test_hot_sheet_is_cut_into_bounded_parts(spark, tmp_dir):
+    hot = [("Hot_validated_negative_1.xlsx", i, f"u{i}") for i in range(7)]
+    rows = spark.createDataFrame(hot + [("Cold_validated_1.xlsx", 0, "c")],
+                                 "file_name string, row_pos long, cell string")
+    written = {r["file_name"]: r["n_rows"] for r in write_sheets(rows, tmp_dir, max_rows_per_sheet=3).collect()}
+    assert written == {"Hot_validated_negative_1.xlsx": 3, "Hot_validated_negative_1_1.xlsx": 3,
+                       "Hot_validated_negative_1_2.xlsx": 1, "Cold_validated_1.xlsx": 1}
+    back = read_sheets(corpus_files(spark, tmp_dir))
+    cells = sorted(r["cell"] for r in back.collect())
+    assert cells == sorted([c for _, _, c in hot] + ["c"])  # every row, once
+    parts = {r["file_name"]: r for r in to_utterances(back).select(
+        F.col("source_file").alias("file_name"), "intent", "is_negative").distinct().collect()}
+    assert all(r["intent"] == "INVALID" and r["is_negative"] for n, r in parts.items() if "Hot" in n)
+    first = sorted((r["file_name"], r["row_pos"], r["cell"]) for r in back.collect()
+                   if r["file_name"] == "Hot_validated_negative_1.xlsx")
+    assert [c for _, _, c in first] == ["u0", "u1", "u2"]  # order kept across parts

@@ -152,18 +152,35 @@ def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, rejects
 
 
+def _part_name(name_col: str, part_col: str):
+    """``x.xlsx`` -> ``x_<k>.xlsx`` for parts after the first (the name keeps its
+    intent prefix and polarity marker)."""
+    stem = F.regexp_replace(F.col(name_col), r"\.xlsx$", "")
+    return (F.when(F.col(part_col) == 0, F.col(name_col))
+             .otherwise(F.concat(stem, F.lit("_"), F.col(part_col).cast("string"), F.lit(".xlsx"))))
+
+
 def write_sheets(rows: DataFrame, directory: str, name_col: str = "file_name", cell_col: str = "cell",
-                 order_col: str = "row_pos", header: str = "text") -> DataFrame:
+                 order_col: str = "row_pos", header: str = "text",
+                 max_rows_per_sheet: int = MAX_SHEET_ROWS - 1) -> DataFrame:
     """Write one .xlsx per ``name_col`` value into ``directory`` (any filesystem
     pyarrow reaches: local, HDFS, object stores); cells in ``order_col`` order.
 
-    A group is one worksheet, which the format bounds at ``MAX_SHEET_ROWS``; the
-    bound is checked with a count before any task collects a group.
+    A worksheet holds at most ``max_rows_per_sheet`` data rows (the format's
+    limit minus the header). A larger group is cut, in order, into numbered
+    parts ``<name>_<k>.xlsx`` using the exact distributed rank, so no task ever
+    holds more than one bounded sheet and no row is dropped.
     Returns ``(file_name, n_rows, n_bytes)`` per written file.
     """
+    rows = rows.select(name_col, cell_col, order_col)
     biggest = rows.groupBy(name_col).count().agg(F.max("count")).first()[0] or 0
-    if biggest >= MAX_SHEET_ROWS:
-        raise ValueError(f"a sheet would hold {biggest} rows; the format allows {MAX_SHEET_ROWS - 1}")
+    if biggest > max_rows_per_sheet:
+        from utterspark.operators.ranking import global_rank
+
+        ranked = global_rank(rows, [order_col, cell_col], [name_col], rank_col="_r", size_col=None)
+        part = F.floor((F.col("_r") - 1) / F.lit(max_rows_per_sheet)).cast("long")
+        rows = (ranked.withColumn("_part", part)
+                      .select(_part_name(name_col, "_part").alias(name_col), cell_col, order_col))
     base = directory.rstrip("/")
 
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -184,5 +201,4 @@ def write_sheets(rows: DataFrame, directory: str, name_col: str = "file_name", c
             out.write(data)
         return pd.DataFrame({"file_name": [name], "n_rows": [len(cells)], "n_bytes": [len(data)]})
 
-    return (rows.select(name_col, cell_col, order_col).groupBy(name_col)
-                .applyInPandas(write, "file_name string, n_rows long, n_bytes long"))
+    return rows.groupBy(name_col).applyInPandas(write, "file_name string, n_rows long, n_bytes long")
