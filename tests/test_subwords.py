@@ -80,3 +80,18 @@ def test_mean_vectors_with_subwords(spark):
     assert np.allclose(mv[1], [(1.0 + worldly[0]) / 2, (0.0 + worldly[1]) / 2])
     assert mv[2] == [0.0, 0.0]
     assert np.allclose(mv[3], [1.0, 0.0]) and not any(math.isnan(x) for x in mv[3])
+
+
+def test_encode_brute_force(spark):
+    vocab = {"a": 2, "b": 3, "c": 4}
+    v = spark.createDataFrame(list(vocab.items()), "token string, id long")
+    texts = {1: "a b zz c", 2: "", 3: "c c c c c c c", 4: "zz", 5: "b"}
+    df = spark.createDataFrame(list(texts.items()), "rid long, text string")
+    tokens = F.filter(F.split("text", " "), lambda t: t != "")
+    got = {r["rid"]: (r["input_ids"], r["attention_mask"])
+           for r in FT.encode(df, ["rid"], tokens, v, max_length=5).collect()}
+    enc = {k: [vocab.get(t, FT.UNK_ID) for t in s.split()][:5] for k, s in texts.items()}
+    width = min(5, max(len(x) for x in enc.values()))
+    for k, ids in enc.items():
+        pad = width - len(ids)
+        assert got[k] == (ids + [FT.PAD_ID] * pad, [1] * len(ids) + [0] * pad), k
