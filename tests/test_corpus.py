@@ -81,3 +81,14 @@ def test_increment_adds_only_new(spark):
     b = _utts(spark, [("a", "X", False, "g", 1), ("z", "NEW", False, "g", 2)])
     out = C.increment(u, b)
     assert sorted((r["text"], r["intent"]) for r in out.collect()) == [("a", "X"), ("z", "NEW")]
+
+
+def test_cross_split_duplicates(spark):
+    rows = [("hi", "a", "train"), ("hi", "a", "test"),       # leaks across splits
+            ("yo", "a", "train"), ("yo", "INVALID", "train"),  # contradictory labels
+            ("ok", "b", "train"), ("ok", "b", "train"),       # same split, same label: fine
+            ("solo", "c", "valid")]
+    df = spark.createDataFrame(rows, "text string, intent string, split string")
+    got = {r["text"]: (r["n_rows"], r["n_splits"], r["n_intents"])
+           for r in C.cross_split_duplicates(df).collect()}
+    assert got == {"hi": (2, 2, 1), "yo": (2, 1, 2)}

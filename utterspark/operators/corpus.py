@@ -103,6 +103,22 @@ def dedup(df: DataFrame, scope: str = "file") -> DataFrame:
     raise ValueError(f"unknown dedup scope {scope!r}")
 
 
+def cross_split_duplicates(df: DataFrame, split_col: str = "split") -> DataFrame:
+    """Texts that survive per-file de-duplication in several places and either
+    straddle splits (leakage between train and evaluation) or carry more than
+    one label. ``(text, n_rows, n_splits, n_intents)``.
+
+    The first aggregation combines map-side, so a text holding a third of all
+    rows costs one partial row per task; the second sees at most
+    splits x intents rows per text.
+    """
+    g = df.groupBy("text", split_col, "intent").agg(F.count(F.lit(1)).alias("_n"))
+    per_text = g.groupBy("text").agg(F.sum("_n").alias("n_rows"),
+                                     F.count_distinct(split_col).alias("n_splits"),
+                                     F.count_distinct("intent").alias("n_intents"))
+    return per_text.filter((F.col("n_splits") > 1) | (F.col("n_intents") > 1))
+
+
 def file_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
 

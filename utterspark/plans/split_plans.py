@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from utterspark.operators import corpus as C
 from utterspark.operators import labels as L
 from utterspark.operators import split as S
 from utterspark.operators.ranking import global_rank
@@ -113,3 +114,14 @@ FROM corpus_split
 def batch_ids(spark, sf_dir):
     b = S.with_batch_id(corpus_split(spark, sf_dir))
     return b.select("source_file", "row_pos", "split", "batch_id")
+
+
+@register("cross_split_duplicates", f"""
+WITH {SPLIT}
+SELECT md5(text) AS text_md5, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT split) AS BIGINT) AS n_splits,
+       CAST(count(DISTINCT intent) AS BIGINT) AS n_intents
+FROM corpus_split GROUP BY text HAVING count(DISTINCT split) > 1 OR count(DISTINCT intent) > 1
+""")
+def cross_split_duplicates(spark, sf_dir):
+    d = C.cross_split_duplicates(corpus_split(spark, sf_dir))
+    return d.select(F.md5("text").alias("text_md5"), "n_rows", "n_splits", "n_intents")
