@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from utterspark.session import broadcast_if_bounded
+
 MAX_BROADCAST_LABELS = 1_000_000
 
 
@@ -25,10 +27,7 @@ def class_list(labels: DataFrame) -> DataFrame:
 
 
 def _small(labels: DataFrame) -> DataFrame:
-    n = labels.count()
-    if n > MAX_BROADCAST_LABELS:
-        return labels
-    return F.broadcast(labels)
+    return broadcast_if_bounded(labels, MAX_BROADCAST_LABELS)
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, col: str = "intent", out: str = "label_idx",

@@ -69,3 +69,39 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Broadcast budget: a table is broadcast only when a pass over it proves it
+# holds at most this many bytes (estimated from string octets and array widths).
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def _row_bytes(df):
+    """Per-row size estimate: strings by their UTF-8 octets, arrays by their
+    length x 8, everything else 8 bytes, plus a fixed per-row overhead."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType, BinaryType, StringType
+
+    parts = [F.lit(32)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, ArrayType):
+            parts.append(F.lit(16) + F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * F.lit(8))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total.cast("long")
+
+
+def broadcast_if_bounded(df, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES):
+    """Broadcast hint only behind a checked bound on rows *and* bytes; larger
+    tables are joined with a shuffle (AQE splits skewed keys)."""
+    from pyspark.sql import functions as F
+
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    n, b = int(probe["n"]), int(probe["b"] or 0)
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
