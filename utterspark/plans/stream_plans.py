@@ -11,11 +11,15 @@ from utterspark.operators.scoring import centroid_model
 from utterspark.plans.registry import register
 from utterspark.plans.scoring_plans import _decision_sql
 from utterspark.plans.sql_fixtures import RAW_UTTERANCES
-from utterspark.session import scratch_path
+from utterspark.session import scratch_path, shuffle_partitions
 from utterspark.sources.tables import SCORE_SCALE, scored_labels, sheet_rows, table
 from utterspark.streaming import ingest_stream, run_available_now, score_stream
 
 STREAM_FILES_PER_TRIGGER = 1
+# The ingest stream reads its staged files in about this many micro-batches,
+# whatever their number: state carries across batches, and the batch count
+# does not grow with the data.
+INGEST_MICRO_BATCHES = 4
 
 
 @register("score_stream", _decision_sql(0.6))
@@ -41,9 +45,12 @@ def ingest_stream_plan(spark, sf_dir):
     micro-batch and keeps only utterances never seen before."""
     rows = C.to_utterances(sheet_rows(spark, sf_dir))
     stage = scratch_path(spark, "ingest-stage")
-    # balanced, deterministic files (range on the row identity, not on a hot sheet)
-    rows.repartitionByRange(8, "source_file", "row_pos").write.parquet(stage)
-    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER)
+    # balanced, deterministic files (range on the row identity, not on a hot
+    # sheet), as many as the session's shuffle width
+    n_files = max(INGEST_MICRO_BATCHES, shuffle_partitions(spark))
+    rows.repartitionByRange(n_files, "source_file", "row_pos").write.parquet(stage)
+    per_trigger = max(1, -(-n_files // INGEST_MICRO_BATCHES))
+    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_trigger)
               .parquet(stage))
     out = ingest_stream(stream).select("intent", "is_negative", F.md5("text").alias("text_md5"))
     return run_available_now(out, "ingest-stream")
