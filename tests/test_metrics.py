@@ -93,3 +93,42 @@ def test_best_epoch_ties_and_zero(spark):
     assert [r["epoch"] for r in M.improvement_epochs(h).orderBy("epoch").collect()] == [1, 2]
     z = spark.createDataFrame([(1, 0.0), (2, 0.0)], "epoch int, valid_acc double")
     assert M.best_epoch(z).first()["best_epoch"] is None
+
+
+def _corners_brute(y, scores, c):
+    """Distinct thresholds descending, cumulative counts, then keep first, last
+    and every point where either count's second difference is non-zero."""
+    import numpy as np
+
+    pairs = sorted(zip(scores, y), key=lambda t: -t[0])
+    th, tps, fps = [], [], []
+    tp = fp = 0
+    for i, (s, yy) in enumerate(pairs):
+        tp += int(yy == c)
+        fp += int(yy != c)
+        if i == len(pairs) - 1 or pairs[i + 1][0] != s:
+            th.append(s), tps.append(tp), fps.append(fp)
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    return [(th[i], fps[i] / fps[-1], tps[i] / tps[-1]) for i in keep]
+
+
+def test_roc_corners_brute_force_and_same_area(spark):
+    rng = random.Random(11)
+    # coarse scores: many ties and long straight runs
+    rows = [(rng.randrange(3), [rng.randrange(5) / 4.0 for _ in range(3)]) for _ in range(300)]
+    df = spark.createDataFrame(rows, "y int, p array<double>")
+    got = M.roc_curve(df, drop_intermediate=True).collect()
+    full = M.roc_curve(df).collect()
+    for c in range(3):
+        want = _corners_brute([r[0] for r in rows], [r[1][c] for r in rows], c)
+        mine = sorted(((r["threshold"], r["fpr"], r["tpr"]) for r in got if r["class_idx"] == c),
+                      key=lambda t: -t[0])
+        assert [(a, round(b, 12), round(d, 12)) for a, b, d in mine] == \
+               [(a, round(b, 12), round(d, 12)) for a, b, d in want]
+
+        def area(points):
+            pts = [(0.0, 0.0)] + sorted(((f, t) for _, f, t in points))
+            return sum((x2 - x1) * (y1 + y2) / 2 for (x1, y1), (x2, y2) in zip(pts, pts[1:]))
+        all_pts = [(r["threshold"], r["fpr"], r["tpr"]) for r in full if r["class_idx"] == c]
+        assert abs(area(mine) - area(all_pts)) < 1e-12
+        assert len(mine) <= len(all_pts)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.operators.ranking import running_totals
+from utterspark.operators.ranking import global_rank, running_totals
 
 
 def accuracy(df: DataFrame, y: str = "y", k: str = "pred_idx") -> DataFrame:
@@ -127,13 +127,36 @@ def _desc_running(counts: DataFrame) -> DataFrame:
     return running_totals(neg, ["_neg_score"], ["n_pos", "n_neg"], partition_cols=["c"])
 
 
-def roc_curve(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """All ROC points (no intermediate-point dropping), one per distinct score.
+def _drop_collinear(r: DataFrame) -> DataFrame:
+    """Keep a curve's first and last point and every corner: a point whose
+    cumulative counts change slope against its neighbours (second difference
+    of either count non-zero). Neighbours come from the exact distributed
+    rank and two equi-joins on (class, position +- 1), not a per-class window
+    (which would run each class in one task)."""
+    ranked = global_rank(r, ["_neg_score"], ["c"], rank_col="_i", size_col="_m")
+    ranked = ranked.checkpoint(eager=True)
+    prev = ranked.select("c", (F.col("_i") + 1).alias("_i"), F.col("cum_n_pos").alias("_pp"),
+                         F.col("cum_n_neg").alias("_pn"))
+    nxt = ranked.select("c", (F.col("_i") - 1).alias("_i"), F.col("cum_n_pos").alias("_np"),
+                        F.col("cum_n_neg").alias("_nn"))
+    j = ranked.join(prev, ["c", "_i"], "left").join(nxt, ["c", "_i"], "left")
+    bend = lambda a, m, b: F.col(a) - 2 * F.col(m) + F.col(b) != 0
+    keep = ((F.col("_i") == 1) | (F.col("_i") == F.col("_m"))
+            | bend("_pn", "cum_n_neg", "_nn") | bend("_pp", "cum_n_pos", "_np"))
+    return j.filter(keep).select(*r.columns)
+
+
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool = False) -> DataFrame:
+    """ROC points per class, one per distinct score.
 
     ``(class_idx, threshold, fpr, tpr)``; rates are NULL when a class has no
-    positives (tpr) or no negatives (fpr). The (0, 0) origin is implied.
+    positives (tpr) or no negatives (fpr). The (0, 0) origin is implied. With
+    ``drop_intermediate`` collinear points are left out (the curve and its
+    area are unchanged), as common ROC tools do by default.
     """
     r = _desc_running(score_counts(df, y, p))
+    if drop_intermediate:
+        r = _drop_collinear(r)
     fpr = F.when(F.col("total_n_neg") > 0, F.col("cum_n_neg") / F.col("total_n_neg"))
     tpr = F.when(F.col("total_n_pos") > 0, F.col("cum_n_pos") / F.col("total_n_pos"))
     return r.select(F.col("c").alias("class_idx"), F.col("score").alias("threshold"),

@@ -104,6 +104,20 @@ def roc_curve(spark, sf_dir):
     return _r6(M.roc_curve(scored(spark, sf_dir)))
 
 
+@register("roc_curve_corners", f"""
+WITH {evaluated_sql()}{ROC_SQL},
+nb AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY c) AS m,
+              lag(cum_pos) OVER w AS pp, lead(cum_pos) OVER w AS np,
+              lag(cum_neg) OVER w AS pn, lead(cum_neg) OVER w AS nn
+       FROM r WINDOW w AS (PARTITION BY c ORDER BY score DESC))
+SELECT c AS class_idx, round(score, 6) AS threshold,
+       round(CASE WHEN N > 0 THEN cum_neg / N END, 6) AS fpr, round(CASE WHEN P > 0 THEN cum_pos / P END, 6) AS tpr
+FROM nb WHERE i = 1 OR i = m OR pn - 2 * cum_neg + nn <> 0 OR pp - 2 * cum_pos + np <> 0
+""")
+def roc_curve_corners(spark, sf_dir):
+    return _r6(M.roc_curve(scored(spark, sf_dir), drop_intermediate=True))
+
+
 @register("auc_by_class", f"""
 WITH {evaluated_sql()}{ROC_SQL}
 SELECT c AS class_idx, round(auc, 6) AS auc FROM auc
