@@ -192,3 +192,50 @@ def embedding_flow(spark, sf_dir):
     e = top.select("uid", "split", "label_idx", F.posexplode("top").alias("pos", "t"))
     return e.select("uid", "split", "label_idx", (F.col("pos") + 1).cast("int").alias("rank"),
                     F.col("t.label").alias("label"), F.round("t.probability", 6).alias("probability"))
+
+
+# Fixed value: width of the hashed bag-of-words features of the epoch-trained head.
+HASHED_DIM = 64
+
+
+def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
+    """Hashed bag-of-words share per text: ``x[i]`` = share of the text's tokens
+    whose ``xxhash64`` bucket is ``i`` (zeros for a text without tokens). Built
+    from :func:`features.mean_vectors` over a token -> one-hot-bucket table."""
+    toks = texts.select(F.explode(tokenize_ws("text")).alias("token")).distinct()
+    bucket = F.pmod(F.xxhash64("token"), F.lit(dim))
+    onehot = toks.select("token", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                                              lambda i: F.when(i == bucket, 1.0).otherwise(0.0)).alias("vec"))
+    return FT.mean_vectors(texts, id_col, tokenize_ws("text"), materialize(onehot), dim)
+
+
+@register("softmax_epochs")
+def softmax_epochs(spark, sf_dir):
+    """Epoch training with model choice on the corpus: a softmax head over
+    hashed bag-of-words, AdamW full-batch steps for the canonical 30 epochs,
+    negatives weighted 1.5; history per epoch, the chosen epoch by validation
+    accuracy (first strict best), and that epoch's model on the test split."""
+    from utterspark.operators import epochs as EP
+    from utterspark.operators.split import with_batch_id
+
+    enc, labels = _encoded(spark, sf_dir)
+    enc = enc.filter(F.col("label_idx").isNotNull()).select(
+        "source_file", "row_pos", "text", "split", "is_negative", F.col("label_idx").cast("int").alias("y"))
+    enc = with_batch_id(enc)
+    keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))
+    feats = hashed_bow(keyed.select("uid", "text"), "uid")
+    data = materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
+                       .join(feats.withColumnRenamed("vector", "x"), "uid"))
+    n_classes = labels.count()
+    hist, models = EP.fit_softmax_epochs(data, n_classes, HASHED_DIM)
+    hist = materialize(hist)
+    best = M.best_epoch(hist).first()["best_epoch"]
+    test_acc = None
+    if best is not None:
+        scored_test = EP.score_with(data.filter(F.col("split") == "test"), models, int(best))
+        test_acc = M.accuracy(scored_test, "y", "pred_idx").first()["accuracy"]
+    chosen = F.col("epoch") == F.lit(best)
+    return hist.select(
+        "epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "train_acc", "valid_loss", "valid_acc")],
+        F.coalesce(chosen, F.lit(False)).alias("chosen"),
+        F.when(chosen, F.round(F.lit(test_acc).cast("double"), 6)).alias("test_acc"))
