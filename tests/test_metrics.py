@@ -132,3 +132,18 @@ def test_roc_corners_brute_force_and_same_area(spark):
         all_pts = [(r["threshold"], r["fpr"], r["tpr"]) for r in full if r["class_idx"] == c]
         assert abs(area(mine) - area(all_pts)) < 1e-12
         assert len(mine) <= len(all_pts)
+
+
+def test_binned_auc(spark):
+    rng = random.Random(4)
+    grid = [(rng.randrange(2), [rng.randrange(4) / 4.0, rng.randrange(4) / 4.0]) for _ in range(200)]
+    g = spark.createDataFrame(grid, "y int, p array<double>")
+    exact = {r["class_idx"]: r["auc"] for r in M.auc_by_class(g).collect()}
+    binned = {r["class_idx"]: r["auc"] for r in M.auc_by_class(g, bins=4).collect()}
+    assert all(abs(exact[c] - binned[c]) < 1e-12 for c in exact)  # scores already on the grid
+    fine = [(rng.randrange(2), [rng.random(), rng.random()]) for _ in range(400)]
+    f = spark.createDataFrame(fine, "y int, p array<double>")
+    exact = {r["class_idx"]: r["auc"] for r in M.auc_by_class(f).collect()}
+    binned = {r["class_idx"]: r["auc"] for r in M.auc_by_class(f, bins=1000).collect()}
+    assert all(abs(exact[c] - binned[c]) < 0.01 for c in exact)
+    assert M.score_counts(f, bins=10).count() <= 2 * 10

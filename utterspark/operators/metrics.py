@@ -114,9 +114,17 @@ def false_positive_rate(cm: DataFrame, labels: DataFrame) -> DataFrame:
     return j.select(F.col("c").alias("class_idx"), _safe_div(fp.cast("double"), fp + tn).alias("fpr"))
 
 
-def score_counts(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """``(c, score, n_pos, n_neg)``: per class and distinct score, one-vs-rest counts."""
+def score_counts(df: DataFrame, y: str = "y", p: str = "p", bins: int | None = None) -> DataFrame:
+    """``(c, score, n_pos, n_neg)``: per class and distinct score, one-vs-rest counts.
+
+    With ``bins`` a score in [0, 1] is first cut down to ``floor(score * bins) / bins``
+    (1.0 goes to the last bin), so the table holds at most classes x bins rows
+    whatever the data size: the approximate curve for very large sets.
+    """
     e = df.select(F.col(y).alias("_y"), F.posexplode(p).alias("c", "score"))
+    if bins:
+        cut = F.least(F.floor(F.col("score") * F.lit(float(bins))), F.lit(bins - 1)) / F.lit(float(bins))
+        e = e.withColumn("score", cut.cast("double"))
     pos = (F.col("_y") == F.col("c"))
     return e.groupBy(F.col("c").cast("int").alias("c"), "score").agg(
         F.sum(pos.cast("long")).alias("n_pos"), F.sum((~pos).cast("long")).alias("n_neg"))
@@ -146,7 +154,8 @@ def _drop_collinear(r: DataFrame) -> DataFrame:
     return j.filter(keep).select(*r.columns)
 
 
-def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool = False) -> DataFrame:
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool = False,
+              bins: int | None = None) -> DataFrame:
     """ROC points per class, one per distinct score.
 
     ``(class_idx, threshold, fpr, tpr)``; rates are NULL when a class has no
@@ -154,7 +163,7 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool
     ``drop_intermediate`` collinear points are left out (the curve and its
     area are unchanged), as common ROC tools do by default.
     """
-    r = _desc_running(score_counts(df, y, p))
+    r = _desc_running(score_counts(df, y, p, bins))
     if drop_intermediate:
         r = _drop_collinear(r)
     fpr = F.when(F.col("total_n_neg") > 0, F.col("cum_n_neg") / F.col("total_n_neg"))
@@ -163,9 +172,10 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool
                     fpr.alias("fpr"), tpr.alias("tpr"))
 
 
-def auc_by_class(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """Trapezoid AUC of each one-vs-rest curve (ties count one half); NULL if undefined."""
-    r = _desc_running(score_counts(df, y, p))
+def auc_by_class(df: DataFrame, y: str = "y", p: str = "p", bins: int | None = None) -> DataFrame:
+    """Trapezoid AUC of each one-vs-rest curve (ties count one half); NULL if
+    undefined. ``bins`` gives the approximate form (see :func:`score_counts`)."""
+    r = _desc_running(score_counts(df, y, p, bins))
     contrib = F.col("n_neg") * (F.col("cum_n_pos") - F.col("n_pos") / 2.0)
     g = r.groupBy("c").agg(F.sum(contrib).alias("_s"), F.first("total_n_pos").alias("P"),
                            F.first("total_n_neg").alias("N"))

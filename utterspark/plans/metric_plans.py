@@ -126,6 +126,19 @@ def auc_by_class(spark, sf_dir):
     return _r6(M.auc_by_class(scored(spark, sf_dir)))
 
 
+AUC_BINS = 100
+BINNED_SQL = ROC_SQL.replace("c, p AS score,", f"c, least(floor(p * {AUC_BINS}), {AUC_BINS - 1}) / {AUC_BINS} AS score,") \
+                    .replace("GROUP BY c, p)", f"GROUP BY c, least(floor(p * {AUC_BINS}), {AUC_BINS - 1}) / {AUC_BINS})")
+
+
+@register("auc_by_class_binned", f"""
+WITH {evaluated_sql()}{BINNED_SQL}
+SELECT c AS class_idx, round(auc, 6) AS auc FROM auc
+""")
+def auc_by_class_binned(spark, sf_dir):
+    return _r6(M.auc_by_class(scored(spark, sf_dir), bins=AUC_BINS))
+
+
 @register("macro_auc", f"""
 WITH {evaluated_sql()}{ROC_SQL}
 SELECT round(avg(auc), 6) AS macro_auc, CAST(sum(CASE WHEN auc IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_undefined
