@@ -92,3 +92,14 @@ def test_cross_split_duplicates(spark):
     got = {r["text"]: (r["n_rows"], r["n_splits"], r["n_intents"])
            for r in C.cross_split_duplicates(df).collect()}
     assert got == {"hi": (2, 2, 1), "yo": (2, 1, 2)}
+
+
+def test_legacy_utterances(spark):
+    rows = [("data/Play_music_validated_20250310_1200.xlsx", 2, "  play  "),
+            ("data/Play_music_validated_20250310_1200.xlsx", 3, "unknown"),   # equal to the sentinel
+            ("data/Play_music_validated_20250310_1200.xlsx", 4, "　"),
+            ("data/_negative_/Pause_validated_20250310_1200.xlsx", 2, "pause"),  # directory flips it
+            ("data/Pause_validated_negative_20250310_1200.xlsx", 2, "no")]
+    df = spark.createDataFrame(rows, "path string, row_pos long, cell string")
+    got = [(r["text"], r["intent"], r["is_negative"]) for r in C.to_legacy_utterances(df).collect()]
+    assert got == [("play", "data/Play_music", False)]

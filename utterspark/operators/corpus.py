@@ -77,6 +77,19 @@ def to_utterances(rows: DataFrame, name_col: str = "file_name", path_col: str =
     return drop_blank(out)
 
 
+def to_legacy_utterances(rows: DataFrame, path_col: str = "path", cell_col: str = "cell",
+                         sentinel: str = "unknown") -> DataFrame:
+    """The older flows' corpus: positive sheets only (``_negative_`` is tested
+    on the whole path, so a directory name counts), intent = the path without
+    its last three ``_`` pieces, blank text -> ``sentinel`` -> dropped (a real
+    utterance equal to the sentinel too). ``is_negative`` is always false."""
+    pos = rows.filter(~F.col(path_col).contains(NEGATIVE_MARKER))
+    out = pos.select(clean_text(cell_col).alias("text"),
+                     intent_from_name(path_col, "drop_last_3").alias("intent"),
+                     F.lit(False).alias("is_negative"), F.col(path_col).alias("source_file"), F.col("row_pos"))
+    return drop_blank(out, sentinel=sentinel)
+
+
 def build_corpus(*frames: DataFrame) -> DataFrame:
     """Bag union of positive and negative frames by column name."""
     return reduce(lambda a, b: a.unionByName(b), frames)

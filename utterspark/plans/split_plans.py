@@ -10,8 +10,8 @@ from utterspark.operators import labels as L
 from utterspark.operators import split as S
 from utterspark.operators.ranking import global_rank
 from utterspark.plans.registry import register
-from utterspark.plans.sql_fixtures import SPLIT, UTTERANCES
-from utterspark.sources.tables import utterances
+from utterspark.plans.sql_fixtures import SHEET_ROWS, SPLIT, UTTERANCES, WS_SQL
+from utterspark.sources.tables import sheet_rows, utterances
 
 
 def corpus_split(spark, sf_dir):
@@ -125,3 +125,31 @@ FROM corpus_split GROUP BY text HAVING count(DISTINCT split) > 1 OR count(DISTIN
 def cross_split_duplicates(spark, sf_dir):
     d = C.cross_split_duplicates(corpus_split(spark, sf_dir))
     return d.select(F.md5("text").alias("text_md5"), "n_rows", "n_splits", "n_intents")
+
+
+@register("legacy_corpus", f"""
+WITH {SHEET_ROWS},
+legacy_raw AS (
+  SELECT coalesce(NULLIF(trim(cell, {WS_SQL}), ''), 'unknown') AS text,
+         array_to_string(string_split(path, '_')[1:greatest(len(string_split(path, '_')) - 3, 0)], '_') AS intent,
+         path AS source_file, row_pos
+  FROM sheet_rows WHERE strpos(path, '_negative_') = 0),
+legacy AS (
+  SELECT text, intent, source_file, min(row_pos) AS row_pos FROM legacy_raw
+  WHERE text <> 'unknown' GROUP BY source_file, text, intent),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42' || '|' || source_file || '|' || CAST(row_pos AS VARCHAR)),
+                                        source_file, row_pos) AS rank,
+         count(*) OVER () AS n_all
+  FROM legacy)
+SELECT source_file, row_pos, intent, rank,
+       CASE WHEN rank <= floor(n_all * CAST(0.7 AS DOUBLE)) THEN 'train'
+            WHEN rank <= floor(n_all * CAST(0.7 AS DOUBLE)) + floor(n_all * CAST(0.15 AS DOUBLE)) THEN 'valid'
+            ELSE 'test' END AS split
+FROM ranked
+""")
+def legacy_corpus(spark, sf_dir):
+    """The older flows' corpus end to end: positive sheets only, legacy intent
+    rule, sentinel cleaning, per-file dedup, then the exact 70/15/15 split."""
+    u = C.dedup(C.to_legacy_utterances(sheet_rows(spark, sf_dir)), scope="file")
+    return S.split_corpus(u).select("source_file", "row_pos", "intent", "rank", "split")
