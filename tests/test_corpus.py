@@ -103,3 +103,11 @@ def test_legacy_utterances(spark):
     df = spark.createDataFrame(rows, "path string, row_pos long, cell string")
     got = [(r["text"], r["intent"], r["is_negative"]) for r in C.to_legacy_utterances(df).collect()]
     assert got == [("play", "data/Play_music", False)]
+
+
+def test_embedding_flow_intent_rule(spark):
+    rows = [("data/x_y/Play_music_validated_20250310_1200.xlsx", "Play_music_validated_20250310_1200.xlsx", 2, " a "),
+            ("data/Pause_validated_negative_1.xlsx", "Pause_validated_negative_1.xlsx", 2, "b")]
+    df = spark.createDataFrame(rows, "path string, file_name string, row_pos long, cell string")
+    got = [(r["text"], r["intent"]) for r in C.to_legacy_utterances(df, intent_rule="validated").collect()]
+    assert got == [("a", "Play_music")]

@@ -78,14 +78,18 @@ def to_utterances(rows: DataFrame, name_col: str = "file_name", path_col: str =
 
 
 def to_legacy_utterances(rows: DataFrame, path_col: str = "path", cell_col: str = "cell",
-                         sentinel: str = "unknown") -> DataFrame:
+                         sentinel: str = "unknown", intent_rule: str = "drop_last_3",
+                         name_col: str = "file_name") -> DataFrame:
     """The older flows' corpus: positive sheets only (``_negative_`` is tested
-    on the whole path, so a directory name counts), intent = the path without
-    its last three ``_`` pieces, blank text -> ``sentinel`` -> dropped (a real
-    utterance equal to the sentinel too). ``is_negative`` is always false."""
+    on the whole path, so a directory name counts), blank text -> ``sentinel``
+    -> dropped (a real utterance equal to the sentinel too); ``is_negative`` is
+    always false. Intent: ``drop_last_3`` = the path without its last three
+    ``_`` pieces (first version); ``validated`` = the file name before
+    ``_validated_`` (embedding flow)."""
     pos = rows.filter(~F.col(path_col).contains(NEGATIVE_MARKER))
+    intent_src = path_col if intent_rule == "drop_last_3" else name_col
     out = pos.select(clean_text(cell_col).alias("text"),
-                     intent_from_name(path_col, "drop_last_3").alias("intent"),
+                     intent_from_name(intent_src, intent_rule).alias("intent"),
                      F.lit(False).alias("is_negative"), F.col(path_col).alias("source_file"), F.col("row_pos"))
     return drop_blank(out, sentinel=sentinel)
 

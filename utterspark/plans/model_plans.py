@@ -16,7 +16,7 @@ from utterspark.operators import metrics as M
 from utterspark.operators import training as T
 from utterspark.plans.feature_plans import VECTOR_DIM, hashed_vectors
 from utterspark.plans.registry import register
-from utterspark.plans.split_plans import corpus_split, train_labels
+from utterspark.plans.split_plans import corpus_split, positive_corpus_split, train_labels
 from utterspark.plans.sql_fixtures import SPLIT
 from utterspark.session import materialize, scratch_path
 from utterspark.sources import store
@@ -161,15 +161,18 @@ def weighted_eval(spark, sf_dir):
 
 @register("embedding_flow")
 def embedding_flow(spark, sf_dir):
-    """The embedding flow end to end: skip-gram word vectors on the train
-    texts; subword vectors for tokens unseen in training; text vectors as the
+    """The embedding flow end to end on its own corpus (positive sheets only):
+    skip-gram word vectors on the train texts; subword vectors for tokens unseen in training; text vectors as the
     mean over tokens; one-vs-rest logistic regression fitted on train; the
     top-3 labels with normalised one-vs-rest probabilities for every test row
     and every incoming user turn."""
     from utterspark.functions.arrays import sigmoid_normalised
     from utterspark.operators.corpus import valid_inputs
 
-    enc, labels = _encoded(spark, sf_dir)
+    # the embedding flow's own corpus: positive sheets, intent from the file name
+    s = positive_corpus_split(spark, sf_dir, "validated")
+    labels = train_labels(s)
+    enc = L.encode_labels(s, labels, unseen="keep")
     enc = materialize(enc.select(F.concat_ws("|", "source_file", F.col("row_pos").cast("string")).alias("uid"),
                                  "text", "split", "label_idx"))
     _, words = T.fit_word_vectors(enc.filter(F.col("split") == "train")

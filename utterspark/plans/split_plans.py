@@ -127,11 +127,11 @@ def cross_split_duplicates(spark, sf_dir):
     return d.select(F.md5("text").alias("text_md5"), "n_rows", "n_splits", "n_intents")
 
 
-@register("legacy_corpus", f"""
+def _legacy_sql(intent_sql: str) -> str:
+    return f"""
 WITH {SHEET_ROWS},
 legacy_raw AS (
-  SELECT coalesce(NULLIF(trim(cell, {WS_SQL}), ''), 'unknown') AS text,
-         array_to_string(string_split(path, '_')[1:greatest(len(string_split(path, '_')) - 3, 0)], '_') AS intent,
+  SELECT coalesce(NULLIF(trim(cell, {WS_SQL}), ''), 'unknown') AS text, {intent_sql} AS intent,
          path AS source_file, row_pos
   FROM sheet_rows WHERE strpos(path, '_negative_') = 0),
 legacy AS (
@@ -147,9 +147,28 @@ SELECT source_file, row_pos, intent, rank,
             WHEN rank <= floor(n_all * CAST(0.7 AS DOUBLE)) + floor(n_all * CAST(0.15 AS DOUBLE)) THEN 'valid'
             ELSE 'test' END AS split
 FROM ranked
-""")
+"""
+
+
+def positive_corpus_split(spark, sf_dir, intent_rule: str):
+    """Positive-only corpus of the older flows, de-duplicated per file, split."""
+    u = C.dedup(C.to_legacy_utterances(sheet_rows(spark, sf_dir), intent_rule=intent_rule), scope="file")
+    return S.split_corpus(u)
+
+
+@register("legacy_corpus", _legacy_sql(
+    "array_to_string(string_split(path, '_')[1:greatest(len(string_split(path, '_')) - 3, 0)], '_')"))
 def legacy_corpus(spark, sf_dir):
-    """The older flows' corpus end to end: positive sheets only, legacy intent
-    rule, sentinel cleaning, per-file dedup, then the exact 70/15/15 split."""
-    u = C.dedup(C.to_legacy_utterances(sheet_rows(spark, sf_dir)), scope="file")
-    return S.split_corpus(u).select("source_file", "row_pos", "intent", "rank", "split")
+    """The first version's corpus end to end: positive sheets only, intent from
+    the path (last three ``_`` pieces dropped), sentinel cleaning, per-file
+    dedup, then the exact 70/15/15 split."""
+    return positive_corpus_split(spark, sf_dir, "drop_last_3").select(
+        "source_file", "row_pos", "intent", "rank", "split")
+
+
+@register("embedding_corpus", _legacy_sql("split_part(file_name, '_validated_', 1)"))
+def embedding_corpus(spark, sf_dir):
+    """The embedding flow's corpus: positive sheets only, intent from the file
+    name before ``_validated_``, sentinel cleaning, per-file dedup, split."""
+    return positive_corpus_split(spark, sf_dir, "validated").select(
+        "source_file", "row_pos", "intent", "rank", "split")
