@@ -12,6 +12,8 @@ epoch's weights are kept, so the chosen epoch's model is the one evaluated.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,20 +86,31 @@ def fit_softmax_epochs(df: DataFrame, n_classes: int, dim: int, epochs: int = EP
         F.sum(wr).alias("gb"), F.sum("w").alias("sw")]
     metric_cols = ["split", "batch_id", M.row_loss("z", "y").alias("loss"), "w",
                    (argmax("p") == F.col("y")).alias("correct")]
-    for e in range(1, epochs + 1):
-        W, b = Wb[:, :dim].tolist(), Wb[:, dim].tolist()
-        fwd = _forward(train, spark, W, b, "x")
-        per_class = fwd.select("w", "x", F.posexplode(resid).alias("c", "r"))
-        grad = np.zeros_like(Wb)
+
+    def gradient(W, b) -> np.ndarray:
+        per_class = _forward(train, spark, W, b, "x").select("w", "x", F.posexplode(resid).alias("c", "r"))
+        g = np.zeros((n_classes, dim + 1))
         for row in per_class.groupBy("c").agg(*grad_aggs).collect():
             c = int(row["c"])
-            grad[c, :dim] = [row[f"g{i}"] / row["sw"] for i in range(dim)]
-            grad[c, dim] = row["gb"] / row["sw"]
-        Wb = opt.step(Wb, grad)
-        W, b = Wb[:, :dim].tolist(), Wb[:, dim].tolist()
-        models.extend((e, c, list(W[c]), b[c]) for c in range(n_classes))
+            g[c, :dim] = [row[f"g{i}"] / row["sw"] for i in range(dim)]
+            g[c, dim] = row["gb"] / row["sw"]
+        return g
+
+    def epoch_row(e: int, W, b):
         rows = _forward(evalrows, spark, W, b, "x").select(F.lit(e).alias("epoch"), *metric_cols)
-        history.extend(M.epoch_metrics(rows).collect())
+        return M.epoch_metrics(rows).collect()
+
+    # The metrics of epoch e - 1 and the gradient of epoch e read the same
+    # weights and are independent: the two jobs run side by side.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for e in range(1, epochs + 1):
+            W, b = Wb[:, :dim].tolist(), Wb[:, dim].tolist()
+            pending = pool.submit(epoch_row, e - 1, W, b) if e > 1 else None
+            Wb = opt.step(Wb, gradient(W, b))
+            if pending is not None:
+                history.extend(pending.result())
+            models.extend((e, c, Wb[c, :dim].tolist(), float(Wb[c, dim])) for c in range(n_classes))
+        history.extend(epoch_row(epochs, Wb[:, :dim].tolist(), Wb[:, dim].tolist()))
     hist = spark.createDataFrame(history, "epoch int, train_loss double, train_acc double, "
                                           "valid_loss double, valid_acc double")
     mods = spark.createDataFrame(models, "epoch int, class_idx int, w array<double>, b double")
