@@ -52,3 +52,19 @@ def test_softmax_epochs_brute_force(spark):
     first_best = next((i + 1 for i, a in enumerate(accs) if a > 0 and a > max([0.0] + accs[:i])
                        and a == max(accs)), None)
     assert best == first_best
+
+
+def test_hashed_bow_shares(spark):
+    from pyspark.sql import functions as F
+
+    from utterspark.plans.model_plans import hashed_bow
+
+    df = spark.createDataFrame([(1, "a a b"), (2, ""), (3, "  ")], "uid long, text string")
+    got = {r["uid"]: r["vector"] for r in hashed_bow(df, "uid", 4).collect()}
+    buckets = {r["t"]: r["b"] for r in spark.createDataFrame([("a",), ("b",)], "t string")
+               .select("t", F.pmod(F.xxhash64("t"), F.lit(4)).alias("b")).collect()}
+    want = [0.0] * 4
+    want[buckets["a"]] += 2 / 3
+    want[buckets["b"]] += 1 / 3
+    assert np.allclose(got[1], want)
+    assert got[2] == [0.0] * 4 and got[3] == [0.0] * 4

@@ -203,13 +203,20 @@ HASHED_DIM = 64
 
 def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
     """Hashed bag-of-words share per text: ``x[i]`` = share of the text's tokens
-    whose ``xxhash64`` bucket is ``i`` (zeros for a text without tokens). Built
-    from :func:`features.mean_vectors` over a token -> one-hot-bucket table."""
-    toks = texts.select(F.explode(tokenize_ws("text")).alias("token")).distinct()
+    whose ``xxhash64`` bucket is ``i`` (zeros for a text without tokens).
+
+    The bucket is a function of the token, so no vocabulary table is joined:
+    one aggregation per text of ``dim`` conditional counts, combined map-side
+    (a text holding a third of all tokens costs one partial row per task).
+    ``explode_outer`` keeps token-less texts in the same aggregation.
+    """
+    occ = texts.select(id_col, F.explode_outer(tokenize_ws("text")).alias("token"))
     bucket = F.pmod(F.xxhash64("token"), F.lit(dim))
-    onehot = toks.select("token", F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                              lambda i: F.when(i == bucket, 1.0).otherwise(0.0)).alias("vec"))
-    return FT.mean_vectors(texts, id_col, tokenize_ws("text"), materialize(onehot), dim)
+    occ = occ.select(id_col, F.when(F.col("token").isNotNull(), bucket).alias("_b"))
+    g = occ.groupBy(id_col).agg(*[F.count(F.when(F.col("_b") == i, 1)).alias(f"_c{i}") for i in range(dim)],
+                                F.count("_b").alias("_n"))
+    share = [F.when(F.col("_n") > 0, F.col(f"_c{i}") / F.col("_n")).otherwise(F.lit(0.0)) for i in range(dim)]
+    return g.select(id_col, F.array(*share).alias("vector"))
 
 
 @register("softmax_epochs")
