@@ -219,12 +219,9 @@ def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
     return g.select(id_col, F.array(*share).alias("vector"))
 
 
-@register("softmax_epochs")
-def softmax_epochs(spark, sf_dir):
-    """Epoch training with model choice on the corpus: a softmax head over
-    hashed bag-of-words, AdamW full-batch steps for the canonical 30 epochs,
-    negatives weighted 1.5; history per epoch, the chosen epoch by validation
-    accuracy (first strict best), and that epoch's model on the test split."""
+def _softmax_run(spark, sf_dir):
+    """Corpus -> hashed bag-of-words -> 30 AdamW epochs; returns the history,
+    every epoch's model, the chosen epoch, the feature rows and the labels."""
     from utterspark.operators import epochs as EP
     from utterspark.operators.split import with_batch_id
 
@@ -236,10 +233,21 @@ def softmax_epochs(spark, sf_dir):
     feats = hashed_bow(keyed.select("uid", "text"), "uid")
     data = materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
                        .join(feats.withColumnRenamed("vector", "x"), "uid"))
-    n_classes = labels.count()
-    hist, models = EP.fit_softmax_epochs(data, n_classes, HASHED_DIM)
+    hist, models = EP.fit_softmax_epochs(data, labels.count(), HASHED_DIM)
     hist = materialize(hist)
     best = M.best_epoch(hist).first()["best_epoch"]
+    return hist, models, best, data, labels
+
+
+@register("softmax_epochs")
+def softmax_epochs(spark, sf_dir):
+    """Epoch training with model choice on the corpus: a softmax head over
+    hashed bag-of-words, AdamW full-batch steps for the canonical 30 epochs,
+    negatives weighted 1.5; history per epoch, the chosen epoch by validation
+    accuracy (first strict best), and that epoch's model on the test split."""
+    from utterspark.operators import epochs as EP
+
+    hist, models, best, data, _ = _softmax_run(spark, sf_dir)
     test_acc = None
     if best is not None:
         scored_test = EP.score_with(data.filter(F.col("split") == "test"), models, int(best))
@@ -249,3 +257,29 @@ def softmax_epochs(spark, sf_dir):
         "epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "train_acc", "valid_loss", "valid_acc")],
         F.coalesce(chosen, F.lit(False)).alias("chosen"),
         F.when(chosen, F.round(F.lit(test_acc).cast("double"), 6)).alias("test_acc"))
+
+
+@register("training_report")
+def training_report(spark, sf_dir):
+    """The metrics document of a real training run: the epoch history, and the
+    chosen epoch's model on the test split with the confidence threshold
+    (INVALID looked up): accuracy, weighted P/R/F1, macro AUC, class report,
+    false-positive rates, confusion; latency statistics; label mapping."""
+    from utterspark.operators import epochs as EP
+
+    hist, models, best, data, labels = _softmax_run(spark, sf_dir)
+    if best is None:
+        raise ValueError("no epoch reached a validation accuracy above 0")
+    test = materialize(EP.score_with(data.filter(F.col("split") == "test"), models, int(best)))
+    inv = L.index_of(labels, "INVALID")
+    ev = D.apply_threshold(test, inv if inv is not None else 0, out="k")
+    cm = materialize(M.confusion(ev, "y", "k"))
+    one = lambda df: df.withColumn("_k", F.lit(0))
+    final = (one(M.accuracy_from_confusion(cm)).join(F.broadcast(one(M.weighted_prf(cm))), "_k")
+             .join(F.broadcast(one(M.macro_auc(M.auc_by_class(test, "y", "p")).select("macro_auc"))), "_k")
+             .drop("_k"))
+    speed = M.latency_stats(table(spark, sf_dir, "events").select("value")).drop("n")
+    cfg = {"epochs": EP.EPOCHS, "chosen_epoch": int(best), "features": HASHED_DIM,
+           "confidence_threshold": D.CONFIDENCE_THRESHOLD}
+    return store.metrics_document(hist, final, M.class_report(cm), M.false_positive_rate(cm, labels), cm,
+                                  speed, labels, cfg)
