@@ -47,3 +47,21 @@ def test_score_stream_equals_batch(spark):
                    labels).select("vec_id", F.col("decision")[0]["label"].alias("label"))
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, batch.collect()))
     assert s.count() == emb.count()
+
+
+def test_text_stream_equals_batch(spark, tmp_dir):
+    from utterspark.operators.corpus import valid_inputs
+    from utterspark.operators.training import score
+    from utterspark.plans.model_plans import _weighted_model
+    from utterspark.streaming import score_text_stream
+
+    model, _, labels = _weighted_model(spark, SF0001)
+    conv = table(spark, SF0001, "conversations").filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    path = f"{tmp_dir}/turns"
+    conv.repartitionByRange(3, "conv_id", "turn").write.parquet(path)
+    stream = spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    flat = lambda df: df.select("conv_id", "turn", F.to_json("decision").alias("d"))
+    got = run_available_now(flat(score_text_stream(stream, model, labels)), "t-text-stream")
+    want = flat(decide(score(model, valid_inputs(conv)), labels))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() > 0

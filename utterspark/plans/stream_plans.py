@@ -13,7 +13,7 @@ from utterspark.plans.scoring_plans import _decision_sql
 from utterspark.plans.sql_fixtures import RAW_UTTERANCES
 from utterspark.session import scratch_path, shuffle_partitions
 from utterspark.sources.tables import SCORE_SCALE, scored_labels, sheet_rows, table
-from utterspark.streaming import ingest_stream, run_available_now, score_stream
+from utterspark.streaming import ingest_stream, run_available_now, score_stream, score_text_stream
 
 STREAM_FILES_PER_TRIGGER = 1
 # The ingest stream reads its staged files in about this many micro-batches,
@@ -54,3 +54,22 @@ def ingest_stream_plan(spark, sf_dir):
               .parquet(stage))
     out = ingest_stream(stream).select("intent", "is_negative", F.md5("text").alias("text_md5"))
     return run_available_now(out, "ingest-stream")
+
+
+@register("score_text_stream")
+def score_text_stream_plan(spark, sf_dir):
+    """The prediction loop as a stream: the weighted model is fitted on the
+    corpus (batch), then user turns arrive from the conversations file and
+    every micro-batch gets the UNKNOWN / accepted-labels decision."""
+    from utterspark.plans.model_plans import _weighted_model
+
+    model, _, labels = _weighted_model(spark, sf_dir)
+    schema = table(spark, sf_dir, "conversations").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
+              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir))
+    turns = stream.filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    dec = score_text_stream(turns, model, labels)
+    out = dec.select("conv_id", "turn", F.posexplode("decision").alias("pos", "d")).select(
+        "conv_id", "turn", (F.col("pos") + 1).cast("int").alias("rank"), F.col("d.label").alias("label"),
+        F.round("d.probability", 6).alias("probability"), F.col("d.reason").alias("reason"))
+    return run_available_now(out, "score-text-stream")
