@@ -66,3 +66,20 @@ def test_batches_of_32_within_split(spark):
     b1 = {r["row_pos"]: r["batch_id"] for r in e1.collect()}
     b2 = {r["row_pos"]: r["batch_id"] for r in e2.collect()}
     assert b1 != b2
+
+
+def test_hashed_rank_independent_of_buckets_and_input(spark):
+    from pyspark.sql import functions as F
+
+    from utterspark.operators.ranking import hashed_rank
+
+    base = spark.range(500).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("k"))
+    # add rows that share the key prefix (same bucket) and a tie on the key itself
+    extra = spark.createDataFrame([(1000 + i, "00000000" + f"{i:024x}") for i in range(20)] + [(2000, "ffff"), (2001, "ffff")],
+                                  "id long, k string")
+    df = base.unionByName(extra)
+    want = {r["id"]: i + 1 for i, r in enumerate(sorted(df.collect(), key=lambda r: (r["k"], r["id"])))}
+    for parts, buckets in [(1, 1), (4, 3), (16, 17)]:
+        got = hashed_rank(df.repartition(parts), "k", ["id"], num_partitions=buckets).collect()
+        assert {r["id"]: r["rank"] for r in got} == want
+        assert {r["group_size"] for r in got} == {len(want)}

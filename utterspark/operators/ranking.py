@@ -97,3 +97,33 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], value_cols: Sequenc
     if total_prefix:
         extra += [F.col(f"_all_{c}").alias(f"{total_prefix}{c}") for c in value_cols]
     return out.select(*df.columns, *extra)
+
+
+def hashed_rank(df: DataFrame, key: str, tie_cols: Sequence[str] = (), rank_col: str = "rank",
+                size_col: str | None = "group_size", num_partitions: int | None = None) -> DataFrame:
+    """Exact global rank in ``(key, *tie_cols)`` order for a key that is a
+    lowercase hex digest (md5, sha): uniform, and ordered like its leading digits.
+
+    Range buckets are a pure function of the key (its first 8 hex digits scaled
+    to ``num_partitions``), so no bounds are sampled and nothing needs freezing:
+    a retried task recomputes the same bucket for every row. Per-bucket counts
+    (one row per bucket) give broadcast offsets; a window partitioned by the
+    bucket numbers each slice, and uniform keys keep the slices even.
+    """
+    n = num_partitions or shuffle_partitions(df.sparkSession)
+    # right-padded, so a shorter hex string still orders like its value
+    prefix = F.conv(F.rpad(F.substring(F.col(key), 1, 8), 8, "0"), 16, 10).cast("double")
+    bucket = F.least(F.floor(prefix * F.lit(float(n)) / F.lit(4294967296.0)), F.lit(n - 1)).cast("int")
+    b = df.withColumn("_b", bucket)
+    counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    # at most num_partitions rows: the unpartitioned window sorts a bucket-sized table
+    offsets = counts.select(
+        "_b", F.coalesce(F.sum("_cnt").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
+                         F.lit(0)).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy()).alias("_size"))
+    local = F.row_number().over(Window.partitionBy("_b").orderBy(key, *tie_cols))
+    out = b.withColumn("_loc", local).join(F.broadcast(offsets), "_b")
+    extra = [(F.col("_off") + F.col("_loc")).cast("long").alias(rank_col)]
+    if size_col:
+        extra.append(F.col("_size").alias(size_col))
+    return out.select(*df.columns, *extra)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterspark.operators.ranking import global_rank
+from utterspark.operators.ranking import global_rank, hashed_rank
 
 # The canonical split and batching parameters.
 DEFAULT_SEED = 42
@@ -39,7 +39,8 @@ def split_corpus(df: DataFrame, train_ratio: float = TRAIN_RATIO, valid_ratio: f
     in DOUBLE arithmetic; the rest is ``test``.
     """
     keyed = with_shuffle_key(df, seed, id_cols)
-    ranked = global_rank(keyed, ["shuffle_key", *id_cols], size_col="_n")
+    # the md5 order key is uniform: buckets by its leading digits, no sampling
+    ranked = hashed_rank(keyed, "shuffle_key", id_cols, size_col="_n")
     n = F.col("_n").cast("double")
     n_train = F.floor(n * F.lit(float(train_ratio)))
     n_valid = F.floor(n * F.lit(float(valid_ratio)))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from utterspark.operators import corpus as C
 from utterspark.operators import labels as L
 from utterspark.operators import split as S
-from utterspark.operators.ranking import global_rank
+from utterspark.operators.ranking import global_rank, hashed_rank
 from utterspark.plans.registry import register
 from utterspark.plans.sql_fixtures import SHEET_ROWS, SPLIT, UTTERANCES, WS_SQL
 from utterspark.sources.tables import sheet_rows, utterances
@@ -41,6 +41,17 @@ def global_rank_plan(spark, sf_dir):
         "source_file", "row_pos", "rank")
 
 
+@register("hashed_rank", f"""
+WITH {SPLIT}
+SELECT source_file, row_pos, rank FROM ranked
+""")
+def hashed_rank_plan(spark, sf_dir):
+    """The same exact rank by md5 key, with buckets computed from the key."""
+    keyed = S.with_shuffle_key(utterances(spark, sf_dir))
+    return hashed_rank(keyed, "shuffle_key", ["source_file", "row_pos"], size_col=None).select(
+        "source_file", "row_pos", "rank")
+
+
 @register("split_corpus", f"""
 WITH {SPLIT}
 SELECT source_file, row_pos, rank, split FROM corpus_split
