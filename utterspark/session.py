@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,11 +48,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="utterspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application.
+
+    Functions that run in workers are pickled by reference, so a worker that does not start in the
+    repository folder must find the package among the files Spark distributes.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_utterspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="utterspark-zip-"), "utterspark_package.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)  # copied by Spark's own file server; the local zip is only its source
+    sc._utterspark_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -102,6 +127,7 @@ def broadcast_if_bounded(df, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES
     tables are joined with a shuffle (AQE splits skewed keys)."""
     from pyspark.sql import functions as F
 
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    # a plain partial aggregate: no limit that would funnel rows into one task
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     n, b = int(probe["n"]), int(probe["b"] or 0)
     return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
