@@ -1,7 +1,93 @@
-"""Corpus pipeline (filled in below its operators)."""
-STAGES = []
-ORACLE_SQL = None
+"""Corpus pipeline over ``documents``: language ID, toxicity, near duplicates, mixing, byte-level BPE.
 
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which
+is written as Parquet and reread as the next one's ``docs``. All but the last return the columns of
+documents. ``run`` applies them in the shared checkpoint folder.
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+Stage by stage: documents without a letter are rejected (language ``und``); documents scored toxic
+(0.7 or more) are rejected; of each component of five-word shingle sets with a Jaccard similarity of
+0.8 or more the smallest doc_id stays; the mix keeps a document as many times as it takes it (0, 1 or
+2); the last stage returns the ids of what is left. Rows that repeat a kept doc_id are one document to
+the near-duplicate stage: one row of them stays.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from utterspark.llm import bpe, langid, mixing, ngram_join, toxicity
+from utterspark.llm.common import bounded_broadcast, prepare, table, unused
+from utterspark.llm.queries import vocabulary_path
+from utterspark.session import scratch_path
+
+NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 80, 100
+TOXIC_FROM = 0.7
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents that have no language: null texts and texts without a letter."""
+    model = langid.fit(docs)
+    tag = unused(docs, "lang")
+    out = langid.predict(docs, model, out=tag)
+    return out.where(F.col(f"{tag}.lang") != langid.UNKNOWN).select(*docs.columns)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents that score as toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    tag = unused(docs, "tox")
+    out = toxicity.predict(docs, model, out=tag)
+    return out.where(F.col(f"{tag}.score") < TOXIC_FROM).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of each component of similar documents."""
+    found = ngram_join.jaccard_components(docs, words=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
+    drop = unused(docs, "drop")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(drop)).distinct().checkpoint(eager=True)
+    out = docs.join(bounded_broadcast(gone), docs["doc_id"] == F.col(drop), "left_anti")
+    # rows that repeat a doc_id: only those ids are grouped, the rest stays where it is
+    twice = unused(docs, "twice")
+    again = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(twice)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(twice).checkpoint(eager=True)
+    hint = bounded_broadcast(again)
+    single = out.join(hint, out["doc_id"] == F.col(twice), "left_anti")
+    first = out.join(hint, out["doc_id"] == F.col(twice), "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(first)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it; rows of a doc_id go by source and size."""
+    plan = mixing.mix(docs, table(spark, sf_dir, "labels")).where("copies > 0")
+    key, n = unused(docs, "id"), unused(docs, "n")
+    plan = plan.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias(n))
+    out = docs.join(plan, docs["doc_id"].eqNullSafe(F.col(key)))
+    return out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, packed ids, and whether decoding gave the text back."""
+    shared = bpe.codec(spark, vocabulary_path())
+    out = bpe.decode(bpe.encode(docs.select("doc_id", "text"), shared), shared)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mix_sources),
+    ("byte_bpe", byte_bpe),
+]
+ORACLE_SQL = None  # fitted models and components: tested against brute force
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
