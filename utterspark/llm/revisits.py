@@ -137,7 +137,7 @@ u AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z]
 k AS (
   SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '')
     || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
-    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), a -> a <> '' AND NOT regexp_matches(lower(a), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS args
+    list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), lambda a: a <> '' AND NOT regexp_matches(lower(a), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS args
   FROM u),
 r AS (SELECT *, place || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS key FROM k),
 s AS (SELECT key, ts, max(record_id) AS source_id FROM r WHERE full_ GROUP BY key, ts),
