@@ -34,7 +34,7 @@ def test_every_oracle_has_a_query():
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents labels embeddings conversations events benchmark").split():
+    for t in ("documents labels embeddings conversations events benchmark pages").split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF0001}/{t}.parquet')")
     return con
 

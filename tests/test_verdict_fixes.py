@@ -1,0 +1,99 @@
+"""Rows that used to get lost: directory tables in streams, other scripts, NULL groups, rules over
+several blocks, unseen labels, repeated batch rows, sheets without positions, workers elsewhere."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF0001
+from utterspark.functions.text import tokenize_mixed
+from utterspark.operators import features
+from utterspark.operators.corpus import increment
+from utterspark.operators.labels import encode_labels, fit_labels
+from utterspark.operators.ranking import global_rank, running_totals
+from utterspark.plans import all_queries
+from utterspark.sources.sheets import parse_first_column
+from utterspark.sources.xlsx import sheet_bytes
+
+
+def test_streams_read_folders_of_part_files(spark, tmp_dir):
+    for t in ("embeddings", "conversations", "documents", "labels"):
+        spark.read.parquet(f"{SF0001}/{t}.parquet").repartition(5).write.parquet(f"{tmp_dir}/{t}.parquet")
+    plan = all_queries()["score_stream"]
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    whole = key(plan(spark, SF0001))
+    assert whole and key(plan(spark, tmp_dir)) == whole == key(all_queries()["decide"](spark, tmp_dir))
+
+
+@pytest.mark.parametrize("text, pieces", [
+    ("Привет, мир 42", ["Привет", "мир", "42"]), ("안녕 하세요!", ["안녕", "하세요"]), ("カタカナとひらがな", ["カタカナとひらがな"]),
+    ("Việt Nam 3×4÷2", ["Việt", "Nam", "3", "4", "2"]), ("中文abc字", ["中", "文", "abc", "字"]), ("", [])])
+def test_no_script_is_lost(spark, text, pieces):
+    assert spark.createDataFrame([(text,)], "t string").select(tokenize_mixed("t").alias("x")).first().x == pieces
+
+
+def test_rows_of_a_null_group_keep_their_rank(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "g string, v long")
+    assert sorted((r.g or "", r.v, r["rank"], r.group_size) for r in global_rank(df, ["v"], ["g"]).collect()) == [("", 2, 1, 2), ("", 3, 2, 2), ("a", 1, 1, 1)]
+    assert sorted((r.v, r.cum_v, r.total_v) for r in running_totals(df, ["v"], ["v"], ["g"]).collect()) == [(1, 1, 1), (2, 2, 5), (3, 5, 5)]
+
+
+def test_rule_blocks_do_not_change_the_answer(spark, monkeypatch):
+    df = spark.createDataFrame([("ab",), ("b",), ("x",)], "text string")
+    rules = spark.createDataFrame([(1, "a", "zeta"), (1, "b", "alpha"), (2, "x", "late")], "priority int, pattern string, intent string")
+    answers = []
+    for size in (256, 1):
+        monkeypatch.setattr(features, "MAX_CASE_RULES", size)
+        answers.append({r.text: r.rule_intent for r in features.rule_match(df, rules).collect()})
+    assert answers[0] == answers[1] == {"ab": "zeta", "b": "alpha", "x": "late"}
+
+
+def test_unseen_label_raises(spark):
+    labels = fit_labels(spark.createDataFrame([("a",), ("b",)], "intent string"))
+    with pytest.raises(ValueError, match="'c'"):
+        encode_labels(spark.createDataFrame([("a",), ("c",)], "intent string"), labels)
+
+
+def test_increment_appends_a_repeated_row_once(spark):
+    schema = "text string, intent string, is_negative boolean, source_file string, row_pos long"
+    corpus = spark.createDataFrame([("old", "i", False, "f", 1)], schema)
+    batch = spark.createDataFrame([("new", "i", False, "g", 2), ("new", "i", False, "g", 1), ("old", "i", False, "g", 3)], schema)
+    assert sorted((r.text, r.row_pos) for r in increment(corpus, batch).collect()) == [("new", 1), ("old", 1)]
+
+
+def test_mean_vectors_read_the_texts_once(spark):
+    df = spark.createDataFrame([("a", "x y"), ("b", ""), ("c", "zz")], "id string, text string")
+    vec = spark.createDataFrame([("x", [1.0, 2.0]), ("y", [3.0, 4.0])], "token string, vec array<double>")
+    out = features.mean_vectors(df, "id", F.split("text", " "), vec, 2)
+    assert {r.id: r.vector for r in out.collect()} == {"a": [2.0, 3.0], "b": [0.0, 0.0], "c": [0.0, 0.0]}
+
+
+def test_sheet_positions_are_optional():
+    import io
+    import re
+    import zipfile
+
+    src = zipfile.ZipFile(io.BytesIO(sheet_bytes("text", ["one", "two"])))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for n in src.namelist():
+            data = src.read(n)
+            if n.endswith("sheet1.xml"):
+                data = re.sub(rb' r="[A-Z]*\d+"', b"", data)
+            z.writestr(n, data)
+    assert parse_first_column(buf.getvalue()) == [(2, "one"), (3, "two")]
+
+
+def test_sheet_plans_run_from_a_foreign_folder(tmp_dir):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+            "import __spark_entry__ as E\n"
+            f"print('ROWS', E.queries()['read_sheets'](s, {SF0001!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout and int(out.stdout.split("ROWS")[1]) > 0, out.stderr[-2000:]

@@ -55,13 +55,16 @@ def tokenize_ws(c) -> Column:
     return F.filter(F.split(spaced, " "), lambda t: t != F.lit(""))
 
 
-# Fixed value: a mixed-script word piece is one Han character, or a run of
-# digits, ASCII letters, Latin-1/Latin Extended letters (U+00C0-U+024F) and marks.
-MIXED_TOKEN_PATTERN = "\\p{IsHan}|[0-9A-Za-z\\x{00C0}-\\x{024F}\\p{M}]+"
+# A mixed-script word piece is one Han character, or a run of
+# letters, marks and numbers of any script that are not Han.
+HAN_PATTERN = "(\\p{IsHan})"
+WORD_PATTERN = "[\\p{L}\\p{M}\\p{N}]+"
 
 
 def tokenize_mixed(c) -> Column:
-    return F.regexp_extract_all(_col(c), F.lit(MIXED_TOKEN_PATTERN), 0)
+    """Pieces of mixed-script text: spaces are put round Han characters, then
+    every run of letters, marks and numbers is a piece (no script is lost)."""
+    return F.regexp_extract_all(F.regexp_replace(_col(c), HAN_PATTERN, " $1 "), F.lit(WORD_PATTERN), 0)
 
 
 # The character n-gram lengths and word boundary marks of the

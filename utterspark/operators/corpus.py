@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterspark.functions.text import INVALID_LABEL, clean_text
+from utterspark.session import broadcast_if_bounded
 
 UTTERANCE_KEY = ["text", "intent", "is_negative"]
 
@@ -16,6 +17,10 @@ VALIDATED_MARKER = "_validated_"
 NEGATIVE_MARKER = "_negative_"
 
 
+# Broadcast limit (rows) for the keys of an increment batch.
+MAX_BROADCAST_KEYS = 200_000
+
+
 def polarity(name_col="file_name"):
     """A sheet is negative when its file name contains ``_negative_``."""
     return F.col(name_col).contains(NEGATIVE_MARKER)
@@ -165,6 +170,14 @@ def accept_scored(df: DataFrame, scores: DataFrame, positive_cutoff: int = 3,
 
 
 def increment(corpus: DataFrame, batch: DataFrame) -> DataFrame:
-    """Append new utterances (and possibly new intents) not already present."""
-    new = batch.join(corpus.select(*UTTERANCE_KEY), UTTERANCE_KEY, "left_anti")
+    """Append new utterances (and possibly new intents) not already present.
+
+    Repeats inside the batch are appended once (the first by source and row).
+    The corpus is first cut to the keys of the batch (broadcast behind a size
+    check), so a small batch does not shuffle the corpus.
+    """
+    batch = dedup(batch, scope="corpus")
+    keys = broadcast_if_bounded(batch.select(*UTTERANCE_KEY), MAX_BROADCAST_KEYS)
+    present = corpus.select(*UTTERANCE_KEY).join(keys, UTTERANCE_KEY, "left_semi").distinct()
+    new = batch.join(present, UTTERANCE_KEY, "left_anti")
     return corpus.unionByName(new.select(*corpus.columns))

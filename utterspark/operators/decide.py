@@ -39,11 +39,12 @@ def apply_threshold(df: DataFrame, invalid_idx: int, threshold: float = CONFIDEN
 
 def accepted(threshold: float, names_col: str = "_names", p_col: str = "p"):
     """All non-INVALID classes with ``p >= threshold``, probability desc (ties: lower idx)."""
-    ranked = top_k(p_col, 1 << 30)  # full sort
-    keep = F.filter(ranked, lambda s: (s["p"] >= F.lit(threshold))
+    # filter first, then order the few that are left by (-p, idx)
+    cand = F.transform(F.col(p_col), lambda p, i: F.struct((-p).alias("neg"), i.alias("idx")))
+    keep = F.filter(cand, lambda s: (-s["neg"] >= F.lit(threshold))
                     & (F.element_at(F.col(names_col), s["idx"] + 1) != F.lit(INVALID_LABEL)))
-    return F.transform(keep, lambda s: F.struct(
-        F.element_at(F.col(names_col), s["idx"] + 1).alias("label"), s["p"].alias("probability")))
+    return F.transform(F.sort_array(keep), lambda s: F.struct(
+        F.element_at(F.col(names_col), s["idx"] + 1).alias("label"), (-s["neg"]).alias("probability")))
 
 
 def decide(df: DataFrame, labels: DataFrame, threshold: float = CONFIDENCE_THRESHOLD) -> DataFrame:

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.session import broadcast_if_bounded
+from utterspark.session import broadcast_if_bounded, materialize
 
 MAX_BROADCAST_LABELS = 1_000_000
 
 
 def fit_labels(df: DataFrame, col: str = "intent") -> DataFrame:
     """``(label, idx)``: distinct labels in code-point order, idx from 0."""
-    distinct = df.select(F.col(col).alias("label")).filter(F.col("label").isNotNull()).distinct()
+    distinct = materialize(df.select(F.col(col).alias("label")).filter(F.col("label").isNotNull()).distinct())
     # One row per class: the unpartitioned window sorts a class-sized table.
     return distinct.select("label", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int").alias("idx"))
 
@@ -36,7 +36,9 @@ def encode_labels(df: DataFrame, labels: DataFrame, col: str = "intent", out: st
     lab = _small(labels.select(F.col("label").alias(col), F.col("idx").alias(out)))
     joined = df.join(lab, col, "left")
     if unseen == "error":
-        bad = joined.filter(F.col(out).isNull() & F.col(col).isNotNull()).select(col).limit(1).collect()
+        # only the distinct labels are checked, not every row
+        seen = df.select(col).where(F.col(col).isNotNull()).distinct()
+        bad = seen.join(lab, col, "left_anti").limit(1).collect()
         if bad:
             raise ValueError(f"label {bad[0][0]!r} is not in the label dictionary")
         return joined

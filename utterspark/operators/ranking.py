@@ -27,8 +27,11 @@ def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], grouped: b
         # at most one row per range partition: a proven bound
         return rows.join(F.broadcast(offsets), list(keys))
     offsets = offsets.checkpoint(eager=True)
-    small = offsets.limit(MAX_BROADCAST_OFFSETS + 1).count() <= MAX_BROADCAST_OFFSETS
-    return rows.join(F.broadcast(offsets) if small else offsets, list(keys))
+    small = offsets.count() <= MAX_BROADCAST_OFFSETS
+    # null-safe: rows whose group is NULL form a group of their own
+    right = offsets.select(*[F.col(c).alias(f"_g_{c}") if c in keys else F.col(c) for c in offsets.columns])
+    on = [rows[c].eqNullSafe(right[f"_g_{c}"]) for c in keys]
+    return rows.join(F.broadcast(right) if small else right, on).drop(*[f"_g_{c}" for c in keys])
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> DataFrame:

@@ -37,6 +37,19 @@ def confusion(spark, sf_dir):
     return _cm(spark, sf_dir)
 
 
+@register("confusion_dense", f"""
+WITH {evaluated_sql()}
+SELECT a.idx AS y, b.idx AS k, CAST(coalesce(cm.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT label FROM embeddings) x) a
+CROSS JOIN (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT label FROM embeddings) x) b
+LEFT JOIN cm ON cm.y = a.idx AND cm.k = b.idx
+""")
+def confusion_dense(spark, sf_dir):
+    """Every pair of dictionary classes, zero where no row fell."""
+    return M.dense_confusion(_cm(spark, sf_dir), materialize(scored_labels(spark, sf_dir))).select(
+        "y", "k", F.col("n").cast("long").alias("n"))
+
+
 @register("weighted_prf", f"""
 WITH {evaluated_sql()}
 SELECT round(sum(precision * support) / sum(support), 6) AS precision,

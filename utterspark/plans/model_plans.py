@@ -26,7 +26,7 @@ from utterspark.sources.tables import evaluated, history_rows, scored, scored_la
 def _encoded(spark, sf_dir):
     s = corpus_split(spark, sf_dir)
     labels = train_labels(s)
-    return L.encode_labels(s, labels, unseen="keep"), labels
+    return L.encode_labels(s, labels, unseen="error"), labels
 
 
 @register("word_vectors")
@@ -129,12 +129,11 @@ def metrics_document(spark, sf_dir):
 def evaluate_fitted(model, enc, labels, threshold: float = D.CONFIDENCE_THRESHOLD):
     """The canonical evaluation of a fitted model on the test split.
 
-    Rows whose label is unknown to the train dictionary cannot be scored
-    against a class and are left out (the reference stops on them). Below the
-    threshold a prediction counts as INVALID, looked up in the dictionary.
+    A label unknown to the train dictionary has already stopped the run when
+    the rows were encoded. Below the threshold a prediction counts as INVALID, looked up in the dictionary.
     Returns one row: accuracy, weighted and macro P/R/F1, macro AUC, n_test.
     """
-    test = enc.filter((F.col("split") == "test") & F.col("label_idx").isNotNull())
+    test = enc.filter(F.col("split") == "test")
     scored_test = materialize(T.score(model, test).select(
         F.col("label_idx").cast("int").alias("y"), "p", "pred_idx", "p_max"))
     inv = L.index_of(labels, "INVALID")
@@ -172,7 +171,7 @@ def embedding_flow(spark, sf_dir):
     # the embedding flow's own corpus: positive sheets, intent from the file name
     s = positive_corpus_split(spark, sf_dir, "validated")
     labels = train_labels(s)
-    enc = L.encode_labels(s, labels, unseen="keep")
+    enc = L.encode_labels(s, labels, unseen="error")
     enc = materialize(enc.select(F.concat_ws("|", "source_file", F.col("row_pos").cast("string")).alias("uid"),
                                  "text", "split", "label_idx"))
     _, words = T.fit_word_vectors(enc.filter(F.col("split") == "train")
@@ -226,7 +225,7 @@ def _softmax_run(spark, sf_dir):
     from utterspark.operators.split import with_batch_id
 
     enc, labels = _encoded(spark, sf_dir)
-    enc = enc.filter(F.col("label_idx").isNotNull()).select(
+    enc = enc.select(
         "source_file", "row_pos", "text", "split", "is_negative", F.col("label_idx").cast("int").alias("y"))
     enc = with_batch_id(enc)
     keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))

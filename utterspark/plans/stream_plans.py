@@ -15,19 +15,31 @@ from utterspark.session import scratch_path, shuffle_partitions
 from utterspark.sources.tables import SCORE_SCALE, scored_labels, sheet_rows, table
 from utterspark.streaming import ingest_stream, run_available_now, score_stream, score_text_stream
 
-STREAM_FILES_PER_TRIGGER = 1
-# The ingest stream reads its staged files in about this many micro-batches,
-# whatever their number: state carries across batches, and the batch count
-# does not grow with the data.
-INGEST_MICRO_BATCHES = 4
+# A stream reads its files in about this many micro-batches, whatever their
+# number: the batch count does not grow with the data.
+MICRO_BATCHES = 4
+
+
+def stream_table(spark, sf_dir, name):
+    """The given table as a stream: a folder of part files is read whole, a
+    single Parquet file is picked out of its folder by name."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    batch = spark.read.parquet(path)
+    reader = spark.readStream.schema(batch.schema)
+    if not fs.getFileStatus(jpath).isDirectory():
+        return reader.option("maxFilesPerTrigger", 1).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    n_files = fs.getContentSummary(jpath).getFileCount()
+    per_trigger = max(1, -(-n_files // MICRO_BATCHES))
+    return reader.option("maxFilesPerTrigger", per_trigger).option("recursiveFileLookup", "true").parquet(path)
 
 
 @register("score_stream", _decision_sql(0.6))
 def score_stream_plan(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
     model = centroid_model(emb.select("embedding", F.col("label").cast("int").alias("y")), "embedding", "y")
-    stream = (spark.readStream.schema(emb.schema).option("pathGlobFilter", "embeddings.parquet")
-              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir))
+    stream = stream_table(spark, sf_dir, "embeddings")
     dec = score_stream(stream.select("vec_id", "embedding"), model, scored_labels(spark, sf_dir),
                        scale=SCORE_SCALE)
     out = dec.select("vec_id", F.posexplode("decision").alias("pos", "d")).select(
@@ -47,9 +59,9 @@ def ingest_stream_plan(spark, sf_dir):
     stage = scratch_path(spark, "ingest-stage")
     # balanced, deterministic files (range on the row identity, not on a hot
     # sheet), as many as the session's shuffle width
-    n_files = max(INGEST_MICRO_BATCHES, shuffle_partitions(spark))
+    n_files = max(MICRO_BATCHES, shuffle_partitions(spark))
     rows.repartitionByRange(n_files, "source_file", "row_pos").write.parquet(stage)
-    per_trigger = max(1, -(-n_files // INGEST_MICRO_BATCHES))
+    per_trigger = max(1, -(-n_files // MICRO_BATCHES))
     stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_trigger)
               .parquet(stage))
     out = ingest_stream(stream).select("intent", "is_negative", F.md5("text").alias("text_md5"))
@@ -64,9 +76,7 @@ def score_text_stream_plan(spark, sf_dir):
     from utterspark.plans.model_plans import _weighted_model
 
     model, _, labels = _weighted_model(spark, sf_dir)
-    schema = table(spark, sf_dir, "conversations").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
-              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir))
+    stream = stream_table(spark, sf_dir, "conversations")
     turns = stream.filter(F.col("role") == "user").select("conv_id", "turn", "text")
     dec = score_text_stream(turns, model, labels)
     out = dec.select("conv_id", "turn", F.posexplode("decision").alias("pos", "d")).select(

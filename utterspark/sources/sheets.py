@@ -62,7 +62,7 @@ def _text_of(el) -> str:
 
 
 def parse_first_column(content: bytes) -> list[tuple[int, object]]:
-    """``(row number, value)`` of the first used column of the first sheet, data
+    """``(row number, value)`` of the first column (A) of the first sheet, data
     rows only (the first row is the header). Strings stay ``str``; numbers come
     back as ``float``, booleans as ``bool``; empty cells are omitted."""
     z = zipfile.ZipFile(io.BytesIO(content))
@@ -79,9 +79,13 @@ def parse_first_column(content: bytes) -> list[tuple[int, object]]:
         shared = [_text_of(si) for si in sst.findall("m:si", _NS)]
     sheet = ET.fromstring(z.read(sheet_path))
     cells: list[tuple[int, int, object]] = []
+    rnum = 0
     for row in sheet.iterfind("m:sheetData/m:row", _NS):
-        rnum = int(row.get("r"))
+        # the position attributes are optional: without them rows and cells count on
+        rnum = int(row.get("r") or rnum + 1)
+        col = -1
         for c in row.findall("m:c", _NS):
+            col = _col_index(c.get("r")) if c.get("r") else col + 1
             t = c.get("t", "n")
             v = c.find("m:v", _NS)
             if t == "inlineStr":
@@ -98,12 +102,11 @@ def parse_first_column(content: bytes) -> list[tuple[int, object]]:
             else:
                 val = float(v.text)
             if val is not None:
-                cells.append((rnum, _col_index(c.get("r")), val))
+                cells.append((rnum, col, val))
     if not cells:
         return []
     header_row = min(r for r, _, _ in cells)
-    first_col = min(ci for _, ci, _ in cells)
-    return sorted((r, v) for r, ci, v in cells if ci == first_col and r > header_row)
+    return sorted((r, v) for r, ci, v in cells if ci == 0 and r > header_row)
 
 
 def read_sheets(files: DataFrame, na_strings=NA_STRINGS, non_string: str = "fail") -> DataFrame:

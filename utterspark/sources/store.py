@@ -41,19 +41,19 @@ def metrics_document(history: DataFrame, final: DataFrame, class_metrics: DataFr
     def one(df, name, expr):
         return df.agg(expr.alias(name)).withColumn("_k", F.lit(0))
 
-    fpr_map = F.map_from_entries(F.collect_list(F.struct(
-        F.concat(F.lit("class_"), F.col("class_idx").cast("string")), F.col("fpr"))))
+    fpr_map = F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+        F.concat(F.lit("class_"), F.col("class_idx").cast("string")), F.col("fpr")))))
     sections = [
         one(history, "training_history", F.array_sort(F.collect_list(F.struct(
             "epoch", "train_loss", "train_acc", "valid_loss", "valid_acc")))),
         one(final, "final_metrics", F.first(F.struct(*final.columns))),
         one(fpr, "false_positive_rates", fpr_map),
-        one(class_metrics, "class_metrics", F.map_from_entries(F.collect_list(F.struct(
-            F.col("key"), F.struct("precision", "recall", "f1_score", "support"))))),
+        one(class_metrics, "class_metrics", F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+            F.col("key"), F.struct("precision", "recall", "f1_score", "support")))))),
         one(confusion, "confusion_matrix", F.array_sort(F.collect_list(F.struct("y", "k", "n")))),
         one(speed, "prediction_speed", F.first(F.struct(*speed.columns))),
-        one(labels, "label_mapping", F.map_from_entries(F.collect_list(F.struct(
-            F.col("idx").cast("string"), F.col("label"))))),
+        one(labels, "label_mapping", F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+            F.col("idx").cast("string"), F.col("label")))))),
     ]
     doc = sections[0]
     for s in sections[1:]:

@@ -8,13 +8,14 @@ from utterspark.session import scratch_path
 
 
 def run_available_now(stream_df: DataFrame, name: str, output_mode: str = "append",
-                      timeout_s: int = 1800) -> DataFrame:
+                      timeout_s: float | None = None) -> DataFrame:
     """Write ``stream_df`` to a Parquet sink in the shared folder with an
     ``availableNow`` trigger (all input, in as many micro-batches as the source
     options ask for), then return the sink as a batch DataFrame.
 
     Sink and checkpoint are in the cluster's checkpoint folder, so a restarted
-    query resumes from its offsets and state.
+    query resumes from its offsets and state. ``timeout_s`` stops a query that
+    runs longer; by default a healthy stream runs as long as it needs.
     """
     spark = stream_df.sparkSession
     out = scratch_path(spark, f"{name}-out")
@@ -22,7 +23,7 @@ def run_available_now(stream_df: DataFrame, name: str, output_mode: str = "appen
     q = (stream_df.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ckpt).outputMode(output_mode)
          .trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
     if not finished:
         q.stop()
         raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
