@@ -33,7 +33,7 @@ from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices
 
 MAX_EXAMPLES = 5_000
 MAX_TERMS = 4_096
-MIN_DOCS, MIN_G2 = 3, 15.0
+MIN_DOCS, MIN_G2 = 3, 12.0
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 64, 0.05
 EVIDENCE = 3
