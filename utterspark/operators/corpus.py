@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from utterspark.functions.text import INVALID_LABEL, clean_text
-from utterspark.session import broadcast_if_bounded
+from utterspark.operators.ranking import global_rank
+from utterspark.session import broadcast_if_bounded, materialize
 
 UTTERANCE_KEY = ["text", "intent", "is_negative"]
 
@@ -118,10 +120,18 @@ def dedup(df: DataFrame, scope: str = "file") -> DataFrame:
                   .agg(F.min("row_pos").alias("row_pos"))
                   .select(*UTTERANCE_KEY, "source_file", "row_pos"))
     if scope in ("intent", "corpus"):
-        first = F.min(F.struct("source_file", "row_pos"))
-        return (df.groupBy(*UTTERANCE_KEY).agg(first.alias("_first"))
-                  .select(*UTTERANCE_KEY, F.col("_first.source_file").alias("source_file"),
-                          F.col("_first.row_pos").alias("row_pos")))
+        # files are numbered in order and (number, row) is packed into one decimal:
+        # a fixed-width state, so the aggregate hashes instead of sorting whole texts
+        files = materialize(df.select("source_file").where(F.col("source_file").isNotNull()).distinct())
+        numbered = global_rank(files, ["source_file"], rank_col="_f", size_col=None)
+        numbered = broadcast_if_bounded(numbered, MAX_BROADCAST_KEYS)
+        wide, shift = "decimal(38,0)", F.lit(Decimal(10**19))
+        packed = F.col("_f").cast("decimal(10,0)") * shift + (F.col("row_pos").cast("decimal(19,0)") + F.lit(2**62).cast("decimal(19,0)"))
+        first = (df.join(numbered, "source_file").groupBy(*UTTERANCE_KEY).agg(F.min(packed.cast(wide)).alias("_first")))
+        file_no = F.floor(F.col("_first") / shift).cast("long")
+        row = (F.col("_first") % shift - F.lit(2**62).cast("decimal(19,0)")).cast("long")
+        return (first.select(*UTTERANCE_KEY, file_no.alias("_f"), row.alias("row_pos"))
+                     .join(numbered, "_f").select(*UTTERANCE_KEY, "source_file", "row_pos"))
     raise ValueError(f"unknown dedup scope {scope!r}")
 
 

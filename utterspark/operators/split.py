@@ -59,6 +59,13 @@ def with_batch_id(df: DataFrame, batch_size: int = BATCH_SIZE, order_cols: Seque
     training batches) from ``md5(epoch_seed|id)``.
     """
     order = list(order_cols)
+    if epoch_seed is None and order == ["rank"] and list(partition_cols) == ["split"]:
+        # ranks are exact and a split is a contiguous range of them: a projection
+        # over one row per split, no sort and no copy of the corpus
+        first = df.groupBy(F.col("split").alias("_s")).agg(F.min("rank").alias("_first"))
+        return (df.join(F.broadcast(first), F.col("split") == F.col("_s"))
+                  .withColumn("batch_id", F.floor((F.col("rank") - F.col("_first")) / F.lit(batch_size)).cast("long"))
+                  .drop("_s", "_first"))
     if epoch_seed is not None:
         df = df.withColumn("_bkey", shuffle_key(epoch_seed, id_cols))
         order = ["_bkey", *id_cols]

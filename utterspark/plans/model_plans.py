@@ -6,6 +6,8 @@ round trip has an oracle.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from utterspark.functions.text import tokenize_ws
@@ -226,8 +228,8 @@ def _softmax_run(spark, sf_dir):
 
     enc, labels = _encoded(spark, sf_dir)
     enc = enc.select(
-        "source_file", "row_pos", "text", "split", "is_negative", F.col("label_idx").cast("int").alias("y"))
-    enc = with_batch_id(enc)
+        "source_file", "row_pos", "text", "split", "rank", "is_negative", F.col("label_idx").cast("int").alias("y"))
+    enc = with_batch_id(enc).drop("rank")
     keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))
     feats = hashed_bow(keyed.select("uid", "text"), "uid")
     data = materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
@@ -266,10 +268,14 @@ def training_report(spark, sf_dir):
     false-positive rates, confusion; latency statistics; label mapping."""
     from utterspark.operators import epochs as EP
 
+    began = time.perf_counter()
     hist, models, best, data, labels = _softmax_run(spark, sf_dir)
+    training_s = time.perf_counter() - began
     if best is None:
         raise ValueError("no epoch reached a validation accuracy above 0")
+    began = time.perf_counter()
     test = materialize(EP.score_with(data.filter(F.col("split") == "test"), models, int(best)))
+    scoring_s = time.perf_counter() - began
     inv = L.index_of(labels, "INVALID")
     ev = D.apply_threshold(test, inv if inv is not None else 0, out="k")
     cm = materialize(M.confusion(ev, "y", "k"))
@@ -277,8 +283,49 @@ def training_report(spark, sf_dir):
     final = (one(M.accuracy_from_confusion(cm)).join(F.broadcast(one(M.weighted_prf(cm))), "_k")
              .join(F.broadcast(one(M.macro_auc(M.auc_by_class(test, "y", "p")).select("macro_auc"))), "_k")
              .drop("_k"))
-    speed = M.latency_stats(table(spark, sf_dir, "events").select("value")).drop("n")
-    cfg = {"epochs": EP.EPOCHS, "chosen_epoch": int(best), "features": HASHED_DIM,
-           "confidence_threshold": D.CONFIDENCE_THRESHOLD}
-    return store.metrics_document(hist, final, M.class_report(cm), M.false_positive_rate(cm, labels), cm,
-                                  speed, labels, cfg)
+    # wall-clock figures of this run: the job that scored the test split, per row and per batch of 32
+    n_test = int(cm.agg(F.sum("n")).first()[0] or 0)
+    speed = spark.createDataFrame([(scoring_s, n_test, scoring_s / max(n_test, 1), scoring_s / max(-(-n_test // 32), 1))],
+                                  "scoring_seconds double, n_rows long, seconds_per_row double, seconds_per_batch double")
+    params = labels.count() * (HASHED_DIM + 1)
+    cfg = {"model": "softmax over hashed bag-of-words", "epochs": EP.EPOCHS, "chosen_epoch": int(best), "batch_size": 32,
+           "learning_rate": EP.LEARNING_RATE, "features": HASHED_DIM, "n_classes": labels.count(), "negative_weight": 1.5,
+           "confidence_threshold": D.CONFIDENCE_THRESHOLD, "training_time_seconds": training_s,
+           "total_params": params, "trainable_params": params}
+    doc = store.metrics_document(hist, final, M.class_report(cm), M.false_positive_rate(cm, labels), cm,
+                                 speed, labels, cfg)
+    path = scratch_path(spark, time.strftime("metrics_%Y%m%d_%H%M%S"))
+    store.write_metrics(doc, path)
+    return spark.read.text(path).withColumnRenamed("value", "document")
+
+
+def _rules_first_sql():
+    from utterspark.plans.feature_plans import RULES
+    from utterspark.plans.sql_fixtures import WS_SQL
+
+    case = " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{i}'" for _, p, i in RULES)
+    return f"""
+SELECT conv_id, turn, CASE {case} END AS rule_label, CASE {case} END IS NULL AS by_model
+FROM (SELECT conv_id, turn, NULLIF(trim(text, {WS_SQL}), '') AS text FROM conversations WHERE role = 'user') t
+WHERE text IS NOT NULL
+"""
+
+
+@register("rules_first", _rules_first_sql())
+def rules_first(spark, sf_dir):
+    """The rule pre-classifier in front of the model: a matching rule decides, the
+    rest is scored and decided by the fitted model. The result shows who decided;
+    the model's own labels depend on the fit and stay out of it."""
+    from utterspark.operators.corpus import valid_inputs
+    from utterspark.plans.feature_plans import rules_frame
+
+    model, _, labels = _weighted_model(spark, sf_dir)
+    turns = valid_inputs(table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+                         .select("conv_id", "turn", "text"))
+    ruled = FT.rule_match(turns, rules_frame(spark))
+    by_rule = ruled.filter(F.col("rule_intent").isNotNull()).select(
+        "conv_id", "turn", F.col("rule_intent").alias("rule_label"), F.lit(False).alias("by_model"))
+    rest = D.decide(T.score(model, ruled.filter(F.col("rule_intent").isNull()).select("conv_id", "turn", "text")), labels)
+    by_model = rest.filter(F.size("decision") > 0).select(
+        "conv_id", "turn", F.lit(None).cast("string").alias("rule_label"), F.lit(True).alias("by_model"))
+    return by_rule.unionByName(by_model)

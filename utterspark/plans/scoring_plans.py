@@ -56,6 +56,16 @@ def threshold_invalid(spark, sf_dir):
     return D.apply_threshold(scored(spark, sf_dir), inv).select("vec_id", "y", "pred_idx", "eval_idx")
 
 
+@register("threshold_index0", f"""
+WITH {scored_sql()}
+SELECT vec_id, y, pred_idx, CASE WHEN p_max < 0.6 THEN 0 ELSE pred_idx END AS eval_idx FROM pred
+""")
+def threshold_index0(spark, sf_dir):
+    """The published evaluation's option: low confidence counts as index 0,
+    whatever label that is."""
+    return D.apply_threshold(scored(spark, sf_dir), 0).select("vec_id", "y", "pred_idx", "eval_idx")
+
+
 def _decision_sql(t: float) -> str:
     return f"""
 WITH {scored_sql()},

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from utterspark.operators import corpus as C
 from utterspark.plans.registry import register
 from utterspark.plans.sql_fixtures import SHEET_ROWS, WS_SQL
-from utterspark.session import scratch_path
+from utterspark.session import materialize, scratch_path
 from utterspark.sources.sheets import NA_STRINGS, corpus_files, read_sheets, split_rejects, write_sheets
 from utterspark.sources.tables import sheet_rows
 
@@ -44,14 +44,28 @@ def read_sheets_plan(spark, sf_dir):
     return ok.select("file_name", "row_pos", F.md5("cell").alias("cell_md5"))
 
 
-@register("file_rejects", """
-SELECT file_name, error FROM (SELECT CAST(NULL AS VARCHAR) AS file_name, CAST(NULL AS VARCHAR) AS error) t
-WHERE file_name IS NOT NULL
+# Fixed value: sheets whose name's md5 starts with one of these digits are damaged on purpose.
+DAMAGED_DIGITS = ("0", "1", "2", "3")
+
+
+@register("file_rejects", f"""
+WITH {SHEET_ROWS},
+f AS (SELECT file_name, substr(md5(file_name), 1, 1) IN {DAMAGED_DIGITS} AS damaged,
+             count(*) FILTER (WHERE cell IS NOT NULL AND cell NOT IN ({NA_SQL})) AS n
+      FROM sheet_rows GROUP BY file_name)
+SELECT file_name, CASE WHEN damaged THEN 'BadZipFile: File is not a zip file' END AS error,
+       CAST(CASE WHEN damaged THEN 0 ELSE n END AS BIGINT) AS n_rows
+FROM f WHERE damaged OR n > 0
 """)
 def file_rejects(spark, sf_dir):
-    """Files that failed to parse or held a non-text cell (none for text sheets)."""
-    _, rejects = split_rejects(read_sheets(corpus_files(spark, sheet_dir(spark, sf_dir))))
-    return rejects.select("file_name", "error")
+    """Damaged files (cut off in the middle of the archive) are isolated with their
+    error; the rows of all other files are unaffected."""
+    files = corpus_files(spark, sheet_dir(spark, sf_dir))
+    damaged = F.substring(F.md5("file_name"), 1, 1).isin(*DAMAGED_DIGITS)
+    files = files.withColumn("content", F.when(damaged, F.expr("substring(content, 1, 200)")).otherwise(F.col("content")))
+    ok, rejects = split_rejects(read_sheets(files).transform(materialize))
+    counts = ok.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("error", F.lit(None).cast("string"))
+    return rejects.select("file_name", "error", F.lit(0).cast("long").alias("n_rows")).unionByName(counts)
 
 
 @register("sheet_ingest", f"""

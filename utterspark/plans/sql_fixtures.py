@@ -68,7 +68,8 @@ pred AS (
   FROM prob pr JOIN pmax m ON pr.vec_id = m.vec_id AND pr.p = m.p_max GROUP BY pr.vec_id, pr.y),
 names AS (
   SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM (
-    SELECT DISTINCT CASE WHEN label = 0 THEN 'INVALID' ELSE 'class_' || CAST(label AS VARCHAR) END AS label
+    SELECT DISTINCT CASE WHEN label = 4 THEN 'INVALID' WHEN label < 4 THEN 'Class_' || lpad(CAST(label AS VARCHAR), 6, '0')
+                         ELSE 'class_' || lpad(CAST(label AS VARCHAR), 6, '0') END AS label
     FROM embeddings) t)"""
 
 

@@ -69,17 +69,26 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(to_utterances(sheet_rows(spark, sf_dir)), scope="file")
 
 
-# Fixed value: the logit scale of the centroid scorer fixture.
+# The class that plays INVALID in the scored fixture and the
+# logit scale of its centroid scorer.
+INVALID_CLASS = 4
 SCORE_SCALE = 128.0
 
 
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label dictionary of the scored fixture: class 0 plays INVALID."""
+    """Label dictionary of the scored fixture: class 4 plays INVALID.
+
+    Names sort like the class numbers (classes below INVALID get a name that
+    sorts before it, numbers are zero-padded), so a class number is its index
+    in the dictionary for any number of classes.
+    """
     from utterspark.operators.labels import fit_labels
 
     ys = table(spark, sf_dir, "embeddings").select("label").distinct()
-    names = ys.select(F.when(F.col("label") == 0, F.lit("INVALID"))
-                      .otherwise(F.concat(F.lit("class_"), F.col("label").cast("string"))).alias("intent"))
+    number = F.lpad(F.col("label").cast("string"), 6, "0")
+    names = ys.select(F.when(F.col("label") == INVALID_CLASS, F.lit("INVALID"))
+                      .when(F.col("label") < INVALID_CLASS, F.concat(F.lit("Class_"), number))
+                      .otherwise(F.concat(F.lit("class_"), number)).alias("intent"))
     return fit_labels(names)
 
 
