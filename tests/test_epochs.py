@@ -54,17 +54,29 @@ def test_softmax_epochs_brute_force(spark):
     assert best == first_best
 
 
-def test_hashed_bow_shares(spark):
+def test_hashed_bow(spark):
     from pyspark.sql import functions as F
 
     from utterspark.plans.model_plans import hashed_bow
 
     df = spark.createDataFrame([(1, "a a b"), (2, ""), (3, "  ")], "uid long, text string")
-    got = {r["uid"]: r["vector"] for r in hashed_bow(df, "uid", 4).collect()}
+    got = {r["uid"]: dict(zip(r["x"]["idx"], r["x"]["val"])) for r in hashed_bow(df, "uid", 4).collect()}
     buckets = {r["t"]: r["b"] for r in spark.createDataFrame([("a",), ("b",)], "t string")
                .select("t", F.pmod(F.xxhash64("t"), F.lit(4)).alias("b")).collect()}
-    want = [0.0] * 4
-    want[buckets["a"]] += 2 / 3
-    want[buckets["b"]] += 1 / 3
-    assert np.allclose(got[1], want)
-    assert got[2] == [0.0] * 4 and got[3] == [0.0] * 4
+    want = np.zeros(4)
+    want[buckets["a"]] += 2
+    want[buckets["b"]] += 1
+    want /= np.linalg.norm(want)
+    assert np.allclose([got[1].get(i, 0.0) for i in range(4)], want)
+    assert got[2] == {} and got[3] == {}
+
+
+def test_sparse_features_train_like_dense_ones(spark):
+    rng = np.random.default_rng(6)
+    X = np.where(rng.random((40, 6)) < 0.4, rng.normal(size=(40, 6)), 0.0)
+    rows = [(X[i].tolist(), (np.flatnonzero(X[i]).tolist(), X[i][X[i] != 0].tolist()), i % 3, 1.0, "train" if i % 4 else "valid", i // 8) for i in range(40)]
+    df = spark.createDataFrame(rows, "d array<double>, s struct<idx:array<int>,val:array<double>>, y int, w double, split string, batch_id long")
+    (h1, m1), (h2, m2) = (EP.fit_softmax_epochs(df, 3, 6, epochs=3, x=c) for c in "ds")
+    assert np.allclose([list(r) for r in h1.orderBy("epoch").collect()], [list(r) for r in h2.orderBy("epoch").collect()])
+    p1, p2 = (sorted(tuple(r.p) for r in EP.score_with(df, m, 3, x=c).collect()) for m, c in ((m1, "d"), (m2, "s")))
+    assert np.allclose(p1, p2)

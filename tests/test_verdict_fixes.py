@@ -97,3 +97,23 @@ def test_sheet_plans_run_from_a_foreign_folder(tmp_dir):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=600)
     assert "ROWS" in out.stdout and int(out.stdout.split("ROWS")[1]) > 0, out.stderr[-2000:]
+
+
+def test_long_texts_go_on_in_further_columns(spark, tmp_dir):
+    from utterspark.sources.sheets import corpus_files, read_sheets, write_sheets
+
+    texts = {1: "x" * 32_767, 2: "y" * 40_000, 3: "\U0001F600" * 20_000, 4: "short", 5: "_x0041_" * 9_000}
+    rows = spark.createDataFrame([("a_validated_1.xlsx", t, i) for i, t in texts.items()], "file_name string, cell string, row_pos long")
+    write_sheets(rows, tmp_dir).collect()
+    got = {r.row_pos - 1: r.cell for r in read_sheets(corpus_files(spark, tmp_dir)).collect()}
+    assert got == texts
+
+
+def test_sheets_are_bounded_by_bytes_too(spark, tmp_dir):
+    from utterspark.sources.sheets import corpus_files, read_sheets, write_sheets
+
+    rows = spark.createDataFrame([("a_validated_1.xlsx", f"{i:03d}" + "z" * (i % 7) * 100, i) for i in range(60)], "file_name string, cell string, row_pos long")
+    written = write_sheets(rows, tmp_dir, max_rows_per_sheet=9, max_bytes_per_sheet=1_500).collect()
+    assert len(written) > 10 and max(r.n_rows for r in written) <= 9
+    got = sorted(r.cell for r in read_sheets(corpus_files(spark, tmp_dir)).collect())
+    assert got == sorted(r.cell for r in rows.collect())

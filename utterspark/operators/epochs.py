@@ -1,13 +1,12 @@
 """Epoch training of a linear softmax head with validation-based model choice.
 
-Each epoch is one full-batch AdamW step whose gradient is a Spark aggregation:
-the current weights (classes x dimension, small, like any Spark ML model) are
-attached to every row by a one-row broadcast join, logits and probabilities
-are array expressions, and the weighted gradient is summed per class with
-map-side partial aggregation (one partial row per class per task, whatever
-the data size). After the step, one more aggregation gives the epoch's
-train/valid loss and accuracy with the reference's batch semantics. Every
-epoch's weights are kept, so the chosen epoch's model is the one evaluated.
+Each epoch is one full-batch AdamW step whose gradient is a Spark job: the
+current weights (classes x dimension, small, like any Spark ML model) go to
+the tasks, a task sums its rows' sparse outer products in numpy and returns a
+few blocks whatever its rows, and Spark sums the blocks of all tasks. One more
+job per epoch gives the train/valid loss and accuracy with the reference's
+batch semantics. Every epoch's weights are kept, so the chosen epoch's model
+is the one evaluated.
 """
 
 from __future__ import annotations
@@ -15,12 +14,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from utterspark.functions.arrays import argmax, dot_rows, softmax
+from utterspark.functions.arrays import argmax, softmax
 from utterspark.operators import metrics as M
-from utterspark.session import materialize
+from utterspark.session import ship_package
 
 # Epochs of the canonical flow and AdamW's usual moments and
 # weight decay. The learning rate is ours: one full-batch step per epoch on a
@@ -47,15 +48,74 @@ class _AdamW:
         return p - self.lr * mh / (np.sqrt(vh) + self.eps) - self.lr * self.wd * p
 
 
-def _attach(df: DataFrame, spark, W: list[list[float]], b: list[float]) -> DataFrame:
-    # classes x dimension weights in one row: bounded by the model, not the data
-    one = spark.createDataFrame([(0, W, b)], "_k int, _W array<array<double>>, _B array<double>")
-    return df.withColumn("_k", F.lit(0)).join(F.broadcast(one), "_k").drop("_k")
-
-
-def _forward(df: DataFrame, spark, W, b, x: str) -> DataFrame:
-    z = F.zip_with(dot_rows("_W", x), F.col("_B"), lambda a, c: a + c)
-    return _attach(df, spark, W, b).withColumn("z", z).withColumn("p", softmax("z")).drop("_W", "_B")
+BLOCK = 8_192
+
+
+def _sparse(batch, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, value) of a batch: sparse columns ``idx`` / ``val`` or a dense ``x``."""
+    names = batch.schema.names
+    col = batch.column("val" if "val" in names else "x")
+    value = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    row = np.repeat(np.arange(len(col)), np.diff(col.offsets.to_numpy()))
+    if "idx" in names:
+        return row, batch.column("idx").flatten().to_numpy(zero_copy_only=False).astype(np.int64), value
+    return row, np.tile(np.arange(dim), len(col)), value
+
+
+def _logits(row, feature, value, n: int, weights: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(row, w[feature] * value, n) + w[-1] for w in weights], axis=1)
+
+
+def _gradient_task(weights: np.ndarray):
+    """Per task: the gradient sums of every class in blocks of features, and the weight total."""
+    def run(batches):
+        dim = weights.shape[1] - 1
+        g, total = np.zeros(weights.shape), 0.0
+        for b in batches:
+            n = len(b)
+            if n == 0:
+                continue
+            row, feature, value = _sparse(b, dim)
+            y, w = b.column("y").to_numpy(zero_copy_only=False), b.column("w").to_numpy(zero_copy_only=False)
+            z = _logits(row, feature, value, n, weights)
+            r = np.exp(z - z.max(axis=1, keepdims=True))
+            r /= r.sum(axis=1, keepdims=True)
+            r[np.arange(n), y] -= 1.0
+            r *= w[:, None]
+            for c in range(len(weights)):
+                g[c, :dim] += np.bincount(feature, value * r[row, c], dim)
+            g[:, dim] += r.sum(axis=0)
+            total += w.sum()
+        cells = [(c, at, g[c, at:at + BLOCK].tobytes()) for c in range(len(g)) for at in range(0, dim + 1, BLOCK) if g[c, at:at + BLOCK].any()]
+        cells.append((-1, 0, np.array([total]).tobytes()))
+        yield pa.RecordBatch.from_pydict({"c": pa.array([x[0] for x in cells], pa.int32()), "at": pa.array([x[1] for x in cells], pa.int32()),
+                                          "g": pa.array([x[2] for x in cells], pa.binary())})
+    return run
+
+
+def _sum_blocks(t: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(x, np.float64) for x in t.column("g").to_pylist()], axis=0)
+    return pa.table({"c": t.column("c")[:1], "at": t.column("at")[:1], "g": pa.array([total.tobytes()], pa.binary())})
+
+
+def _metric_task(weights: np.ndarray, epoch: int):
+    def run(batches):
+        for b in batches:
+            n = len(b)
+            y = b.column("y").to_numpy(zero_copy_only=False)
+            z = _logits(*_sparse(b, weights.shape[1] - 1), n, weights) if n else np.zeros((0, len(weights)))
+            top = z.max(axis=1) if n else np.zeros(0)
+            loss = np.log(np.exp(z - top[:, None]).sum(axis=1)) + top - z[np.arange(n), y]
+            yield pa.RecordBatch.from_pydict({"epoch": pa.array(np.full(n, epoch), pa.int32()), "split": b.column("split"), "batch_id": b.column("batch_id"),
+                                              "loss": pa.array(loss), "w": b.column("w"), "correct": pa.array(z.argmax(axis=1) == y if n else np.zeros(0, bool))})
+    return run
+
+
+def _features(df: DataFrame, x: str) -> list:
+    """Feature columns: a struct of ``idx`` and ``val`` (sparse) or a dense array."""
+    if isinstance(df.schema[x].dataType, StructType):
+        return [F.col(f"{x}.idx").alias("idx"), F.col(f"{x}.val").cast("array<double>").alias("val")]
+    return [F.col(x).cast("array<double>").alias("x")]
 
 
 def fit_softmax_epochs(df: DataFrame, n_classes: int, dim: int, epochs: int = EPOCHS,
@@ -63,67 +123,81 @@ def fit_softmax_epochs(df: DataFrame, n_classes: int, dim: int, epochs: int = EP
                        split: str = "split", batch: str = "batch_id"):
     """Train on ``split = 'train'`` rows; returns ``(history, models)``.
 
-    ``df``: ``x ARRAY<DOUBLE>(dim)``, ``y INT``, ``w DOUBLE`` (sample weight),
-    ``split``, ``batch_id``. ``history``: one row per epoch (epoch, train_loss,
-    train_acc, valid_loss, valid_acc) by :func:`metrics.epoch_metrics`;
-    ``models``: (epoch, class_idx, w, b) for every epoch.
+    ``df``: ``x`` (ARRAY<DOUBLE>(dim), or STRUCT<idx, val> of sparse features
+    below ``dim``), ``y INT``, ``w DOUBLE`` (sample weight), ``split``,
+    ``batch_id``; it is read twice an epoch, so pass a materialised table.
+    ``history``: one row per epoch (epoch, train_loss, train_acc, valid_loss,
+    valid_acc) by :func:`metrics.epoch_metrics`; ``models``: (epoch, class_idx,
+    w, b) for every epoch. Train figures are those of the epoch's final weights
+    (measured after the step).
     """
     spark = df.sparkSession
-    data = materialize(df.select(F.col(x).alias("x"), F.col(y).cast("int").alias("y"),
-                                 F.col(w).cast("double").alias("w"), F.col(split).alias("split"),
-                                 F.col(batch).alias("batch_id")))
-    train = data.filter(F.col("split") == "train")
+    ship_package(spark)
+    data = df.select(*_features(df, x), F.col(y).cast("int").alias("y"), F.col(w).cast("double").alias("w"),
+                     F.col(split).alias("split"), F.col(batch).cast("long").alias("batch_id"))
+    train = data.filter(F.col("split") == "train").drop("split", "batch_id")
     evalrows = data.filter(F.col("split").isin("train", "valid"))
     Wb = np.zeros((n_classes, dim + 1))  # weights with the bias as last column
     opt = _AdamW(Wb.shape, lr=lr)
     history, models = [], []
-    # expressions are built once; each epoch only swaps the one-row weight table
-    onehot = F.transform(F.sequence(F.lit(0), F.lit(n_classes - 1)),
-                         lambda c: F.when(c == F.col("y"), F.lit(1.0)).otherwise(F.lit(0.0)))
-    resid = F.zip_with("p", onehot, lambda p, t: p - t)
-    wr = F.col("w") * F.col("r")
-    grad_aggs = [F.sum(wr * F.col("x")[i]).alias(f"g{i}") for i in range(dim)] + [
-        F.sum(wr).alias("gb"), F.sum("w").alias("sw")]
-    metric_cols = ["split", "batch_id", M.row_loss("z", "y").alias("loss"), "w",
-                   (argmax("p") == F.col("y")).alias("correct")]
-
-    def gradient(W, b) -> np.ndarray:
-        per_class = _forward(train, spark, W, b, "x").select("w", "x", F.posexplode(resid).alias("c", "r"))
-        g = np.zeros((n_classes, dim + 1))
-        for row in per_class.groupBy("c").agg(*grad_aggs).collect():
-            c = int(row["c"])
-            g[c, :dim] = [row[f"g{i}"] / row["sw"] for i in range(dim)]
-            g[c, dim] = row["gb"] / row["sw"]
-        return g
-
-    def epoch_row(e: int, W, b):
-        rows = _forward(evalrows, spark, W, b, "x").select(F.lit(e).alias("epoch"), *metric_cols)
+
+    def gradient(weights) -> np.ndarray:
+        # one block row per class and block of features from each task, summed in Spark:
+        # what reaches the driver is one gradient, the size of the model
+        parts = train.mapInArrow(_gradient_task(weights), "c int, at int, g binary")
+        g, total = np.zeros((n_classes, dim + 1)), 1.0
+        for r in parts.groupBy("c", "at").applyInArrow(_sum_blocks, "c int, at int, g binary").collect():
+            block = np.frombuffer(r["g"], np.float64)
+            if r["c"] < 0:
+                total = max(float(block[0]), 1e-300)
+            else:
+                g[r["c"], r["at"]:r["at"] + len(block)] = block
+        return g / total
+
+    def epoch_row(e: int, weights):
+        rows = evalrows.mapInArrow(_metric_task(weights, e), "epoch int, split string, batch_id long, loss double, w double, correct boolean")
         return M.epoch_metrics(rows).collect()
 
     # The metrics of epoch e - 1 and the gradient of epoch e read the same
     # weights and are independent: the two jobs run side by side.
     with ThreadPoolExecutor(max_workers=2) as pool:
         for e in range(1, epochs + 1):
-            W, b = Wb[:, :dim].tolist(), Wb[:, dim].tolist()
-            pending = pool.submit(epoch_row, e - 1, W, b) if e > 1 else None
-            Wb = opt.step(Wb, gradient(W, b))
+            pending = pool.submit(epoch_row, e - 1, Wb) if e > 1 else None
+            Wb = opt.step(Wb, gradient(Wb))
             if pending is not None:
                 history.extend(pending.result())
             models.extend((e, c, Wb[c, :dim].tolist(), float(Wb[c, dim])) for c in range(n_classes))
-        history.extend(epoch_row(epochs, Wb[:, :dim].tolist(), Wb[:, dim].tolist()))
+        history.extend(epoch_row(epochs, Wb))
     hist = spark.createDataFrame(history, "epoch int, train_loss double, train_acc double, "
                                           "valid_loss double, valid_acc double")
-    mods = spark.createDataFrame(models, "epoch int, class_idx int, w array<double>, b double")
+    mods = spark.createDataFrame(pa.table({
+        "epoch": pa.array([m[0] for m in models], pa.int32()), "class_idx": pa.array([m[1] for m in models], pa.int32()),
+        "w": pa.array([m[2] for m in models], pa.list_(pa.float64())), "b": pa.array([m[3] for m in models], pa.float64())}))
     return hist, mods
 
 
 def score_with(df: DataFrame, models: DataFrame, epoch: int, x: str = "x") -> DataFrame:
     """Adds ``z``, ``p``, ``pred_idx``, ``p_max`` with the weights of ``epoch``."""
-    chosen = (models.filter(F.col("epoch") == epoch)
-              .agg(F.array_sort(F.collect_list(F.struct("class_idx", "w", "b"))).alias("_s"))
-              .select(F.lit(0).alias("_k"), F.transform("_s", lambda s: s["w"]).alias("_W"),
-                      F.transform("_s", lambda s: s["b"]).alias("_B")))
-    z = F.zip_with(dot_rows("_W", x), F.col("_B"), lambda a, c: a + c)
-    out = (df.withColumn("_k", F.lit(0)).join(F.broadcast(chosen), "_k")
-             .withColumn("z", z).drop("_k", "_W", "_B").withColumn("p", softmax("z")))
+    spark = df.sparkSession
+    ship_package(spark)
+    rows = models.filter(F.col("epoch") == epoch).orderBy("class_idx").collect()  # one row per class
+    shared = spark.sparkContext.broadcast(np.array([[*r["w"], r["b"]] for r in rows]))
+    sparse = isinstance(df.schema[x].dataType, StructType)
+
+    def logits(batch):
+        weights = shared.value
+        z = _logits(*_sparse(batch, weights.shape[1] - 1), len(batch), weights)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, z.size + 1, len(weights)), pa.int32()), pa.array(z.ravel()))
+
+    if sparse:
+        @F.arrow_udf("array<double>")
+        def run(idx: pa.Array, val: pa.Array) -> pa.Array:
+            return logits(pa.RecordBatch.from_arrays([idx, val], ["idx", "val"]))
+        z = run(F.col(f"{x}.idx"), F.col(f"{x}.val").cast("array<double>"))
+    else:
+        @F.arrow_udf("array<double>")
+        def run(dense: pa.Array) -> pa.Array:
+            return logits(pa.RecordBatch.from_arrays([dense], ["x"]))
+        z = run(F.col(x).cast("array<double>"))
+    out = df.withColumn("z", z).withColumn("p", softmax("z"))
     return out.withColumn("pred_idx", argmax("p")).withColumn("p_max", F.array_max("p"))

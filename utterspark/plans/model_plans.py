@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from utterspark.functions.text import tokenize_ws
@@ -20,7 +22,7 @@ from utterspark.plans.feature_plans import VECTOR_DIM, hashed_vectors
 from utterspark.plans.registry import register
 from utterspark.plans.split_plans import corpus_split, positive_corpus_split, train_labels
 from utterspark.plans.sql_fixtures import SPLIT
-from utterspark.session import materialize, scratch_path
+from utterspark.session import materialize, scratch_path, ship_package
 from utterspark.sources import store
 from utterspark.sources.tables import evaluated, history_rows, scored, scored_labels, table
 
@@ -199,25 +201,29 @@ def embedding_flow(spark, sf_dir):
 
 
 # Fixed value: width of the hashed bag-of-words features of the epoch-trained head.
-HASHED_DIM = 64
+HASHED_DIM = T.HASH_FEATURES
 
 
 def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
-    """Hashed bag-of-words share per text: ``x[i]`` = share of the text's tokens
-    whose ``xxhash64`` bucket is ``i`` (zeros for a text without tokens).
-
-    The bucket is a function of the token, so no vocabulary table is joined:
-    one aggregation per text of ``dim`` conditional counts, combined map-side
-    (a text holding a third of all tokens costs one partial row per task).
-    ``explode_outer`` keeps token-less texts in the same aggregation.
+    """Hashed bag-of-words of unit length per text: a struct ``x`` of ``idx`` (the
+    ``xxhash64`` buckets of its tokens, ascending) and ``val``; both empty for a
+    text without tokens. A projection: no vocabulary, no shuffle.
     """
-    occ = texts.select(id_col, F.explode_outer(tokenize_ws("text")).alias("token"))
-    bucket = F.pmod(F.xxhash64("token"), F.lit(dim))
-    occ = occ.select(id_col, F.when(F.col("token").isNotNull(), bucket).alias("_b"))
-    g = occ.groupBy(id_col).agg(*[F.count(F.when(F.col("_b") == i, 1)).alias(f"_c{i}") for i in range(dim)],
-                                F.count("_b").alias("_n"))
-    share = [F.when(F.col("_n") > 0, F.col(f"_c{i}") / F.col("_n")).otherwise(F.lit(0.0)) for i in range(dim)]
-    return g.select(id_col, F.array(*share).alias("vector"))
+    ship_package(texts.sparkSession)
+
+    @F.arrow_udf("struct<idx:array<int>,val:array<double>>")
+    def count(buckets: pa.Array) -> pa.Array:
+        off = buckets.offsets.to_numpy()
+        flat = buckets.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        key, n = np.unique(np.repeat(np.arange(len(buckets)), np.diff(off)) * dim + flat, return_counts=True)
+        row = key // dim
+        norm = np.sqrt(np.bincount(row, n * n, len(buckets)))
+        ends = pa.array(np.searchsorted(row, np.arange(len(buckets) + 1)), pa.int32())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(key % dim, pa.int32())),
+                                           pa.ListArray.from_arrays(ends, pa.array(n / norm[row], pa.float64()))], ["idx", "val"])
+
+    tokens = F.coalesce(tokenize_ws("text"), F.array().cast("array<string>"))
+    return texts.select(id_col, count(F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)).cast("int"))).alias("x"))
 
 
 def _softmax_run(spark, sf_dir):
@@ -233,7 +239,7 @@ def _softmax_run(spark, sf_dir):
     keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))
     feats = hashed_bow(keyed.select("uid", "text"), "uid")
     data = materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
-                       .join(feats.withColumnRenamed("vector", "x"), "uid"))
+                       .join(feats, "uid"))
     hist, models = EP.fit_softmax_epochs(data, labels.count(), HASHED_DIM)
     hist = materialize(hist)
     best = M.best_epoch(hist).first()["best_epoch"]

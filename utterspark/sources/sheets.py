@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from utterspark.sources.xlsx import MAX_SHEET_ROWS, sheet_bytes, unescape_ooxml
 
 SHEET_GLOB = "*_validated_*.xlsx"
+MAX_SHEET_BYTES = 64 << 20
 
 # The strings pandas' default reader turns into missing values
 # before any cleaning (its default na_values list).
@@ -106,7 +107,16 @@ def parse_first_column(content: bytes) -> list[tuple[int, object]]:
     if not cells:
         return []
     header_row = min(r for r, _, _ in cells)
-    return sorted((r, v) for r, ci, v in cells if ci == 0 and r > header_row)
+    # a first-column text that goes on in columns named <header>+1, <header>+2, ... is joined again
+    head = {ci: v for r, ci, v in cells if r == header_row}
+    last = 0
+    while isinstance(head.get(0), str) and head.get(last + 1) == f"{head[0]}+{last + 1}":
+        last += 1
+    rows: dict[int, object] = {}
+    for r, ci, v in sorted(cells, key=lambda x: x[:2]):
+        if r > header_row and ci <= last:
+            rows[r] = rows[r] + v if ci and isinstance(rows.get(r), str) and isinstance(v, str) else rows.get(r, v)
+    return sorted(rows.items())
 
 
 def read_sheets(files: DataFrame, na_strings=NA_STRINGS, non_string: str = "fail") -> DataFrame:
@@ -165,24 +175,31 @@ def _part_name(name_col: str, part_col: str):
 
 def write_sheets(rows: DataFrame, directory: str, name_col: str = "file_name", cell_col: str = "cell",
                  order_col: str = "row_pos", header: str = "text",
-                 max_rows_per_sheet: int = MAX_SHEET_ROWS - 1) -> DataFrame:
+                 max_rows_per_sheet: int = MAX_SHEET_ROWS - 1,
+                 max_bytes_per_sheet: int = MAX_SHEET_BYTES) -> DataFrame:
     """Write one .xlsx per ``name_col`` value into ``directory`` (any filesystem
     pyarrow reaches: local, HDFS, object stores); cells in ``order_col`` order.
 
     A worksheet holds at most ``max_rows_per_sheet`` data rows (the format's
-    limit minus the header). A larger group is cut, in order, into numbered
-    parts ``<name>_<k>.xlsx`` using the exact distributed rank, so no task ever
-    holds more than one bounded sheet and no row is dropped.
+    limit minus the header) and ``max_bytes_per_sheet`` of text. A larger group
+    is cut, in order, into numbered parts ``<name>_<k>.xlsx`` by distributed
+    running sums of rows and bytes, so no task ever holds more than one bounded
+    sheet (or one longer row) and no row is dropped.
     Returns ``(file_name, n_rows, n_bytes)`` per written file.
     """
     rows = rows.select(name_col, cell_col, order_col)
-    biggest = rows.groupBy(name_col).count().agg(F.max("count")).first()[0] or 0
-    if biggest > max_rows_per_sheet:
-        from utterspark.operators.ranking import global_rank
-
-        ranked = global_rank(rows, [order_col, cell_col], [name_col], rank_col="_r", size_col=None)
-        part = F.floor((F.col("_r") - 1) / F.lit(max_rows_per_sheet)).cast("long")
-        rows = (ranked.withColumn("_part", part)
+    size = F.coalesce(F.octet_length(cell_col), F.lit(0)).cast("long")
+    per = rows.groupBy(name_col).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b"))
+    biggest = per.agg(F.max("n").alias("n"), F.max("b").alias("b")).first()
+    if (biggest["n"] or 0) > max_rows_per_sheet or (biggest["b"] or 0) > max_bytes_per_sheet:
+        from utterspark.operators.ranking import running_totals
+
+        summed = running_totals(rows.select("*", F.lit(1).cast("long").alias("_one"), size.alias("_b")), [order_col, cell_col],
+                                ["_one", "_b"], [name_col], total_prefix=None)
+        # both terms only grow and each grows by at most 1 within a part
+        part = F.floor((F.col("cum__one") - 1) / F.lit(float(max_rows_per_sheet))
+                       + (F.col("cum__b") - F.col("_b")) / F.lit(float(max_bytes_per_sheet))).cast("long")
+        rows = (summed.withColumn("_part", part)
                       .select(_part_name(name_col, "_part").alias(name_col), cell_col, order_col))
     base = directory.rstrip("/")
 

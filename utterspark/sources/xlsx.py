@@ -12,8 +12,11 @@ import re
 import zipfile
 from xml.sax.saxutils import escape
 
-# Fixed value: the most rows one worksheet can hold in the format.
+# The most rows one worksheet and the most characters (UTF-16
+# units) one cell can hold in the format; a part of this many code points fits a cell.
 MAX_SHEET_ROWS = 1_048_576
+MAX_CELL_UNITS = 32_767
+PART_CHARS = MAX_CELL_UNITS // 2
 
 _ESCAPED = re.compile(r"_x([0-9A-Fa-f]{4})_")
 
@@ -64,13 +67,39 @@ def _cell(ref: str, v) -> str:
     return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(escape_ooxml(v))}</t></is></c>'
 
 
+def column_name(i: int) -> str:
+    """0 -> A, 25 -> Z, 26 -> AA."""
+    name = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        name = chr(65 + r) + name
+    return name
+
+
+def _pieces(v) -> list:
+    """A text too long for a cell as consecutive pieces that fit; anything else as it is."""
+    if isinstance(v, str) and 2 * len(v) > MAX_CELL_UNITS and len(v.encode("utf-16-le")) // 2 > MAX_CELL_UNITS:
+        return [v[i:i + PART_CHARS] for i in range(0, len(v), PART_CHARS)]
+    return [v]
+
+
 def sheet_bytes(header: str, cells) -> bytes:
-    """A workbook whose first column is ``header`` then ``cells`` (None = empty)."""
-    parts = [f'<row r="1">{_cell("A1", header)}</row>']
+    """A workbook whose first column is ``header`` then ``cells`` (None = empty).
+
+    A text longer than a cell may be is never cut: it goes on in the columns
+    ``<header>+1``, ``<header>+2``, ... of its row, which the reader joins again.
+    """
+    parts, widest = [], 1
     for i, v in enumerate(cells, start=2):
         if i > MAX_SHEET_ROWS:
             raise ValueError(f"a worksheet holds at most {MAX_SHEET_ROWS} rows")
-        parts.append(f'<row r="{i}">{_cell(f"A{i}", v)}</row>')
+        pieces = _pieces(v)
+        widest = max(widest, len(pieces))
+        row = "".join(_cell(f"{column_name(k)}{i}", x) for k, x in enumerate(pieces))
+        parts.append(f'<row r="{i}">{row}</row>')
+    names = [header, *[f"{header}+{k}" for k in range(1, widest)]]
+    parts.insert(0, '<row r="1">' + "".join(_cell(f"{column_name(k)}1", x) for k, x in enumerate(names)) + "</row>")
     sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
              '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
              f'<sheetData>{"".join(parts)}</sheetData></worksheet>')
