@@ -1,9 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are lower-cased words and the first 4 and 5 bytes of longer words, as hashes (the prefixes catch
-inflected and compounded forms). The vectoriser keeps the ``MAX_TERMS`` terms that tell the classes
-apart best among the examples (G-squared of at least ``MIN_G2``); their document frequencies are
-counted over all documents. Examples are a hash sample of at most ``MAX_EXAMPLES`` labelled rows per
+inflected and compounded forms). The vectoriser keeps the ``MAX_TERMS`` terms that speak for toxicity
+best among the examples: G-squared of at least ``MIN_G2`` and ``MIN_LIFT`` times as frequent among the
+toxic ones (clean is what has none of them, or shares them with clean examples). Their document
+frequencies are counted over all documents. Examples are a hash sample of at most ``MAX_EXAMPLES`` labelled rows per
 class, one per distinct text; they are the classifier, everything else covers all rows.
 
 Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut by range and each cut
@@ -33,9 +34,9 @@ from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices
 
 MAX_EXAMPLES = 5_000
 MAX_TERMS = 4_096
-MIN_DOCS, MIN_G2 = 3, 12.0
+MIN_DOCS, MIN_G2, MIN_LIFT = 3, 12.0, 4.0
 PREFIXES = (4, 5)
-K, RANGE, NOTHING = 10, 64, 0.05
+K, RANGE, NOTHING = 10, 64, 1.0
 EVIDENCE = 3
 
 _SEPARATOR = np.ones(256, bool)
@@ -237,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = both / F.lit(n1 + n0)
     g2 = 2 * (cell(F.col("pos"), share * n1) + cell(F.col("neg"), share * n0)
               + cell(n1 - F.col("pos"), (1 - share) * n1) + cell(n0 - F.col("neg"), (1 - share) * n0))
-    top = stats.where(both >= MIN_DOCS).withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(max_terms).select("term").toPandas()
+    toxic = F.col("pos") / n1 >= F.lit(MIN_LIFT) * F.col("neg") / n0
+    top = stats.where((both >= MIN_DOCS) & toxic).withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(max_terms).select("term").toPandas()
     if not len(top):
         return Model(None, None, base)
     vocabulary = Vocabulary(top["term"].to_numpy(np.int64).view(np.uint64))
