@@ -220,8 +220,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     base = n.get(1, 0) / total if total else 0.0
     if not n.get(0) or not n.get(1):
         return Model(None, None, base)
-    by_hash = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = lab.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= max_examples).drop("r")
+    # a share of the hash range that holds about twice the bound goes to the window, which cuts exactly
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    share = F.when(F.col("toxic") == 1, min(1.0, 2.0 * max_examples / n[1])).otherwise(min(1.0, 2.0 * max_examples / n[0]))
+    by_hash = Window.partitionBy("toxic").orderBy("place", "doc_id")
+    sample = (lab.withColumn("place", place).where(F.col("place") < share * float(1 << 30))
+              .withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= max_examples).drop("r", "place"))
     # at most 2 x max_examples rows of two numbers: a proven bound
     ex = (d.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
           .where("text is not null").checkpoint(eager=True))
