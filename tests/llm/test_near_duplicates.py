@@ -2,13 +2,11 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.helpers import awkward_docs, docs_frame, empty, prose
 from utterspark.llm import ngram_join as N
-from utterspark.llm.common import FOLD_AZ, SpanHasher
 from utterspark.llm.components import connected_components
 
 
@@ -67,25 +65,38 @@ def test_empty_table(spark):
     assert found(N.jaccard_components(empty(docs_frame(spark)))) == []
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 40), min_size=1, max_size=60), st.integers(0, 8), st.integers(0, 10**6))
-def test_linked_sets_share_a_candidate_key(base, changes, seed):
-    """Sets of any size that link agree on a key; the parts' pigeonhole argument, tried at random."""
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=80), st.integers(0, 8), st.integers(0, 10**6))
+def test_linked_sets_share_a_prefix_key(base, changes, seed):
+    """Linked sets of any size share a key whatever the frequencies of their shingles are."""
     r = random.Random(seed)
     a = [f"w{x}" for x in base]
     b = list(a)
     for _ in range(changes):
         at = r.randrange(len(b) + 1)
         b[at:at + r.randrange(2)] = [f"y{r.randrange(50)}"] * r.randrange(2)
-    texts = [" ".join(a), " ".join(b)]
-    h, size = N.shingle_sets(pa.array(texts), 1, SpanHasher(FOLD_AZ))
-    x, y = (shingles(t, 1) for t in texts)
-    assert size.tolist() == [len(x), len(y)]
-    keys, rows = N.part_keys(h, size, N.Bands(85, 100))
-    if x and y and 100 * len(x & y) >= 85 * len(x | y):
+    x, y = (shingles(" ".join(t), 1) for t in (a, b))
+    for num, den in ((85, 100), (80, 100)):
+        if not (x and y and den * len(x & y) >= num * len(x | y)):
+            continue
+        code = {s: (i, r.randrange(4)) for i, s in enumerate(sorted(x | y))}
+        shared = [(k, *code[s]) for k, t in enumerate((x, y)) for s in t if s in x and s in y]
+        row, short, rank = (np.array(c) for c in zip(*shared))
+        size = np.array([len(x), len(y)])
+        keys, rows = N.prefix_keys(row, short.astype(np.uint64), rank.astype(np.uint8), size, size - np.bincount(row, minlength=2), num, den)
         assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
 
 
+def test_chunks_do_not_change_the_result(spark, monkeypatch):
+    """Many small chunks, and steps between hashes too wide for 32 bits, give the same components."""
+    rows = [(i, edited(prose(i % 7, 40 + i % 7), i % 3, i), "en", "s") for i in range(120)]
+    want = brute(rows)
+    assert found(N.jaccard_components(docs_frame(spark, rows))) == want
+    monkeypatch.setattr(N, "CHUNK_ROWS", 5)
+    monkeypatch.setattr(N, "row_slices", lambda arr: ((i, i + 1) for i in range(len(arr))))
+    assert found(N.jaccard_components(docs_frame(spark, rows), buckets=3)) == want
+
+
 def test_tile_links_are_a_spanning_forest():
     sets = [np.sort(np.unique(np.random.default_rng(i % 3).integers(0, 2**63, 50, dtype=np.uint64))) for i in range(12)]
     e = N.link_tile(np.arange(12), sets, np.full(12, -1), 85, 100)

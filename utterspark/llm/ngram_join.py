@@ -4,14 +4,14 @@ A document's set holds the hashes of its distinct k-word shingles; two documents
 ``den * |A & B| >= num * |A | B|``. Sizes fall into bands such that a set's partners are in its own
 band or a neighbouring one.
 
-1. Candidate keys. Linked sets differ in at most ``D = (den - num) * a / num`` shingles, a being the
-   smaller size. Cut by hash range into more than D parts, they agree on some whole part, so equal
-   (band, part number, digest of the part) keys lose no link. Parts may be empty: a band has a few
-   parts more than D + 1, and a set with more empty parts than that emits its empty parts too; of two
-   linked sets, either agrees on a non-empty part or both emit empty ones. A whole part rarely agrees
-   between texts that only share a passage, so frequent shingles make no candidates.
-   A task keeps one row per key (the others become edges to it at once) and sends its keys as one
-   packed block per bucket, so a key that a third of all rows share costs a row per task.
+1. Candidate keys. Shingles are ordered by document frequency, then by hash. Linked sets share a
+   shingle within their prefixes, the first ``n - ceil(num * n / den) + 1`` shingles of a set of n.
+   Shingles of one set only come first and can't match, so a text with enough shingles of its own
+   has no key at all, and passages that many documents share come last: they make no candidates.
+   Frequencies are counted in Spark: a task packs its (hash, row) pairs into one sorted block per
+   bucket (equal sets of a chunk once); buckets return the pairs seen twice or more to the chunk of
+   their rows, which picks the prefixes. A chunk keeps one row per key (others become edges to it at
+   once), so a key that a third of all rows share costs a row per chunk.
 2. Candidate edges form stars per key; their components are groups beyond which no link exists.
    Groups whose sets are all equal need no work.
 3. Tiles. A group of up to ``TILE_SHINGLES`` shingles is one tile; a larger one is cut by size band
@@ -41,7 +41,8 @@ from utterspark.session import shuffle_partitions
 
 WORDS, NUM, DEN = 4, 85, 100
 TILE_SHINGLES = 1 << 20
-CHUNK_KEYS = 1 << 21
+CHUNK_ROWS, CHUNK_SHINGLES = 1 << 16, 1 << 20
+BUCKETS_PER_PARTITION = 4  # keeps what a task holds of the pairs at some ten megabytes
 _STEP = [np.uint64(x) for x in np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)]
 _SALT = np.uint64(0xD6E8FEB86659FD93)
 
@@ -89,7 +90,7 @@ def set_ids(h: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class Bands:
-    """Size bands for a threshold num / den and the parts that each needs."""
+    """Size bands for a threshold num / den: partners are in the same or a neighbouring band."""
 
     def __init__(self, num: int, den: int):
         lo, self.lo, hi = 1, [], []
@@ -98,56 +99,30 @@ class Bands:
             hi.append(lo * den // num)
             lo = hi[-1] + 1
         self.lo, self.hi = np.array(self.lo, np.int64), np.array(hi, np.int64)
-        self.most = (den - num) * self.hi // num  # shingles in which linked sets may differ
-        self.slack = np.where(self.most > 0, np.maximum(1, -(-self.most // 16)), 0)
-        self.parts = np.where(self.most > 0, self.most + 1 + self.slack, 0)
         self.reach = self.hi * den // num
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.lo, size, "right") - 1
 
 
-def part_keys(h: np.ndarray, size: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of the candidate keys of all sets."""
-    n = len(size)
-    stop = np.cumsum(size)
-    mixed = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(mix64(h ^ _SALT), out=mixed[1:])
-    top = h >> np.uint64(32)
-    hrow = np.repeat(np.arange(n), size)
-    band = bands.of(np.maximum(size, 1))
-    keys, rows = [], []
-    some = size > 0
-    keys.append(mix64(set_ids(h, size)[some] ^ np.uint64(0x55AA)))
-    rows.append(np.flatnonzero(some))
-    for back in (0, 1):
-        tag = band - back
-        use = some & (tag >= 0)
-        tag = np.maximum(tag, 0)
-        use &= (bands.parts[tag] > 0) & ((back == 0) | (size <= bands.reach[tag]))
-        parts = np.where(use, bands.parts[tag], 0)
-        inside = use[hrow]
-        at = np.flatnonzero(inside)
-        if len(at) == 0:
-            continue
-        r = hrow[at]
-        p = ((top[at] * parts[r].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        new = np.ones(len(at), bool)
-        new[1:] = (p[1:] != p[:-1]) | (r[1:] != r[:-1])
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(at))
-        digest = mixed[at[end - 1] + 1] - mixed[at[begin]]
-        label = (tag[r[begin]].astype(np.uint64) << np.uint64(44)) + p[begin].astype(np.uint64)
-        keys.append(mix64(digest + mix64(label)))
-        rows.append(r[begin])
-        filled = np.bincount(r[begin], minlength=n)
-        for i in np.flatnonzero(use & (parts - filled > bands.slack[tag])):
-            have = np.zeros(parts[i], bool)
-            have[p[begin[r[begin] == i]]] = True
-            empty = np.flatnonzero(~have).astype(np.uint64)
-            keys.append(mix64(mix64((np.uint64(tag[i]) << np.uint64(44)) + empty) ^ np.uint64(0xE17)))
-            rows.append(np.full(len(empty), i))
-    return np.concatenate(keys), np.concatenate(rows)
+def prefix_lengths(size: np.ndarray, num: int, den: int) -> np.ndarray:
+    return size - -(-num * size // den) + 1
+
+
+def prefix_keys(row: np.ndarray, short: np.ndarray, rank: np.ndarray, size: np.ndarray, own: np.ndarray,
+                num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of the prefix shingles that other sets have too. ``row, short, rank`` are those
+    shingles with their frequency rank, ``own`` the number of shingles that only the row's set has."""
+    bands = Bands(num, den)
+    order = np.lexsort((short, rank, row))
+    row, short = row[order], short[order]
+    at = np.arange(len(row)) - np.searchsorted(row, row)
+    keep = at < (prefix_lengths(size, num, den) - own)[row]
+    row, short = row[keep], short[keep]
+    band = bands.of(np.maximum(size, 1))[row]
+    lower = (band > 0) & (size[row] <= bands.reach[np.maximum(band - 1, 0)])
+    tag = np.concatenate([band, band[lower] - 1]).astype(np.uint64)
+    return mix64(np.concatenate([short, short[lower]]) + mix64(tag + _SALT)), np.concatenate([row, row[lower]])
 
 
 def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,47 +137,156 @@ def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return k[first], i[first], edges
 
 
-def _key_task(words: int, num: int, den: int, buckets: int):
+def _pack(count: int, *arrays: np.ndarray) -> bytes:
+    return np.array([count], np.int64).tobytes() + b"".join(x.tobytes() for x in arrays)
+
+
+def _unpack(block: pa.Scalar, *kinds: type) -> list[np.ndarray]:
+    raw = block.as_buffer()
+    n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in kinds:
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+def _blocks(cols: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    to, kind, chunk, block = list(zip(*cols)) or [[], [], [], []]
+    return pa.RecordBatch.from_pydict({"to": pa.array(to, pa.int64()), "kind": pa.array(kind, pa.int8()),
+                                       "chunk": pa.array(chunk, pa.int64()), "block": pa.array(block, pa.binary())})
+
+
+_BLOCKS = "to long, kind byte, chunk long, block binary"
+_PAIRS, _INFO, _KEYS, _EDGES = range(4)
+
+
+def _shingle_task(words: int, buckets: int):
+    """Chunks of a task's rows: (short hash, row) pairs by bucket, and the rows themselves."""
     def run(batches):
-        hasher, bands = SpanHasher(FOLD_AZ), Bands(num, den)
-        keys: list[np.ndarray] = []
-        ids: list[np.ndarray] = []
-        info: list[np.ndarray] = []
-        held = 0
+        from pyspark import TaskContext
 
-        def blocks():
-            k, i, edges = stars(np.concatenate(keys), np.concatenate(ids)) if keys else stars(np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            to = (k % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            cut = np.searchsorted(to[order], np.arange(buckets + 1))
-            out = [(b, 0, np.concatenate([k[x].view(np.int64), i[x]]).tobytes())
-                   for b in np.unique(to).tolist() for x in [order[cut[b]:cut[b + 1]]]]
-            if len(edges):
-                out.append((int(edges[0, 0]) % buckets, 1, edges.tobytes()))
-            if info:
-                x = np.concatenate(info)
-                out.append((int(x[0, 1]) % buckets, 2, x.tobytes()))
-            cols = list(zip(*out)) or [[], [], []]
-            return pa.RecordBatch.from_pydict({"bucket": pa.array(cols[0], pa.int32()), "kind": pa.array(cols[1], pa.int8()), "block": pa.array(cols[2], pa.binary())})
+        hasher = SpanHasher(FOLD_AZ)
+        chunk = TaskContext.get().partitionId() << 32
+        hs: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+        gone: list[np.ndarray] = []
+        held = rows = 0
+
+        def flush():
+            h, size, doc, null = (np.concatenate(x) for x in (hs, sizes, ids, gone))
+            for x in (hs, sizes, ids, gone):
+                x.clear()
+            digest = set_ids(h, size)
+            _, first = np.unique(digest, return_index=True)
+            sends = np.zeros(len(size), bool)  # equal sets of a chunk send their shingles once
+            sends[first] = True
+            sends &= ~null
+            row = np.repeat(np.arange(len(size)), size)
+            mine = sends[row]
+            short, row = h[mine] >> np.uint64(16), row[mine].astype(np.uint16)
+            to = short % np.uint64(buckets)
+            order = np.argsort(to * np.uint64((1 << 48) // buckets + 1) + short // np.uint64(buckets))
+            short, row, to = short[order], row[order], to[order].astype(np.int64)
+            cut = np.searchsorted(to, np.arange(buckets + 1))
+            out = []
+            for b in np.flatnonzero(np.diff(cut)).tolist():
+                q = short[cut[b]:cut[b + 1]] // np.uint64(buckets)
+                step = np.diff(q, prepend=np.uint64(0))
+                wide = step.max() >> np.uint64(32) > 0  # sorted values as 32-bit steps, if they fit
+                out.append((b, _PAIRS, -1 - chunk if wide else chunk, _pack(len(q), step if wide else step.astype(np.uint32), row[cut[b]:cut[b + 1]])))
+            out.append((chunk % buckets, _INFO, chunk, _pack(len(size), doc, size.astype(np.int64), digest.view(np.int64), null.astype(np.int8), sends.astype(np.int8))))
+            return _blocks(out)
 
         for b in batches:
             doc = b.column("doc_id")
             null = doc.is_null().to_numpy(zero_copy_only=False)
             doc = doc.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for lo, hi in row_slices(b.column("text")):
+                if rows + hi - lo > CHUNK_ROWS or held >= CHUNK_SHINGLES:
+                    yield flush()
+                    chunk, held, rows = chunk + 1, 0, 0
                 h, size = shingle_sets(b.column("text").slice(lo, hi - lo), words, hasher)
-                d, gone = doc[lo:hi], null[lo:hi]
-                info.append(np.stack([d, size, set_ids(h, size).view(np.int64), gone.astype(np.int64)], axis=1))
-                k, r = part_keys(h, size, bands)
-                ok = ~gone[r]
-                keys.append(k[ok])
-                ids.append(d[r[ok]])
-                held += len(k)
-                if held >= CHUNK_KEYS:
-                    yield blocks()
-                    keys, ids, info, held = [], [], [], 0
-        if info:
-            yield blocks()
+                for x, y in zip((hs, sizes, ids, gone), (h, size, doc[lo:hi], null[lo:hi])):
+                    x.append(y)
+                held, rows = held + len(h), rows + hi - lo
+        if rows:
+            yield flush()
+    return run
+
+
+def _frequency_task(buckets: int):
+    """A bucket's pairs whose shingle two or more sets have, returned to their chunks with the rank of
+    the frequency (an eighth of its logarithm); rows of documents pass through."""
+    def run(batches):
+        short, row, owner, chunks = [], [], [], []
+        for b in batches:
+            for to, kind, chunk, block in zip(b.column("to").to_pylist(), b.column("kind").to_pylist(), b.column("chunk").to_pylist(), b.column("block")):
+                if kind == _INFO:
+                    yield _blocks([(chunk, _INFO, chunk, block.as_py())])
+                    continue
+                step, r = _unpack(block, np.uint64 if chunk < 0 else np.uint32, np.uint16)
+                short.append(np.cumsum(step, dtype=np.uint64) * np.uint64(buckets) + np.uint64(to))
+                row.append(r.copy())  # not a view that would keep the whole batch
+                owner.append(np.full(len(r), len(chunks), np.int32))
+                chunks.append(-1 - chunk if chunk < 0 else chunk)
+        if not short:
+            return
+        h, r, o = (np.concatenate(x) for x in (short, row, owner))
+        for x in (short, row, owner):
+            x.clear()
+        order = np.argsort(h)
+        h, r, o = h[order], r[order], o[order]
+        del order
+        first = np.ones(len(h), bool)
+        first[1:] = h[1:] != h[:-1]
+        begin = np.flatnonzero(first)
+        count = np.diff(np.append(begin, len(h)))
+        rank = np.repeat(np.minimum(255, 8 * np.log2(count)).astype(np.uint8), count)
+        keep = np.repeat(count > 1, count)
+        h, r, o, rank = h[keep], r[keep], o[keep], rank[keep]
+        order = np.argsort(o, kind="stable")
+        cut = np.searchsorted(o[order], np.arange(len(chunks) + 1))
+        for i, chunk in enumerate(chunks):
+            x = order[cut[i]:cut[i + 1]]
+            if len(x):
+                yield _blocks([(chunk, _PAIRS, chunk, _pack(len(x), h[x].astype(np.uint32), (h[x] >> np.uint64(32)).astype(np.uint16), r[x], rank[x]))])
+    return run
+
+
+def _prefix_task(num: int, den: int, buckets: int):
+    """Candidate keys of the chunks of a task, one row per key of a chunk, and edges between rows
+    of a chunk that share one."""
+    def run(batches):
+        info: dict[int, pa.Scalar] = {}
+        pairs: dict[int, list] = {}
+        for b in batches:
+            for kind, chunk, block in zip(b.column("kind").to_pylist(), b.column("chunk").to_pylist(), b.column("block")):
+                if kind == _INFO:
+                    info[chunk] = block
+                else:
+                    pairs.setdefault(chunk, []).append(block)
+        for chunk, block in info.items():
+            doc, size, digest, null, sends = _unpack(block, np.int64, np.int64, np.int64, np.int8, np.int8)
+            found = pairs.pop(chunk, None)
+            some = np.flatnonzero((size > 0) & (null == 0))
+            keys, rows = [mix64(digest.view(np.uint64)[some] ^ np.uint64(0x55AA))], [some]
+            if found:
+                lo, hi, row, rank = (np.concatenate(x) for x in zip(*(_unpack(x, np.uint32, np.uint16, np.uint16, np.uint8) for x in found)))
+                short, row = lo.astype(np.uint64) + (hi.astype(np.uint64) << np.uint64(32)), row.astype(np.int64)
+                own = size - np.bincount(row, minlength=len(size))
+                k, r = prefix_keys(row, short, rank, size, own, num, den)
+                keys.append(k)
+                rows.append(r)
+            k, i, edges = stars(np.concatenate(keys), doc[np.concatenate(rows)])
+            to = (k % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            cut = np.searchsorted(to[order], np.arange(buckets + 1))
+            out = [(b, _KEYS, chunk, _pack(len(x), k[x], i[x])) for b in np.flatnonzero(np.diff(cut)).tolist() for x in [order[cut[b]:cut[b + 1]]]]
+            if len(edges):
+                out.append((chunk % buckets, _EDGES, chunk, _pack(len(edges), edges[:, 0], edges[:, 1])))
+            out.append((chunk % buckets, _INFO, chunk, _pack(len(doc), doc, size, digest, null)))
+            yield _blocks(out)
     return run
 
 
@@ -211,23 +295,21 @@ def _star_task(batches):
     keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
 
     def rows(a, b=None, size=None, digest=None):
-        n = len(a)
-        none = pa.nulls(n, pa.int64())
+        none = pa.nulls(len(a), pa.int64())
         return pa.RecordBatch.from_pydict({"a": a if isinstance(a, pa.Array) else pa.array(a), "b": none if b is None else pa.array(b),
                                            "size": none if size is None else pa.array(size), "digest": none if digest is None else pa.array(digest)})
 
     for batch in batches:
         for kind, block in zip(batch.column("kind").to_pylist(), batch.column("block")):
-            raw = np.frombuffer(block.as_buffer(), np.int64)
-            if kind == 0:
-                keys.append(raw[:len(raw) // 2].view(np.uint64))
-                ids.append(raw[len(raw) // 2:])
-            elif kind == 1:
-                e = raw.reshape(-1, 2)
-                yield rows(e[:, 0], e[:, 1])
+            if kind == _KEYS:
+                k, i = _unpack(block, np.uint64, np.int64)
+                keys.append(k)
+                ids.append(i)
+            elif kind == _EDGES:
+                yield rows(*_unpack(block, np.int64, np.int64))
             else:
-                x = raw.reshape(-1, 4)
-                yield rows(pa.array(x[:, 0], mask=x[:, 3] == 1), None, x[:, 1], x[:, 2])
+                doc, size, digest, null = _unpack(block, np.int64, np.int64, np.int64, np.int8)
+                yield rows(pa.array(doc, mask=null == 1), None, size, digest)
     _, _, edges = stars(np.concatenate(keys), np.concatenate(ids))
     if len(edges):
         yield rows(edges[:, 0], edges[:, 1])
@@ -347,10 +429,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     smallest doc_id that links reach; ``n_links`` counts the forest edges at the row's distinct set."""
     spark = docs.sparkSession
     prepare(spark)
-    n = buckets or max(shuffle_partitions(spark), 1)
+    n = buckets or max(shuffle_partitions(spark), 1) * BUCKETS_PER_PARTITION
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = d.mapInArrow(_key_task(words, num, den, n), "bucket int, kind byte, block binary")
-    raw = blocks.repartition(n, "bucket").select("kind", "block").mapInArrow(_star_task, "a long, b long, size long, digest long").checkpoint(eager=True)
+    if "Exchange" in d._jdf.queryExecution().executedPlan().toString():
+        d = d.checkpoint(eager=True)  # rows are known by their place in a task: a rerun must see them in the same order
+    blocks = d.mapInArrow(_shingle_task(words, n), _BLOCKS).repartition(n, "to").mapInArrow(_frequency_task(n), _BLOCKS)
+    keys = blocks.repartition(n, "to").mapInArrow(_prefix_task(num, den, n), _BLOCKS)
+    raw = keys.repartition(n, "to").mapInArrow(_star_task, "a long, b long, size long, digest long").checkpoint(eager=True)
     info = raw.where("b is null").select(F.col("a").alias("doc_id"), "size", "digest")
     grp = connected_components(raw.where("b is not null").select("a", "b"))
 
