@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from utterspark.session import MAX_BROADCAST_BYTES, _row_bytes, ensure_checkpoint_dir, ship_package
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
