@@ -95,6 +95,46 @@ def test_toxicity(spark, tmp_dir):
     assert all(r.predicted == (r.doc_id == 9003) for r in got if r.doc_id is not None and r.doc_id >= 9000)
 
 
+def test_toxicity_searches_all_terms_of_all_texts(spark):
+    """Neighbours and cosines are those of a brute force over every term, whether or not it speaks for
+    a class, and whether the norms come from the broadcast table or from a join."""
+    docs = [(i, prose(i, 30 + i % 20) + f" only{i}word", "en", "s") for i in range(60)]
+    docs += [(100, prose(3, 400) + " only10word", "en", "s"), (101, docs[10][1], "en", "s"), (102, None, "en", "s"), (103, "unheard", "en", "s"), docs[7]]
+    labels = [(i, int(i % 3 == 0)) for i in range(30)]
+
+    def bag(t):
+        w = re.findall(r"[a-z0-9]+", t or "")
+        return Counter(x for y in w for x in [y, *(f"{y[:k]}~" for k in (4, 5) if len(y) > k)])
+
+    bags = [(i, bag(t)) for i, t, *_ in docs]
+    df = Counter(x for _, b in bags for x in b)
+
+    def vector(b):
+        v = {x: (1 + np.log(n)) * (np.log((1 + len(docs)) / (1 + df[x])) + 1) for x, n in b.items()}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {x: y / norm for x, y in v.items()}
+
+    unit = {i: vector(b) for i, b in bags}
+    frame = docs_frame(spark, docs)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    scores = []
+    for terms in (toxicity.TABLE_TERMS, 0):
+        model = toxicity.fit(frame, lab, table_terms=terms)
+        assert (model.frequencies is None) == (terms > 0)
+        got = toxicity.predict(frame, model, out="t")
+        assert got.columns == [*frame.columns, "t"]
+        rows = got.collect()
+        assert len(rows) == len(docs)
+        for r in rows:
+            cos = sorted(((sum(w * unit[e].get(x, 0) for x, w in unit[r.doc_id].items()), -e) for e, _ in labels), reverse=True)
+            want = [c for c, _ in cos[:3] if c > 0]
+            assert np.allclose([e.cosine for e in r.t.evidence], want, rtol=0, atol=1e-9)
+            if r.doc_id < 30 or r.doc_id == 101:
+                assert r.t.evidence[0].example_id == r.doc_id % 91
+        scores.append(sorted((r.doc_id, round(r.t.score, 9)) for r in rows))
+    assert scores[0] == scores[1]
+
+
 def test_toxicity_without_both_classes(spark):
     df = docs_frame(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int")

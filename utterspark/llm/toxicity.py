@@ -1,12 +1,15 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-cased words and the first 4 and 5 bytes of longer words, as hashes (the prefixes catch
-inflected and compounded forms). The vectoriser keeps the ``MAX_TERMS`` terms that speak for toxicity
-best among the examples: G-squared of at least ``MIN_G2`` and ``MIN_LIFT`` times as frequent among the
-toxic ones (clean is what has none of them, or shares them with clean examples). Their document
-frequencies are counted over all documents. Examples are a hash sample of at most ``MAX_EXAMPLES`` labelled rows per
+Terms are lower-cased words and the first 4 and 5 bytes of longer words, as 48-bit hashes (the prefixes
+catch inflected and compounded forms). A vector has every term of the whole text: none is selected, and
+the norm is over all of them. Document frequencies are counted over all documents; a term of no or one
+document counts as in one. Examples are a hash sample of at most ``MAX_EXAMPLES`` labelled rows per
 class, one per distinct text; they are the classifier, everything else covers all rows.
 
+The terms of the examples are broadcast with the index. The frequencies of the other terms, which count
+only in norms, are broadcast up to ``TABLE_TERMS`` terms of two or more documents; beyond that a join in
+Spark gives every text its norm, with the same results.
+
 Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut by range and each cut
 keeps its largest weight. For a query, the sum of query weight x largest weight bounds every range
 from above; ranges are scored exactly from the best bound down, until no bound reaches the k-th best
@@ -14,10 +17,10 @@ cosine found. The ``K`` nearest vote with their squared cosine against a constan
 like it"; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a
 probability at the labelled base rate. The nearest examples are returned as evidence.
 
-The index (bounded by examples x terms) is built on the driver and broadcast; scoring is a projection.
+The index (bounded by the examples' terms) is built on the driver and broadcast; scoring is a projection.
 
-Defined results: a text without a selected term, a null or an empty text has no neighbours, vote 0 and
-the curve's value there; ties of cosine go to the smaller example id; a document labelled twice counts
+Defined results: a text without a term of an example, a null or an empty text has no neighbours, vote 0
+and the curve's value there; ties of cosine go to the smaller example id; a document labelled twice counts
 as toxic if any label says so; without labelled rows of both classes every score is the share of toxic
 labels (0 without any).
 """
@@ -27,14 +30,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices, utf8, word_spans
+from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices, unused, utf8, word_spans
 
 MAX_EXAMPLES = 5_000
-MAX_TERMS = 4_096
-MIN_DOCS, MIN_G2, MIN_LIFT = 3, 12.0, 4.0
+TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 64, 1.0
 EVIDENCE = 3
@@ -43,9 +45,8 @@ _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def term_rows(arr: pa.Array, hasher: SpanHasher, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(term hash, row) of every term occurrence; with ``wanted`` (a table of 2**20 flags) only of
-    hashes whose low bits are flagged."""
+def term_rows(arr: pa.Array, hasher: SpanHasher) -> tuple[np.ndarray, np.ndarray]:
+    """(term hash, row) of every term occurrence."""
     data, off = utf8(pc.utf8_lower(arr.cast(pa.large_string())))
     starts, ends, row = word_spans(data, off, _SEPARATOR)
     hasher.load(data)
@@ -54,66 +55,94 @@ def term_rows(arr: pa.Array, hasher: SpanHasher, wanted: np.ndarray | None = Non
         if k:
             long = ends - starts > k
             starts, ends, row = starts[long], ends[long], row[long]
-        h = mix64(hasher.spans(starts, starts + k if k else ends) + np.uint64(k))
-        r = row
-        if wanted is not None:
-            hit = wanted[(h & np.uint64(0xFFFFF)).astype(np.int64)]
-            h, r = h[hit], row[hit]
-        terms.append(h)
-        rows.append(r)
+        terms.append(mix64(hasher.spans(starts, starts + k if k else ends) + np.uint64(k)) >> np.uint64(16))
+        rows.append(row)
     return np.concatenate(terms), np.concatenate(rows)
 
 
-def _class_task(batches):
-    """(term, toxic examples, other examples) with the term, summed over the task."""
-    hasher, parts = SpanHasher(), []
+def term_counts(arr: pa.Array, hasher: SpanHasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, term hash, count) of a slice, by row and hash."""
+    t, r = term_rows(arr, hasher)
+    key = np.sort((r.astype(np.uint64) << np.uint64(48)) | t)  # a slice has less than 2**16 rows
+    first = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+    n = np.diff(np.append(first, len(key)))
+    key = key[first]
+    return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), n
+
+
+def _frequency_task(batches):
+    """(term, documents that have it) summed over some millions of terms at a time; term -1 has the rows."""
+    hasher, parts, held, rows = SpanHasher(), [], 0, 0
+
+    def sums():
+        u, at = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+        return u, np.bincount(at, np.concatenate([n for _, n in parts]), len(u)).astype(np.int64)
+
+    def out(u, n):
+        for lo in range(0, len(u), 1 << 18):
+            yield pa.RecordBatch.from_pydict({"term": pa.array(u[lo:lo + (1 << 18)].astype(np.int64)), "n": pa.array(n[lo:lo + (1 << 18)])})
+
     for b in batches:
-        y = b.column("toxic").to_numpy(zero_copy_only=False)
         for lo, hi in row_slices(b.column("text")):
-            t, r = term_rows(b.column("text").slice(lo, hi - lo), hasher)
-            order = np.lexsort((t, r))
-            t, r = t[order], r[order]
-            new = np.ones(len(t), bool)
-            new[1:] = (t[1:] != t[:-1]) | (r[1:] != r[:-1])
-            u, inv = np.unique(t[new], return_inverse=True)
-            pos = np.bincount(inv, y[lo:hi][r[new]], len(u)).astype(np.int64)
-            parts.append((u, pos, np.bincount(inv, minlength=len(u)) - pos))
+            _, t, _ = term_counts(b.column("text").slice(lo, hi - lo), hasher)
+            parts.append(np.unique(t, return_counts=True))
+            held, rows = held + len(parts[-1][0]), rows + hi - lo
+            if held > 1 << 21:
+                u, n = sums()
+                parts, held = [(u, n)], len(u)
+                if held > 1 << 20:
+                    yield from out(u, n)
+                    parts, held = [], 0
     if parts:
-        u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        pos, neg = (np.bincount(inv, np.concatenate([p[i] for p in parts]), len(u)).astype(np.int64) for i in (1, 2))
-        yield pa.RecordBatch.from_pydict({"term": pa.array(u.view(np.int64)), "pos": pa.array(pos), "neg": pa.array(neg)})
+        yield from out(*sums())
+    yield pa.RecordBatch.from_pydict({"term": pa.array([-1], pa.int64()), "n": pa.array([rows], pa.int64())})
 
 
 class Vocabulary:
-    """Selected terms in hash order, with a flag table that rejects most other hashes at once."""
-
-    def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms)
-        self.idf = np.ones(len(terms))
+    """Terms in hash order with their idf and place among the terms of the examples (-1: of none)."""
+
+    def __init__(self, terms: np.ndarray, n: np.ndarray, documents: int, examples: np.ndarray):
+        self.documents = documents
+        self.terms = np.union1d(terms, examples)
+        self.n = np.ones(len(self.terms), np.uint32 if documents < 1 << 32 else np.int64)
+        self.n[np.searchsorted(self.terms, terms)] = n
+        self.own = np.zeros(len(self.terms), bool)
+        self.own[np.searchsorted(self.terms, examples)] = True
+        self._derive()
+
+    def _derive(self):
+        self.rare, self.idf = self.idf_of(1), self.idf_of(self.n)
+        self.place = np.where(self.own, np.cumsum(self.own) - 1, -1).astype(np.int32)
         self.hasher = None
 
-    def __getstate__(self):
-        return {"terms": self.terms, "idf": self.idf, "hasher": None}
+    def idf_of(self, n):
+        return np.log((1.0 + self.documents) / (1.0 + n)) + 1.0
+
+    def __getstate__(self):  # what is broadcast lies on every machine's disk: steps and counts only
+        step = np.diff(self.terms, prepend=np.uint64(0))
+        return {"step": step.astype(np.uint32) if step.max(initial=0) < 1 << 32 else step, "n": self.n, "own": np.packbits(self.own), "documents": self.documents}
 
-    def rows(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (row, term index, count) of a slice, by row."""
+    def __setstate__(self, x):
+        self.documents, self.n = x["documents"], x["n"]
+        self.terms = np.cumsum(x["step"], dtype=np.uint64)
+        self.own = np.unpackbits(x["own"], count=len(self.n)).astype(bool)
+        self._derive()
+
+    def vectors(self, arr: pa.Array, square: np.ndarray | None = None):
+        """(row starts, places of example terms, their weights in unit vectors, their counts, squared
+        norms) of the rows of a slice; ``square`` has squared norms that were computed elsewhere."""
         if self.hasher is None:
             self.hasher = SpanHasher()
-            self.flags = np.zeros(1 << 20, bool)
-            self.flags[(self.terms & np.uint64(0xFFFFF)).astype(np.int64)] = True
-        t, r = term_rows(arr, self.hasher, self.flags)
-        at = np.searchsorted(self.terms, t)
-        ok = at < len(self.terms)
-        ok[ok] = self.terms[at[ok]] == t[ok]
-        key, n = np.unique(r[ok] * len(self.terms) + at[ok], return_counts=True)
-        return key // max(len(self.terms), 1), key % max(len(self.terms), 1), n
-
-    def vectors(self, arr: pa.Array):
-        """(row starts, term indices, unit weights) of the rows of a slice."""
-        row, term, n = self.rows(arr)
-        w = (1.0 + np.log(n)) * self.idf[term]
-        norm = np.sqrt(np.bincount(row, w * w, len(arr)))
-        return np.searchsorted(row, np.arange(len(arr) + 1)), term, w / norm[row]
+        row, t, n = term_counts(arr, self.hasher)
+        at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
+        known = self.terms[at] == t
+        w = (1.0 + np.log(n)) * np.where(known, self.idf[at], self.rare)
+        if square is None:
+            square = np.bincount(row, w * w, len(arr))
+        place = np.where(known, self.place[at], -1)
+        hit = place >= 0
+        row, place, w, n = row[hit], place[hit].astype(np.int64), w[hit], n[hit]
+        return np.searchsorted(row, np.arange(len(arr) + 1)), place, w / np.sqrt(square[row]), n, square
 
 
 class BlockMaxIndex:
@@ -126,17 +155,43 @@ class BlockMaxIndex:
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.label, self.place = ids[order], label[order], place
-        doc = place[np.repeat(np.arange(n), np.diff(starts))]
+        doc = place.astype(np.int32)[np.repeat(np.arange(n), np.diff(starts))]
         by = np.lexsort((doc, term))
-        self.doc, self.weight, t = doc[by], weight[by], term[by]
+        self.doc, self.weight = doc[by], weight[by]
+        self.per_term = np.bincount(term, minlength=n_terms)
+        self.by, self.order, self.source = by, order, None
+        self._cut()
+
+    def _cut(self):
+        t = np.repeat(np.arange(len(self.per_term), dtype=np.int32), self.per_term)
+        rng = (self.doc // RANGE).astype(np.int32)
         cut = np.ones(len(t), bool)
-        cut[1:] = (t[1:] != t[:-1]) | (self.doc[1:] // RANGE != self.doc[:-1] // RANGE)
-        self.begin = np.flatnonzero(cut)
-        self.length = np.diff(np.append(self.begin, len(t)))
-        self.range = self.doc[self.begin] // RANGE
+        cut[1:] = (t[1:] != t[:-1]) | (rng[1:] != rng[:-1])
+        self.begin = np.flatnonzero(cut).astype(np.int32 if len(t) < 1 << 31 else np.int64)
+        self.length = np.diff(np.append(self.begin, len(t))).astype(np.int32)
+        self.range = rng[self.begin]
         self.largest = np.maximum.reduceat(self.weight, self.begin) if len(t) else np.zeros(0)
-        self.cuts_of = np.searchsorted(t[self.begin], np.arange(n_terms + 1))
-        self.n_ranges = -(-n // RANGE)
+        self.cuts_of = np.searchsorted(t[self.begin], np.arange(len(self.per_term) + 1))
+        self.n_ranges = -(-len(self.ids) // RANGE)
+
+    def compact(self, count: np.ndarray, idf: np.ndarray, square: np.ndarray) -> None:
+        """From now on the index is sent as counts; the weights are computed again from the same numbers."""
+        count = count[self.by]
+        self.source = count.astype(np.min_scalar_type(int(count.max(initial=0)))), idf, square[self.order]
+        self.by = self.order = None
+
+    def __getstate__(self):
+        if self.source is None:
+            return self.__dict__
+        return {"ids": self.ids, "label": self.label, "doc": self.doc.astype(np.min_scalar_type(len(self.ids))), "per_term": self.per_term.astype(np.int32), "source": self.source}
+
+    def __setstate__(self, x):
+        self.__dict__.update(x)
+        if self.source is not None:
+            count, idf, square = self.source
+            self.doc = self.doc.astype(np.int32)
+            self.weight = (1.0 + np.log(count.astype(np.int64))) * np.repeat(idf, self.per_term) / np.sqrt(square[self.doc])
+            self._cut()
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest examples with a positive cosine, nearest first."""
@@ -156,10 +211,11 @@ class BlockMaxIndex:
             mine = chosen[rng]
             size = self.length[cut[mine]]
             post = ragged(self.begin[cut[mine]], size)
-            doc, inv = np.unique(self.doc[post], return_inverse=True)
-            s = np.bincount(inv, np.repeat(q[mine], size) * self.weight[post], len(doc))
-            ok = doc != skip
-            places, scores = np.concatenate([places, doc[ok]]), np.concatenate([scores, s[ok]])
+            s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids))
+            if skip >= 0:
+                s[skip] = 0.0
+            doc = np.flatnonzero(s > max(floor - 1e-9, 0.0))  # ties at the floor are settled below
+            places, scores = np.concatenate([places, doc]), np.concatenate([scores, s[doc]])
             best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
             places, scores = places[best], scores[best]
             floor = scores[-1] if len(scores) == k else 0.0
@@ -168,8 +224,12 @@ class BlockMaxIndex:
 
 
 class Model:
-    def __init__(self, vocabulary: Vocabulary | None, index: BlockMaxIndex | None, base: float, a: float = 0.0, b: float = 0.0):
+    def __init__(self, vocabulary: Vocabulary | None, index: BlockMaxIndex | None, base: float, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
         self.vocabulary, self.index, self.base, self.a, self.b = vocabulary, index, base, a, b
+        self.frequencies = frequencies  # (term, n), where they are too many to be in the vocabulary
+
+    def __getstate__(self):
+        return {**self.__dict__, "frequencies": None}
 
     def vote(self, places: np.ndarray, cos: np.ndarray) -> float:
         s = cos * cos
@@ -178,12 +238,12 @@ class Model:
     def probability(self, vote):
         return 1.0 / (1.0 + np.exp(-np.clip(self.a * vote + self.b, -35, 35)))
 
-    def score(self, arr: pa.Array):
+    def score(self, arr: pa.Array, square: np.ndarray | None = None):
         """Score and evidence (example ids, cosines, labels) of every text of a slice."""
         n = len(arr)
         if self.index is None:
             return np.full(n, self.base), [[] for _ in range(n)]
-        starts, term, weight = self.vocabulary.vectors(arr)
+        starts, term, weight, _, _ = self.vocabulary.vectors(arr, square)
         votes, evidence = np.zeros(n), [[] for _ in range(n)]
         for i in np.flatnonzero(np.diff(starts)):
             lo, hi = starts[i], starts[i + 1]
@@ -209,7 +269,7 @@ def _calibrate(vote: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS) -> Model:
+        max_examples: int = MAX_EXAMPLES, table_terms: int = TABLE_TERMS) -> Model:
     """Fit on ``labels`` (doc_id, toxic); statistics come from all rows of ``docs``."""
     spark = docs.sparkSession
     prepare(spark)
@@ -232,29 +292,35 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     size = {r["toxic"]: r["n"] for r in ex.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return Model(None, None, base)
-    stats = ex.select("text", "toxic").mapInArrow(_class_task, "term long, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     n1, n0 = float(size[1]), float(size[0])
-
-    def cell(o, e):
-        return F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
-
-    both = F.col("pos") + F.col("neg")
-    share = both / F.lit(n1 + n0)
-    g2 = 2 * (cell(F.col("pos"), share * n1) + cell(F.col("neg"), share * n0)
-              + cell(n1 - F.col("pos"), (1 - share) * n1) + cell(n0 - F.col("neg"), (1 - share) * n0))
-    toxic = F.col("pos") / n1 >= F.lit(MIN_LIFT) * F.col("neg") / n0
-    top = stats.where((both >= MIN_DOCS) & toxic).withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(max_terms).select("term").toPandas()
-    if not len(top):
+    counts = d.select("text").mapInArrow(_frequency_task, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).checkpoint(eager=True)
+    documents = counts.where("term = -1").first()["n"]
+    counts = counts.where("term >= 0")
+    # the examples' terms: bounded by the examples
+    own = ex.select("text").mapInArrow(_frequency_task, "term long, n long").where("term >= 0").select("term").distinct()
+    often = counts.where("n > 1")
+    small = often.count() <= table_terms
+    kept = often if small else often.join(own, "term", "left_semi")
+    known, mine = kept.toPandas().sort_values("term"), np.sort(own.toPandas()["term"].to_numpy(np.int64)).view(np.uint64)
+    if not len(mine):
         return Model(None, None, base)
-    vocabulary = Vocabulary(top["term"].to_numpy(np.int64).view(np.uint64))
-    _document_frequencies(d, vocabulary)
-    rows = ex.select("doc_id", "toxic", "text").mapInArrow(_vector_task(spark.sparkContext.broadcast(vocabulary)), "doc_id long, toxic int, terms binary, weights binary").orderBy("doc_id").toPandas()
-    terms = [np.frombuffer(x, np.int64) for x in rows["terms"]]
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in terms])])
-    term = np.concatenate(terms)
-    weight = np.concatenate([np.frombuffer(x, np.float64) for x in rows["weights"]])
+    vocabulary = Vocabulary(known["term"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64), documents, mine)
+    model = Model(vocabulary, None, base, frequencies=None if small else often)
+    ex, square = _with_norms(ex, model)
+    shared = spark.sparkContext.broadcast(vocabulary)
+    rows = (ex.select("doc_id", "toxic", "text", square.alias("square")).mapInArrow(_vector_task(shared, small), "doc_id long, toxic int, terms binary, counts binary, square double")
+            .toPandas().sort_values(["doc_id", "terms", "counts"]))
+    shared.destroy()
+    size_of = np.array([len(x) // 4 for x in rows["terms"]], np.int64)
+    starts = np.concatenate([[0], np.cumsum(size_of)])
+    term, count = (np.frombuffer(b"".join(rows[c]), np.int32) for c in ("terms", "counts"))
+    square = rows["square"].to_numpy(float)
     ids, label = rows["doc_id"].to_numpy(np.int64), rows["toxic"].to_numpy(np.int64)
-    model = Model(vocabulary, BlockMaxIndex(starts, term, weight, ids, label, len(vocabulary.terms)), base)
+    del rows
+    idf = vocabulary.idf[vocabulary.own]
+    weight = (1.0 + np.log(count.astype(np.int64))) * idf[term] / np.sqrt(np.repeat(square, size_of))
+    model.index = BlockMaxIndex(starts, term, weight, ids, label, len(mine))
+    model.index.compact(count, idf, square)
     votes = np.zeros(len(ids))
     for i in np.flatnonzero(np.diff(starts)):
         p, c = model.index.nearest(term[starts[i]:starts[i + 1]], weight[starts[i]:starts[i + 1]], K, skip=int(model.index.place[i]))
@@ -264,39 +330,47 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def _document_frequencies(d: DataFrame, vocabulary: Vocabulary) -> None:
-    """idf of the selected terms over all documents: per-task counts, one sum per term."""
-    shared = d.sparkSession.sparkContext.broadcast(vocabulary)
-
+def _norm_task():
+    """(key, weight without idf, term) of every distinct term of a text; a row without term per text."""
     def run(batches):
-        v = shared.value
-        df, rows = np.zeros(len(v.terms), np.int64), 0
+        hasher = SpanHasher()
         for b in batches:
             for lo, hi in row_slices(b.column("text")):
-                _, term, _ = v.rows(b.column("text").slice(lo, hi - lo))
-                df += np.bincount(term, minlength=len(df))
-                rows += hi - lo
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_pydict({"term": pa.array(np.append(at, -1)), "n": pa.array(np.append(df[at], rows))})
+                row, t, n = term_counts(b.column("text").slice(lo, hi - lo), hasher)
+                key = b.column("key").slice(lo, hi - lo)
+                yield pa.RecordBatch.from_pydict({"key": key.take(pa.array(row)), "term": pa.array(t.astype(np.int64)), "w": pa.array(1.0 + np.log(n))})
+                yield pa.RecordBatch.from_pydict({"key": key, "term": pa.nulls(hi - lo, pa.int64()), "w": pa.nulls(hi - lo, pa.float64())})
+    return run
 
-    got = d.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n = {r["term"]: r["n"] for r in got}
-    df = np.array([n.get(i, 0) for i in range(len(vocabulary.terms))], float)
-    vocabulary.idf = np.log((1.0 + n.get(-1, 0)) / (1.0 + df)) + 1.0
 
+def _with_norms(df: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, Column]:
+    """``df`` and the column of squared norms of its texts: null where the vocabulary gives them, else
+    joined by a digest of the text. Copies of a text add up alike and are divided out."""
+    if model.frequencies is None:
+        return df, F.lit(None).cast("double")
+    key, square = unused(df, "key"), unused(df, "square")
+    digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+    terms = df.select(digest.alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(_norm_task(), "key string, term long, w double")
+    v = model.vocabulary
+    idf = F.log(F.lit(1.0 + v.documents) / (F.lit(1.0) + F.coalesce("n", F.lit(1)))) + 1.0
+    norms = (terms.join(model.frequencies, "term", "left").groupBy("key")
+             .agg((F.sum((F.col("w") * idf) ** 2) / F.count(F.when(F.col("term").isNull(), 1))).alias(square))
+             .withColumnRenamed("key", key))
+    return df.join(norms, digest == F.col(key), "left").drop(key), F.col(square)
 
-def _vector_task(shared):
+
+def _vector_task(shared, own_norms: bool):
     def run(batches):
         v = shared.value
         for b in batches:
             for lo, hi in row_slices(b.column("text")):
                 x = b.slice(lo, hi - lo)
-                s, term, w = v.vectors(x.column("text"))
+                s, term, _, n, square = v.vectors(x.column("text"), None if own_norms else x.column("square").to_numpy(zero_copy_only=False))
                 cuts = list(zip(s[:-1].tolist(), s[1:].tolist()))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": x.column("doc_id").cast(pa.int64()), "toxic": x.column("toxic").cast(pa.int32()),
-                    "terms": pa.array([term[p:q].astype(np.int64).tobytes() for p, q in cuts], pa.binary()),
-                    "weights": pa.array([w[p:q].tobytes() for p, q in cuts], pa.binary())})
+                    "terms": pa.array([term[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()),
+                    "counts": pa.array([n[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()), "square": pa.array(square)})
     return run
 
 
@@ -307,13 +381,18 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", out: str = "tox
     shared = spark.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
+    own_norms = model.frequencies is None
+
     @F.arrow_udf("struct<score:double,evidence:array<struct<example_id:bigint,cosine:double,toxic:int>>>")
-    def tag(texts: pa.Array) -> pa.Array:
+    def tag(texts: pa.Array, square: pa.Array) -> pa.Array:
         m = shared.value
         score, evidence = np.zeros(len(texts)), []
+        norms = None if own_norms else square.to_numpy(zero_copy_only=False)
         for lo, hi in row_slices(texts):
-            score[lo:hi], e = m.score(texts.slice(lo, hi - lo))
+            score[lo:hi], e = m.score(texts.slice(lo, hi - lo), None if own_norms else norms[lo:hi])
             evidence += e
         return pa.StructArray.from_arrays([pa.array(score), pa.array(evidence, kind)], ["score", "evidence"])
 
-    return df.withColumn(out, tag(F.col(text_col).cast("string")))
+    x, norm = _with_norms(df, model, text_col)
+    x = x.withColumn(out, tag(F.col(text_col).cast("string"), norm))
+    return x if own_norms else x.drop(norm)
