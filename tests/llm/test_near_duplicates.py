@@ -61,6 +61,17 @@ def test_large_groups_are_tiled(spark):
     assert found(N.jaccard_components(docs_frame(spark, rows), tile_shingles=1500)) == whole == brute(rows)
 
 
+def test_n_links_counts_all_links(spark):
+    """Every link counts, copies and repeated rows included, however a group is cut into tiles."""
+    rows = [(i, edited(prose(1, 200), i % 9, i % 40), "en", "s") for i in range(60)]
+    rows += [(100 + i, prose(2, 30), "en", "s") for i in range(5)] + [rows[3], (None, rows[0][1], "en", "s"), (7, prose(2, 30), "en", "s"), (200, "", "en", "s")]
+    sets = [(i, shingles(t, 4)) for i, t, *_ in rows]
+    want = sorted(((i, 0 if i is None else sum(100 * len(s & t) >= 85 * len(s | t) for j, t in sets if j is not None and s and t) - bool(s)) for i, s in sets), key=repr)
+    for tile in (N.TILE_SHINGLES, 1500):
+        got = N.jaccard_components(docs_frame(spark, rows), tile_shingles=tile).collect()
+        assert sorted(((r.doc_id, r.n_links) for r in got), key=repr) == want
+
+
 def test_empty_table(spark):
     assert found(N.jaccard_components(empty(docs_frame(spark)))) == []
 

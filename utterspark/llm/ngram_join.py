@@ -17,10 +17,10 @@ band or a neighbouring one.
 3. Tiles. A group of up to ``TILE_SHINGLES`` shingles is one tile; a larger one is cut by size band
    and slot, and tiles are pairs of slots in the same or neighbouring bands. Inside a tile a set has
    a bitmap with one hashed bit per shingle: bits of A missing in B bound ``|A - B|`` from below,
-   hence the overlap from above; survivors are intersected exactly as sorted arrays. Pairs already
-   connected inside the tile are skipped, so a group of n near copies costs about n intersections
-   and a tile returns a spanning forest, never all pairs.
-4. Forest edges and equal sets give the components.
+   hence the overlap from above; every survivor's overlap is counted exactly. A tile returns a
+   spanning forest and the number of links of each set, never all pairs.
+4. Forest edges and equal sets give the components. A pair of sets lies in one tile only, so the sums
+   of the tiles' numbers are the numbers of links.
 
 Words are maximal runs without the bytes 0x20, 0x09-0x0D, after A-Z is folded. Defined results: with
 fewer than k words the whole sequence is the one shingle; null, empty or blank texts have an empty
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import FOLD_AZ, WORD_SPACE, SpanHasher, bounded_broadcast, mix64, prepare, row_slices, utf8, word_spans
+from utterspark.llm.common import FOLD_AZ, WORD_SPACE, SpanHasher, bounded_broadcast, mix64, prepare, ragged, row_slices, utf8, word_spans
 from utterspark.llm.components import connected_components
 from utterspark.session import shuffle_partitions
 
@@ -316,7 +316,7 @@ def _star_task(batches):
 
 
 def _set_task(words: int):
-    """Rows (doc_id, tiles, text) -> one row per tile with the set, where text still has the set looked for."""
+    """Rows (doc_id, size, digest, copies, tiles, text) -> the row with its set, where text still has the set looked for."""
     def run(batches):
         hasher = SpanHasher(FOLD_AZ)
         for b in batches:
@@ -327,8 +327,8 @@ def _set_task(words: int):
                 stop = np.cumsum(size)
                 at = np.flatnonzero(same)
                 sets = [h[stop[i] - size[i]:stop[i]].tobytes() for i in at]
-                yield pa.RecordBatch.from_pydict({"doc_id": x.column("doc_id").take(pa.array(at)), "tiles": x.column("tiles").take(pa.array(at)),
-                                                  "shingles": pa.array(sets, pa.binary())})
+                take = {c: x.column(c).take(pa.array(at)) for c in ("doc_id", "size", "digest", "copies", "tiles")}
+                yield pa.RecordBatch.from_pydict({**take, "shingles": pa.array(sets, pa.binary())})
     return run
 
 
@@ -341,19 +341,25 @@ def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def link_tile(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links of a tile. ``side`` is -1 in a tile whose pairs all count; else
-    only pairs of the two sides do (each side has a tile of its own)."""
+def tile_links(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, copies: np.ndarray, num: int,
+               den: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Spanning forest of the links of a tile, and for every set the copies of the sets it links with.
+    ``side`` is -1 in a tile whose pairs all count; else only pairs of the two sides do (each side has
+    a tile of its own)."""
     size = np.array([len(s) for s in sets], np.int64)
     order = np.lexsort((ids, size))
-    ids, size, side, sets = ids[order], size[order], side[order], [sets[i] for i in order]
+    ids, size, side, copies, sets = ids[order], size[order], side[order], copies[order], [sets[i] for i in order]
     n = len(ids)
     bits = 64
     while bits < min(int(size.max(initial=1)), 1 << 15):
         bits *= 2
     maps = bitmaps(sets, bits)
+    shingles, flat = np.unique(np.concatenate(sets), return_inverse=True) if n else (np.zeros(0), np.zeros(0, np.int64))
+    start = np.concatenate([[0], np.cumsum(size)])
+    mark = np.zeros(len(shingles), bool)
     root = np.arange(n)
     found: list[tuple[int, int]] = []
+    links = np.zeros(n, np.int64)
     begin = np.searchsorted(size * den, size * num)  # partners of a set are at least this large
     for j in range(1, n):
         lo = int(begin[j])
@@ -366,30 +372,47 @@ def link_tile(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: in
         may = den * most >= num * (size[lo:j] + size[j] - most)
         may &= (side[lo:j] != side[j]) | (side[j] < 0)
         cand = lo + np.flatnonzero(may)
-        while len(cand):
-            i = int(cand[0])
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if den * both >= num * (size[i] + size[j] - both):
-                found.append((int(ids[i]), int(ids[j])))
-                root[root == root[i]] = root[j]
-                cand = cand[root[cand] != root[j]]
-            else:
-                cand = cand[1:]
-                cand = cand[root[cand] != root[j]]
-    return found
+        if not len(cand):
+            continue
+        mine = flat[start[j]:start[j + 1]]
+        mark[mine] = True
+        hit = mark[flat[ragged(start[cand], size[cand])]]
+        both = np.add.reduceat(hit, np.cumsum(size[cand]) - size[cand], dtype=np.int64)
+        mark[mine] = False
+        cand = cand[den * both >= num * (size[cand] + size[j] - both)]
+        links[j] += copies[cand].sum()
+        links[cand] += copies[j]
+        while len(cand := cand[root[cand] != root[j]]):
+            found.append((int(ids[cand[0]]), int(ids[j])))
+            root[root == root[cand[0]]] = root[j]
+    out = np.empty(n, np.int64)
+    out[order] = links
+    return found, out
+
+
+def link_tile(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Spanning forest of the links of a tile."""
+    return tile_links(ids, sets, side, np.ones(len(ids), np.int64), num, den)[0]
 
 
 def _tile_task(num: int, den: int):
+    """Forest edges (a, b), and (size, digest, n) with the links of every set."""
     def run(t: pa.Table) -> pa.Table:
+        key = np.stack([t.column("size").to_numpy(), t.column("digest").to_numpy()], axis=1)
+        t = t.take(pa.array(np.unique(key, axis=0, return_index=True)[1]))  # repeated rows bring a set again
         ids = t.column("doc_id").to_numpy()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles").combine_chunks()]
-        e = link_tile(ids, sets, t.column("side").to_numpy().astype(np.int64), num, den)
-        return pa.table({"a": pa.array([x for x, _ in e], pa.int64()), "b": pa.array([y for _, y in e], pa.int64())})
+        e, n = tile_links(ids, sets, t.column("side").to_numpy().astype(np.int64), t.column("copies").to_numpy(), num, den)
+        some = np.flatnonzero(n)
+        none, gap = [None] * len(e), [None] * len(some)
+        return pa.table({"a": pa.array([x for x, _ in e] + gap, pa.int64()), "b": pa.array([y for _, y in e] + gap, pa.int64()),
+                         **{c: pa.array(none + t.column(c).to_numpy()[some].tolist(), pa.int64()) for c in ("size", "digest")},
+                         "n": pa.array(none + n[some].tolist(), pa.int64())})
     return run
 
 
 def _with_tiles(members: DataFrame, num: int, den: int, tile_shingles: int) -> DataFrame:
-    """(doc_id, size, digest, tiles) from (doc_id, size, digest, grp): the tiles a set takes part in."""
+    """(doc_id, size, digest, copies, tiles) from (doc_id, size, digest, copies, grp): the tiles a set takes part in."""
     bands = Bands(num, den)
     los = F.array(*[F.lit(int(x)).cast("long") for x in bands.lo if x < 1 << 32])
     m = members.withColumn("band", F.size(F.filter(los, lambda x: x <= F.col("size"))) - 1)
@@ -419,14 +442,15 @@ def _with_tiles(members: DataFrame, num: int, den: int, tile_shingles: int) -> D
     down = pairs(F.col("below"), lambda o: F.struct(name(band - 1, o, band, s).alias("tile"), F.lit(1).alias("side")))
     one = F.array(F.struct(F.col("grp").cast("string").alias("tile"), F.lit(-1).alias("side")))
     tiles = F.when(F.col("total") <= tile_shingles, one).otherwise(F.concat(own, up, down))
-    return x.withColumn("_slot", slot).select("doc_id", "size", "digest", tiles.alias("tiles"))
+    return x.withColumn("_slot", slot).select("doc_id", "size", "digest", "copies", tiles.alias("tiles"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                        num: int = NUM, den: int = DEN, tile_shingles: int = TILE_SHINGLES,
                        buckets: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links), one row per row of ``docs``. ``component_id`` is the
-    smallest doc_id that links reach; ``n_links`` counts the forest edges at the row's distinct set."""
+    smallest doc_id that links reach; ``n_links`` is the number of other rows whose texts link with the row's, equal
+    ones included; rows with a null doc_id have none and count for none."""
     spark = docs.sparkSession
     prepare(spark)
     n = buckets or max(shuffle_partitions(spark), 1) * BUCKETS_PER_PARTITION
@@ -440,24 +464,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grp = connected_components(raw.where("b is not null").select("a", "b"))
 
     # one member per distinct set; groups of one set are settled by equality
-    sets = info.where("size > 0 and doc_id is not null").groupBy("size", "digest").agg(F.min("doc_id").alias("doc_id")).checkpoint(eager=True)
-    members = sets.join(grp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "size", "digest", F.coalesce("root", "doc_id").alias("grp"))
+    sets = info.where("size > 0 and doc_id is not null").groupBy("size", "digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).checkpoint(eager=True)
+    members = sets.join(grp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "size", "digest", "copies", F.coalesce("root", "doc_id").alias("grp"))
     several = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp")
     todo = _with_tiles(members.join(several, "grp"), num, den, tile_shingles).checkpoint(eager=True)
-    texts = d.join(bounded_broadcast(todo), "doc_id").select("doc_id", "size", "digest", "tiles", "text")
-    sets_in = texts.mapInArrow(_set_task(words), "doc_id long, tiles array<struct<tile:string,side:int>>, shingles binary")
-    tiles = sets_in.select("doc_id", F.explode("tiles").alias("t"), "shingles").select("doc_id", "t.tile", "t.side", "shingles")
-    links = tiles.groupBy("tile").applyInArrow(_tile_task(num, den), "a long, b long").distinct().checkpoint(eager=True)
+    texts = d.join(bounded_broadcast(todo), "doc_id").select("doc_id", "size", "digest", "copies", "tiles", "text")
+    sets_in = texts.mapInArrow(_set_task(words), "doc_id long, size long, digest long, copies long, tiles array<struct<tile:string,side:int>>, shingles binary")
+    tiles = sets_in.select("doc_id", "size", "digest", "copies", F.explode("tiles").alias("t"), "shingles").select("doc_id", "size", "digest", "copies", "t.tile", "t.side", "shingles")
+    linked = tiles.groupBy("tile").applyInArrow(_tile_task(num, den), "a long, b long, size long, digest long, n long").checkpoint(eager=True)
+    links = linked.where("a is not null").select("a", "b")
 
     # nodes are set representatives; a doc_id with several texts ties its sets together
     same = info.where("size > 0 and doc_id is not null").join(sets.withColumnRenamed("doc_id", "rep"), ["size", "digest"]).select("doc_id", "rep")
     twice = info.where("doc_id is not null").groupBy("doc_id").agg(F.countDistinct("size", "digest").alias("k")).where("k > 1").select("doc_id")
     ties = same.join(twice, "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(links.unionByName(ties))
-    deg = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links")))
-    reps = (sets.withColumnRenamed("doc_id", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").join(deg, "rep", "left")
-            .select("size", "digest", F.coalesce("root", "rep").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    deg = linked.where("n is not null").groupBy("size", "digest").agg(F.sum("n").alias("partners"))
+    reps = (sets.withColumnRenamed("doc_id", "rep").join(roots.withColumnRenamed("id", "rep"), "rep", "left").join(deg, ["size", "digest"], "left")
+            .select("size", "digest", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links")))
     return info.join(reps, ["size", "digest"], "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.when(F.col("doc_id").isNotNull(), F.col("root"))).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
