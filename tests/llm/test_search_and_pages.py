@@ -103,6 +103,21 @@ def test_main_text_leaves_furniture_out(spark):
     assert H.main_text(empty(df)).count() == 0
 
 
+def test_only_the_hidden_attribute_hides():
+    for attrs in ('style="overflow:hidden"', 'aria-hidden="false"', 'title="the hidden truth"', "data-hidden", 'title="a role=search id=ad"', "data-role=search"):
+        assert H.extract(f"<div {attrs}><p>kept</p></div>", None) == "kept", attrs
+    for attrs in ("hidden", "HIDDEN", 'class="x" hidden=""', "hidden id=a", 'title="a" role=search', "id='ad'"):
+        assert H.extract(f"<div {attrs}><p>gone</p></div><p>kept</p>", None) == "kept", attrs
+
+
+def test_all_paths_of_a_page_vote(spark):
+    page = "".join(f"<section class={c}><p>{'word ' * (20 + i)}</p></section>" for i, c in enumerate("abcdefgh"))
+    pages = spark.createDataFrame([("h", page)], "host string, html string")
+    got = pages.mapInArrow(H._vote_task, "host string, path string, votes long").collect()
+    assert {f"section.{c}" for c in "abcdefgh"} <= {r.path for r in got}
+    assert abs(sum(r.votes for r in got) - 10**6) < 10
+
+
 def test_broken_and_deep_pages():
     assert H.extract("<article><p>a<p>b<div>c</article><p>d", ">x") == "a\n\nb\n\nc"
     assert H.extract("plain &lt;text&gt; only <b", None) == "plain <text> only"

@@ -9,7 +9,7 @@ a page whose own scores mislead (little text, many links) follows its host. Wher
 does not occur, the page's own best container serves.
 
 Dropped inside containers: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments - by element, role, or class and id words. Blocks are separated by block-level
+styles, reader comments - by element, role, ``hidden`` attribute, or class and id words. Blocks are separated by block-level
 tags; white space in a block becomes one space; character references are decoded once.
 
 Votes are summed per task before the shuffle, so a host with a third of all pages costs a row per
@@ -41,7 +41,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert aler
 HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar\w*|side|menu\w*|nav\w*|breadcrumbs?|footer|masthead|header|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w+|paywall|comments?\w*|disqus\w*|repl(?:y|ies)|respond|discussion|related|recommend\w*|share\w*|sharing|social|widget\w*|toolbar|pagination|pager|login|signup|search\w*|form)(?=$|[\s_-])", re.I)
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")  # whole names; values are consumed
 DIGITS = re.compile(r"\d+")
 SPACE = re.compile(r"\s+")
 MOST_PATH = 400
@@ -62,7 +62,7 @@ def _label(tag: str, attrs: str) -> tuple[str, bool]:
                 words.append(value)
             elif name == "role":
                 drop |= value.strip().lower() in ROLES
-            else:
+            elif name == "hidden":
                 drop |= tag not in KEPT
         if words and tag not in KEPT:
             drop |= bool(HINT.search(" ".join(words)))
@@ -210,14 +210,13 @@ def host_of(url: Column) -> Column:
 
 
 def _vote_task(batches):
-    """(host, path, votes) summed over a task: a page's best paths share one vote by score."""
+    """(host, path, votes) summed over a task: all of a page's paths share one vote by score."""
     votes: dict[tuple[str, str], float] = {}
     for b in batches:
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             scores = page_scores(blocks(page)) if page else {}
-            best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:5]
-            whole = sum(s for _, s in best)
-            for path, s in best:
+            whole = sum(scores.values())
+            for path, s in scores.items():
                 votes[host, path] = votes.get((host, path), 0.0) + s / whole
     keys = list(votes)
     # votes as whole millionths: their sum does not depend on the order of tasks
