@@ -59,6 +59,18 @@ def test_all_axes_probed_is_exact(spark):
             assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=0, atol=1e-12)
 
 
+def test_repeated_rows_take_no_places(spark):
+    """Every row many times, and two vectors per id: a tile that holds all still returns k ids."""
+    rows = vectors(120) + [(i, [-x for x in v]) for i, v in vectors(120, seed=2)]
+    want = brute(rows, 20)
+    for least, copies in ((10**9, 2), (10**9, 25), (60, 25)):
+        got = found(X.search(frame(spark, rows * copies), F.col("vec_id") % 20 == 0, 20, least=least, count=16))
+        assert got.keys() == want.keys() and all(len({v for v, _ in got[q]}) == 20 for q in got)
+        if least > 60:  # a repeated query id keeps the best scores of its vectors
+            one = {q: sorted({(-max(sum(a * b for a, b in zip(x, y)) for i, x in rows if i == q for k, y in rows if k == j), j) for j in range(120) if j != q})[:20] for q in got}
+            assert all([v for v, _ in got[q]] == [j for _, j in one[q]] for q in got)
+
+
 def test_recall_with_production_parameters(spark):
     rows = vectors(9_000, 64, 3)
     got = found(X.search(frame(spark, rows), F.col("vec_id") % 300 == 0, 20))

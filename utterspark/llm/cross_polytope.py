@@ -198,16 +198,26 @@ def _tile_task(dim: int, k: int):
         if len(mine) and len(ask):
             v, ids = _matrix(mine.column("v"), dim), mine.column("id").to_numpy()
             axis = mine.column("axis").to_numpy().astype(np.int64)
+            by = np.argsort(ids, kind="stable")
+            v, ids, axis = v[by], ids[by], axis[by]
+            first = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))  # an id's vectors lie together
             q, qids = _matrix(ask.column("v"), dim), ask.column("id").to_numpy()
             masks = np.unpackbits(np.frombuffer(b"".join(ask.column("mask").to_pylist()), np.uint8).reshape(len(ask), -1), axis=1).astype(bool)
             for lo in range(0, len(q), CHUNK):
                 s = q[lo:lo + CHUNK] @ v.T
                 s[~masks[lo:lo + CHUNK][:, axis] | (qids[lo:lo + CHUNK, None] == ids[None, :])] = -np.inf
-                n = min(k, s.shape[1])
-                floor = -np.partition(-s, n - 1, axis=1)[:, n - 1]
+                best = np.maximum.reduceat(s, first, axis=1) if len(first) < len(ids) else s  # the k places are for ids
+                n = min(k, best.shape[1])
+                floor = -np.partition(-best, n - 1, axis=1)[:, n - 1]
                 slack = 1e-9 * np.maximum(1.0, np.abs(np.where(np.isfinite(floor), floor, 0.0)))
                 row, col = np.nonzero((s >= (floor - slack)[:, None]) & (s > -np.inf))
                 exact = _inner(q[lo + row], v[col])
+                if best is not s:
+                    order = np.lexsort((-exact, ids[col], row))
+                    row, col, exact = row[order], col[order], exact[order]
+                    new = np.ones(len(row), bool)
+                    new[1:] = (row[1:] != row[:-1]) | (ids[col[1:]] != ids[col[:-1]])
+                    row, col, exact = row[new], col[new], exact[new]
                 order = np.lexsort((ids[col], -exact, row))
                 row, col, exact = row[order], col[order], exact[order]
                 rank = np.arange(len(row)) - np.searchsorted(row, row)
@@ -227,6 +237,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     prepare(spark)
     v = vectors.select(F.col(id_col).cast("long").alias("id"), _good(F.col(vec_col)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     v = v.where(F.col("v").isNotNull() & F.col("id").isNotNull())
+    # repeated rows count once, also in what the lists of the axes hold
+    v = v.groupBy("id", "v").agg(F.max("is_query").alias("is_query")).checkpoint(eager=True)
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     shape = (v.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_query").cast("long")).alias("q"), F.max(norm).alias("hi"), F.min(norm).alias("lo"))
              .orderBy(F.desc("n"), "dim").limit(1).collect())
