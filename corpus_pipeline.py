@@ -6,9 +6,9 @@ documents. ``run`` applies them in the shared checkpoint folder.
 
 Stage by stage: documents without a letter are rejected (language ``und``); documents scored toxic
 (0.7 or more) are rejected; of each component of five-word shingle sets with a Jaccard similarity of
-0.8 or more the smallest doc_id stays; the mix keeps a document as many times as it takes it (0, 1 or
-2); the last stage returns the ids of what is left. Rows that repeat a kept doc_id are one document to
-the near-duplicate stage: one row of them stays.
+0.8 or more the row with the smallest doc_id stays; the mix keeps a document as many times as it takes it (0, 1 or
+2); the last stage returns the ids of what is left. To the near-duplicate stage rows that repeat a
+doc_id and its text are one document, and rows that share a doc_id but hold other texts are several.
 """
 
 from __future__ import annotations
@@ -42,18 +42,26 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each component of similar documents."""
-    found = ngram_join.jaccard_components(docs, words=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
-    drop = unused(docs, "drop")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias(drop)).distinct().checkpoint(eager=True)
-    out = docs.join(bounded_broadcast(gone), docs["doc_id"] == F.col(drop), "left_anti")
-    # rows that repeat a doc_id: only those ids are grouped, the rest stays where it is
-    twice = unused(docs, "twice")
-    again = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias(twice)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(twice).checkpoint(eager=True)
+    """Keep one row of each component of similar texts: the smallest by (doc_id, digest of the text)."""
+    # a node per doc_id and text: rows that share an id but hold other texts are other documents
+    node, at, k = unused(docs, "node"), unused(docs, "at"), unused(docs, "k")
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text").isNull(), "text"))
+    d = docs.withColumn(node, key)
+    found = ngram_join.jaccard_components(d.select(node, "text"), id_col=node, words=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
+    found = found.where("doc_id is not null").select(F.col("doc_id").alias(at), "component_id").distinct().checkpoint(eager=True)
+    several = found.where(F.col("component_id") != F.col(at)).select("component_id").distinct()
+    members = found.join(several, "component_id").checkpoint(eager=True)
+    ranked = d.select(node, "doc_id", F.sha2("text", 256).alias("text")).join(bounded_broadcast(members), F.col(node) == F.col(at))
+    first = ranked.groupBy("component_id").agg(F.min(F.struct("doc_id", "text", at))[at].alias(at))
+    gone = members.join(first, at, "left_anti").select(at).checkpoint(eager=True)
+    out = d.join(bounded_broadcast(gone), F.col(node) == F.col(at), "left_anti")
+    # rows that repeat a doc_id and text: only those are grouped, the rest stays where it is
+    again = d.where(F.col(node).isNotNull()).groupBy(F.col(node).alias(at)).agg(F.count(F.lit(1)).alias(k)).where(F.col(k) > 1).select(at).checkpoint(eager=True)
     hint = bounded_broadcast(again)
-    single = out.join(hint, out["doc_id"] == F.col(twice), "left_anti")
-    first = out.join(hint, out["doc_id"] == F.col(twice), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(first)
+    single = out.join(hint, F.col(node) == F.col(at), "left_anti").select(*docs.columns)
+    whole = F.struct(*docs.columns)
+    twice = out.join(hint, F.col(node) == F.col(at), "left_semi").groupBy(node).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(k))
+    return single.unionByName(twice.select(f"{k}.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -211,6 +211,16 @@ def test_pipeline_against_plain_python(spark, tmp_dir):
     assert corpus_pipeline.run(spark, tmp_dir).count() == len(ids)
 
 
+def test_near_duplicates_of_clashing_ids(spark, tmp_dir):
+    """Each text that has no similar one left stays, also where ids clash; reruns agree."""
+    a, b, c = (prose(s, 60) for s in (1, 2, 3))
+    rows = [(5, a), (5, b), (3, edited(a, 1, 1)), (4, edited(b, 1, 2)), (9, c), (9, c), (10, c), (None, a), (11, "x"), (11, "y")]
+    docs = docs_frame(spark, [(i, t, "en", f"s{k}") for k, (i, t) in enumerate(rows)])
+    want = sorted([(3, rows[2][1]), (4, rows[3][1]), (9, c), (None, a), (11, "x"), (11, "y")], key=repr)
+    got = [sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(n), tmp_dir).collect()), key=repr) for n in (1, 4)]
+    assert sorted(((r[0], r[1]) for r in got[0]), key=repr) == want and got[0] == got[1]
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_dir):
     write_tables(spark, tmp_dir, [])
     assert os.path.isdir(tmp_dir) and WORDS
