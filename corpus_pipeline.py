@@ -28,6 +28,8 @@ TOXIC_FROM = 0.7
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents that have no language: null texts and texts without a letter."""
     model = langid.fit(docs)
+    if not model.langs:  # no labelled row: nothing was learnt, and that is no reason to reject a text
+        return langid.with_letters(docs)
     tag = unused(docs, "lang")
     out = langid.predict(docs, model, out=tag)
     return out.where(F.col(f"{tag}.lang") != langid.UNKNOWN).select(*docs.columns)

@@ -211,6 +211,12 @@ def test_pipeline_against_plain_python(spark, tmp_dir):
     assert corpus_pipeline.run(spark, tmp_dir).count() == len(ids)
 
 
+def test_language_stage_without_labelled_rows(spark, tmp_dir):
+    docs = docs_frame(spark, [(1, "some words", None, "s"), (2, "12 !", None, "s"), (3, None, None, "s"), (4, "é", None, "s"), (5, "", None, "s")])
+    out = corpus_pipeline.language_id(spark, docs, tmp_dir)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 4]
+
+
 def test_near_duplicates_of_clashing_ids(spark, tmp_dir):
     """Each text that has no similar one left stays, also where ids clash; reruns agree."""
     a, b, c = (prose(s, 60) for s in (1, 2, 3))

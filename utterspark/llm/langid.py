@@ -168,3 +168,14 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", out: str = "lan
         return pa.StructArray.from_arrays([pa.array(names[best], pa.string()), pa.array(score)], ["lang", "score"])
 
     return df.withColumn(out, tag(F.col(text_col).cast("string")))
+
+
+def with_letters(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a letter; needs no model."""
+    prepare(df.sparkSession)
+
+    @F.arrow_udf("boolean")
+    def some(texts: pa.Array) -> pa.Array:
+        return pa.array([bool(x) for lo, hi in row_slices(texts) for x in ngram_rows(texts.slice(lo, hi - lo))[2] > 0], pa.bool_())
+
+    return df.where(some(F.col(text_col).cast("string")))
