@@ -223,11 +223,18 @@ class Codec:
         self._ready = True
         self._clear()
 
+    def _reseed(self) -> None:
+        """Another hash function and an empty memo: two pre-tokens were found to share a hash."""
+        self.spans = SpanHasher(seed=int(self.spans.seed) + 1)
+        self._clear()
+
     def _clear(self) -> None:
         self.memo: dict[int, int] = {}
         self.room = 1 << 12
         self.starts, self.lens = np.zeros(self.room, np.int64), np.zeros(self.room, np.int64)
         self.flat, self.used = np.zeros(self.room, np.uint32), 0
+        self.key_starts, self.key_lens = np.zeros(self.room, np.int64), np.zeros(self.room, np.int64)
+        self.key_flat, self.key_used = np.zeros(self.room, np.uint8), 0
 
     def _learn(self, hashes: list[int], keys: list[bytes]) -> None:
         """Resolve distinct pre-tokens: perfect hash first, heap merge for the misses."""
@@ -238,9 +245,18 @@ class Codec:
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         n, total = len(self.memo), int(lens.sum())
         while len(self.starts) < n + len(ids):
-            self.starts, self.lens = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens))
+            self.starts, self.lens, self.key_starts, self.key_lens = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.key_starts, self.key_lens))
         while len(self.flat) < self.used + total:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        joined = np.frombuffer(b"".join(keys), np.uint8)
+        while len(self.key_flat) < self.key_used + len(joined):
+            self.key_flat = np.concatenate([self.key_flat, np.zeros_like(self.key_flat)])
+        self.key_flat[self.key_used:self.key_used + len(joined)] = joined
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        self.key_starts[n:n + len(ids)] = self.key_used + np.cumsum(sizes) - sizes
+        self.key_lens[n:n + len(ids)] = sizes
+        self.key_used += len(joined)
         self.flat[self.used:self.used + total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total)
         self.starts[n:n + len(ids)] = self.used + np.cumsum(lens) - lens
         self.lens[n:n + len(ids)] = lens
@@ -255,17 +271,12 @@ class Codec:
         if len(begins) == 0:
             return np.zeros(0, np.uint32), per
         ends = np.append(begins[1:], len(data))
-        self.spans.load(data)
-        h, one, inverse = np.unique(self.spans.spans(begins, ends), return_index=True, return_inverse=True)
         if len(self.memo) > MEMO:
             self._clear()
-        known = self.memo
-        hashes = h.tolist()
-        fresh = [i for i, x in enumerate(hashes) if x not in known]
-        if fresh:
-            raw, s, e = data.tobytes(), begins[one], ends[one]
-            self._learn([hashes[i] for i in fresh], [raw[s[i]:e[i]] for i in fresh])
-        at = np.fromiter(map(known.__getitem__, hashes), np.int64, len(hashes))[inverse]
+        while (found := self._resolve(data, begins, ends)) is None:
+            self._reseed()
+        at, inverse = found
+        at = at[inverse]
         lens = self.lens[at]
         ids = self.flat[ragged(self.starts[at], lens)]
         sums = np.zeros(len(begins) + 1, np.int64)
@@ -273,6 +284,28 @@ class Codec:
         stop = np.cumsum(per)
         return ids, sums[stop] - sums[stop - per]
 
+    def _resolve(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray):
+        """(memo entry of every distinct pre-token, distinct one of every pre-token), or None if two
+        pre-tokens share a hash: the bytes of every pre-token are compared with its memo entry's."""
+        self.spans.load(data)
+        h, one, inverse = np.unique(self.spans.spans(begins, ends), return_index=True, return_inverse=True)
+        size = ends - begins
+        first, first_size = begins[one], size[one]
+        # the pre-tokens cover the data in order, so the data itself is what their bytes are compared with
+        if not np.array_equal(size, first_size[inverse]) or not np.array_equal(data, data[ragged(first[inverse], size)]):
+            return None
+        known = self.memo
+        hashes = h.tolist()
+        fresh = [i for i, x in enumerate(hashes) if x not in known]
+        if fresh:
+            raw, s, e = data.tobytes(), first, ends[one]
+            self._learn([hashes[i] for i in fresh], [raw[s[i]:e[i]] for i in fresh])
+        at = np.fromiter(map(known.__getitem__, hashes), np.int64, len(hashes))
+        kept = self.key_flat[ragged(self.key_starts[at], self.key_lens[at])]
+        if not np.array_equal(first_size, self.key_lens[at]) or not np.array_equal(kept, data[ragged(first, first_size)]):
+            return None
+        return at, inverse
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all id lists one after another, byte offsets per list)."""
         self._prepare()
