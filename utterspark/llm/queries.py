@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterspark.llm import bpe, cross_polytope, host_paths, langid, mixing, ngram_join, order_minhash, revisits, token_spans, toxicity
+from utterspark.llm import bpe, cross_polytope, host_paths, langid, mixing, ngram_join, order_minhash, revisits, token_spans, toxicity, winnowing
 from utterspark.llm.common import crc_mod, prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -77,7 +77,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("t.score") >= 0.7).cast("int").alias("predicted"), F.col("t.evidence").alias("evidence"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_cross_polytope, op3_language_id, op4_ngram_jaccard, op5_warc_revisits,
-    op6_byte_bpe, op7_token_spans, op8_host_paths, op9_mixing, op10_toxicity)}
-ORACLES = {"op5_warc_revisits": revisits.ORACLE, "op9_mixing": mixing.ORACLE}
+    op6_byte_bpe, op7_token_spans, op8_host_paths, op9_mixing, op10_toxicity, op11_winnowing)}
+ORACLES = {"op5_warc_revisits": revisits.ORACLE, "op9_mixing": mixing.ORACLE, "op11_winnowing": winnowing.ORACLE}
