@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterspark.llm import bpe, cross_polytope, host_paths, langid, mixing, ngram_join, order_minhash, revisits, token_spans, toxicity, winnowing
+from utterspark.llm import bpe, cross_polytope, host_paths, importance, langid, mixing, ngram_join, order_minhash, revisits, spelling, token_spans, toxicity, winnowing
 from utterspark.llm.common import crc_mod, prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -83,7 +83,16 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_cross_polytope, op3_language_id, op4_ngram_jaccard, op5_warc_revisits,
-    op6_byte_bpe, op7_token_spans, op8_host_paths, op9_mixing, op10_toxicity, op11_winnowing)}
-ORACLES = {"op5_warc_revisits": revisits.ORACLE, "op9_mixing": mixing.ORACLE, "op11_winnowing": winnowing.ORACLE}
+    op6_byte_bpe, op7_token_spans, op8_host_paths, op9_mixing, op10_toxicity, op11_winnowing, op12_importance_resampling, op13_spelling_variants)}
+ORACLES = {"op5_warc_revisits": revisits.ORACLE, "op9_mixing": mixing.ORACLE, "op11_winnowing": winnowing.ORACLE, "op12_importance_resampling": importance.ORACLE, "op13_spelling_variants": spelling.ORACLE}
