@@ -9,7 +9,7 @@ from tests.llm.helpers import awkward_docs, docs_frame, empty, write_tables
 from utterspark.llm import queries, spelling
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
-AZ = str.maketrans(spelling.UPPER, spelling.LOWER)
+AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 KIND = "word string, n long"
 
 
@@ -120,6 +120,12 @@ def test_deletions_follow_the_keyed_rule(spark):
     assert got == want and any(len(w) < 10 for w in want)
 
 
+def test_runs_in_portions_and_very_long_runs(spark, monkeypatch):
+    docs = fixture() + [(4000 + i, "É" * 5_000 + " a" + "bc" * 40_000 + "ÀÉ") for i in range(6)] + [(5000 + i, "Ã ã·Ã3Ãx€àbcdéf") for i in range(6)]
+    got = [{r.word: r.n for r in spelling.word_counts(docs_frame(spark, [(*d, "en", "s") for d in docs]), every=e).collect()} for e in (199, 1 << 31)]
+    assert got[0] == brute_counts(docs) and "àbcdéf" in got[1]
+
+
 def test_empty_tables(spark):
     docs = docs_frame(spark)
     assert spelling.variants(spelling.word_counts(empty(docs))).collect() == []

@@ -16,7 +16,8 @@ Forms and roots: a word's form is its near word of largest count, where that is
 or more. Counts grow by that factor along a chain, so chains have no cycles and few steps; roots are
 found by pointer doubling, each round a join that ends in a checkpoint.
 
-Scale: words are counted by one partial aggregate over the runs of the texts. Everything after that works
+Scale: words are counted per task (all runs of a slice of texts at once, crc32 by its linearity as in
+``importance``) and summed by Spark. Everything after that works
 on distinct words: a fixed number of signatures a word, a join that AQE splits where a signature is
 common, and at most alphabet x length near words a word. Nothing but one table of group numbers (256 letters x 8
 occurrences) reaches the driver.
@@ -32,36 +33,82 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import mix64, prepare, utf8
-from utterspark.llm.importance import CRC32_SQL
+from utterspark.llm.common import FOLD_AZ, list_binary, mix64, prepare, ragged, row_slices, utf8, word_spans
+from utterspark.llm.importance import CRC32_SQL, Crc32
 
 MIN_LETTERS, MIN_COUNT, RATIO = 6, 5, 5
 EVERY = 199  # one in so many (document, run) pairs loses a letter
 GROUPS = {1: 5, 2: 6}  # distance: groups
 LETTERS, OCCURRENCES = 256, 8  # dimensions with a counted place; others go by their hash
+HELD = 1 << 19  # distinct words a counting task holds
 MAX_ROUNDS = 12  # doubling rounds: 2**12 steps, where a chain of counts of 64 bits has 27 at most
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ASCII = np.zeros(256, bool)
+_ASCII[[*range(65, 91), *range(97, 123)]] = True
+_NO_LETTER = np.array([True, False])
 
 
-def altered(run: Column, key: Column, every: int = EVERY) -> Column:
-    """``run``, or without one letter where ``every`` divides the crc32 of "key:run"."""
-    h = F.crc32(F.concat(key, F.lit(":"), run).cast("binary"))
-    at = F.pmod(h, F.char_length(run)).cast("int")
-    cut = F.concat(F.substr(run, F.lit(1), at), F.substr(run, at + 2))
-    return F.when(F.pmod(h, F.lit(every)) == 0, cut).otherwise(run)
-
+def runs_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes with A-Z in lower case, starts, ends, rows, letters) of all maximal runs of letters. In
+    UTF-8 the letters from U+00C0 to U+00FF are the lead byte C3 and any second byte."""
+    data, off = utf8(arr)
+    letter = _ASCII[data] | (data == 0xC3)
+    letter[1:] |= data[:-1] == 0xC3
+    starts, ends, row = word_spans(letter.view(np.uint8), off, _NO_LETTER)
+    before = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+    return FOLD_AZ[data], starts, ends, row, before[ends] - before[starts]
+
+
+def _count_task(every: int, min_letters: int):
+    """(word, n) per task, in portions of at most ``HELD`` distinct words."""
+    def words(x, crc):
+        data, starts, ends, row, letters = runs_of(x.column("text"))
+        # a run that is too short stays too short without a letter
+        long = letters >= min_letters
+        starts, ends, row, letters = starts[long], ends[long], row[long], letters[long]
+        keys, off = utf8(x.column("key"))
+        first = crc.shift(np.full(len(off) - 1, 0xFFFFFFFF, np.uint32), np.diff(off)) ^ crc.spans(keys, off[:-1], off[1:])
+        h = ~(crc.shift(first[row], ends - starts) ^ crc.spans(data, starts, ends))
+        cut = h % np.uint32(every) == 0
+        size = np.where(cut, 0, ends - starts)
+        kept = size > 0
+        whole = list_binary(data[ragged(starts, size)], np.append(0, np.cumsum(size[kept]))).cast(pa.string())
+        less = []
+        for i in np.flatnonzero(cut).tolist():
+            if letters[i] > min_letters:
+                run = data[starts[i]:ends[i]].tobytes().decode()
+                at = int(h[i]) % len(run)
+                less.append(run[:at] + run[at + 1:])
+        return pa.concat_arrays([whole, pa.array(less, pa.string())])
 
-def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_letters: int = MIN_LETTERS, min_count: int = MIN_COUNT) -> DataFrame:
-    """(word, n): the words of all texts and their number of occurrences."""
-    # a run that is too short stays too short without a letter, so the pattern asks for the least length
-    runs = F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(f"([A-Za-zÀ-ÿ]{{{min_letters},}})"), F.lit(1))
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    d = docs.select(key.alias("key"), F.explode(runs).alias("run")).withColumn("run", F.translate("run", UPPER, LOWER))
-    words = d.select(altered(F.col("run"), F.col("key")).alias("word")).where(F.char_length("word") >= min_letters)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    def run(batches):
+        crc, sums = Crc32(), None
+        for b in batches:
+            for lo, hi in row_slices(b.column("text")):
+                n = words(b.slice(lo, hi - lo), crc).value_counts()
+                part = pa.table({"word": n.field("values"), "n": n.field("counts")})
+                sums = part if sums is None else pa.concat_tables([sums, part])
+                if len(sums) > HELD:
+                    sums = sums.group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+                    if len(sums) > HELD // 2:
+                        yield from sums.to_batches(max_chunksize=1 << 16)
+                        sums = None
+        if sums is not None:
+            yield from sums.group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"]).to_batches(max_chunksize=1 << 16)
+    return run
+
+
+def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_letters: int = MIN_LETTERS, min_count: int = MIN_COUNT,
+                every: int = EVERY) -> DataFrame:
+    """(word, n): the words of all texts and their number of occurrences. Where ``every`` divides the
+    crc32 h of "id:run", the run loses its letter h modulo its length."""
+    prepare(docs.sparkSession)
+    key = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"))
+    d = docs.select(key.alias("key"), F.col(text_col).cast("string").alias("text"))
+    words = d.mapInArrow(_count_task(every, min_letters), "word string, n long")
+    return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
 def dimensions(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
