@@ -17,6 +17,7 @@ from utterspark.operators import decide as D
 from utterspark.operators import features as FT
 from utterspark.operators import labels as L
 from utterspark.operators import metrics as M
+from utterspark.operators import subwords as S
 from utterspark.operators import training as T
 from utterspark.plans.feature_plans import VECTOR_DIM, hashed_vectors
 from utterspark.plans.registry import register
@@ -41,6 +42,33 @@ def word_vectors(spark, sf_dir):
     return vecs
 
 
+def _subword_sql():
+    from utterspark.plans.feature_plans import TOK_SQL
+
+    return f"""
+WITH {SPLIT},
+occ AS (SELECT unnest({TOK_SQL}) AS token FROM corpus_split WHERE split = 'train')
+SELECT token, count(*) AS n,
+       CAST(list_sum([greatest(length(token) + 3 - k, 0) for k in [3, 4, 5, 6]]) AS INTEGER) AS n_grams,
+       200 AS dim, true AS trained
+FROM occ GROUP BY token
+"""
+
+
+@register("subword_skipgram", _subword_sql())
+def subword_skipgram(spark, sf_dir):
+    """Joint skip-gram over words and character n-grams, trained on the whole train split: every training
+    word with its count, its n-grams, and whether its vector has the full width and finite values."""
+    s = corpus_split(spark, sf_dir).filter(F.col("split") == "train")
+    tokens = materialize(s.select(tokenize_ws("text").alias("tokens")))
+    model = S.fit_subword_skipgram(tokens)
+    n = tokens.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    norm = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+    words = S.with_grams(model.words).join(n, "token")
+    return words.select("token", "n", F.size("grams").alias("n_grams"), F.size("vec").alias("dim"),
+                        ((norm > 0) & (norm < F.lit(float("inf")))).alias("trained"))
+
+
 @register("ovr_fit")
 def ovr_fit(spark, sf_dir):
     """Embedding flow: mean vectors of the corpus texts -> one-vs-rest logistic
@@ -164,9 +192,8 @@ def weighted_eval(spark, sf_dir):
 
 @register("embedding_flow")
 def embedding_flow(spark, sf_dir):
-    """The embedding flow end to end on its own corpus (positive sheets only):
-    skip-gram word vectors on the train texts; subword vectors for tokens unseen in training; text vectors as the
-    mean over tokens; one-vs-rest logistic regression fitted on train; the
+    """The embedding flow end to end on its own corpus (positive sheets only): skip-gram over words and
+    character n-grams on the train texts, so tokens unseen in training have vectors; text vectors as the mean over tokens; one-vs-rest logistic regression fitted on train; the
     top-3 labels with normalised one-vs-rest probabilities for every test row
     and every incoming user turn."""
     from utterspark.functions.arrays import sigmoid_normalised
@@ -178,18 +205,15 @@ def embedding_flow(spark, sf_dir):
     enc = L.encode_labels(s, labels, unseen="error")
     enc = materialize(enc.select(F.concat_ws("|", "source_file", F.col("row_pos").cast("string")).alias("uid"),
                                  "text", "split", "label_idx"))
-    _, words = T.fit_word_vectors(enc.filter(F.col("split") == "train")
-                                  .select(tokenize_ws("text").alias("tokens")))
-    words = materialize(words)
-    grams = materialize(FT.fit_subword_vectors(words, dim=T.W2V_VECTOR_SIZE))
+    model = S.fit_subword_skipgram(enc.filter(F.col("split") == "train").select(tokenize_ws("text").alias("tokens")))
     turns = valid_inputs(table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
                          .select(F.concat_ws("|", F.col("conv_id").cast("string"),
                                              F.col("turn").cast("string")).alias("uid"), "text"))
     texts = enc.select("uid", "text", "split", "label_idx").unionByName(
         turns.select("uid", "text", F.lit("incoming").alias("split"), F.lit(None).cast("int").alias("label_idx")))
     toks = texts.select(F.explode(tokenize_ws("text")).alias("token"))
-    tv = materialize(FT.token_vectors(toks, words, grams, dim=T.W2V_VECTOR_SIZE))
-    mv = FT.mean_vectors(texts, "uid", tokenize_ws("text"), tv, T.W2V_VECTOR_SIZE)
+    tv = materialize(model.token_vectors(toks))
+    mv = FT.mean_vectors(texts, "uid", tokenize_ws("text"), tv, model.dim)
     data = materialize(texts.select("uid", "split", "label_idx").join(mv, "uid"))
     model = T.fit_ovr(data.filter((F.col("split") == "train") & F.col("label_idx").isNotNull()),
                       "vector", "label_idx")
