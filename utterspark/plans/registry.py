@@ -21,6 +21,7 @@ _MODULES = (
     "utterspark.plans.model_plans",
     "utterspark.plans.stream_plans",
     "utterspark.plans.sheet_plans",
+    "utterspark.plans.piece_plans",
 )
 
 
