@@ -250,10 +250,8 @@ def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
     return texts.select(id_col, count(F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)).cast("int"))).alias("x"))
 
 
-def _softmax_run(spark, sf_dir):
-    """Corpus -> hashed bag-of-words -> 30 AdamW epochs; returns the history,
-    every epoch's model, the chosen epoch, the feature rows and the labels."""
-    from utterspark.operators import epochs as EP
+def _hashed_rows(spark, sf_dir, dim: int):
+    """Corpus -> rows (uid, y, split, batch_id, w, x) with hashed bag-of-words features, and the labels."""
     from utterspark.operators.split import with_batch_id
 
     enc, labels = _encoded(spark, sf_dir)
@@ -261,15 +259,48 @@ def _softmax_run(spark, sf_dir):
         "source_file", "row_pos", "text", "split", "rank", "is_negative", F.col("label_idx").cast("int").alias("y"))
     enc = with_batch_id(enc).drop("rank")
     keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))
-    feats = hashed_bow(keyed.select("uid", "text"), "uid")
-    data = materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
-                       .join(feats, "uid"))
+    feats = hashed_bow(keyed.select("uid", "text"), "uid", dim)
+    return materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
+                       .join(feats, "uid")), labels
+
+
+def _softmax_run(spark, sf_dir):
+    """Corpus -> hashed bag-of-words -> 30 AdamW epochs; returns the history,
+    every epoch's model, the chosen epoch, the feature rows and the labels."""
+    from utterspark.operators import epochs as EP
+
+    data, labels = _hashed_rows(spark, sf_dir, HASHED_DIM)
     hist, models = EP.fit_softmax_epochs(data, labels.count(), HASHED_DIM)
     hist = materialize(hist)
     best = M.best_epoch(hist).first()["best_epoch"]
     return hist, models, best, data, labels
 
 
+# Fixed value: width of the features of the head that is trained batch by batch (every step moves all weights).
+BATCH_DIM = 1 << 12
+
+
+@register("softmax_batches")
+def softmax_batches(spark, sf_dir):
+    """Per-batch training as in the canonical flow: 30 epochs of AdamW steps on reshuffled batches of 32,
+    loss and accuracy before each step, negatives weighted 1.5; the first strict best epoch by
+    validation accuracy is chosen and evaluated on the test split."""
+    from utterspark.operators import batches as B
+    from utterspark.operators import epochs as EP
+
+    data, labels = _hashed_rows(spark, sf_dir, BATCH_DIM)
+    hist, models = B.fit_softmax_batches(data, labels.count(), BATCH_DIM, "uid")
+    hist = materialize(hist)
+    best = M.best_epoch(hist).first()["best_epoch"]
+    test_acc = None
+    if best is not None:
+        test = EP.score_with(data.filter(F.col("split") == "test"), models, int(best))
+        test_acc = M.accuracy(test, "y", "pred_idx").first()["accuracy"]
+    chosen = F.coalesce(F.col("epoch") == F.lit(best), F.lit(False))
+    return hist.select("epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "train_acc", "valid_loss", "valid_acc")], chosen.alias("chosen"),
+                       F.when(chosen, F.round(F.lit(test_acc).cast("double"), 6)).alias("test_acc"))
+
+
 @register("softmax_epochs")
 def softmax_epochs(spark, sf_dir):
     """Epoch training with model choice on the corpus: a softmax head over
