@@ -8,7 +8,8 @@ class, one per distinct text; they are the classifier, everything else covers al
 
 The terms of the examples are broadcast with the index. The frequencies of the other terms, which count
 only in norms, are broadcast up to ``TABLE_TERMS`` terms of two or more documents; beyond that a join in
-Spark gives every text its norm, with the same results.
+Spark gives every text its norm, with the same results. Both tables are packed in tasks, in blocks of a
+hash range; the driver passes the blocks on and never unpacks them.
 
 Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut by range and each cut
 keeps its largest weight. For a query, the sum of query weight x largest weight bounds every range
@@ -17,7 +18,8 @@ cosine found. The ``K`` nearest vote with their squared cosine against a constan
 like it"; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a
 probability at the labelled base rate. The nearest examples are returned as evidence.
 
-The index (bounded by the examples' terms) is built on the driver and broadcast; scoring is a projection.
+The examples' term counts (``MAX_EXAMPLE_BYTES`` of texts a class at most) are broadcast packed; a worker builds
+the index from them once. Leave-one-out votes are a job over the examples; scoring is a projection.
 
 Defined results: a text without a term of an example, a null or an empty text has no neighbours, vote 0
 and the curve's value there; ties of cosine go to the smaller example id; a document labelled twice counts
@@ -34,8 +36,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices, unused, utf8, word_spans
+from utterspark.session import shuffle_partitions
 
 MAX_EXAMPLES = 5_000
+MAX_EXAMPLE_BYTES = 64 << 20  # of texts a class; later examples in hash order are left out
+BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 64, 1.0
@@ -98,41 +103,54 @@ def _frequency_task(batches):
     yield pa.RecordBatch.from_pydict({"term": pa.array([-1], pa.int64()), "n": pa.array([rows], pa.int64())})
 
 
+def _pack_block(t: pa.Table) -> pa.Table:
+    """The terms of a hash range in order, as steps, their numbers of documents and whether an example has them."""
+    t = t.sort_by("term")
+    term = t.column("term").to_numpy().view(np.uint64)
+    n = t.column("n").to_numpy()
+    step = np.diff(term, prepend=np.uint64(0))
+    kinds = [np.uint32 if len(x) == 0 or x.max() < 1 << 32 else np.uint64 for x in (step[1:], n)]
+    return pa.table({"block": t.column("block")[:1], "first": pa.array(term[:1].view(np.int64)), "step": pa.array([step[1:].astype(kinds[0]).tobytes()], pa.binary()),
+                     "n": pa.array([n.astype(kinds[1]).tobytes()], pa.binary()), "own": pa.array([np.packbits(t.column("own").to_numpy(zero_copy_only=False)).tobytes()], pa.binary()),
+                     "size": pa.array([len(term)], pa.int64())})
+
+
 class Vocabulary:
-    """Terms in hash order with their idf and place among the terms of the examples (-1: of none)."""
-
-    def __init__(self, terms: np.ndarray, n: np.ndarray, documents: int, examples: np.ndarray):
-        self.documents = documents
-        self.terms = np.union1d(terms, examples)
-        self.n = np.ones(len(self.terms), np.uint32 if documents < 1 << 32 else np.int64)
-        self.n[np.searchsorted(self.terms, terms)] = n
-        self.own = np.zeros(len(self.terms), bool)
-        self.own[np.searchsorted(self.terms, examples)] = True
-        self._derive()
-
-    def _derive(self):
-        self.rare, self.idf = self.idf_of(1), self.idf_of(self.n)
-        self.place = np.where(self.own, np.cumsum(self.own) - 1, -1).astype(np.int32)
-        self.hasher = None
+    """Terms in hash order with their idf and place among the terms of the examples (-1: of none). What
+    is sent are the packed blocks; a worker unpacks them when it first needs them."""
+
+    def __init__(self, blocks: list, documents: int):
+        self.blocks, self.documents, self.hasher = sorted(blocks), documents, None
+
+    def __getstate__(self):
+        return {"blocks": self.blocks, "documents": self.documents, "hasher": None}
+
+    def _unpack(self):
+        terms, n, own = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, bool)]
+        for _, first, step, count, mine, size in self.blocks:
+            step = np.frombuffer(step, np.uint32 if len(step) == 4 * (size - 1) else np.uint64)
+            terms.append(np.uint64(first) + np.append(np.uint64(0), np.cumsum(step, dtype=np.uint64)))
+            n.append(np.frombuffer(count, np.uint32 if len(count) == 4 * size else np.uint64))
+            own.append(np.unpackbits(np.frombuffer(mine, np.uint8), count=size).astype(bool))
+        self.terms, own = np.concatenate(terms), np.concatenate(own)
+        self.rare, self.idf = self.idf_of(1), self.idf_of(np.concatenate(n))
+        self.place = np.where(own, np.cumsum(own) - 1, -1).astype(np.int32)
+        self.own_idf = self.idf[own]
+        self.hasher = SpanHasher()
 
     def idf_of(self, n):
         return np.log((1.0 + self.documents) / (1.0 + n)) + 1.0
 
-    def __getstate__(self):  # what is broadcast lies on every machine's disk: steps and counts only
-        step = np.diff(self.terms, prepend=np.uint64(0))
-        return {"step": step.astype(np.uint32) if step.max(initial=0) < 1 << 32 else step, "n": self.n, "own": np.packbits(self.own), "documents": self.documents}
-
-    def __setstate__(self, x):
-        self.documents, self.n = x["documents"], x["n"]
-        self.terms = np.cumsum(x["step"], dtype=np.uint64)
-        self.own = np.unpackbits(x["own"], count=len(self.n)).astype(bool)
-        self._derive()
+    def example_idf(self) -> np.ndarray:
+        if self.hasher is None:
+            self._unpack()
+        return self.own_idf
 
     def vectors(self, arr: pa.Array, square: np.ndarray | None = None):
         """(row starts, places of example terms, their weights in unit vectors, their counts, squared
         norms) of the rows of a slice; ``square`` has squared norms that were computed elsewhere."""
         if self.hasher is None:
-            self.hasher = SpanHasher()
+            self._unpack()
         row, t, n = term_counts(arr, self.hasher)
         at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
         known = self.terms[at] == t
@@ -159,10 +177,6 @@ class BlockMaxIndex:
         by = np.lexsort((doc, term))
         self.doc, self.weight = doc[by], weight[by]
         self.per_term = np.bincount(term, minlength=n_terms)
-        self.by, self.order, self.source = by, order, None
-        self._cut()
-
-    def _cut(self):
         t = np.repeat(np.arange(len(self.per_term), dtype=np.int32), self.per_term)
         rng = (self.doc // RANGE).astype(np.int32)
         cut = np.ones(len(t), bool)
@@ -174,25 +188,6 @@ class BlockMaxIndex:
         self.cuts_of = np.searchsorted(t[self.begin], np.arange(len(self.per_term) + 1))
         self.n_ranges = -(-len(self.ids) // RANGE)
 
-    def compact(self, count: np.ndarray, idf: np.ndarray, square: np.ndarray) -> None:
-        """From now on the index is sent as counts; the weights are computed again from the same numbers."""
-        count = count[self.by]
-        self.source = count.astype(np.min_scalar_type(int(count.max(initial=0)))), idf, square[self.order]
-        self.by = self.order = None
-
-    def __getstate__(self):
-        if self.source is None:
-            return self.__dict__
-        return {"ids": self.ids, "label": self.label, "doc": self.doc.astype(np.min_scalar_type(len(self.ids))), "per_term": self.per_term.astype(np.int32), "source": self.source}
-
-    def __setstate__(self, x):
-        self.__dict__.update(x)
-        if self.source is not None:
-            count, idf, square = self.source
-            self.doc = self.doc.astype(np.int32)
-            self.weight = (1.0 + np.log(count.astype(np.int64))) * np.repeat(idf, self.per_term) / np.sqrt(square[self.doc])
-            self._cut()
-
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest examples with a positive cosine, nearest first."""
         lo = self.cuts_of[term]
@@ -223,11 +218,38 @@ class BlockMaxIndex:
         return places, scores
 
 
+class Examples:
+    """The examples' places of terms and counts, packed a text; a worker builds the index from them."""
+
+    def __init__(self, rows: list):
+        self.rows, self.built = sorted(rows), None
+
+    def __getstate__(self):
+        return {"rows": self.rows, "built": None}
+
+    def index(self, idf: np.ndarray) -> BlockMaxIndex:
+        """The index; ``starts``, ``term`` and ``weight`` of the examples stay beside it."""
+        if self.built is None:
+            size = np.array([len(r[1]) // 4 for r in self.rows], np.int64)
+            self.starts = np.append(0, np.cumsum(size))
+            self.term = np.frombuffer(b"".join([r[1] for r in self.rows]), np.int32)
+            count = np.frombuffer(b"".join([r[2] for r in self.rows]), np.int32)
+            square = np.repeat(np.array([r[4] for r in self.rows], float), size)
+            self.weight = (1.0 + np.log(count.astype(np.int64))) * idf[self.term] / np.sqrt(square)
+            ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
+            self.built = BlockMaxIndex(self.starts, self.term, self.weight, ids, label, len(idf))
+        return self.built
+
+
 class Model:
-    def __init__(self, vocabulary: Vocabulary | None, index: BlockMaxIndex | None, base: float, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
-        self.vocabulary, self.index, self.base, self.a, self.b = vocabulary, index, base, a, b
+    def __init__(self, vocabulary: Vocabulary | None, examples: Examples | None, base: float, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
+        self.vocabulary, self.examples, self.base, self.a, self.b = vocabulary, examples, base, a, b
         self.frequencies = frequencies  # (term, n), where they are too many to be in the vocabulary
 
+    @property
+    def index(self) -> BlockMaxIndex | None:
+        return None if self.examples is None else self.examples.index(self.vocabulary.example_idf())
+
     def __getstate__(self):
         return {**self.__dict__, "frequencies": None}
 
@@ -241,15 +263,16 @@ class Model:
     def score(self, arr: pa.Array, square: np.ndarray | None = None):
         """Score and evidence (example ids, cosines, labels) of every text of a slice."""
         n = len(arr)
-        if self.index is None:
+        if self.examples is None:
             return np.full(n, self.base), [[] for _ in range(n)]
+        index = self.index
         starts, term, weight, _, _ = self.vocabulary.vectors(arr, square)
         votes, evidence = np.zeros(n), [[] for _ in range(n)]
         for i in np.flatnonzero(np.diff(starts)):
             lo, hi = starts[i], starts[i + 1]
-            p, c = self.index.nearest(term[lo:hi], weight[lo:hi], K)
+            p, c = index.nearest(term[lo:hi], weight[lo:hi], K)
             votes[i] = self.vote(p, c)
-            evidence[i] = [{"example_id": int(self.index.ids[x]), "cosine": float(y), "toxic": int(self.index.label[x])} for x, y in zip(p[:EVIDENCE], c)]
+            evidence[i] = [{"example_id": int(index.ids[x]), "cosine": float(y), "toxic": int(index.label[x])} for x, y in zip(p[:EVIDENCE], c)]
         return self.probability(votes), evidence
 
 
@@ -269,7 +292,8 @@ def _calibrate(vote: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        max_examples: int = MAX_EXAMPLES, table_terms: int = TABLE_TERMS) -> Model:
+        max_examples: int = MAX_EXAMPLES, table_terms: int = TABLE_TERMS,
+        max_bytes: int = MAX_EXAMPLE_BYTES) -> Model:
     """Fit on ``labels`` (doc_id, toxic); statistics come from all rows of ``docs``."""
     spark = docs.sparkSession
     prepare(spark)
@@ -287,49 +311,65 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = (lab.withColumn("place", place).where(F.col("place") < share * float(1 << 30))
               .withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= max_examples).drop("r", "place"))
     # at most 2 x max_examples rows of two numbers: a proven bound
+    in_order = Window.partitionBy("toxic").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     ex = (d.join(F.broadcast(sample), "doc_id").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
-          .where("text is not null").checkpoint(eager=True))
+          .where("text is not null").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
+          .withColumn("bytes", F.sum(F.octet_length("text")).over(in_order)).where(F.col("bytes") <= max_bytes).select("text", "doc_id", "toxic").checkpoint(eager=True))
     size = {r["toxic"]: r["n"] for r in ex.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return Model(None, None, base)
     n1, n0 = float(size[1]), float(size[0])
     counts = d.select("text").mapInArrow(_frequency_task, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).checkpoint(eager=True)
     documents = counts.where("term = -1").first()["n"]
-    counts = counts.where("term >= 0")
+    often = counts.where("term >= 0 and n > 1")
     # the examples' terms: bounded by the examples
-    own = ex.select("text").mapInArrow(_frequency_task, "term long, n long").where("term >= 0").select("term").distinct()
-    often = counts.where("n > 1")
+    own = ex.select("text").mapInArrow(_frequency_task, "term long, n long").where("term >= 0").select("term").distinct().withColumn("own", F.lit(True))
     small = often.count() <= table_terms
-    kept = often if small else often.join(own, "term", "left_semi")
-    known, mine = kept.toPandas().sort_values("term"), np.sort(own.toPandas()["term"].to_numpy(np.int64)).view(np.uint64)
-    if not len(mine):
+    kept = often.join(own, "term", "full" if small else "right")
+    kept = kept.select("term", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("own", F.lit(False)).alias("own"), F.shiftright("term", BLOCK_SHIFT).cast("int").alias("block"))
+    blocks = _rows(kept.groupBy("block").applyInArrow(_pack_block, "block int, first long, step binary, n binary, own binary, size long"))
+    if not blocks:
         return Model(None, None, base)
-    vocabulary = Vocabulary(known["term"].to_numpy(np.int64).view(np.uint64), known["n"].to_numpy(np.int64), documents, mine)
+    vocabulary = Vocabulary(blocks, documents)
     model = Model(vocabulary, None, base, frequencies=None if small else often)
     ex, square = _with_norms(ex, model)
     shared = spark.sparkContext.broadcast(vocabulary)
-    rows = (ex.select("doc_id", "toxic", "text", square.alias("square")).mapInArrow(_vector_task(shared, small), "doc_id long, toxic int, terms binary, counts binary, square double")
-            .toPandas().sort_values(["doc_id", "terms", "counts"]))
-    shared.destroy()
-    size_of = np.array([len(x) // 4 for x in rows["terms"]], np.int64)
-    starts = np.concatenate([[0], np.cumsum(size_of)])
-    term, count = (np.frombuffer(b"".join(rows[c]), np.int32) for c in ("terms", "counts"))
-    square = rows["square"].to_numpy(float)
-    ids, label = rows["doc_id"].to_numpy(np.int64), rows["toxic"].to_numpy(np.int64)
-    del rows
-    idf = vocabulary.idf[vocabulary.own]
-    weight = (1.0 + np.log(count.astype(np.int64))) * idf[term] / np.sqrt(np.repeat(square, size_of))
-    model.index = BlockMaxIndex(starts, term, weight, ids, label, len(mine))
-    model.index.compact(count, idf, square)
-    votes = np.zeros(len(ids))
-    for i in np.flatnonzero(np.diff(starts)):
-        p, c = model.index.nearest(term[starts[i]:starts[i + 1]], weight[starts[i]:starts[i + 1]], K, skip=int(model.index.place[i]))
-        votes[i] = model.vote(p, c)
+    packed = ex.select("doc_id", "toxic", "text", square.alias("square")).mapInArrow(_vector_task(shared, small), "doc_id long, terms binary, counts binary, toxic int, square double")
+    model.examples = Examples(_rows(packed))
+    # each example's vote among the others, by tasks
+    whole = spark.sparkContext.broadcast(model)
+    tasks = max(1, min(shuffle_partitions(spark), len(model.examples.rows) // 64))
+    votes = spark.range(0, len(model.examples.rows), 1, tasks).mapInArrow(_left_out_task(whole), "vote double, toxic double").toPandas()
     # classes are sampled at different rates: weigh them back to the labelled shares
-    model.a, model.b = _calibrate(votes, label.astype(float), np.where(label == 1, n[1] / n1, n[0] / n0))
+    y = votes["toxic"].to_numpy()
+    model.a, model.b = _calibrate(votes["vote"].to_numpy(), y, np.where(y == 1, n[1] / n1, n[0] / n0))
+    shared.destroy()
+    whole.destroy()
     return model
 
 
+def _rows(df: DataFrame) -> list[tuple]:
+    """The rows of a table of bounded size."""
+    return list(zip(*[c.to_pylist() for c in df.toArrow().columns]))
+
+
+def _left_out_task(shared):
+    """The vote of the other examples on each example, and its label."""
+    def run(batches):
+        model = shared.value
+        index = model.index
+        x = model.examples
+        for b in batches:
+            numbers = b.column("id").to_numpy()
+            votes = np.zeros(len(numbers))
+            for j, i in enumerate(numbers.tolist()):
+                lo, hi = x.starts[i], x.starts[i + 1]
+                if hi > lo:
+                    votes[j] = model.vote(*index.nearest(x.term[lo:hi], x.weight[lo:hi], K, skip=int(index.place[i])))
+            yield pa.RecordBatch.from_pydict({"vote": pa.array(votes), "toxic": pa.array([float(x.rows[i][3]) for i in numbers.tolist()])})
+    return run
+
+
 def _norm_task():
     """(key, weight without idf, term) of every distinct term of a text; a row without term per text."""
     def run(batches):
@@ -368,9 +408,10 @@ def _vector_task(shared, own_norms: bool):
                 s, term, _, n, square = v.vectors(x.column("text"), None if own_norms else x.column("square").to_numpy(zero_copy_only=False))
                 cuts = list(zip(s[:-1].tolist(), s[1:].tolist()))
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": x.column("doc_id").cast(pa.int64()), "toxic": x.column("toxic").cast(pa.int32()),
+                    "doc_id": x.column("doc_id").cast(pa.int64()),
                     "terms": pa.array([term[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()),
-                    "counts": pa.array([n[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()), "square": pa.array(square)})
+                    "counts": pa.array([n[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()),
+                    "toxic": x.column("toxic").cast(pa.int32()), "square": pa.array(square)})
     return run
 
 
