@@ -137,7 +137,7 @@ def fit_softmax_batches(df: DataFrame, n_classes: int, dim: int, id_col: str, ep
             shared = spark.sparkContext.broadcast((*state, steps))
             blocks = dealt.mapInArrow(_epoch_task(shared, e, dim, lr, seed, in_all), "c int, at int, g binary")
             state = [np.zeros((n_classes, dim + 1)) for _ in range(3)]
-            for r in blocks.groupBy("c", "at").applyInArrow(EP._sum_blocks, "c int, at int, g binary").toLocalIterator():
+            for r in blocks.groupBy("c", "at").applyInArrow(EP._sum_blocks, "c int, at int, g binary").collect():  # the size of the model
                 block = np.frombuffer(r["g"], np.float64)
                 if r["c"] < 0:
                     figures = block
