@@ -231,3 +231,21 @@ def test_pipeline_of_an_empty_table(spark, tmp_dir):
     write_tables(spark, tmp_dir, [])
     assert os.path.isdir(tmp_dir) and WORDS
     assert corpus_pipeline.run(spark, tmp_dir).count() == 0
+
+
+def test_mixed_words_equal_the_plan_when_ids_clash(spark, tmp_dir):
+    """Rows that share an id, a source and even a size each appear as often as their own row of the plan."""
+    docs = [(i % 12 if i % 3 else None, prose(i, 20 + i % 4), "en", f"s{i % 2}") for i in range(90)] + [(1, prose(1, 21), "en", "s1")] * 4 + [(2, None, "en", None)]
+    write_tables(spark, tmp_dir, docs, [(i, i % 2, 0) for i in range(6)])
+    frame = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    plan = mixing.mix(frame, spark.read.parquet(f"{tmp_dir}/labels.parquet")).collect()
+    got = corpus_pipeline.mix_sources(spark, frame, tmp_dir)
+    assert got.columns == frame.columns
+    rows = got.collect()
+    assert len(rows) == sum(r.copies for r in plan)
+    assert sum(len((r.text or "").split()) for r in rows) == sum(r.taken for r in plan)
+    key = lambda i, s, n: (str(i), str(s), n)
+    want = Counter()
+    for r in plan:
+        want[key(r.doc_id, r.source, r.size)] += r.copies
+    assert Counter(key(r.doc_id, r.source, len((r.text or "").split())) for r in rows) == +want

@@ -1,3 +1,4 @@
+import time
 import html as html_lib
 
 import numpy as np
@@ -122,6 +123,49 @@ def test_only_the_hidden_attribute_hides():
         assert H.extract(f"<div {attrs}><p>gone</p></div><p>kept</p>", None) == "kept", attrs
 
 
+ARTICLE = "".join(f"<p>Sentence number {i} of an article, with enough words to be its text.</p>" for i in range(12))
+BODY = "\n\n".join(f"Sentence number {i} of an article, with enough words to be its text." for i in range(12))
+
+
+def test_wrappers_with_furniture_words_keep_their_article():
+    for tag in ('article class="post comments-open"', 'article class="type-post related"', 'div class="content with-sidebar"', 'div class="layout has-sidebar"',
+                'div id="main-form"', 'div class="page no-header"', 'div class="site-header-wrap header"', 'section class="search-result widget"'):
+        page = f"<body><nav><a href=/>Home</a></nav><p>Crumb</p><{tag}>{ARTICLE}<div class=comments><p>Me too</p></div></{tag.split()[0]}><footer>f</footer>"
+        assert H.extract(page, None).replace("Crumb\n\n", "") == BODY, tag
+    inner = f"<div class=modal><div class=sidebar><h1>T</h1>{ARTICLE}</div><div class=ad><p>Buy</p></div></div>"
+    assert H.extract(inner, None) == f"T\n\n{BODY}"
+
+
+def test_furniture_that_outweighs_the_article_still_goes():
+    for tag in ('section id="comments"', 'div class="comment-list"', 'div class="cookie-notice"', 'div class="advert"', "aside", "nav"):
+        assert H.extract(f"<body><article><p>A short piece, that is all.</p></article><{tag}>{ARTICLE * 3}</{tag.split()[0]}>", None) == "A short piece, that is all.", tag
+    links = "".join(f"<li><a href=/{i}>A headline that leads elsewhere {i}</a></li>" for i in range(40))
+    assert H.extract(f"<body><article><p>A short piece.</p></article><div class=sidebar><ul>{links}</ul></div>", None) == "A short piece."
+
+
+def test_stray_end_tags_cost_no_search():
+    began = time.perf_counter()
+    assert H.extract("<div>" * 20_000 + "</p></section>" * 20_000 + "x", None) == "x"
+    assert time.perf_counter() - began < 5
+
+
+def test_votes_are_sent_in_portions(spark, monkeypatch):
+    import pyarrow as pa
+    pages = [f"<section class=c{'abcdefghij'[i]}x><p>{'word ' * 30}</p></section>" for i in range(10)]
+    batch = pa.RecordBatch.from_pydict({"host": ["h"] * 10, "html": pages})
+
+    def sums(parts):
+        out = {}
+        for r in (r for b in parts for r in b.to_pylist()):
+            out[r["path"]] = out.get(r["path"], 0) + r["votes"]
+        return out
+
+    whole = sums(H._vote_task([batch]))
+    monkeypatch.setattr(H, "VOTES_HELD", 3)
+    parts = list(H._vote_task([batch]))
+    assert len(parts) > 3 and sums(parts) == whole
+
+
 def test_all_paths_of_a_page_vote(spark):
     page = "".join(f"<section class={c}><p>{'word ' * (20 + i)}</p></section>" for i, c in enumerate("abcdefgh"))
     pages = spark.createDataFrame([("h", page)], "host string, html string")
@@ -186,3 +230,16 @@ def test_revisits_match_brute_force(spark):
         got = [(r.record_id, r.source_id, r.outcome, None if r.headers is None else [(h.key, h.value) for h in r.headers] or None) for r in revisits.resolve(df, period).collect()]
         assert sorted(got, key=repr) == sorted([(a, b, c, d or None) for a, b, c, d in want], key=repr)
     assert revisits.resolve(empty(df)).count() == 0
+
+
+def test_revisits_of_repeated_and_null_ids(spark):
+    url, tag = "http://a.example/x", '"e"'
+    response = (1, url, 10, "response", 200, tag, None, "d", {"A": "1"}, 1)
+    rows = [response, response, (None, "http://n.example/", 10, "response", 200, tag, None, "n", None, 1),
+            (2, url, 20, "revisit", 304, tag, None, None, None, 1), (2, url, 30, "revisit", 304, '"other"', None, None, None, 1),
+            (None, url, 40, "revisit", 304, tag, None, None, None, 1), (None, url, 5, "revisit", 304, tag, None, None, None, 1),
+            (3, "http://n.example/", 20, "revisit", 304, tag, None, None, None, 1), (2, url, 20, "revisit", 304, tag, None, None, None, 1)]
+    got = [(r.record_id, r.source_id, r.outcome, r.payload_digest) for r in revisits.resolve(spark.createDataFrame(rows, REC)).collect()]
+    want = [(2, 1, "resolved", "d"), (2, 1, "resolved", "d"), (2, 1, "validator_mismatch", None), (None, 1, "resolved", "d"),
+            (None, None, "no_earlier_response", None), (3, None, "resolved", "n")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)

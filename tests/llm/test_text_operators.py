@@ -50,6 +50,30 @@ def test_bpe_query(spark, tmp_dir):
 
 # --- language ID
 
+def test_prediction_is_the_maximum_of_the_whole_posterior():
+    """Two close letter distributions and a prior against the rare one: long texts still decide."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdef"))
+    common, rare = np.array([20, 18, 17, 16, 15, 14.0]), np.array([14, 15, 16, 17, 18, 20.0])
+
+    def text(p, words=400):
+        return " ".join("".join(rng.choice(letters, 5, p=p / p.sum())) for _ in range(words))
+
+    def buckets(texts):
+        return np.bincount(langid.ngram_rows(pa.array(texts))[0], minlength=langid.BUCKETS) + langid.SMOOTHING
+
+    counts = np.stack([buckets([text(p) for _ in range(60)]) for p in (common, rare)])
+    model = langid.Model(["common", "rare"], np.log([0.995, 0.005]), np.log(counts / counts.sum(axis=1, keepdims=True)))
+    texts = [text(rare) for _ in range(30)] + [text(common) for _ in range(30)]
+    best, score = model.predict(pa.array(texts))
+    full = []
+    for t in texts:
+        b = langid.ngram_rows(pa.array([t]))[0]
+        full.append(int(np.argmax([lp[b].sum() + prior for lp, prior in zip(model.logp, model.prior)])))
+    assert best.tolist() == full and sum(best[:30] == 1) >= 28 and sum(best[30:] == 0) >= 28
+    assert np.all((score >= 0) & (score <= 1))
+
+
 def test_language_id(spark, tmp_dir):
     rows = awkward_docs() + [(1000 + i, " ".join(["der", "die", "und"][(i + j) % 3] for j in range(30)), "de", "s") for i in range(40)]
     rows += [(2000 + i, " ".join(["the", "and", "of"][(i + j) % 3] for j in range(30)), "en", "s") for i in range(40)]

@@ -9,8 +9,11 @@ a page whose own scores mislead (little text, many links) follows its host. Wher
 does not occur, the page's own best container serves.
 
 Dropped inside containers: menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments - by element, role, ``hidden`` attribute, or class and id words. Blocks are separated by block-level
-tags; white space in a block becomes one space; character references are decoded once.
+styles, reader comments - by element, role or ``hidden`` attribute, and by class and id words unless
+these name a wrapper: an element with such a word stays when its text is ``WRAPS`` times all that would
+be left without it, it has at least ``LEAST_TEXT`` characters and most of them are outside links; with a
+word of comments, adverts or notices it must also be an article or hold the page's main or first
+heading. Words of state ("with-sidebar", "comments-open") do not count at all. Blocks are separated by block-level tags; white space in a block becomes one space; character references are decoded once.
 
 Votes are summed per task before the shuffle, so a host with a third of all pages costs a row per
 path and task. Winners are one row per host: broadcast behind a measured size, else joined.
@@ -38,7 +41,11 @@ DROPPED = frozenset("nav header footer aside form menu dialog button select fiel
 RAW = frozenset("script style textarea title xmp noscript iframe template svg math select button".split())
 KEPT = frozenset(["main"])
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar".split())
-HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|sidebar\w*|side|menu\w*|nav\w*|breadcrumbs?|footer|masthead|header|cookies?|consent|gdpr|notice\w*|alert|popup|modal|overlay|newsletter|subscri\w+|paywall|comments?\w*|disqus\w*|repl(?:y|ies)|respond|discussion|related|recommend\w*|share\w*|sharing|social|widget\w*|toolbar|pagination|pager|login|signup|search\w*|form)(?=$|[\s_-])", re.I)
+HINT = re.compile(r"(?:^|[\s_-])(?:sidebar\w*|side|menu\w*|nav\w*|breadcrumbs?|footer|masthead|header|popup|modal|overlay|related|recommend\w*|share\w*|sharing|social|widget\w*|toolbar|pagination|pager|search\w*|form)(?=$|[\s_-])", re.I)
+STRONG_HINT = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice\w*|alert|newsletter|subscri\w+|paywall|comments?\w*|disqus\w*|repl(?:y|ies)|respond|discussion|login|signup)(?=$|[\s_-])", re.I)
+STATE = re.compile(r"^(?:(?:with|has|no|without|is|not|hide|show)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off))$", re.I)
+WRAPS, LEAST_TEXT = 4, 250
+VOTES_HELD = 100_000
 CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")  # whole names; values are consumed
@@ -47,9 +54,9 @@ SPACE = re.compile(r"\s+")
 MOST_PATH = 400
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """(generalised tag.class, whether the element is page furniture)."""
-    drop = tag in DROPPED
+def _label(tag: str, attrs: str) -> tuple[str, bool, int]:
+    """(generalised tag.class, whether the element is page furniture, 1 or 2 if its words say so)."""
+    drop, hint = tag in DROPPED, 0
     classes = ""
     if attrs and not attrs.isspace():
         words = []
@@ -65,9 +72,10 @@ def _label(tag: str, attrs: str) -> tuple[str, bool]:
             elif name == "hidden":
                 drop |= tag not in KEPT
         if words and tag not in KEPT:
-            drop |= bool(HINT.search(" ".join(words)))
+            said = " ".join(w for w in " ".join(words).split() if not STATE.match(w))
+            hint = 2 if STRONG_HINT.search(said) else int(bool(HINT.search(said)))
     label = ".".join([tag, *sorted({DIGITS.sub("#", c) for c in classes.split()})]) if classes else tag
-    return label, drop
+    return label, drop, hint
 
 
 class Container:
@@ -79,11 +87,48 @@ class Container:
         self.path, self.above, self.semantic = path, above, semantic
 
 
+def _wrappers(found: list[tuple], suspects: list[list]) -> set[int]:
+    """The suspects (element around it, strength, whether it looks like an article) that wrap the page's
+    text.
+
+    ``found`` has (text, link characters, container, innermost suspect or -1). From outside in: a suspect
+    stays if its own text outweighs all that is left outside the suspects, as the docstring states."""
+    text, links = [0] * len(suspects), [0] * len(suspects)
+    rest = 0
+    for s, in_links, _, who in found:
+        rest += len(s) if who < 0 else 0
+        if who >= 0:
+            text[who] += len(s)
+            links[who] += in_links
+    inner_text, inner_links = text[:], links[:]
+    for i in range(len(suspects) - 1, -1, -1):  # an element comes after those around it
+        around = suspects[i][0]
+        if around >= 0:
+            inner_text[around] += inner_text[i]
+            inner_links[around] += inner_links[i]
+            suspects[around][2] |= suspects[i][2] == 2 and 2
+    kept: set[int] = set()
+    while True:
+        # those that would be dropped as they are: inside nothing dropped
+        heads = [i for i, (around, strength, like) in enumerate(suspects)
+                 if i not in kept and (around < 0 or around in kept) and (strength == 1 or like)]
+        best = max(heads, key=lambda i: inner_text[i], default=None)
+        if best is None or inner_text[best] < LEAST_TEXT or 2 * inner_links[best] > inner_text[best]:
+            return kept
+        if inner_text[best] <= rest * WRAPS:
+            return kept
+        kept.add(best)
+        rest += text[best]
+
+
 def blocks(page: str) -> list[tuple[str, int, Container]]:
     """(text, characters in links, innermost container) of every block that is not furniture, in page
     order."""
-    out: list[tuple[str, int, Container]] = []
-    stack: list[tuple[str, Container, bool]] = [("", Container("", None, None), False)]  # tag, container, dropped
+    out: list[tuple[str, int, Container, int]] = []
+    suspects: list[list] = []  # element around it, strength of its words, 1 an article or 2 with the page's main or heading
+    # tag, container, dropped, innermost suspect
+    stack: list[tuple[str, Container, bool, int]] = [("", Container("", None, None), False, -1)]
+    open_tags: dict[str, int] = {}
     text: list[str] = []
     links, in_link, pos, n = 0, False, 0, len(page)
 
@@ -93,21 +138,32 @@ def blocks(page: str) -> list[tuple[str, int, Container]]:
             s = SPACE.sub(" ", html_lib.unescape("".join(text))).strip()
             text.clear()
             if s:
-                out.append((s, min(links, len(s)), stack[-1][1]))
+                out.append((s, min(links, len(s)), stack[-1][1], stack[-1][3]))
         links = 0
 
     def push(tag: str, attrs: str) -> None:
-        _, box, dropped = stack[-1]
+        _, box, dropped, who = stack[-1]
+        open_tags[tag] = open_tags.get(tag, 0) + 1
         if tag in ("html", "body"):  # their classes differ from page to page; the root path stands for both
-            stack.append((tag, box, dropped))
+            stack.append((tag, box, dropped, who))
             return
-        label, drop = _label(tag, attrs)
+        label, drop, hint = _label(tag, attrs)
+        if hint and not (dropped or drop):
+            suspects.append([who, hint, int(tag == "article")])
+            who = len(suspects) - 1
+        if who >= 0 and tag in ("h1", "main"):
+            suspects[who][2] = 2
         if tag in CONTAINERS:
             path = f"{box.path}>{label}" if box.path else label
             if len(path) > MOST_PATH:  # very deep nesting: the path so far by its digest
                 path = f"~{hash_text(box.path)}>{label}"
             box = Container(path, box, path if tag in ("article", "main") else box.semantic)
-        stack.append((tag, box, dropped or drop))
+        stack.append((tag, box, dropped or drop, who))
+
+    def pop() -> str:
+        tag = stack.pop()[0]
+        open_tags[tag] -= 1
+        return tag
 
     while pos < n:
         m = TOKEN.search(page, pos)
@@ -129,10 +185,9 @@ def blocks(page: str) -> list[tuple[str, int, Container]]:
                 in_link = False
             elif tag in BLOCKS or tag in DROPPED:
                 flush()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
+                if open_tags.get(tag):  # a stray end tag closes nothing
+                    while pop() != tag:
+                        pass
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, pos) if not m.group(3).endswith("/") else None
@@ -150,11 +205,16 @@ def blocks(page: str) -> list[tuple[str, int, Container]]:
             in_link = False
             same = CLOSES_SAME.get(tag, ())
             while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in same or (tag[0] == "h" and tag[1:].isdigit() and stack[-1][0] in LEAVES and stack[-1][0][0] == "h")):
-                stack.pop()
+                pop()
             if tag != "hr" and not m.group(3).endswith("/"):
                 push(tag, m.group(3))
     flush()
-    return out
+    if not suspects:
+        return [b[:3] for b in out]
+    kept, stays = _wrappers(out, suspects), []
+    for i, (around, _, _) in enumerate(suspects):
+        stays.append(i in kept and (around < 0 or stays[around]))
+    return [b[:3] for b in out if b[3] < 0 or stays[b[3]]]
 
 
 def hash_text(s: str) -> str:
@@ -210,18 +270,27 @@ def host_of(url: Column) -> Column:
 
 
 def _vote_task(batches):
-    """(host, path, votes) summed over a task: all of a page's paths share one vote by score."""
-    votes: dict[tuple[str, str], float] = {}
+    """(host, path, votes) summed over a task, in portions of ``VOTES_HELD``: all of a page's paths share
+    one vote by score."""
+    votes: dict[tuple[str, str], int] = {}
+
+    def portion():
+        keys = list(votes)
+        out = pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in keys], pa.string()), "path": pa.array([k[1] for k in keys], pa.string()),
+                                          "votes": pa.array([votes[k] for k in keys], pa.int64())})
+        votes.clear()
+        return out
+
     for b in batches:
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             scores = page_scores(blocks(page)) if page else {}
             whole = sum(scores.values())
             for path, s in scores.items():
-                votes[host, path] = votes.get((host, path), 0.0) + s / whole
-    keys = list(votes)
-    # votes as whole millionths: their sum does not depend on the order of tasks
-    yield pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in keys], pa.string()), "path": pa.array([k[1] for k in keys], pa.string()),
-                                      "votes": pa.array([round(votes[k] * 1e6) for k in keys], pa.int64())})
+                # votes as whole millionths: their sum does not depend on the order of tasks
+                votes[host, path] = votes.get((host, path), 0) + round(s / whole * 1e6)
+            if len(votes) > VOTES_HELD:
+                yield portion()
+    yield portion()
 
 
 def host_winners(pages: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ The classifier is fitted on a hash sample of about ``max_train_docs`` labelled r
 
 Defined results: null text, empty text or a text without a letter -> ``und`` with score 0; nothing
 learnable -> ``und`` with score 0 for all; equal texts get equal predictions; equal totals go to
-the language that sorts first by code point. Score: the posterior of the predicted language with
-the evidence tempered to ``EVIDENCE`` n-grams, so that long texts do not all score exactly 1.
+the language that sorts first by code point. The prediction is the maximum of the whole text's
+posterior; only its score is tempered to the evidence of ``EVIDENCE`` n-grams, so that long texts do not
+all score exactly 1.
 """
 
 from __future__ import annotations
@@ -121,13 +122,13 @@ class Model:
             bucket, row, letters = ngram_rows(arr.slice(lo, hi - lo))
             n = hi - lo
             grams = np.maximum(np.bincount(row, minlength=n), 1)
-            total = np.stack([np.bincount(row, lp[bucket], n) for lp in self.logp])
-            total = total * (np.minimum(grams, EVIDENCE) / grams) + self.prior[:, None]
-            p = np.exp(total - total.max(axis=0))
-            k = p.argmax(axis=0)
+            told = np.stack([np.bincount(row, lp[bucket], n) for lp in self.logp])
+            k = (told + self.prior[:, None]).argmax(axis=0)  # the whole text decides
+            told = told * (np.minimum(grams, EVIDENCE) / grams) + self.prior[:, None]
+            p = np.exp(told - told.max(axis=0))
             ok = letters > 0
             best[lo:hi] = np.where(ok, k, -1)
-            score[lo:hi] = np.where(ok, p.max(axis=0) / p.sum(axis=0), 0.0)
+            score[lo:hi] = np.where(ok, p[k, np.arange(n)] / p.sum(axis=0), 0.0)
         return best, score
 
 

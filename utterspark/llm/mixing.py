@@ -12,10 +12,10 @@ epochs of all its documents first; the rest of the target is filled by documents
 the prefix sum nearest to it. The prefix sum never runs over a whole source in one task: keys fall
 into buckets of a monotone function, bucket sums give the bucket that holds the cut, whole buckets
 before it are taken, and only the cut bucket's rows are sorted. A bucket holds about ``BUCKET_ROWS``
-rows of a source whatever the source's share.
+rows of a source at weight 1; keys of lower weight crowd the last buckets, and rows of one id share one.
 
 Defined results: null and empty texts have size 0 and are taken 0 words; equal keys go by doc_id,
-then by size; a repeated row counts each time it occurs; an empty table gives no rows.
+then by size (and by the text where rows are kept); a repeated row counts each time it occurs; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -67,22 +67,28 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``.
+        source_col: str = "source", bucket_rows: int = BUCKET_ROWS, keep_rows: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row per row of ``docs``; with
+    ``keep_rows`` also the struct ``row`` of all its columns, written once with the sizes, so that rows
+    which share an id each have their own number of copies.
 
     ``labels`` gives the quality weights as (doc_id, quality); a document labelled more than once
     counts its best label. ``copies`` is how often the mix holds the document."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    kept = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if keep_rows else []
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
+                       (F.xxhash64(text_col) if keep_rows else F.lit(0)).alias("tie"), *kept)
     if labels is not None:
         best = labels.select(F.col("doc_id").alias("_l"), "quality").where("quality is not null").groupBy("_l").agg(F.max("quality").alias("_q"))
+        best = bounded_broadcast(best) if keep_rows else best  # the texts stay where they are
         rows = rows.join(best, rows["doc_id"] == best["_l"], "left").drop("_l")
     else:
         rows = rows.withColumn("_q", F.lit(None).cast("int"))
     # texts are read once: what follows works on ids, sizes and keys
-    rows = rows.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), F.col("_q")).alias("key")).checkpoint(eager=True)
-    targets = source_targets(rows)
+    kept = ["row"] if keep_rows else []
+    rows = rows.select("doc_id", "source", "size", "tie", sampling_key(F.col("doc_id"), F.col("_q")).alias("key"), *kept).checkpoint(eager=True)
+    targets = source_targets(rows.select("source", "size"))
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     targets = (targets.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
                .withColumn("slices", F.ceil(F.col("n_docs") / F.lit(float(bucket_rows))).cast("long"))
@@ -100,9 +106,9 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     x = x.join(cuts, x["source"].eqNullSafe(cuts["_s"]), "left").drop("_s")
     sure = F.coalesce(F.col("b") < F.col("cut_b"), F.lit(False))
     here = F.coalesce(F.col("b") == F.col("cut_b"), F.lit(False))
-    cols = ["doc_id", "source", "size", "source_size", "target", "epochs"]
+    cols = ["doc_id", "source", "size", "source_size", "target", "epochs", *kept]
     settled = x.where(~here).select(*cols, F.when(sure, 1).otherwise(0).alias("extra"))
-    w = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("source").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = F.col("before") + F.sum("size").over(w)
     # the document that crosses the rest stays if the sum with it is nearer
     near = (run <= F.col("rest")) | ((run - F.col("size") < F.col("rest")) & (run - F.col("rest") < F.col("rest") - (run - F.col("size"))))
@@ -110,7 +116,7 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id"
     out = settled.unionByName(cut)
     copies = (F.col("epochs") + F.col("extra")).cast("long")
     return out.select("doc_id", "source", "size", "source_size", F.col("target").cast("double").alias("target"),
-                      copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+                      copies.alias("copies"), (copies * F.col("size")).alias("taken"), *kept)
 
 
 ORACLE = r"""

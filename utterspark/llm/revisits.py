@@ -4,7 +4,8 @@ A revisit record (a 304 answer) has no payload; it stands for the latest earlier
 same canonical URL, if its validators agree. The as-of join runs at two levels so that one URL with a
 third of all captures does not meet in one task: per (URL, period) the last full response is one row;
 a window over those rows carries it into later periods; inside a period a window over time finds
-nearer ones. The response's own data are then joined by its id, where AQE splits a hot one.
+nearer ones. Records are numbered and written once; the response's own data are joined by its number,
+where AQE splits a hot one, so ids may repeat or be null.
 
 Validators: entity tags compare weakly (a ``W/`` prefix does not count) and decide if both records have
 one; else Last-Modified decides if both have it; else the payload digest. Headers: the revisit's
@@ -13,8 +14,10 @@ connection, which stay the response's.
 
 Status: resolved, validator_mismatch, no_validator, no_earlier_response. Defined results: records
 without URL or time are never matched (no_earlier_response for revisits); "earlier" is strict; of full
-responses at the same time the one with the largest id counts; null headers count as none; of header
-names that differ in case only the last counts; a repeated revisit returns again.
+responses at the same time the one with the largest id counts (a null id is the smallest; of equal ids
+the larger digest of the validators, equal ones are alike); null headers count as none; of header
+names that differ in case only the last counts; every revisit record returns once, whatever ids repeat
+or are null; a response without id resolves with a null ``source_id``.
 """
 
 from __future__ import annotations
@@ -73,25 +76,26 @@ def resolve(records: DataFrame, period_s: int = PERIOD_S) -> DataFrame:
     r = records.select("record_id", canonical_url(F.col("url")).alias("key"), F.col("ts").cast("long").alias("ts"),
                        (F.col("kind") == "revisit").alias("revisit"),
                        ((F.col("kind") == "response") & (F.col("status") == 200)).alias("full"),
-                       "etag", "last_modified", "digest", "headers")
+                       "etag", "last_modified", "digest", "headers", F.xxhash64("etag", "last_modified", "digest").alias("tie"))
+    r = r.where(F.col("full") | F.col("revisit")).withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True)
     timed = F.col("key").isNotNull() & F.col("ts").isNotNull()
-    slim = r.where(timed & (F.col("full") | F.col("revisit"))).select("record_id", "key", "ts", "full", F.floor(F.col("ts") / period_s).alias("period"))
-    capture = F.struct("ts", "record_id")
+    slim = r.where(timed).select("row", "record_id", "tie", "key", "ts", "full", F.floor(F.col("ts") / period_s).alias("period"))
+    capture = F.struct("ts", "record_id", "tie", "row")
     last = slim.where("full").groupBy("key", "period").agg(F.max(capture).alias("last"))
     periods = slim.select("key", "period").distinct().join(last, ["key", "period"], "left")
     before = Window.partitionBy("key").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
     carried = periods.select("key", "period", F.max("last").over(before).alias("carried"))
     earlier = Window.partitionBy("key", "period").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     near = slim.withColumn("near", F.max(F.when(F.col("full"), capture)).over(earlier)).where("not full")
-    found = near.join(carried, ["key", "period"], "left").select("record_id", F.coalesce("near", "carried")["record_id"].alias("source_id")).distinct()
-    source = r.where("full").select(F.col("record_id").alias("source_id"), F.col("etag").alias("s_etag"), F.col("last_modified").alias("s_modified"),
+    found = near.join(carried, ["key", "period"], "left").select("row", F.coalesce("near", "carried")["row"].alias("source_row"))
+    source = r.where("full").select(F.col("row").alias("source_row"), F.col("record_id").alias("source_id"), F.col("etag").alias("s_etag"), F.col("last_modified").alias("s_modified"),
                                     F.col("digest").alias("s_digest"), F.col("headers").alias("s_headers"))
-    x = r.where("revisit").join(found, "record_id", "left").join(source, "source_id", "left")
+    x = r.where("revisit").join(found, "row", "left").join(source, "source_row", "left")
     both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
     agree = (F.when(both("etag", "s_etag"), _tag(F.col("etag")) == _tag(F.col("s_etag")))
              .when(both("last_modified", "s_modified"), F.col("last_modified") == F.col("s_modified"))
              .when(both("digest", "s_digest"), F.col("digest") == F.col("s_digest")))
-    outcome = (F.when(F.col("source_id").isNull(), "no_earlier_response").when(agree.isNull(), "no_validator")
+    outcome = (F.when(F.col("source_row").isNull(), "no_earlier_response").when(agree.isNull(), "no_validator")
                .when(agree, "resolved").otherwise("validator_mismatch"))
     x = x.withColumn("outcome", outcome)
     ok = F.col("outcome") == "resolved"
