@@ -67,12 +67,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it; rows of a doc_id go by source and size."""
-    plan = mixing.mix(docs, table(spark, sf_dir, "labels")).where("copies > 0")
-    key, n = unused(docs, "id"), unused(docs, "n")
-    plan = plan.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").cast("int").alias(n))
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(F.col(key)))
-    return out.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+    """Every row as many times as the mix takes it, rows that share a doc_id each by their own number."""
+    plan = mixing.mix(docs, table(spark, sf_dir, "labels"), keep_rows=True).where("copies > 0")
+    again = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return plan.select("row", again).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
