@@ -13,13 +13,14 @@ hash range; the driver passes the blocks on and never unpacks them.
 
 Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut by range and each cut
 keeps its largest weight. For a query, the sum of query weight x largest weight bounds every range
-from above; ranges are scored exactly from the best bound down, until no bound reaches the k-th best
-cosine found. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
+from above; the best ranges are scored exactly, then all whose bound reaches the k-th best cosine found. Terms that
+very many examples have are a dense block that is multiplied for many queries at once; their part of the
+cosine enters the bounds exactly. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
 like it"; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a
 probability at the labelled base rate. The nearest examples are returned as evidence.
 
-The examples' term counts (``MAX_EXAMPLE_BYTES`` of texts a class at most) are broadcast packed; a worker builds
-the index from them once. Leave-one-out votes are a job over the examples; scoring is a projection.
+The examples' term counts (``MAX_EXAMPLE_BYTES`` of texts a class at most) are broadcast packed, once; a worker
+builds the index from them. Leave-one-out votes are a job over the examples; scoring is a projection.
 
 Defined results: a text without a term of an example, a null or an empty text has no neighbours, vote 0
 and the curve's value there; ties of cosine go to the smaller example id; a document labelled twice counts
@@ -43,7 +44,10 @@ MAX_EXAMPLE_BYTES = 64 << 20  # of texts a class; later examples in hash order a
 BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
-K, RANGE, NOTHING = 10, 64, 1.0
+K, RANGE, NOTHING = 10, 512, 1.0
+DENSE_TERMS, DENSE_SHARE = 1_500, 64  # at most so many terms, each in one of so many examples at least
+FIRST_RANGES = 1
+QUERIES = 64  # searched together
 EVIDENCE = 3
 
 _SEPARATOR = np.ones(256, bool)
@@ -164,7 +168,8 @@ class Vocabulary:
 
 
 class BlockMaxIndex:
-    """Postings by (term, range of neighbouring examples), each cut with its largest weight."""
+    """Postings by (term, range of neighbouring examples), each cut with its largest weight. The most
+    frequent terms, whose lists would name most examples, are columns of a dense block instead."""
 
     def __init__(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, label: np.ndarray, n_terms: int):
         n = len(ids)
@@ -173,106 +178,143 @@ class BlockMaxIndex:
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.label, self.place = ids[order], label[order], place
-        doc = place.astype(np.int32)[np.repeat(np.arange(n), np.diff(starts))]
-        by = np.lexsort((doc, term))
-        self.doc, self.weight = doc[by], weight[by]
-        self.per_term = np.bincount(term, minlength=n_terms)
-        t = np.repeat(np.arange(len(self.per_term), dtype=np.int32), self.per_term)
-        rng = (self.doc // RANGE).astype(np.int32)
+        doc = place[np.repeat(np.arange(n), np.diff(starts))]
+        per_term = np.bincount(term, minlength=n_terms)
+        often = np.argsort(-per_term, kind="stable")[:DENSE_TERMS]
+        often = often[per_term[often] * DENSE_SHARE >= n]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        at = self.column[term]
+        self.dense = np.zeros((n, len(often)))
+        self.dense[doc[at >= 0], at[at >= 0]] = weight[at >= 0]
+        rare = np.flatnonzero(at < 0)
+        rare = rare[np.lexsort((doc[rare], term[rare]))]
+        self.doc, self.weight, t = doc[rare], weight[rare], term[rare]
+        self.n_ranges = -(-n // RANGE)
+        rng = self.doc // RANGE
         cut = np.ones(len(t), bool)
         cut[1:] = (t[1:] != t[:-1]) | (rng[1:] != rng[:-1])
-        self.begin = np.flatnonzero(cut).astype(np.int32 if len(t) < 1 << 31 else np.int64)
+        self.begin = np.flatnonzero(cut)
         self.length = np.diff(np.append(self.begin, len(t))).astype(np.int32)
         self.range = rng[self.begin]
         self.largest = np.maximum.reduceat(self.weight, self.begin) if len(t) else np.zeros(0)
-        self.cuts_of = np.searchsorted(t[self.begin], np.arange(len(self.per_term) + 1))
-        self.n_ranges = -(-len(self.ids) // RANGE)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the k nearest examples with a positive cosine, nearest first."""
+        self.cuts_of = np.searchsorted(t[self.begin], np.arange(n_terms + 1))
+        self.post_of = np.searchsorted(t, np.arange(n_terms + 1))
+
+    def frequent(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """(queries x examples): what the frequent terms add to every cosine."""
+        q = np.zeros((len(starts) - 1, self.dense.shape[1]))
+        col = self.column[term]
+        hit = col >= 0
+        q[np.repeat(np.arange(len(q)), np.diff(starts))[hit], col[hit]] = weight[hit]
+        return q @ self.dense.T
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1, base: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(places, cosines) of the k nearest examples with a positive cosine, nearest first; ``base`` is
+        the query's row of :meth:`frequent`."""
+        if base is None:
+            base = self.frequent(np.array([0, len(term)]), term, weight)[0]
+        rare = self.column[term] < 0
+        term, weight = term[rare], weight[rare]
         lo = self.cuts_of[term]
         count = self.cuts_of[term + 1] - lo
         cut = ragged(lo, count)
         q = np.repeat(weight, count)
         rng = self.range[cut]
-        bound = np.bincount(rng, q * self.largest[cut], self.n_ranges)
+        # no example of a range can be nearer than its best frequent part and the largest weights together
+        bound = np.bincount(rng, q * self.largest[cut], self.n_ranges) + np.maximum.reduceat(base, np.arange(0, len(base), RANGE))
         todo = np.argsort(-bound, kind="stable")
         todo = todo[bound[todo] > 0]
         places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        step, at = 4, 0
-        while at < len(todo) and bound[todo[at]] >= floor - 1e-12:
+        for some in (todo[:FIRST_RANGES], todo[FIRST_RANGES:]):
+            some = some[bound[some] >= floor - 1e-12]
+            if not len(some):
+                break
             chosen = np.zeros(self.n_ranges, bool)
-            chosen[todo[at:at + step]] = True
-            mine = chosen[rng]
-            size = self.length[cut[mine]]
-            post = ragged(self.begin[cut[mine]], size)
-            s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids))
+            chosen[some] = True
+            if 2 * len(some) < self.n_ranges:
+                mine = chosen[rng]
+                size = self.length[cut[mine]]
+                post, of = ragged(self.begin[cut[mine]], size), np.repeat(q[mine], size)
+            else:  # most ranges: whole lists without looking at their cuts
+                size = self.post_of[term + 1] - self.post_of[term]
+                post, of = ragged(self.post_of[term], size), np.repeat(weight, size)
+            s = np.bincount(self.doc[post], of * self.weight[post], len(self.ids)) + base
+            s[~np.repeat(chosen, RANGE)[:len(s)]] = 0.0
             if skip >= 0:
                 s[skip] = 0.0
             doc = np.flatnonzero(s > max(floor - 1e-9, 0.0))  # ties at the floor are settled below
+            if len(doc) > 8 * k:  # only what can be among the k best, ties included
+                doc = doc[s[doc] >= np.partition(s[doc], len(doc) - k)[len(doc) - k] - 1e-9]
             places, scores = np.concatenate([places, doc]), np.concatenate([scores, s[doc]])
             best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
             places, scores = places[best], scores[best]
             floor = scores[-1] if len(scores) == k else 0.0
-            at, step = at + step, step * 2
         return places, scores
 
 
-class Examples:
-    """The examples' places of terms and counts, packed a text; a worker builds the index from them."""
+class Core:
+    """What scoring needs of a fit, sent once: the vocabulary and the examples' places of terms and counts,
+    packed a text. A worker builds the index from them when it first needs it."""
 
-    def __init__(self, rows: list):
-        self.rows, self.built = sorted(rows), None
+    def __init__(self, vocabulary: Vocabulary, rows: list):
+        self.vocabulary, self.rows, self.index = vocabulary, sorted(rows), None
 
     def __getstate__(self):
-        return {"rows": self.rows, "built": None}
-
-    def index(self, idf: np.ndarray) -> BlockMaxIndex:
-        """The index; ``starts``, ``term`` and ``weight`` of the examples stay beside it."""
-        if self.built is None:
-            size = np.array([len(r[1]) // 4 for r in self.rows], np.int64)
-            self.starts = np.append(0, np.cumsum(size))
-            self.term = np.frombuffer(b"".join([r[1] for r in self.rows]), np.int32)
-            count = np.frombuffer(b"".join([r[2] for r in self.rows]), np.int32)
-            square = np.repeat(np.array([r[4] for r in self.rows], float), size)
-            self.weight = (1.0 + np.log(count.astype(np.int64))) * idf[self.term] / np.sqrt(square)
+        return {"vocabulary": self.vocabulary, "rows": self.rows, "index": None}
+
+    def prepare(self) -> "Core":
+        if self.index is None:
+            vectors = [self.vector(i) for i in range(len(self.rows))]
+            size = np.array([len(t) for t, _ in vectors], np.int64)
             ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
-            self.built = BlockMaxIndex(self.starts, self.term, self.weight, ids, label, len(idf))
-        return self.built
+            self.index = BlockMaxIndex(np.append(0, np.cumsum(size)), np.concatenate([t for t, _ in vectors]), np.concatenate([w for _, w in vectors]),
+                                       ids, label, len(self.vocabulary.example_idf()))
+        return self
+
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of terms and weights of an example."""
+        _, terms, counts, _, square = self.rows[i]
+        term = np.frombuffer(terms, np.int32)
+        return term, (1.0 + np.log(np.frombuffer(counts, np.int32).astype(np.int64))) * self.vocabulary.example_idf()[term] / np.sqrt(square)
+
+    def votes(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray, skip: np.ndarray | None = None):
+        """(query, places, cosines, vote) of every query with a term of an example."""
+        index = self.prepare().index
+        for at in range(0, len(starts) - 1, QUERIES):
+            s = starts[at:at + QUERIES + 1]
+            base = index.frequent(s - s[0], term[s[0]:s[-1]], weight[s[0]:s[-1]])
+            for j in np.flatnonzero(np.diff(s)).tolist():
+                p, c = index.nearest(term[s[j]:s[j + 1]], weight[s[j]:s[j + 1]], K, -1 if skip is None else int(skip[at + j]), base[j])
+                square = c * c
+                yield at + j, p, c, float((square * index.label[p]).sum() / (square.sum() + NOTHING))
 
 
 class Model:
-    def __init__(self, vocabulary: Vocabulary | None, examples: Examples | None, base: float, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
-        self.vocabulary, self.examples, self.base, self.a, self.b = vocabulary, examples, base, a, b
-        self.frequencies = frequencies  # (term, n), where they are too many to be in the vocabulary
+    """A fit: ``core`` is broadcast (None without examples of both classes: every score is ``base``), the
+    curve's ``a`` and ``b`` are two numbers."""
 
-    @property
-    def index(self) -> BlockMaxIndex | None:
-        return None if self.examples is None else self.examples.index(self.vocabulary.example_idf())
+    def __init__(self, core, base: float, documents: int = 0, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
+        self.core, self.base, self.documents, self.a, self.b = core, base, documents, a, b
+        self.frequencies = frequencies  # (term, n), where they are too many to be in the vocabulary
 
     def __getstate__(self):
         return {**self.__dict__, "frequencies": None}
 
-    def vote(self, places: np.ndarray, cos: np.ndarray) -> float:
-        s = cos * cos
-        return float((s * self.index.label[places]).sum() / (s.sum() + NOTHING))
-
     def probability(self, vote):
         return 1.0 / (1.0 + np.exp(-np.clip(self.a * vote + self.b, -35, 35)))
 
     def score(self, arr: pa.Array, square: np.ndarray | None = None):
         """Score and evidence (example ids, cosines, labels) of every text of a slice."""
         n = len(arr)
-        if self.examples is None:
+        if self.core is None:
             return np.full(n, self.base), [[] for _ in range(n)]
-        index = self.index
-        starts, term, weight, _, _ = self.vocabulary.vectors(arr, square)
+        core = self.core.value
+        starts, term, weight, _, _ = core.vocabulary.vectors(arr, square)
         votes, evidence = np.zeros(n), [[] for _ in range(n)]
-        for i in np.flatnonzero(np.diff(starts)):
-            lo, hi = starts[i], starts[i + 1]
-            p, c = index.nearest(term[lo:hi], weight[lo:hi], K)
-            votes[i] = self.vote(p, c)
-            evidence[i] = [{"example_id": int(index.ids[x]), "cosine": float(y), "toxic": int(index.label[x])} for x, y in zip(p[:EVIDENCE], c)]
+        for i, p, c, vote in core.votes(starts, term, weight):
+            votes[i] = vote
+            evidence[i] = [{"example_id": int(core.index.ids[x]), "cosine": float(y), "toxic": int(core.index.label[x])} for x, y in zip(p[:EVIDENCE], c)]
         return self.probability(votes), evidence
 
 
@@ -303,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     total = n.get(0, 0) + n.get(1, 0)
     base = n.get(1, 0) / total if total else 0.0
     if not n.get(0) or not n.get(1):
-        return Model(None, None, base)
+        return Model(None, base)
     # a share of the hash range that holds about twice the bound goes to the window, which cuts exactly
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     share = F.when(F.col("toxic") == 1, min(1.0, 2.0 * max_examples / n[1])).otherwise(min(1.0, 2.0 * max_examples / n[0]))
@@ -317,7 +359,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
           .withColumn("bytes", F.sum(F.octet_length("text")).over(in_order)).where(F.col("bytes") <= max_bytes).select("text", "doc_id", "toxic").checkpoint(eager=True))
     size = {r["toxic"]: r["n"] for r in ex.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not size.get(0) or not size.get(1):
-        return Model(None, None, base)
+        return Model(None, base)
     n1, n0 = float(size[1]), float(size[0])
     counts = d.select("text").mapInArrow(_frequency_task, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).checkpoint(eager=True)
     documents = counts.where("term = -1").first()["n"]
@@ -329,22 +371,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     kept = kept.select("term", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("own", F.lit(False)).alias("own"), F.shiftright("term", BLOCK_SHIFT).cast("int").alias("block"))
     blocks = _rows(kept.groupBy("block").applyInArrow(_pack_block, "block int, first long, step binary, n binary, own binary, size long"))
     if not blocks:
-        return Model(None, None, base)
+        return Model(None, base)
     vocabulary = Vocabulary(blocks, documents)
-    model = Model(vocabulary, None, base, frequencies=None if small else often)
+    model = Model(None, base, documents, frequencies=None if small else often)
     ex, square = _with_norms(ex, model)
     shared = spark.sparkContext.broadcast(vocabulary)
     packed = ex.select("doc_id", "toxic", "text", square.alias("square")).mapInArrow(_vector_task(shared, small), "doc_id long, terms binary, counts binary, toxic int, square double")
-    model.examples = Examples(_rows(packed))
+    rows = _rows(packed)
+    shared.destroy()
+    model.core = spark.sparkContext.broadcast(Core(vocabulary, rows))
     # each example's vote among the others, by tasks
-    whole = spark.sparkContext.broadcast(model)
-    tasks = max(1, min(shuffle_partitions(spark), len(model.examples.rows) // 64))
-    votes = spark.range(0, len(model.examples.rows), 1, tasks).mapInArrow(_left_out_task(whole), "vote double, toxic double").toPandas()
+    tasks = max(1, min(shuffle_partitions(spark), len(rows) // QUERIES))
+    votes = spark.range(0, len(rows), 1, tasks).mapInArrow(_left_out_task(model.core), "vote double, toxic double").toPandas()
     # classes are sampled at different rates: weigh them back to the labelled shares
     y = votes["toxic"].to_numpy()
     model.a, model.b = _calibrate(votes["vote"].to_numpy(), y, np.where(y == 1, n[1] / n1, n[0] / n0))
-    shared.destroy()
-    whole.destroy()
     return model
 
 
@@ -356,17 +397,17 @@ def _rows(df: DataFrame) -> list[tuple]:
 def _left_out_task(shared):
     """The vote of the other examples on each example, and its label."""
     def run(batches):
-        model = shared.value
-        index = model.index
-        x = model.examples
+        core = shared.value.prepare()
         for b in batches:
             numbers = b.column("id").to_numpy()
+            if not len(numbers):
+                continue
+            vectors = [core.vector(i) for i in numbers.tolist()]
+            starts = np.append(0, np.cumsum([len(t) for t, _ in vectors]))
             votes = np.zeros(len(numbers))
-            for j, i in enumerate(numbers.tolist()):
-                lo, hi = x.starts[i], x.starts[i + 1]
-                if hi > lo:
-                    votes[j] = model.vote(*index.nearest(x.term[lo:hi], x.weight[lo:hi], K, skip=int(index.place[i])))
-            yield pa.RecordBatch.from_pydict({"vote": pa.array(votes), "toxic": pa.array([float(x.rows[i][3]) for i in numbers.tolist()])})
+            for i, _, _, vote in core.votes(starts, np.concatenate([t for t, _ in vectors]), np.concatenate([w for _, w in vectors]), core.index.place[numbers]):
+                votes[i] = vote
+            yield pa.RecordBatch.from_pydict({"vote": pa.array(votes), "toxic": pa.array([float(core.rows[i][3]) for i in numbers.tolist()])})
     return run
 
 
@@ -391,8 +432,7 @@ def _with_norms(df: DataFrame, model: Model, text_col: str = "text") -> tuple[Da
     key, square = unused(df, "key"), unused(df, "square")
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
     terms = df.select(digest.alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(_norm_task(), "key string, term long, w double")
-    v = model.vocabulary
-    idf = F.log(F.lit(1.0 + v.documents) / (F.lit(1.0) + F.coalesce("n", F.lit(1)))) + 1.0
+    idf = F.log(F.lit(1.0 + model.documents) / (F.lit(1.0) + F.coalesce("n", F.lit(1)))) + 1.0
     norms = (terms.join(model.frequencies, "term", "left").groupBy("key")
              .agg((F.sum((F.col("w") * idf) ** 2) / F.count(F.when(F.col("term").isNull(), 1))).alias(square))
              .withColumnRenamed("key", key))
@@ -419,14 +459,13 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", out: str = "tox
     """``df`` with a struct column ``out``: score and evidence (nearest examples); all columns stay."""
     spark = df.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("example_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     own_norms = model.frequencies is None
+    m = Model(model.core, model.base, model.documents, model.a, model.b)
 
     @F.arrow_udf("struct<score:double,evidence:array<struct<example_id:bigint,cosine:double,toxic:int>>>")
     def tag(texts: pa.Array, square: pa.Array) -> pa.Array:
-        m = shared.value
         score, evidence = np.zeros(len(texts)), []
         norms = None if own_norms else square.to_numpy(zero_copy_only=False)
         for lo, hi in row_slices(texts):
