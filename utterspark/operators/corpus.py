@@ -19,6 +19,9 @@ VALIDATED_MARKER = "_validated_"
 NEGATIVE_MARKER = "_negative_"
 
 
+# A missing row position: after every position of its file.
+_NO_ROW = Decimal(10**20 - 1)
+
 # Broadcast limit (rows) for the keys of an increment batch.
 MAX_BROADCAST_KEYS = 200_000
 
@@ -112,7 +115,8 @@ def dedup(df: DataFrame, scope: str = "file") -> DataFrame:
     ``file``: within one sheet (the canonical rule); ``intent``: across the
     pooled sheets of one intent; ``corpus`` is the same key as ``intent``.
     The surviving row is the first by (source_file, row_pos), so the result is
-    deterministic. Hash aggregation combines map-side, so a text repeated in a
+    deterministic; a NULL source comes before all others, a NULL position after
+    the others of its source, and NULL texts, intents or marks are values like any other. Hash aggregation combines map-side, so a text repeated in a
     third of all rows costs one partial row per task, not one hot reducer.
     """
     if scope == "file":
@@ -122,16 +126,19 @@ def dedup(df: DataFrame, scope: str = "file") -> DataFrame:
     if scope in ("intent", "corpus"):
         # files are numbered in order and (number, row) is packed into one decimal:
         # a fixed-width state, so the aggregate hashes instead of sorting whole texts
-        files = materialize(df.select("source_file").where(F.col("source_file").isNotNull()).distinct())
-        numbered = global_rank(files, ["source_file"], rank_col="_f", size_col=None)
+        files = materialize(df.select(F.col("source_file").alias("_file")).distinct())
+        numbered = global_rank(files, ["_file"], rank_col="_f", size_col=None)
         numbered = broadcast_if_bounded(numbered, MAX_BROADCAST_KEYS)
-        wide, shift = "decimal(38,0)", F.lit(Decimal(10**19))
-        packed = F.col("_f").cast("decimal(10,0)") * shift + (F.col("row_pos").cast("decimal(19,0)") + F.lit(2**62).cast("decimal(19,0)"))
-        first = (df.join(numbered, "source_file").groupBy(*UTTERANCE_KEY).agg(F.min(packed.cast(wide)).alias("_first")))
-        file_no = F.floor(F.col("_first") / shift).cast("long")
-        row = (F.col("_first") % shift - F.lit(2**62).cast("decimal(19,0)")).cast("long")
+        wide, whole, low = "decimal(38,0)", F.lit(Decimal(10**20)), F.lit(Decimal(2**63))
+        place = F.coalesce(F.col("row_pos").cast("decimal(20,0)") + low, F.lit(_NO_ROW))
+        packed = F.col("_f").cast("decimal(10,0)") * whole + place
+        first = (df.join(numbered, F.col("source_file").eqNullSafe(F.col("_file")))
+                 .groupBy(*UTTERANCE_KEY).agg(F.min(packed.cast(wide)).alias("_first")))
+        place = (F.col("_first") % whole).cast(wide)
+        file_no = ((F.col("_first") - place) / whole).cast("long")  # exact: a quotient of decimals is rounded
+        row = F.when(place != F.lit(_NO_ROW), place - low).cast("long")
         return (first.select(*UTTERANCE_KEY, file_no.alias("_f"), row.alias("row_pos"))
-                     .join(numbered, "_f").select(*UTTERANCE_KEY, "source_file", "row_pos"))
+                     .join(numbered, "_f").select(*UTTERANCE_KEY, F.col("_file").alias("source_file"), "row_pos"))
     raise ValueError(f"unknown dedup scope {scope!r}")
 
 
@@ -182,12 +189,18 @@ def accept_scored(df: DataFrame, scores: DataFrame, positive_cutoff: int = 3,
 def increment(corpus: DataFrame, batch: DataFrame) -> DataFrame:
     """Append new utterances (and possibly new intents) not already present.
 
-    Repeats inside the batch are appended once (the first by source and row).
-    The corpus is first cut to the keys of the batch (broadcast behind a size
+    Repeats inside the batch are appended once (the first by source and row);
+    NULL keys compare as equal. The corpus is first cut to the keys of the batch (broadcast behind a size
     check), so a small batch does not shuffle the corpus.
     """
     batch = dedup(batch, scope="corpus")
-    keys = broadcast_if_bounded(batch.select(*UTTERANCE_KEY), MAX_BROADCAST_KEYS)
-    present = corpus.select(*UTTERANCE_KEY).join(keys, UTTERANCE_KEY, "left_semi").distinct()
-    new = batch.join(present, UTTERANCE_KEY, "left_anti")
+    keys = batch.select(*[F.col(c).alias(f"_k_{c}") for c in UTTERANCE_KEY])
+    keys = broadcast_if_bounded(keys, MAX_BROADCAST_KEYS)
+
+    def same(left, right):
+        return [left[c].eqNullSafe(right[f"_k_{c}"]) for c in UTTERANCE_KEY]
+
+    present = corpus.select(*UTTERANCE_KEY).join(keys, same(corpus, keys), "left_semi").distinct()
+    present = present.select(*[F.col(c).alias(f"_k_{c}") for c in UTTERANCE_KEY])
+    new = batch.join(present, same(batch, present), "left_anti")
     return corpus.unionByName(new.select(*corpus.columns))
