@@ -45,8 +45,9 @@ BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
-DENSE_TERMS, DENSE_SHARE = 1_500, 64  # at most so many terms, each in one of so many examples at least
+DENSE_TERMS, DENSE_SHARE = 1_000, 64  # at most so many terms, each in one of so many examples at least
 FIRST_RANGES = 1
+ROUNDING = 1e-9  # more than sums of products of unit vectors can differ by their order
 QUERIES = 64  # searched together
 EVIDENCE = 3
 
@@ -140,7 +141,7 @@ class Vocabulary:
         self.rare, self.idf = self.idf_of(1), self.idf_of(np.concatenate(n))
         self.place = np.where(own, np.cumsum(own) - 1, -1).astype(np.int32)
         self.own_idf = self.idf[own]
-        self.hasher = SpanHasher()
+        self.hasher, self.blocks = SpanHasher(), None  # unpacked in workers only, which send it nowhere
 
     def idf_of(self, n):
         return np.log((1.0 + self.documents) / (1.0 + n)) + 1.0
@@ -178,7 +179,7 @@ class BlockMaxIndex:
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.label, self.place = ids[order], label[order], place
-        doc = place[np.repeat(np.arange(n), np.diff(starts))]
+        doc = place.astype(np.int32)[np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))]
         per_term = np.bincount(term, minlength=n_terms)
         often = np.argsort(-per_term, kind="stable")[:DENSE_TERMS]
         often = often[per_term[often] * DENSE_SHARE >= n]
@@ -187,9 +188,16 @@ class BlockMaxIndex:
         at = self.column[term]
         self.dense = np.zeros((n, len(often)))
         self.dense[doc[at >= 0], at[at >= 0]] = weight[at >= 0]
-        rare = np.flatnonzero(at < 0)
-        rare = rare[np.lexsort((doc[rare], term[rare]))]
-        self.doc, self.weight, t = doc[rare], weight[rare], term[rare]
+        rare = at < 0
+        del at
+        key, weight = term[rare].astype(np.int64) * max(n, 1) + doc[rare], weight[rare]
+        del rare, doc
+        by = np.argsort(key, kind="stable")
+        key, self.weight = key[by], weight[by]
+        del by, weight
+        self.doc = (key % max(n, 1)).astype(np.int32)
+        t = (key // max(n, 1)).astype(np.int32)
+        del key
         self.n_ranges = -(-n // RANGE)
         rng = self.doc // RANGE
         cut = np.ones(len(t), bool)
@@ -224,10 +232,9 @@ class BlockMaxIndex:
         # no example of a range can be nearer than its best frequent part and the largest weights together
         bound = np.bincount(rng, q * self.largest[cut], self.n_ranges) + np.maximum.reduceat(base, np.arange(0, len(base), RANGE))
         todo = np.argsort(-bound, kind="stable")
-        todo = todo[bound[todo] > 0]
         places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
         for some in (todo[:FIRST_RANGES], todo[FIRST_RANGES:]):
-            some = some[bound[some] >= floor - 1e-12]
+            some = some[bound[some] >= floor - ROUNDING]
             if not len(some):
                 break
             chosen = np.zeros(self.n_ranges, bool)
@@ -240,12 +247,12 @@ class BlockMaxIndex:
                 size = self.post_of[term + 1] - self.post_of[term]
                 post, of = ragged(self.post_of[term], size), np.repeat(weight, size)
             s = np.bincount(self.doc[post], of * self.weight[post], len(self.ids)) + base
-            s[~np.repeat(chosen, RANGE)[:len(s)]] = 0.0
+            s[~np.repeat(chosen, RANGE)[:len(s)]] = -1.0
             if skip >= 0:
-                s[skip] = 0.0
-            doc = np.flatnonzero(s > max(floor - 1e-9, 0.0))  # ties at the floor are settled below
-            if len(doc) > 8 * k:  # only what can be among the k best, ties included
-                doc = doc[s[doc] >= np.partition(s[doc], len(doc) - k)[len(doc) - k] - 1e-9]
+                s[skip] = -1.0
+            doc = np.flatnonzero(s > max(floor - ROUNDING, 0.0))  # ties at the floor are settled below
+            if len(doc) > k:  # only what can be among the k best, ties included
+                doc = doc[s[doc] >= np.partition(s[doc], len(doc) - k)[len(doc) - k] - ROUNDING]
             places, scores = np.concatenate([places, doc]), np.concatenate([scores, s[doc]])
             best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
             places, scores = places[best], scores[best]
@@ -265,11 +272,12 @@ class Core:
 
     def prepare(self) -> "Core":
         if self.index is None:
-            vectors = [self.vector(i) for i in range(len(self.rows))]
-            size = np.array([len(t) for t, _ in vectors], np.int64)
+            starts = np.append(0, np.cumsum([len(r[1]) // 4 for r in self.rows]))
+            term, weight = np.empty(starts[-1], np.int32), np.empty(starts[-1])
+            for i in range(len(self.rows)):
+                term[starts[i]:starts[i + 1]], weight[starts[i]:starts[i + 1]] = self.vector(i)
             ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
-            self.index = BlockMaxIndex(np.append(0, np.cumsum(size)), np.concatenate([t for t, _ in vectors]), np.concatenate([w for _, w in vectors]),
-                                       ids, label, len(self.vocabulary.example_idf()))
+            self.index = BlockMaxIndex(starts, term, weight, ids, label, len(self.vocabulary.example_idf()))
         return self
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
