@@ -1,7 +1,10 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from utterspark.operators import split as S
 from utterspark.operators.ranking import global_rank, running_totals
 from utterspark.operators.split import split_corpus, with_batch_id
 
@@ -83,3 +86,32 @@ def test_hashed_rank_independent_of_buckets_and_input(spark):
         got = hashed_rank(df.repartition(parts), "k", ["id"], num_partitions=buckets).collect()
         assert {r["id"]: r["rank"] for r in got} == want
         assert {r["group_size"] for r in got} == {len(want)}
+
+
+def _utterances(spark, n, parts=3):
+    return spark.range(n).select(F.col("id").alias("row_pos"), F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("source_file"),
+                                 F.lit("text").alias("text")).repartition(parts)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 100, 1_000])
+@pytest.mark.parametrize("last", [10_000, 3])
+def test_selection_gives_the_split_of_the_ranks(spark, monkeypatch, n, last):
+    monkeypatch.setattr(S, "MAX_LAST_BUCKET", last)
+    monkeypatch.setattr(S, "_DIGITS", 1 if last == 3 else 3)
+    df = _utterances(spark, n)
+    want = {(r.source_file, r.row_pos): r.split for r in S.split_corpus(df).collect()}
+    got = S.split_by_selection(df)
+    assert got.columns == [*df.columns, "split"]
+    assert {(r.source_file, r.row_pos): r.split for r in got.collect()} == want and len(want) == n
+
+
+def test_selection_does_not_exchange_the_corpus(spark, tmp_dir):
+    _utterances(spark, 200).write.parquet(f"{tmp_dir}/u")
+    plan = S.split_by_selection(spark.read.parquet(f"{tmp_dir}/u"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
+def test_selection_with_repeated_and_null_ids(spark):
+    df = spark.createDataFrame([("f", None, "a"), (None, 1, "b"), (None, None, "c")] * 5 + [("f", 2, "d")] * 30, "source_file string, row_pos long, text string")
+    got = S.split_by_selection(df).groupBy("split").count().collect()
+    assert sum(r["count"] for r in got) == 45

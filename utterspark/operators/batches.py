@@ -113,11 +113,12 @@ def deal(df: DataFrame, tasks: int, id_col: str, x: str = "x", y: str = "y", w:
 
 def fit_softmax_batches(df: DataFrame, n_classes: int, dim: int, id_col: str, epochs: int = EPOCHS, lr: float = LEARNING_RATE,
                         tasks: int | None = None, seed: int = 42, x: str = "x", y: str = "y", w: str = "w",
-                        split: str = "split", batch: str = "batch_id"):
+                        split: str = "split", batch: str = "batch_id", start: np.ndarray | None = None):
     """Train on ``split = 'train'`` rows; returns ``(history, models)`` like :func:`epochs.fit_softmax_epochs`.
 
     ``id_col`` names a row; ``batch`` numbers the batches of the valid rows. Train figures are those before
-    each step; without train or valid rows the figures are NULL and the weights stay zero.
+    each step; without train or valid rows the figures are NULL and the weights stay as they start: zero, or
+    ``start`` (classes x features and a bias).
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -129,7 +130,7 @@ def fit_softmax_batches(df: DataFrame, n_classes: int, dim: int, id_col: str, ep
     in_all, most = int((-(-per_task // BATCH_ROWS)).sum()), int((-(-per_task // BATCH_ROWS)).max(initial=0))
     valid = df.where(F.col(split) == "valid").select(
         *EP._features(df, x), F.col(y).cast("int").alias("y"), F.col(w).cast("double").alias("w"), F.col(split).alias("split"), F.col(batch).cast("long").alias("batch_id"))
-    state = [np.zeros((n_classes, dim + 1)) for _ in range(3)]
+    state = [np.zeros((n_classes, dim + 1)) if k or start is None else np.array(start, float) for k in range(3)]
     steps, history, kept = 0, [], []
     for e in range(1, epochs + 1):
         figures = None

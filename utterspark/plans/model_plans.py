@@ -250,17 +250,19 @@ def hashed_bow(texts, id_col: str, dim: int = HASHED_DIM):
     return texts.select(id_col, count(F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(dim)).cast("int"))).alias("x"))
 
 
-def _hashed_rows(spark, sf_dir, dim: int):
-    """Corpus -> rows (uid, y, split, batch_id, w, x) with hashed bag-of-words features, and the labels."""
+def _hashed_rows(spark, sf_dir, dim: int, with_label: bool = False):
+    """Corpus -> rows (uid, y, split, batch_id, w, x) with hashed bag-of-words features (and the intent,
+    if wanted), and the labels."""
     from utterspark.operators.split import with_batch_id
 
     enc, labels = _encoded(spark, sf_dir)
     enc = enc.select(
-        "source_file", "row_pos", "text", "split", "rank", "is_negative", F.col("label_idx").cast("int").alias("y"))
+        "source_file", "row_pos", "text", "split", "rank", "is_negative", "intent", F.col("label_idx").cast("int").alias("y"))
     enc = with_batch_id(enc).drop("rank")
     keyed = enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string")))
     feats = hashed_bow(keyed.select("uid", "text"), "uid", dim)
-    return materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"))
+    label = ["intent"] if with_label else []
+    return materialize(keyed.select("uid", "y", "split", "batch_id", M.sample_weight(F.col("is_negative")).alias("w"), *label)
                        .join(feats, "uid")), labels
 
 
@@ -390,3 +392,80 @@ def rules_first(spark, sf_dir):
     by_model = rest.filter(F.size("decision") > 0).select(
         "conv_id", "turn", F.lit(None).cast("string").alias("rule_label"), F.lit(True).alias("by_model"))
     return by_rule.unionByName(by_model)
+
+
+# The increment fixture: the last label of the dictionary (INVALID aside) plays the new class.
+NEWEST_SQL = "(SELECT max(label) FROM label_dict WHERE label <> 'INVALID')"
+
+
+def _newest(labels) -> str:
+    return labels.filter(F.col("label") != "INVALID").agg(F.max("label")).first()[0]
+
+
+@register("label_versions", f"""
+WITH {SPLIT},
+old AS (SELECT label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM label_dict WHERE label <> {NEWEST_SQL})
+SELECT label, idx, 1 AS version FROM old
+UNION ALL SELECT {NEWEST_SQL}, (SELECT CAST(count(*) AS INTEGER) FROM old), 2
+""")
+def label_versions(spark, sf_dir):
+    """The dictionary fitted without the newest intent, then grown by the whole corpus."""
+    from utterspark.operators import increments as I
+
+    s = corpus_split(spark, sf_dir).filter(F.col("split") == "train")
+    newest = _newest(L.fit_labels(s))
+    return I.grow_labels(L.fit_labels(s.filter(F.col("intent") != newest)), s)
+
+
+@register("replay_sample", f"""
+WITH {SPLIT},
+train AS (SELECT *, intent = {NEWEST_SQL} AS is_new FROM corpus_split WHERE split = 'train'),
+n AS (SELECT intent, count(*) AS n FROM train WHERE NOT is_new GROUP BY intent),
+share AS (
+  SELECT intent, greatest((SELECT count(*) FROM train WHERE is_new) / CAST((SELECT sum(n) FROM n) AS DOUBLE), 32.0::DOUBLE / n) AS share FROM n)
+SELECT source_file, row_pos, intent FROM train JOIN share USING (intent)
+WHERE NOT is_new AND ('0x' || substr(md5('42|replay|' || source_file || '|' || CAST(row_pos AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0::DOUBLE < share
+""")
+def replay_sample(spark, sf_dir):
+    """Old training rows replayed beside the newest intent's: as many rows, at least 32 of each intent."""
+    from utterspark.operators import increments as I
+
+    s = corpus_split(spark, sf_dir).filter(F.col("split") == "train")
+    newest = _newest(L.fit_labels(s))
+    n = s.filter(F.col("intent") == newest).count()
+    return I.replay_sample(s.filter(F.col("intent") != newest), n).select("source_file", "row_pos", "intent")
+
+
+@register("increment_model")
+def increment_model(spark, sf_dir):
+    """Incremental learning end to end: a head trained without the newest intent, its dictionary and
+    weights grown, trained on the new rows and a replay sample. Test accuracy of old and new rows
+    before and after, and from training on everything at once."""
+    from utterspark.operators import batches as B
+    from utterspark.operators import epochs as EP
+    from utterspark.operators import increments as I
+
+    data, labels = _hashed_rows(spark, sf_dir, BATCH_DIM, with_label=True)
+    newest = _newest(labels)
+    first = L.fit_labels(data.filter((F.col("split") == "train") & (F.col("intent") != newest)))
+    grown = materialize(I.grow_labels(first, data.filter(F.col("split") == "train")))
+    data = materialize(L.encode_labels(data.drop("y"), grown, out="y"))
+    old, new = data.filter(F.col("intent") != newest), data.filter(F.col("intent") == newest)
+    n_old, n_all = first.count(), grown.count()
+
+    def chosen(fitted):
+        hist, models = fitted
+        best = M.best_epoch(hist).first()["best_epoch"]
+        return models, int(best or 1)
+
+    before = chosen(B.fit_softmax_batches(old, n_old, BATCH_DIM, "uid"))
+    after = chosen(I.learn(old, new, I.weights_of(*before), n_all, BATCH_DIM, "uid"))
+    whole = chosen(B.fit_softmax_batches(data, n_all, BATCH_DIM, "uid"))
+    test = data.filter(F.col("split") == "test").withColumn("is_new", F.col("intent") == newest)
+    out = None
+    for name, (models, epoch) in (("before", before), ("after", after), ("at_once", whole)):
+        hit = EP.score_with(test, models, epoch).groupBy("is_new").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.round(F.avg((F.col("pred_idx") == F.col("y")).cast("double")), 6).alias("accuracy"))
+        hit = hit.select(F.lit(name).alias("model"), "is_new", "n_rows", "accuracy")
+        out = hit if out is None else out.unionByName(hit)
+    return out

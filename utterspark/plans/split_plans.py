@@ -18,6 +18,15 @@ def corpus_split(spark, sf_dir):
     return S.split_corpus(utterances(spark, sf_dir))
 
 
+@register("split_selection", f"""
+WITH {SPLIT}
+SELECT source_file, row_pos, split FROM corpus_split
+""")
+def split_selection(spark, sf_dir):
+    """The same split by selecting the two rows where it changes."""
+    return S.split_by_selection(utterances(spark, sf_dir)).select("source_file", "row_pos", "split")
+
+
 def train_labels(split_df):
     return L.fit_labels(split_df.filter(F.col("split") == "train"))
 
