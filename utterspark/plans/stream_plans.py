@@ -13,7 +13,7 @@ from utterspark.plans.scoring_plans import _decision_sql
 from utterspark.plans.sql_fixtures import RAW_UTTERANCES
 from utterspark.session import scratch_path, shuffle_partitions
 from utterspark.sources.tables import SCORE_SCALE, scored_labels, sheet_rows, table
-from utterspark.streaming import ingest_stream, run_available_now, score_stream, score_text_stream
+from utterspark.streaming import ingest_keyed, ingest_stream, run_available_now, score_stream, score_text_stream
 
 # A stream reads its files in about this many micro-batches, whatever their
 # number: the batch count does not grow with the data.
@@ -48,13 +48,8 @@ def score_stream_plan(spark, sf_dir):
     return run_available_now(out, "score-stream")
 
 
-@register("ingest_stream", f"""
-WITH {RAW_UTTERANCES}
-SELECT DISTINCT intent, is_negative, md5(text) AS text_md5 FROM raw_utterances WHERE text IS NOT NULL
-""")
-def ingest_stream_plan(spark, sf_dir):
-    """Cleaned sheet rows land as several files; the stream reads one file per
-    micro-batch and keeps only utterances never seen before."""
+def _utterance_stream(spark, sf_dir):
+    """Cleaned sheet rows written as several files, and the stream that reads some of them a micro-batch."""
     rows = C.to_utterances(sheet_rows(spark, sf_dir))
     stage = scratch_path(spark, "ingest-stage")
     # balanced, deterministic files (range on the row identity, not on a hot
@@ -62,8 +57,27 @@ def ingest_stream_plan(spark, sf_dir):
     n_files = max(MICRO_BATCHES, shuffle_partitions(spark))
     rows.repartitionByRange(n_files, "source_file", "row_pos").write.parquet(stage)
     per_trigger = max(1, -(-n_files // MICRO_BATCHES))
-    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_trigger)
-              .parquet(stage))
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_trigger).parquet(stage)
+
+
+@register("ingest_keyed", f"""
+WITH {RAW_UTTERANCES}
+SELECT DISTINCT intent, is_negative, md5(text) AS text_md5 FROM raw_utterances WHERE text IS NOT NULL
+""")
+def ingest_keyed_plan(spark, sf_dir):
+    """The same stream against a key table in files instead of a state store."""
+    out = ingest_keyed(_utterance_stream(spark, sf_dir), "ingest-keyed")
+    return out.select("intent", "is_negative", F.md5("text").alias("text_md5"))
+
+
+@register("ingest_stream", f"""
+WITH {RAW_UTTERANCES}
+SELECT DISTINCT intent, is_negative, md5(text) AS text_md5 FROM raw_utterances WHERE text IS NOT NULL
+""")
+def ingest_stream_plan(spark, sf_dir):
+    """Cleaned sheet rows land as several files; the stream reads one file per
+    micro-batch and keeps only utterances never seen before."""
+    stream = _utterance_stream(spark, sf_dir)
     out = ingest_stream(stream).select("intent", "is_negative", F.md5("text").alias("text_md5"))
     return run_available_now(out, "ingest-stream")
 

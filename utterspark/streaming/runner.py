@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame
 from utterspark.session import scratch_path
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available_now(stream_df: DataFrame, name: str, output_mode: str = "append",
                       timeout_s: float | None = None) -> DataFrame:
     """Write ``stream_df`` to a Parquet sink in the shared folder with an
@@ -20,6 +23,8 @@ def run_available_now(stream_df: DataFrame, name: str, output_mode: str = "appen
     spark = stream_df.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
+    # state beyond executor memory: RocksDB keeps it on disk and its changes in the checkpoint
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     q = (stream_df.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ckpt).outputMode(output_mode)
          .trigger(availableNow=True).start())
