@@ -45,8 +45,9 @@ BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
-DENSE_TERMS, DENSE_SHARE = 1_000, 64  # at most so many terms, each in one of so many examples at least
+DENSE_TERMS, DENSE_SHARE = 768, 64  # at most so many terms, each in one of so many examples at least
 FIRST_RANGES = 1
+BUILT = 1 << 20
 ROUNDING = 1e-9  # more than sums of products of unit vectors can differ by their order
 QUERIES = 64  # searched together
 EVIDENCE = 3
@@ -172,42 +173,51 @@ class BlockMaxIndex:
     """Postings by (term, range of neighbouring examples), each cut with its largest weight. The most
     frequent terms, whose lists would name most examples, are columns of a dense block instead."""
 
-    def __init__(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, label: np.ndarray, n_terms: int):
+    def __init__(self, starts: np.ndarray, term: np.ndarray, weight, ids: np.ndarray, label: np.ndarray, n_terms: int):
+        """``weight`` gives the weights of a slice or of numbers of postings (an array does); lists are
+        built for ``BUILT`` postings at a time."""
+        weight = weight if callable(weight) else weight.__getitem__
         n = len(ids)
-        lead = np.array([term[starts[i] + weight[starts[i]:starts[i + 1]].argmax()] if starts[i + 1] > starts[i] else -1 for i in range(n)])
+        lead = np.full(n, -1, np.int64)
+        for i in range(n):
+            if starts[i + 1] > starts[i]:
+                lead[i] = term[starts[i] + weight(slice(starts[i], starts[i + 1])).argmax()]
         order = np.lexsort((ids, lead, label))  # alike examples lie together, so bounds are tight
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
         self.ids, self.label, self.place = ids[order], label[order], place
-        doc = place.astype(np.int32)[np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))]
+        owner = np.repeat(place.astype(np.min_scalar_type(n)), np.diff(starts))
         per_term = np.bincount(term, minlength=n_terms)
         often = np.argsort(-per_term, kind="stable")[:DENSE_TERMS]
         often = often[per_term[often] * DENSE_SHARE >= n]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[often] = np.arange(len(often))
-        at = self.column[term]
         self.dense = np.zeros((n, len(often)))
-        self.dense[doc[at >= 0], at[at >= 0]] = weight[at >= 0]
-        rare = at < 0
-        del at
-        key, weight = term[rare].astype(np.int64) * max(n, 1) + doc[rare], weight[rare]
-        del rare, doc
-        by = np.argsort(key, kind="stable")
-        key, self.weight = key[by], weight[by]
-        del by, weight
-        self.doc = (key % max(n, 1)).astype(np.int32)
-        t = (key // max(n, 1)).astype(np.int32)
-        del key
+        upto = np.append(0, np.cumsum(per_term))
+        per_term[often] = 0
+        self.post_of = np.append(0, np.cumsum(per_term))
+        self.doc, self.weight = np.empty(self.post_of[-1], np.int32), np.empty(self.post_of[-1])
+        a = 0
+        while a < n_terms:
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] + BUILT, "right")) - 1)
+            some = np.flatnonzero((term >= a) & (term < b))
+            t, d, w = term[some], owner[some], weight(some)
+            at = self.column[t]
+            self.dense[d[at >= 0], at[at >= 0]] = w[at >= 0]
+            rare = np.flatnonzero(at < 0)
+            rare = rare[np.lexsort((d[rare], t[rare]))]
+            self.doc[self.post_of[a]:self.post_of[b]], self.weight[self.post_of[a]:self.post_of[b]] = d[rare], w[rare]
+            a = b
         self.n_ranges = -(-n // RANGE)
         rng = self.doc // RANGE
-        cut = np.ones(len(t), bool)
-        cut[1:] = (t[1:] != t[:-1]) | (rng[1:] != rng[:-1])
+        cut = np.ones(len(rng), bool)
+        cut[1:] = rng[1:] != rng[:-1]
+        cut[self.post_of[:-1][per_term > 0]] = True
         self.begin = np.flatnonzero(cut)
-        self.length = np.diff(np.append(self.begin, len(t))).astype(np.int32)
+        self.length = np.diff(np.append(self.begin, len(rng))).astype(np.int32)
         self.range = rng[self.begin]
-        self.largest = np.maximum.reduceat(self.weight, self.begin) if len(t) else np.zeros(0)
-        self.cuts_of = np.searchsorted(t[self.begin], np.arange(n_terms + 1))
-        self.post_of = np.searchsorted(t, np.arange(n_terms + 1))
+        self.largest = np.maximum.reduceat(self.weight, self.begin) if len(rng) else np.zeros(0)
+        self.cuts_of = np.searchsorted(self.begin, self.post_of)
 
     def frequent(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """(queries x examples): what the frequent terms add to every cosine."""
@@ -272,12 +282,20 @@ class Core:
 
     def prepare(self) -> "Core":
         if self.index is None:
-            starts = np.append(0, np.cumsum([len(r[1]) // 4 for r in self.rows]))
-            term, weight = np.empty(starts[-1], np.int32), np.empty(starts[-1])
-            for i in range(len(self.rows)):
-                term[starts[i]:starts[i + 1]], weight[starts[i]:starts[i + 1]] = self.vector(i)
+            size = np.array([len(r[1]) // 4 for r in self.rows], np.int64)
+            starts, idf = np.append(0, np.cumsum(size)), self.vocabulary.example_idf()
+            most = max((int(np.frombuffer(r[2], np.int32).max(initial=0)) for r in self.rows), default=0)
+            term, count = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.min_scalar_type(most))
+            for i, r in enumerate(self.rows):
+                term[starts[i]:starts[i + 1]], count[starts[i]:starts[i + 1]] = np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.int32)
+            owner = np.repeat(np.arange(len(size), dtype=np.min_scalar_type(len(size))), size)
+            norm = np.sqrt(np.array([r[4] for r in self.rows], float))
+
+            def weight(some):
+                return (1.0 + np.log(count[some].astype(np.int64))) * idf[term[some]] / norm[owner[some]]
+
             ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
-            self.index = BlockMaxIndex(starts, term, weight, ids, label, len(self.vocabulary.example_idf()))
+            self.index = BlockMaxIndex(starts, term, weight, ids, label, len(idf))
         return self
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
