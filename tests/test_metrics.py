@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -147,3 +149,66 @@ def test_binned_auc(spark):
     binned = {r["class_idx"]: r["auc"] for r in M.auc_by_class(f, bins=1000).collect()}
     assert all(abs(exact[c] - binned[c]) < 0.01 for c in exact)
     assert M.score_counts(f, bins=10).count() <= 2 * 10
+
+
+def _scored(spark, rows, parts=5):
+    return spark.createDataFrame(rows, "y int, p array<double>").repartition(parts)
+
+
+def _plain_curves(rows, classes):
+    """{class: [(threshold, positives so far, negatives so far)]} by falling score."""
+    out = {}
+    for c in range(classes):
+        steps = {}
+        for y, p in rows:
+            s = steps.setdefault(p[c], [0, 0])
+            s[y != c] += 1
+        pos = neg = 0
+        out[c] = []
+        for score in sorted(steps, reverse=True):
+            pos, neg = pos + steps[score][0], neg + steps[score][1]
+            out[c].append((score, pos, neg))
+    return out
+
+
+def _random_rows(seed, n, classes=3, grid=None):
+    r = random.Random(seed)
+    cut = (lambda x: round(x * grid) / grid) if grid else (lambda x: x)
+    return [(r.randrange(classes), [cut(r.random()) for _ in range(classes)]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n,grid", [(400, None), (400, 20), (5, None), (1, None), (60, 1)])
+def test_auc_merged_from_ranges_is_the_area_of_the_whole_curve(spark, n, grid):
+    rows = _random_rows(n, n, grid=grid)
+    got = {r.class_idx: r.auc for r in M.auc_by_class(_scored(spark, rows)).collect()}
+    for c, curve in _plain_curves(rows, 3).items():
+        area, before = 0.0, (0, 0)
+        for _, pos, neg in curve:
+            area += (neg - before[1]) * (pos + before[0]) / 2
+            before = (pos, neg)
+        P, N = before
+        assert got[c] == (None if P * N == 0 else pytest.approx(area / (P * N), abs=1e-12))
+
+
+def test_auc_joins_nothing_with_the_score_rows(spark):
+    plan = M.auc_by_class(_scored(spark, _random_rows(1, 30)))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 40])
+@pytest.mark.parametrize("n,grid", [(300, None), (300, 12), (2, None)])
+def test_corners_are_found_across_the_ends_of_ranges(spark, partitions, n, grid):
+    rows = _random_rows(n + 1, n, grid=grid)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {}
+        for r in M.roc_curve(_scored(spark, rows), drop_intermediate=True).collect():
+            got.setdefault(r.class_idx, set()).add(r.threshold)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    for c, curve in _plain_curves(rows, 3).items():
+        points = [(0, 0), *[(p, q) for _, p, q in curve]]
+        want = {s for i, (s, p, q) in enumerate(curve) if i in (0, len(curve) - 1)
+                or (points[i + 2][0] - p, points[i + 2][1] - q) != (p - points[i][0], q - points[i][1])}
+        assert got[c] == want

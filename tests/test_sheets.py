@@ -1,12 +1,14 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.xlsx_writer import write_xlsx
 from utterspark.sources.sheets import write_sheets
 from utterspark.sources.xlsx import escape_ooxml, unescape_ooxml
 from utterspark.operators.corpus import dedup, to_utterances
-from utterspark.sources.sheets import corpus_files, read_sheets, split_rejects
+from utterspark.sources.sheets import corpus_files, parse_first_column, read_sheets, split_rejects
 
 
 def _make_corpus(d):
@@ -95,3 +97,71 @@ def test_hot_sheet_is_cut_into_bounded_parts(spark, tmp_dir):
     first = sorted((r["file_name"], r["row_pos"], r["cell"]) for r in back.collect()
                    if r["file_name"] == "Hot_validated_negative_1.xlsx")
     assert [c for _, _, c in first] == ["u0", "u1", "u2"]  # order kept across parts
+
+
+def _raw_sheet(rows_xml, shared=()):
+    import io
+    import zipfile
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+                   '<sheets><sheet name="s" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        if shared:
+            z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">' + "".join(f"<si><t>{s}</t></si>" for s in shared) + "</sst>")
+        with z.open("xl/worksheets/sheet1.xml", "w") as f:
+            f.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
+            for r in rows_xml:
+                f.write(r.encode())
+            f.write(b"</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def test_rows_out_of_order_and_places_claimed_twice():
+    text = lambda ref, t: f'<c r="{ref}" t="inlineStr"><is><t>{t}</t></is></c>'
+    rows = [f'<row r="1">{text("A1", "h")}</row>', f'<row r="4">{text("A4", "four")}{text("A4", "again")}</row>', f'<row r="2">{text("B2", "b")}{text("A2", "two")}</row>',
+            '<row r="3"><c r="A3" t="s"><v>1</v></c></row>', '<row r="6"><c r="B6"><v>7</v></c></row>']
+    assert parse_first_column(_raw_sheet(rows, ["unused", "three"])) == [(2, "two"), (3, "three"), (4, "four")]
+
+
+def test_a_shared_string_that_is_missing_rejects_the_file():
+    rows = ['<row r="1"><c t="s"><v>0</v></c></row>', '<row r="2"><c t="s"><v>5</v></c></row>']
+    with pytest.raises(IndexError):
+        parse_first_column(_raw_sheet(rows, ["h", "x"]))
+
+
+def test_chunks_and_no_rows_from_a_file_with_a_bad_cell(spark, monkeypatch):
+    from utterspark.sources import sheets
+
+    monkeypatch.setattr(sheets, "CHUNK_ROWS", 3)
+    good = _raw_sheet([f'<row><c t="str"><v>t{i}</v></c></row>' for i in range(11)])
+    bad = _raw_sheet([f'<row><c t="str"><v>t{i}</v></c></row>' for i in range(10)] + ["<row><c><v>7</v></c></row>"])
+    files = spark.createDataFrame([("p/g_validated_.xlsx", "g", good), ("p/b_validated_.xlsx", "b", bad)], "path string, file_name string, content binary")
+    rows = read_sheets(files).collect()
+    assert [(r.row_pos, r.cell) for r in rows if r.file_name == "g"] == [(i + 1, f"t{i}") for i in range(1, 11)]
+    wrong = [r for r in rows if r.file_name == "b"]
+    assert len(wrong) == 1 and wrong[0].cell is None and "row 11" in wrong[0].error
+
+
+_MILLION = """
+import resource, sys
+sys.path.insert(0, {root!r})
+from tests.test_sheets import _raw_sheet
+from utterspark.sources.sheets import column_rows
+content = _raw_sheet((f'<row r="{{i}}"><c r="A{{i}}" t="s"><v>{{i % 5000}}</v></c><c r="B{{i}}"><v>{{i}}</v></c></row>' for i in range(1, 1_000_001)),
+                     [f"text number {{i}} of the shared strings" for i in range(5000)])
+n = sum(1 for _ in column_rows(content))
+print(n, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+def test_a_million_rows_under_300_megabytes():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", _MILLION.format(root=root)], capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == 999_999 and int(out[1]) < 300

@@ -3,17 +3,22 @@
 Row-level data is touched once per metric family: the confusion counts (one
 hash aggregation, at most classes^2 rows) feed accuracy, precision, recall,
 F1, the class report and false-positive rates; one explode + aggregation to
-(class, score) feeds the ROC curves and AUCs, whose running sums use the
+(class, score) feeds the ROC curves, whose running sums use the
 range-partitioned prefix sums of ``ranking.running_totals`` instead of a
-per-class window (which would give one task per class).
+per-class window (which would give one task per class), and the AUCs, which
+merge one summary per range of scores.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.operators.ranking import global_rank, running_totals
+from utterspark.operators.ranking import running_totals
+from utterspark.session import ship_package, shuffle_partitions
 
 
 def accuracy(df: DataFrame, y: str = "y", k: str = "pred_idx") -> DataFrame:
@@ -130,28 +135,47 @@ def score_counts(df: DataFrame, y: str = "y", p: str = "p", bins: int | None = N
         F.sum(pos.cast("long")).alias("n_pos"), F.sum((~pos).cast("long")).alias("n_neg"))
 
 
-def _desc_running(counts: DataFrame) -> DataFrame:
+def _desc_running(counts: DataFrame, with_next: bool = False) -> DataFrame:
     neg = counts.withColumn("_neg_score", -F.col("score"))
-    return running_totals(neg, ["_neg_score"], ["n_pos", "n_neg"], partition_cols=["c"])
+    return running_totals(neg, ["_neg_score"], ["n_pos", "n_neg"], partition_cols=["c"], next_cols=["n_pos", "n_neg"] if with_next else ())
 
 
 def _drop_collinear(r: DataFrame) -> DataFrame:
-    """Keep a curve's first and last point and every corner: a point whose
-    cumulative counts change slope against its neighbours (second difference
-    of either count non-zero). Neighbours come from the exact distributed
-    rank and two equi-joins on (class, position +- 1), not a per-class window
-    (which would run each class in one task)."""
-    ranked = global_rank(r, ["_neg_score"], ["c"], rank_col="_i", size_col="_m")
-    ranked = ranked.checkpoint(eager=True)
-    prev = ranked.select("c", (F.col("_i") + 1).alias("_i"), F.col("cum_n_pos").alias("_pp"),
-                         F.col("cum_n_neg").alias("_pn"))
-    nxt = ranked.select("c", (F.col("_i") - 1).alias("_i"), F.col("cum_n_pos").alias("_np"),
-                        F.col("cum_n_neg").alias("_nn"))
-    j = ranked.join(prev, ["c", "_i"], "left").join(nxt, ["c", "_i"], "left")
-    bend = lambda a, m, b: F.col(a) - 2 * F.col(m) + F.col(b) != 0
-    keep = ((F.col("_i") == 1) | (F.col("_i") == F.col("_m"))
-            | bend("_pn", "cum_n_neg", "_nn") | bend("_pp", "cum_n_pos", "_np"))
-    return j.filter(keep).select(*r.columns)
+    """Keep a curve's first and last point and every corner: a point after which the curve goes on in another
+    direction than it came, that is, whose next step has other counts than its own. So a point needs
+    its successor's counts only (``next``), no rank and no join with the other points."""
+    first = (F.col("cum_n_pos") == F.col("n_pos")) & (F.col("cum_n_neg") == F.col("n_neg"))
+    last = F.col("next").isNull()
+    turns = (F.col("next.n_pos") != F.col("n_pos")) | (F.col("next.n_neg") != F.col("n_neg"))
+    return r.filter(first | last | turns)
+
+
+def _range_task(batches):
+    """One row per class of a range of scores in falling order: positives, negatives and the area that the
+    range's own steps span (negatives times the positives above them, half of those beside them)."""
+    pid = TaskContext.get().partitionId()
+    held: dict[int, list] = {}
+    for b in batches:
+        c, p, n = (b.column(k).to_numpy() for k in ("c", "n_pos", "n_neg"))
+        cuts = np.flatnonzero(np.diff(c, prepend=-1)).tolist() if len(c) else []  # rows come by class
+        for lo, hi in zip(cuts, [*cuts[1:], len(c)]):
+            pos, neg = p[lo:hi].astype(float), n[lo:hi].astype(float)
+            s = held.setdefault(int(c[lo]), [0, 0, 0.0])
+            s[2] += float((neg * (s[0] + np.cumsum(pos) - pos / 2)).sum())
+            s[0], s[1] = s[0] + int(p[lo:hi].sum()), s[1] + int(n[lo:hi].sum())
+    rows = [(pid, c, *s) for c, s in held.items()]
+    yield pa.RecordBatch.from_pydict({"pid": pa.array([r[0] for r in rows], pa.int32()), "c": pa.array([r[1] for r in rows], pa.int32()),
+                                      "p": pa.array([r[2] for r in rows], pa.int64()), "n": pa.array([r[3] for r in rows], pa.int64()),
+                                      "area": pa.array([r[4] for r in rows], pa.float64())})
+
+
+def score_ranges(counts: DataFrame) -> DataFrame:
+    """``(pid, c, p, n, area)``: the score counts summed up per range of falling scores and class. Ranges merge in
+    order of ``pid``: an area grows by the negatives of a range times the positives of all before it."""
+    ship_package(counts.sparkSession)
+    ordered = counts.select("c", (-F.col("score")).alias("_down"), "n_pos", "n_neg").where("c is not null")
+    ordered = ordered.repartitionByRange(shuffle_partitions(counts.sparkSession), "c", "_down").sortWithinPartitions("c", "_down")
+    return ordered.select("c", "n_pos", "n_neg").mapInArrow(_range_task, "pid int, c int, p long, n long, area double")
 
 
 def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool = False,
@@ -163,7 +187,7 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool
     ``drop_intermediate`` collinear points are left out (the curve and its
     area are unchanged), as common ROC tools do by default.
     """
-    r = _desc_running(score_counts(df, y, p, bins))
+    r = _desc_running(score_counts(df, y, p, bins), with_next=drop_intermediate)
     if drop_intermediate:
         r = _drop_collinear(r)
     fpr = F.when(F.col("total_n_neg") > 0, F.col("cum_n_neg") / F.col("total_n_neg"))
@@ -175,10 +199,11 @@ def roc_curve(df: DataFrame, y: str = "y", p: str = "p", drop_intermediate: bool
 def auc_by_class(df: DataFrame, y: str = "y", p: str = "p", bins: int | None = None) -> DataFrame:
     """Trapezoid AUC of each one-vs-rest curve (ties count one half); NULL if
     undefined. ``bins`` gives the approximate form (see :func:`score_counts`)."""
-    r = _desc_running(score_counts(df, y, p, bins))
-    contrib = F.col("n_neg") * (F.col("cum_n_pos") - F.col("n_pos") / 2.0)
-    g = r.groupBy("c").agg(F.sum(contrib).alias("_s"), F.first("total_n_pos").alias("P"),
-                           F.first("total_n_neg").alias("N"))
+    ranges = score_ranges(score_counts(df, y, p, bins))
+    # one row per (range, class): what is merged is the size of the cluster, not of the scores
+    before = F.coalesce(F.sum("p").over(Window.partitionBy("c").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    merged = ranges.withColumn("_s", F.col("area") + F.col("n") * before)
+    g = merged.groupBy("c").agg(F.sum("_s").alias("_s"), F.sum("p").alias("P"), F.sum("n").alias("N"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("_s") / (F.col("P") * F.col("N")))
     return g.select(F.col("c").alias("class_idx"), auc.alias("auc"))
 

@@ -72,11 +72,13 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], partition_cols: Sequen
 def running_totals(df: DataFrame, order_cols: Sequence[str], value_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), prefix: str = "cum_",
                    total_prefix: str | None = "total_",
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, next_cols: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums of ``value_cols`` in ``order_cols`` order per group.
 
     ``order_cols`` must be unique within a group. Adds ``{prefix}{c}`` and, if
-    ``total_prefix`` is set, the group totals ``{total_prefix}{c}``.
+    ``total_prefix`` is set, the group totals ``{total_prefix}{c}``. With ``next_cols`` also a struct
+    ``next`` of these columns of the row that follows in the group (NULL for the last): the local
+    window sees it, and across a range's end it comes from the first row of the group's next range.
     """
     part = list(partition_cols)
     keys = part + list(order_cols)
@@ -85,8 +87,11 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], value_cols: Sequenc
          .checkpoint(eager=True))
     w = (Window.partitionBy("_pid", *part).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = r.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in value_cols])
-    totals = r.groupBy("_pid", *part).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    lead = Window.partitionBy("_pid", *part).orderBy(*order_cols)
+    ahead = [F.lead(F.struct(*next_cols)).over(lead).alias("_ahead")] if next_cols else []
+    local = r.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in value_cols], *ahead)
+    head = [F.min_by(F.struct(*next_cols), F.struct(*order_cols)).alias("_head")] if next_cols else []
+    totals = r.groupBy("_pid", *part).agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols], *head)
     before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*part)
     off_cols = []
@@ -94,11 +99,15 @@ def running_totals(df: DataFrame, order_cols: Sequence[str], value_cols: Sequenc
         off_cols.append(F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}"))
         if total_prefix:
             off_cols.append(F.sum(f"_tot_{c}").over(whole).alias(f"_all_{c}"))
+    if next_cols:
+        off_cols.append(F.lead("_head").over(Window.partitionBy(*part).orderBy("_pid")).alias("_beyond"))
     offsets = totals.select("_pid", *part, *off_cols)
     out = _attach(local, offsets, ["_pid", *part], bool(part))
     extra = [(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}") for c in value_cols]
     if total_prefix:
         extra += [F.col(f"_all_{c}").alias(f"{total_prefix}{c}") for c in value_cols]
+    if next_cols:
+        extra.append(F.coalesce("_ahead", "_beyond").alias("next"))
     return out.select(*df.columns, *extra)
 
 

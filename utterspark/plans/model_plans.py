@@ -24,13 +24,14 @@ from utterspark.plans.registry import register
 from utterspark.plans.split_plans import corpus_split, positive_corpus_split, train_labels
 from utterspark.plans.sql_fixtures import SPLIT
 from utterspark.session import materialize, scratch_path, ship_package
+from utterspark.sources import runs as R
 from utterspark.sources import store
 from utterspark.sources.tables import evaluated, history_rows, scored, scored_labels, table
 
 
 def _encoded(spark, sf_dir):
     s = corpus_split(spark, sf_dir)
-    labels = train_labels(s)
+    labels = R.require_rows(train_labels(s), "labelled utterances to train on")
     return L.encode_labels(s, labels, unseen="error"), labels
 
 
@@ -129,6 +130,62 @@ def model_roundtrip(spark, sf_dir):
     return j.select("source_file", "row_pos", "pred_idx", (F.col("p_a") == F.col("p_b")).alias("same"))
 
 
+@register("run_roundtrip", f"""
+WITH {SPLIT},
+parts AS (
+  SELECT 'labels' AS part, (SELECT count(*) FROM label_dict) AS n
+  UNION ALL SELECT 'confusion', (SELECT count(*) * count(*) FROM label_dict)
+  UNION ALL SELECT 'weighted_model', (SELECT count(*) FROM corpus_split WHERE split = 'test')
+  UNION ALL SELECT 'embedding_classifier', (SELECT count(*) FROM corpus_split WHERE split = 'test'))
+SELECT part, n, n AS n_same FROM parts
+""")
+def run_roundtrip(spark, sf_dir):
+    """A run with the models of both flows, the label dictionary, the dense confusion matrix, ROC curves and
+    the metrics document is written, found again as the latest finished one and read back: per part its
+    rows, and how many are the same (for models: the same probabilities on the test split)."""
+    from utterspark.functions.arrays import sigmoid_normalised
+
+    enc, labels = _encoded(spark, sf_dir)
+    enc = materialize(enc.withColumn("uid", F.concat_ws("|", "source_file", F.col("row_pos").cast("string"))))
+    train, test = (enc.filter(F.col("split") == x) for x in ("train", "test"))
+    weighted = T.fit_weighted(train)
+    vectors = materialize(hashed_vectors(enc.select(F.explode(tokenize_ws("text")).alias("token"))))
+    texts = lambda df: df.select("uid", "label_idx").join(FT.mean_vectors(df, "uid", tokenize_ws("text"), vectors, VECTOR_DIM), "uid")
+    classifier = T.fit_ovr(texts(train), "vector", "label_idx")
+
+    scored_test = materialize(T.score(weighted, test).select("uid", F.col("label_idx").cast("int").alias("y"), "p", "pred_idx"))
+    cm = materialize(M.confusion(scored_test, "y", "pred_idx"))
+    dense = materialize(M.dense_confusion(cm, labels))
+    base = scratch_path(spark, "runs")
+    run = R.Run.start(spark, base)
+    run.add_model("weighted_model", weighted)
+    run.add_model("embedding_classifier", classifier)
+    run.add_table("labels", labels)
+    run.add_table("vectors", vectors)
+    run.add_table("confusion", dense)
+    run.add_table("roc_curves", M.roc_curve(scored_test, drop_intermediate=True))
+    final = M.accuracy_from_confusion(cm)
+    run.add_document("metrics", final.select(F.to_json(F.struct(*final.columns)).alias("document")))
+    run.finish(corpus="derived sheets", test_rows=int(cm.agg(F.sum("n")).first()[0] or 0))
+
+    found = R.latest_run(spark, base)
+    back = T.score(found.model("weighted_model"), test).select("uid", F.col("p").alias("q"))
+    flow_b = lambda m: T.ovr_margins(m, texts(test), "vector").select("uid", sigmoid_normalised("raw").alias("p"))
+    again = flow_b(found.model("embedding_classifier")).withColumnRenamed("p", "q")
+
+    def same(name, a, b, keys):
+        j = a.join(b, keys, "left")
+        return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p").eqNullSafe(F.col("q"))).alias("n_same")).select(F.lit(name).alias("part"), "n", "n_same")
+
+    out = same("weighted_model", scored_test.select("uid", "p"), back, ["uid"])
+    out = out.unionByName(same("embedding_classifier", flow_b(classifier), again, ["uid"]))
+    pairs = (("labels", labels.select("label", F.col("idx").alias("p")), found.table("labels").select("label", F.col("idx").alias("q")), ["label"]),
+             ("confusion", dense.select("y", "k", F.col("n").alias("p")), found.table("confusion").select("y", "k", F.col("n").alias("q")), ["y", "k"]))
+    for part in pairs:
+        out = out.unionByName(same(*part))
+    return out
+
+
 @register("label_map_roundtrip", f"""
 WITH {SPLIT}
 SELECT label, idx FROM label_dict
@@ -143,7 +200,9 @@ def label_map_roundtrip(spark, sf_dir):
 def metrics_document(spark, sf_dir):
     """The metrics JSON (history, final metrics with false-positive rates,
     class report, confusion, prediction speed, label mapping, configuration)."""
-    ev = evaluated(spark, sf_dir)
+    began = time.perf_counter()
+    ev = materialize(evaluated(spark, sf_dir))  # scoring and deciding, timed as one job
+    seconds, n = time.perf_counter() - began, ev.count()
     cm = materialize(M.confusion(ev, "y", "k"))
     labels = scored_labels(spark, sf_dir)
     aucs = M.auc_by_class(scored(spark, sf_dir))
@@ -151,7 +210,8 @@ def metrics_document(spark, sf_dir):
              .join(F.broadcast(M.weighted_prf(cm).withColumn("_k", F.lit(0))), "_k")
              .join(F.broadcast(M.macro_auc(aucs).select("macro_auc").withColumn("_k", F.lit(0))), "_k")
              .drop("_k"))
-    speed = M.latency_stats(table(spark, sf_dir, "events").select("value")).drop("n")
+    speed = spark.createDataFrame([(seconds, n, seconds / max(n, 1), seconds / max(-(-n // 32), 1))],
+                                  "scoring_seconds double, n_rows long, seconds_per_row double, seconds_per_batch double")
     cfg = {"max_length": 64, "batch_size": 32, "confidence_threshold": D.CONFIDENCE_THRESHOLD}
     return store.metrics_document(M.epoch_metrics(history_rows(spark, sf_dir)), final,
                                   M.class_report(cm), M.false_positive_rate(cm, labels), cm, speed,

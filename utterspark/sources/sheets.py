@@ -3,14 +3,17 @@
 Files are listed by Spark's ``binaryFile`` source (glob on the file name, no
 percent-encoding of paths) and parsed on executors by ``mapInPandas`` with
 the standard library (an .xlsx file is a zip of XML parts); one file is one
-row in and its sheet rows out, so files parse in parallel.
+row in and its sheet rows out, in chunks, so files parse in parallel and a task holds one file and the
+texts of its first column.
 """
 
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
+from array import array
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
@@ -62,61 +65,163 @@ def _text_of(el) -> str:
     return unescape_ooxml("".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t")))
 
 
-def parse_first_column(content: bytes) -> list[tuple[int, object]]:
-    """``(row number, value)`` of the first column (A) of the first sheet, data
-    rows only (the first row is the header). Strings stay ``str``; numbers come
-    back as ``float``, booleans as ``bool``; empty cells are omitted."""
-    z = zipfile.ZipFile(io.BytesIO(content))
+def _parts(z: zipfile.ZipFile) -> str:
+    """Path of the first sheet inside the archive."""
     wb = ET.fromstring(z.read("xl/workbook.xml"))
-    first = wb.find("m:sheets/m:sheet", _NS)
-    rid = first.get(_REL)
+    rid = wb.find("m:sheets/m:sheet", _NS).get(_REL)
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
-    target = next(r.get("Target") for r in rels.iter(_PKG_REL) if r.get("Id") == rid)
-    target = target.lstrip("/")
-    sheet_path = target if target.startswith("xl/") else f"xl/{target}"
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
-        shared = [_text_of(si) for si in sst.findall("m:si", _NS)]
-    sheet = ET.fromstring(z.read(sheet_path))
-    cells: list[tuple[int, int, object]] = []
-    rnum = 0
-    for row in sheet.iterfind("m:sheetData/m:row", _NS):
-        # the position attributes are optional: without them rows and cells count on
-        rnum = int(row.get("r") or rnum + 1)
-        col = -1
-        for c in row.findall("m:c", _NS):
-            col = _col_index(c.get("r")) if c.get("r") else col + 1
-            t = c.get("t", "n")
-            v = c.find("m:v", _NS)
-            if t == "inlineStr":
-                is_ = c.find("m:is", _NS)
-                val = _text_of(is_) if is_ is not None else None
-            elif v is None or v.text is None:
-                val = None
-            elif t == "s":
-                val = shared[int(v.text)]
-            elif t in ("str", "e"):
-                val = unescape_ooxml(v.text)
-            elif t == "b":
-                val = v.text == "1"
-            else:
-                val = float(v.text)
-            if val is not None:
-                cells.append((rnum, col, val))
-    if not cells:
-        return []
-    header_row = min(r for r, _, _ in cells)
-    # a first-column text that goes on in columns named <header>+1, <header>+2, ... is joined again
-    head = {ci: v for r, ci, v in cells if r == header_row}
-    last = 0
-    while isinstance(head.get(0), str) and head.get(last + 1) == f"{head[0]}+{last + 1}":
-        last += 1
-    rows: dict[int, object] = {}
-    for r, ci, v in sorted(cells, key=lambda x: x[:2]):
-        if r > header_row and ci <= last:
-            rows[r] = rows[r] + v if ci and isinstance(rows.get(r), str) and isinstance(v, str) else rows.get(r, v)
-    return sorted(rows.items())
+    target = next(r.get("Target") for r in rels.iter(_PKG_REL) if r.get("Id") == rid).lstrip("/")
+    return target if target.startswith("xl/") else f"xl/{target}"
+
+
+def _elements(stream, tag: str, parent: str) -> Iterator[ET.Element]:
+    """Every ``tag`` element right when it ends; what was read of ``parent`` is let go with it."""
+    tag, parent = f"{{{_NS['m']}}}{tag}", f"{{{_NS['m']}}}{parent}"
+    inside = None
+    for event, el in ET.iterparse(stream, events=("start", "end")):
+        if event == "start" and el.tag == parent:
+            inside = el
+        elif event == "end" and el.tag == tag and inside is not None:
+            yield el
+            inside.clear()
+
+
+def _cells(row: ET.Element) -> Iterator[tuple[int, str, str | None]]:
+    """(column, type, raw value) of a row's cells that hold something."""
+    col = -1
+    for c in row.findall("m:c", _NS):
+        # the position attributes are optional: without them cells count on
+        col = _col_index(c.get("r")) if c.get("r") else col + 1
+        t, v = c.get("t", "n"), c.find("m:v", _NS)
+        if t == "inlineStr":
+            text = c.find("m:is", _NS)
+            if text is not None:
+                yield col, t, _text_of(text)
+        elif v is not None and v.text is not None:
+            yield col, t, v.text
+
+
+class _Column:
+    """The cells of a sheet's text column: row numbers and, per cell, a shared string's number or
+    (negative) the place of a value of its own; texts lie in one buffer."""
+
+    def __init__(self):
+        self.row, self.ref = array("q"), array("q")
+        self.buffer, self.ends, self.others = bytearray(), array("q"), {}
+
+    def add(self, row: int, kind: str, raw: str) -> None:
+        self.row.append(row)
+        if kind == "s":
+            number = int(raw)
+            if number < 0:
+                raise IndexError(f"shared string {number}")
+            self.ref.append(number)
+            return
+        if kind == "b":
+            self.others[len(self.ends)] = raw == "1"
+        elif kind not in ("inlineStr", "str", "e"):
+            self.others[len(self.ends)] = float(raw)
+        else:
+            self.buffer += (raw if kind == "inlineStr" else unescape_ooxml(raw)).encode("utf-8", "surrogatepass")
+        self.ends.append(len(self.buffer))
+        self.ref.append(-len(self.ends))
+
+    def own(self, ref: int) -> object:
+        at = -ref - 1
+        if at in self.others:
+            return self.others[at]
+        return self.buffer[self.ends[at - 1] if at else 0:self.ends[at]].decode("utf-8", "surrogatepass")
+
+
+def _shared(z: zipfile.ZipFile, wanted: set[int]) -> dict[int, str]:
+    """The wanted shared strings, read one after another."""
+    found: dict[int, str] = {}
+    if wanted and "xl/sharedStrings.xml" in z.namelist():
+        with z.open("xl/sharedStrings.xml") as stream:
+            for i, si in enumerate(_elements(stream, "si", "sst")):
+                if i in wanted:
+                    found[i] = _text_of(si)
+    if len(found) < len(wanted):
+        raise IndexError(f"shared string {min(wanted - found.keys())} is missing")
+    return found
+
+
+class _Disorder(ValueError):
+    """A row's number is below the one before."""
+
+
+def _numbered(z: zipfile.ZipFile, sheet: str, check: bool = True) -> Iterator[tuple[int, list]]:
+    """(row number, cells by column) of the rows of a sheet; without numbers rows count on."""
+    number = 0
+    with z.open(sheet) as stream:
+        for row in _elements(stream, "row", "sheetData"):
+            before, number = number, int(row.get("r") or number + 1)
+            if check and number < before:
+                raise _Disorder(f"row {number} after row {before}")
+            yield number, sorted(_cells(row), key=lambda c: c[0])
+
+
+def _read_column(z: zipfile.ZipFile, rows: Iterator[tuple[int, list]]) -> _Column:
+    """Column A of all rows after the first that holds anything, with the columns it goes on in."""
+    column, last, header = _Column(), 0, None
+    for number, cells in rows:
+        if header is None and cells:
+            # a first-column text that goes on in columns named <header>+1, <header>+2, ... is joined again
+            header = number
+            names = _shared(z, {int(v) for _, t, v in cells if t == "s"})
+            text = {"s": lambda v: names[int(v)], "inlineStr": str, "str": unescape_ooxml, "e": unescape_ooxml}
+            head = {c: text[t](v) for c, t, v in reversed(cells) if t in text}
+            while isinstance(head.get(0), str) and head.get(last + 1) == f"{head[0]}+{last + 1}":
+                last += 1
+        elif number != header:
+            seen = -1
+            for c, t, v in cells:
+                if seen < c <= last:  # of cells that claim one place the first counts
+                    column.add(number, t, v)
+                    seen = c
+    return column
+
+
+def column_rows(content: bytes, text_only: bool = False) -> Iterator[tuple[int, object]]:
+    """``(row number, value)`` of the first column (A) of the first sheet, data
+    rows only (the first row is the header), in row order. Strings stay ``str``; numbers come
+    back as ``float``, booleans as ``bool``; empty cells are omitted.
+
+    The sheet is read row by row and only column A (and the columns its long texts go on in) is kept, as
+    numbers and one text buffer; of the shared strings only those in use. Nothing is yielded before the
+    whole sheet has been read and checked, so a damaged file yields nothing, nor does one with a value that
+    is no text, with ``text_only``.
+    """
+    z = zipfile.ZipFile(io.BytesIO(content))
+    try:
+        column = _read_column(z, _numbered(z, _parts(z)))
+    except _Disorder:  # no program writes rows out of order, but a file may hold them so
+        column = _read_column(z, iter(sorted(_numbered(z, _parts(z), check=False), key=lambda r: r[0])))
+    at, n = 0, len(column.row)
+    if text_only and column.others:
+        for i in range(n):
+            if (i == 0 or column.row[i] != column.row[i - 1]) and -column.ref[i] - 1 in column.others:
+                raise TypeError(f"non-text cell in row {column.row[i]}: {column.own(column.ref[i])!r}")
+    texts = _shared(z, {r for r in column.ref if r >= 0})
+    while at < n:
+        number, value = column.row[at], None
+        while at < n and column.row[at] == number:
+            ref = column.ref[at]
+            part = texts[ref] if ref >= 0 else column.own(ref)
+            if value is None:
+                value = part
+            elif isinstance(value, str) and isinstance(part, str):
+                value += part
+            at += 1
+        yield number, value
+
+
+def parse_first_column(content: bytes) -> list[tuple[int, object]]:
+    """All rows of :func:`column_rows`."""
+    return list(column_rows(content))
+
+
+CHUNK_ROWS = 20_000
 
 
 def read_sheets(files: DataFrame, na_strings=NA_STRINGS, non_string: str = "fail") -> DataFrame:
@@ -129,26 +234,30 @@ def read_sheets(files: DataFrame, na_strings=NA_STRINGS, non_string: str = "fail
     """
     na = set(na_strings or ())
 
+    def kept(rows):
+        for rnum, v in rows:
+            if not isinstance(v, str):
+                yield rnum, _num_text(v)
+            elif v not in na:
+                yield rnum, v
+
+    def frame(path, name, rows, error=None) -> pd.DataFrame:
+        return pd.DataFrame({"path": path, "file_name": name, "row_pos": pd.Series([r for r, _ in rows], dtype="Int64"),
+                             "cell": pd.Series([v for _, v in rows], dtype=object), "error": error}, columns=["path", "file_name", "row_pos", "cell", "error"])
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
             for path, name, content in zip(pdf["path"], pdf["file_name"], pdf["content"]):
                 try:
-                    rows = parse_first_column(bytes(content))
-                    kept = []
-                    for rnum, v in rows:
-                        if isinstance(v, str):
-                            if v in na:
-                                continue
-                            kept.append((path, name, rnum, v, None))
-                        elif non_string == "cast":
-                            kept.append((path, name, rnum, _num_text(v), None))
-                        else:
-                            raise TypeError(f"non-text cell in row {rnum}: {v!r}")
-                    out.extend(kept)
+                    # a bad file or cell fails here, before a row is given out
+                    rows = kept(column_rows(bytes(content), text_only=non_string != "cast"))
+                    chunk = list(itertools.islice(rows, CHUNK_ROWS))
                 except Exception as e:  # noqa: BLE001 - per-file isolation
-                    out.append((path, name, None, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["path", "file_name", "row_pos", "cell", "error"])
+                    yield frame(path, name, [(None, None)], f"{type(e).__name__}: {e}")
+                    continue
+                while chunk:
+                    yield frame(path, name, chunk)
+                    chunk = list(itertools.islice(rows, CHUNK_ROWS))
 
     return files.select("path", "file_name", "content").mapInPandas(parse, ROW_SCHEMA)
 
