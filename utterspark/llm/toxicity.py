@@ -45,7 +45,7 @@ BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
-DENSE_TERMS, DENSE_SHARE = 768, 64  # at most so many terms, each in one of so many examples at least
+DENSE_TERMS, DENSE_SHARE = 384, 64  # at most so many terms, each in one of so many examples at least
 FIRST_RANGES = 1
 BUILT = 1 << 20
 ROUNDING = 1e-9  # more than sums of products of unit vectors can differ by their order
@@ -132,17 +132,24 @@ class Vocabulary:
         return {"blocks": self.blocks, "documents": self.documents, "hasher": None}
 
     def _unpack(self):
-        terms, n, own = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], [np.zeros(0, bool)]
+        total, wide = sum(b[5] for b in self.blocks), any(len(b[3]) > 4 * b[5] for b in self.blocks)
+        self.terms, self.n, own = np.empty(total, np.uint64), np.empty(total, np.uint64 if wide else np.uint32), np.empty(total, bool)
+        at = 0
         for _, first, step, count, mine, size in self.blocks:
             step = np.frombuffer(step, np.uint32 if len(step) == 4 * (size - 1) else np.uint64)
-            terms.append(np.uint64(first) + np.append(np.uint64(0), np.cumsum(step, dtype=np.uint64)))
-            n.append(np.frombuffer(count, np.uint32 if len(count) == 4 * size else np.uint64))
-            own.append(np.unpackbits(np.frombuffer(mine, np.uint8), count=size).astype(bool))
-        self.terms, own = np.concatenate(terms), np.concatenate(own)
-        self.rare, self.idf = self.idf_of(1), self.idf_of(np.concatenate(n))
-        self.place = np.where(own, np.cumsum(own) - 1, -1).astype(np.int32)
-        self.own_idf = self.idf[own]
-        self.hasher, self.blocks = SpanHasher(), None  # unpacked in workers only, which send it nowhere
+            here = self.terms[at:at + size]
+            here[0] = 0
+            np.cumsum(step, dtype=np.uint64, out=here[1:])
+            here += np.uint64(first)
+            self.n[at:at + size] = np.frombuffer(count, np.uint32 if len(count) == 4 * size else np.uint64)
+            own[at:at + size] = np.unpackbits(np.frombuffer(mine, np.uint8), count=size).astype(bool)
+            at += size
+        self.blocks = None  # unpacked in workers only, which send it nowhere
+        self.rare = self.idf_of(1)
+        self.place = np.full(total, -1, np.int32)
+        self.place[own] = np.arange(own.sum(), dtype=np.int32)
+        self.own_idf = self.idf_of(self.n[own])
+        self.hasher = SpanHasher()
 
     def idf_of(self, n):
         return np.log((1.0 + self.documents) / (1.0 + n)) + 1.0
@@ -160,7 +167,7 @@ class Vocabulary:
         row, t, n = term_counts(arr, self.hasher)
         at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
         known = self.terms[at] == t
-        w = (1.0 + np.log(n)) * np.where(known, self.idf[at], self.rare)
+        w = (1.0 + np.log(n)) * np.where(known, self.idf_of(self.n[at]), self.rare)
         if square is None:
             square = np.bincount(row, w * w, len(arr))
         place = np.where(known, self.place[at], -1)
@@ -270,6 +277,12 @@ class BlockMaxIndex:
         return places, scores
 
 
+def _unpacked(row: tuple) -> np.ndarray:
+    """The counts of an example's terms: as wide as its largest needs."""
+    terms, counts = len(row[1]) // 4, row[2]
+    return np.frombuffer(counts, f"<u{len(counts) // terms}" if terms else np.uint8)
+
+
 class Core:
     """What scoring needs of a fit, sent once: the vocabulary and the examples' places of terms and counts,
     packed a text. A worker builds the index from them when it first needs it."""
@@ -284,10 +297,10 @@ class Core:
         if self.index is None:
             size = np.array([len(r[1]) // 4 for r in self.rows], np.int64)
             starts, idf = np.append(0, np.cumsum(size)), self.vocabulary.example_idf()
-            most = max((int(np.frombuffer(r[2], np.int32).max(initial=0)) for r in self.rows), default=0)
-            term, count = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.min_scalar_type(most))
+            term = np.empty(starts[-1], np.int32)
+            count = np.empty(starts[-1], np.result_type(np.uint8, *{_unpacked(r).dtype for r in self.rows}))
             for i, r in enumerate(self.rows):
-                term[starts[i]:starts[i + 1]], count[starts[i]:starts[i + 1]] = np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.int32)
+                term[starts[i]:starts[i + 1]], count[starts[i]:starts[i + 1]] = np.frombuffer(r[1], np.int32), _unpacked(r)
             owner = np.repeat(np.arange(len(size), dtype=np.min_scalar_type(len(size))), size)
             norm = np.sqrt(np.array([r[4] for r in self.rows], float))
 
@@ -300,9 +313,9 @@ class Core:
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of terms and weights of an example."""
-        _, terms, counts, _, square = self.rows[i]
-        term = np.frombuffer(terms, np.int32)
-        return term, (1.0 + np.log(np.frombuffer(counts, np.int32).astype(np.int64))) * self.vocabulary.example_idf()[term] / np.sqrt(square)
+        row = self.rows[i]
+        term, square = np.frombuffer(row[1], np.int32), row[4]
+        return term, (1.0 + np.log(_unpacked(row).astype(np.int64))) * self.vocabulary.example_idf()[term] / np.sqrt(square)
 
     def votes(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray, skip: np.ndarray | None = None):
         """(query, places, cosines, vote) of every query with a term of an example."""
@@ -476,7 +489,7 @@ def _vector_task(shared, own_norms: bool):
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": x.column("doc_id").cast(pa.int64()),
                     "terms": pa.array([term[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()),
-                    "counts": pa.array([n[p:q].astype(np.int32).tobytes() for p, q in cuts], pa.binary()),
+                    "counts": pa.array([n[p:q].astype(np.min_scalar_type(int(n[p:q].max(initial=0)))).tobytes() for p, q in cuts], pa.binary()),
                     "toxic": x.column("toxic").cast(pa.int32()), "square": pa.array(square)})
     return run
 
