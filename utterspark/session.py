@@ -101,25 +101,38 @@ def materialize(df):
 MAX_BROADCAST_BYTES = 256 << 20
 
 
+def _value_bytes(c, kind):
+    """Size estimate of a value: strings and binaries by their octets, arrays, maps and structs by what they
+    hold (fixed-width elements at 8 bytes without looking at them), everything else 8 bytes."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
+
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    if isinstance(kind, ArrayType):
+        if not isinstance(kind.elementType, (StringType, BinaryType, ArrayType, MapType, StructType)):
+            return F.lit(16) + F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long") * 8
+        held = F.aggregate(c, F.lit(16).cast("long"), lambda acc, x: (acc + 16 + _value_bytes(x, kind.elementType)).cast("long"))
+        return F.coalesce(held, F.lit(16).cast("long"))
+    if isinstance(kind, StructType):
+        total = F.lit(16).cast("long")
+        for f in kind.fields:
+            total = total + _value_bytes(c[f.name], f.dataType)
+        return total
+    if isinstance(kind, MapType):
+        entry = StructType().add("key", kind.keyType).add("value", kind.valueType)
+        return _value_bytes(F.map_entries(c), ArrayType(entry))
+    return F.lit(8).cast("long")
+
+
 def _row_bytes(df):
-    """Per-row size estimate: strings by their UTF-8 octets, arrays by their
-    length x 8, everything else 8 bytes, plus a fixed per-row overhead."""
+    """Per-row size estimate: what the values hold, plus a fixed per-row overhead."""
     from pyspark.sql import functions as F
-    from pyspark.sql.types import ArrayType, BinaryType, StringType
 
-    parts = [F.lit(32)]
+    total = F.lit(32).cast("long")
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (StringType, BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(f.dataType, ArrayType):
-            parts.append(F.lit(16) + F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) * F.lit(8))
-        else:
-            parts.append(F.lit(8))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total.cast("long")
+        total = total + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return total
 
 
 def broadcast_if_bounded(df, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES):
