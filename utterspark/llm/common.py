@@ -7,6 +7,8 @@ stay at a few dozen megabytes however many rows an Arrow batch has.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
@@ -28,6 +30,16 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def give_back() -> None:
+    """Return to the system what earlier operators have freed in a reused Python worker; a task calls it
+    before it builds something large."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import SpanHasher, mix64, prepare, ragged, row_slices, unused, utf8, word_spans
+from utterspark.llm.common import SpanHasher, give_back, mix64, prepare, ragged, row_slices, unused, utf8, word_spans
 from utterspark.session import shuffle_partitions
 
 MAX_EXAMPLES = 5_000
@@ -83,6 +83,7 @@ def term_counts(arr: pa.Array, hasher: SpanHasher) -> tuple[np.ndarray, np.ndarr
 
 def _frequency_task(batches):
     """(term, documents that have it) summed over some millions of terms at a time; term -1 has the rows."""
+    give_back()
     hasher, parts, held, rows = SpanHasher(), [], 0, 0
 
     def sums():
@@ -295,6 +296,7 @@ class Core:
 
     def prepare(self) -> "Core":
         if self.index is None:
+            give_back()
             size = np.array([len(r[1]) // 4 for r in self.rows], np.int64)
             starts, idf = np.append(0, np.cumsum(size)), self.vocabulary.example_idf()
             term = np.empty(starts[-1], np.int32)
@@ -309,6 +311,8 @@ class Core:
 
             ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
             self.index = BlockMaxIndex(starts, term, weight, ids, label, len(idf))
+            del term, count, owner, weight
+            give_back()
         return self
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
