@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import SpanHasher, list_binary, mix64, prepare, ragged, row_slices, utf8
+from utterspark.llm.common import SpanHasher, give_back, list_binary, mix64, prepare, ragged, row_slices, utf8
 
 MAX_VOCAB_BYTES = 64 << 20
 MEMO = 500_000
@@ -211,6 +211,7 @@ class Codec:
     def _prepare(self) -> None:
         if self._ready:
             return
+        give_back()
         self.token_objects = np.array(self.tokens, object)
         top = int(self.ids.max(initial=-1)) + 1
         by_id = [b""] * top

@@ -8,7 +8,6 @@ stay at a few dozen megabytes however many rows an Arrow batch has.
 from __future__ import annotations
 
 import ctypes
-import gc
 import uuid
 
 import numpy as np
@@ -31,9 +30,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def give_back() -> None:
-    """Return to the system what earlier operators have freed in a reused Python worker; a task calls it
-    before it builds something large."""
-    gc.collect()
+    """Return to the system what a reused Python worker has freed; a task calls it before it builds
+    something large and when it has let go of it."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

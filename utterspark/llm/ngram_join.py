@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from utterspark.llm.common import FOLD_AZ, WORD_SPACE, SpanHasher, bounded_broadcast, mix64, prepare, ragged, row_slices, utf8, word_spans
+from utterspark.llm.common import FOLD_AZ, WORD_SPACE, SpanHasher, bounded_broadcast, give_back, mix64, prepare, ragged, row_slices, utf8, word_spans
 from utterspark.llm.components import connected_components
 from utterspark.session import shuffle_partitions
 
@@ -219,6 +219,7 @@ def _frequency_task(buckets: int):
     """A bucket's pairs whose shingle two or more sets have, returned to their chunks with the rank of
     the frequency (an eighth of its logarithm); rows of documents pass through."""
     def run(batches):
+        give_back()
         short, row, owner, chunks = [], [], [], []
         for b in batches:
             for to, kind, chunk, block in zip(b.column("to").to_pylist(), b.column("kind").to_pylist(), b.column("chunk").to_pylist(), b.column("block")):
@@ -258,6 +259,7 @@ def _prefix_task(num: int, den: int, buckets: int):
     """Candidate keys of the chunks of a task, one row per key of a chunk, and edges between rows
     of a chunk that share one."""
     def run(batches):
+        give_back()
         info: dict[int, pa.Scalar] = {}
         pairs: dict[int, list] = {}
         for b in batches:
@@ -329,6 +331,7 @@ def _set_task(words: int):
                 sets = [h[stop[i] - size[i]:stop[i]].tobytes() for i in at]
                 take = {c: x.column(c).take(pa.array(at)) for c in ("doc_id", "size", "digest", "copies", "tiles")}
                 yield pa.RecordBatch.from_pydict({**take, "shingles": pa.array(sets, pa.binary())})
+        give_back()
     return run
 
 
