@@ -89,6 +89,7 @@ def ovr_fit(spark, sf_dir):
 
 def _weighted_model(spark, sf_dir):
     enc, labels = _encoded(spark, sf_dir)
+    enc = materialize(enc)  # split, joined and encoded once: the fit and its callers read it again
     model = T.fit_weighted(enc.filter(F.col("split") == "train"))
     return model, enc, labels
 
