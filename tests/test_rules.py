@@ -93,3 +93,15 @@ def test_time_hardly_depends_on_the_number_of_rules(spark):
         out.agg(F.count("rule_intent")).collect()
         took[n] = time.perf_counter() - began
     assert took[20_000] < 10 * took[200] + 1, took
+
+
+def test_rules_behind_the_first_that_matches_cost_nothing(spark):
+    words = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(1_500)]
+    rules = spark.createDataFrame([(i, f"(^|[^a-z]){w}([^a-z]|$)", w) for i, w in enumerate(words)], KIND)
+    df = spark.createDataFrame([(i, " ".join(words)) for i in range(300)], "id int, text string").repartition(4).cache()
+    df.count()
+    out = FT.rule_match(df, rules)
+    out.limit(1).collect()
+    began = time.perf_counter()
+    assert {(r.rule_intent, r.rule_priority) for r in out.select("rule_intent", "rule_priority").collect()} == {(words[0], 0)}
+    assert time.perf_counter() - began < 6
