@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utterspark.functions.slices import cuts_of, give_back
 from utterspark.operators.features import MAX_LENGTH, PAD_ID, UNK_ID
-from utterspark.session import ship_package
+from utterspark.session import materialize, ship_package
 
 # Ids of the marks round a text, the first piece's id, and the longest word that is cut.
 BEGIN_ID = 2
@@ -29,6 +30,7 @@ FIRST_PIECE_ID = 4
 MAX_WORD = 100
 
 MAX_PIECES = 2_000_000
+SLICE_WORDS = 200_000  # words that are cut at a time
 _BITS = 21  # of a code point
 
 
@@ -135,31 +137,40 @@ def piece_trie(pieces: DataFrame):
     return spark.sparkContext.broadcast(Trie(rows.column("piece").to_pylist(), rows.column("continues").to_numpy().astype(np.int64), ids))
 
 
+def _ids_of(lists: pa.Array, trie: Trie) -> pa.Array:
+    flat = lists.flatten().dictionary_encode()
+    distinct, of = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
+    ids, off = trie.cut(distinct)
+    lens = np.diff(off)[of]
+    ends = np.cumsum(lens)
+    out = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(off[:-1][of] - (ends - lens), lens)]
+    per_list = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+    bounds = np.append(0, ends)[per_list].astype(np.int32)
+    mask = lists.is_null() if lists.null_count else None
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(out), mask=mask)
+
+
 def piece_ids(words: Column, trie) -> Column:
     """ARRAY<BIGINT>: the ids of the pieces of all words of a list, in order; NULL for a NULL list."""
     @F.arrow_udf("array<bigint>")
     def run(lists: pa.Array) -> pa.Array:
-        flat = lists.flatten().dictionary_encode()
-        distinct, of = flat.dictionary, flat.indices.to_numpy(zero_copy_only=False)
-        ids, off = trie.value.cut(distinct)
-        lens = np.diff(off)[of]
-        ends = np.cumsum(lens)
-        out = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(off[:-1][of] - (ends - lens), lens)]
-        per_list = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
-        bounds = np.append(0, ends)[per_list].astype(np.int32)
-        mask = lists.is_null() if lists.null_count else None
-        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(out), mask=mask)
+        # slices of about SLICE_WORDS words: what a task holds does not follow the length of the texts
+        found = [_ids_of(lists.slice(lo, hi - lo), trie.value) for lo, hi in cuts_of(lists.offsets.to_numpy(), SLICE_WORDS)]
+        give_back()
+        return pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int64()))
 
     return run(words)
 
 
 def encode_pieces(df: DataFrame, id_cols: list[str], words: Column, trie, max_length: int = MAX_LENGTH) -> DataFrame:
     """``input_ids`` and ``attention_mask`` per row: begin, pieces, end, at most ``max_length`` together,
-    padded to the longest row. A text without words (or NULL) is begin and end. No shuffle: one pass for
-    the pad length over the encoded rows, one for the rows."""
-    pieces = F.coalesce(piece_ids(words, trie), F.array().cast("array<bigint>"))
+    padded to the longest row. A text without words (or NULL) is begin and end. A word has one id at least,
+    so no more words go to the tasks than ids are kept. No shuffle: the rows are encoded once and written,
+    and read for the pad length and for the rows."""
+    first = F.slice(F.filter(words, lambda w: w != ""), 1, max_length - 2)
+    pieces = F.coalesce(piece_ids(first, trie), F.array().cast("array<bigint>"))
     mark = lambda x: F.array(F.lit(x).cast("bigint"))
-    e = df.select(*id_cols, F.slice(pieces, 1, max_length - 2).alias("_p"))
+    e = materialize(df.select(*id_cols, F.slice(pieces, 1, max_length - 2).alias("_p")))
     longest = e.agg(F.max(F.size("_p")).alias("_L")).select(F.lit(0).alias("_k"), "_L")
     e = e.withColumn("_k", F.lit(0)).join(F.broadcast(longest), "_k")  # one row: the pad length
     pad = F.col("_L") - F.size("_p")
