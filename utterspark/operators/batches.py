@@ -152,10 +152,4 @@ def fit_softmax_batches(df: DataFrame, n_classes: int, dim: int, id_col: str, ep
         means = [None, None] if figures is None else [float(figures[0] / figures[2]), float(figures[1] / figures[2])]
         history.append((e, *means, *([None, None] if seen is None else [seen["valid_loss"], seen["valid_acc"]])))
     hist = spark.createDataFrame(history, "epoch int, train_loss double, train_acc double, valid_loss double, valid_acc double")
-    flat = [(e + 1, c) for e in range(len(kept)) for c in range(n_classes)]
-    values = np.concatenate([k[:, :dim].ravel() for k in kept]) if kept else np.zeros(0)
-    models = spark.createDataFrame(pa.table({
-        "epoch": pa.array([f[0] for f in flat], pa.int32()), "class_idx": pa.array([f[1] for f in flat], pa.int32()),
-        "w": pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, dim, dtype=np.int32)), pa.array(values)),
-        "b": pa.array([float(kept[e - 1][c, dim]) for e, c in flat], pa.float64())}))
-    return hist, models
+    return hist, EP.model_rows(spark, kept, n_classes, dim)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from utterspark.functions.arrays import argmax, softmax
+from utterspark.functions.slices import cuts_of, give_back
 from utterspark.operators import metrics as M
 from utterspark.session import ship_package
 
@@ -49,6 +50,7 @@ class _AdamW:
 
 
 BLOCK = 8_192
+SLICE_VALUES = 500_000  # feature values a task unpacks at a time
 
 
 def _sparse(batch, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,6 +64,16 @@ def _sparse(batch, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, np.tile(np.arange(dim), len(col)), value
 
 
+def _slices(batches):
+    """Batches in slices of about ``SLICE_VALUES`` feature values: the temporaries of a task are a few dozen
+    megabytes whatever the rows and the length of their texts."""
+    for b in batches:
+        column = b.column("val" if "val" in b.schema.names else "x")
+        for lo, hi in cuts_of(column.offsets.to_numpy(), SLICE_VALUES):
+            yield b.slice(lo, hi - lo)
+    give_back()
+
+
 def _logits(row, feature, value, n: int, weights: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(row, w[feature] * value, n) + w[-1] for w in weights], axis=1)
 
@@ -71,10 +83,8 @@ def _gradient_task(weights: np.ndarray):
     def run(batches):
         dim = weights.shape[1] - 1
         g, total = np.zeros(weights.shape), 0.0
-        for b in batches:
+        for b in _slices(batches):
             n = len(b)
-            if n == 0:
-                continue
             row, feature, value = _sparse(b, dim)
             y, w = b.column("y").to_numpy(zero_copy_only=False), b.column("w").to_numpy(zero_copy_only=False)
             z = _logits(row, feature, value, n, weights)
@@ -94,20 +104,22 @@ def _gradient_task(weights: np.ndarray):
 
 
 def _sum_blocks(t: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.float64) for x in t.column("g").to_pylist()], axis=0)
+    total = 0.0
+    for x in t.column("g"):  # one block at a time, where it lies
+        total = total + np.frombuffer(x.as_buffer(), np.float64)
     return pa.table({"c": t.column("c")[:1], "at": t.column("at")[:1], "g": pa.array([total.tobytes()], pa.binary())})
 
 
 def _metric_task(weights: np.ndarray, epoch: int):
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             n = len(b)
             y = b.column("y").to_numpy(zero_copy_only=False)
-            z = _logits(*_sparse(b, weights.shape[1] - 1), n, weights) if n else np.zeros((0, len(weights)))
-            top = z.max(axis=1) if n else np.zeros(0)
+            z = _logits(*_sparse(b, weights.shape[1] - 1), n, weights)
+            top = z.max(axis=1)
             loss = np.log(np.exp(z - top[:, None]).sum(axis=1)) + top - z[np.arange(n), y]
             yield pa.RecordBatch.from_pydict({"epoch": pa.array(np.full(n, epoch), pa.int32()), "split": b.column("split"), "batch_id": b.column("batch_id"),
-                                              "loss": pa.array(loss), "w": b.column("w"), "correct": pa.array(z.argmax(axis=1) == y if n else np.zeros(0, bool))})
+                                              "loss": pa.array(loss), "w": b.column("w"), "correct": pa.array(z.argmax(axis=1) == y)})
     return run
 
 
@@ -139,7 +151,7 @@ def fit_softmax_epochs(df: DataFrame, n_classes: int, dim: int, epochs: int = EP
     evalrows = data.filter(F.col("split").isin("train", "valid"))
     Wb = np.zeros((n_classes, dim + 1))  # weights with the bias as last column
     opt = _AdamW(Wb.shape, lr=lr)
-    history, models = [], []
+    history, kept = [], []
 
     def gradient(weights) -> np.ndarray:
         # one block row per class and block of features from each task, summed in Spark:
@@ -166,14 +178,21 @@ def fit_softmax_epochs(df: DataFrame, n_classes: int, dim: int, epochs: int = EP
             Wb = opt.step(Wb, gradient(Wb))
             if pending is not None:
                 history.extend(pending.result())
-            models.extend((e, c, Wb[c, :dim].tolist(), float(Wb[c, dim])) for c in range(n_classes))
+            kept.append(Wb)
         history.extend(epoch_row(epochs, Wb))
     hist = spark.createDataFrame(history, "epoch int, train_loss double, train_acc double, "
                                           "valid_loss double, valid_acc double")
-    mods = spark.createDataFrame(pa.table({
-        "epoch": pa.array([m[0] for m in models], pa.int32()), "class_idx": pa.array([m[1] for m in models], pa.int32()),
-        "w": pa.array([m[2] for m in models], pa.list_(pa.float64())), "b": pa.array([m[3] for m in models], pa.float64())}))
-    return hist, mods
+    return hist, model_rows(spark, kept, n_classes, dim)
+
+
+def model_rows(spark, kept: list[np.ndarray], n_classes: int, dim: int) -> DataFrame:
+    """(epoch, class_idx, w, b) of the weights (classes x features and a bias) after every epoch."""
+    flat = [(e + 1, c) for e in range(len(kept)) for c in range(n_classes)]
+    values = np.concatenate([k[:, :dim].ravel() for k in kept]) if kept else np.zeros(0)
+    return spark.createDataFrame(pa.table({
+        "epoch": pa.array([f[0] for f in flat], pa.int32()), "class_idx": pa.array([f[1] for f in flat], pa.int32()),
+        "w": pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, dim, dtype=np.int32)), pa.array(values)),
+        "b": pa.array([float(kept[e - 1][c, dim]) for e, c in flat], pa.float64())}))
 
 
 def score_with(df: DataFrame, models: DataFrame, epoch: int, x: str = "x") -> DataFrame:
@@ -186,7 +205,7 @@ def score_with(df: DataFrame, models: DataFrame, epoch: int, x: str = "x") -> Da
 
     def logits(batch):
         weights = shared.value
-        z = _logits(*_sparse(batch, weights.shape[1] - 1), len(batch), weights)
+        z = np.concatenate([np.zeros((0, len(weights))), *(_logits(*_sparse(b, weights.shape[1] - 1), len(b), weights) for b in _slices([batch]))])
         return pa.ListArray.from_arrays(pa.array(np.arange(0, z.size + 1, len(weights)), pa.int32()), pa.array(z.ravel()))
 
     if sparse:
