@@ -10,6 +10,8 @@ import pyarrow as pa
 import corpus_pipeline
 from tests.llm.helpers import WORDS, awkward_docs, docs_frame, empty, prose, write_tables
 from tests.llm.test_near_duplicates import brute, edited
+from pyspark.sql import functions as F
+
 from utterspark.llm import mixing, queries, toxicity
 
 
@@ -249,3 +251,52 @@ def test_mixed_words_equal_the_plan_when_ids_clash(spark, tmp_dir):
     for r in plan:
         want[key(r.doc_id, r.source, r.size)] += r.copies
     assert Counter(key(r.doc_id, r.source, len((r.text or "").split())) for r in rows) == +want
+
+
+def test_scoring_without_bounds_looks_at_no_cut_and_finds_the_same(monkeypatch):
+    import numpy as np
+
+    from utterspark.llm import toxicity as T
+
+    monkeypatch.setattr(T, "RANGE", 16)
+    monkeypatch.setattr(T, "LONG_LIST", 8)
+    monkeypatch.setattr(T, "DENSE_SHARE", 2)
+    rng = np.random.default_rng(5)
+    n, terms = 200, 300
+    vectors = [np.sort(rng.choice(terms, 40, replace=False, p=np.arange(terms, 0, -1) / np.arange(terms + 1).sum())) for _ in range(n)]
+    starts, term = np.append(0, np.cumsum([len(v) for v in vectors])), np.concatenate(vectors)
+    weight = rng.random(len(term))
+    for i in range(n):
+        weight[starts[i]:starts[i + 1]] /= np.sqrt((weight[starts[i]:starts[i + 1]] ** 2).sum())
+    ids = rng.permutation(n).astype(np.int64)
+    index = T.BlockMaxIndex(starts, term, weight, ids, np.arange(n) % 2, terms)
+    full = np.zeros((n, terms))
+    full[np.repeat(np.arange(n), np.diff(starts)), term] = weight
+    gathered = []
+    ragged = T.ragged
+    monkeypatch.setattr(T, "ragged", lambda s, size: (gathered.append(int(size.sum())), ragged(s, size))[1])
+    for i in range(n):
+        gathered.clear()
+        t, w = vectors[i], weight[starts[i]:starts[i + 1]]
+        places, cosines = index.nearest(t, w, 10)
+        exact = full @ full[i]
+        best = np.lexsort((ids, -np.round(exact, 12)))[:10]
+        assert index.ids[places].tolist() == ids[best].tolist() and np.allclose(cosines, exact[best], atol=1e-12)
+        if i % T.TRY_BOUNDS and i > 1:  # diffuse vectors: only short lists are gathered, each once
+            size = np.diff(index.post_of)[t]
+            assert index.wide and gathered == [size[size < T.LONG_LIST].sum()]
+
+
+def test_batches_of_whole_texts_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+
+    from utterspark.llm.common import BATCH_BYTES, prepare
+
+    prepare(spark)
+
+    @F.arrow_udf("long")
+    def held(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    got = spark.range(0, 3000, 1, 1).select(held(F.repeat(F.lit("x"), 4000)).alias("b")).agg(F.max("b")).first()[0]
+    assert got <= BATCH_BYTES + 100_000  # 12 million bytes came at once before

@@ -45,8 +45,10 @@ BLOCK_SHIFT = 41  # 128 blocks of the 48-bit term hashes
 TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
-DENSE_TERMS, DENSE_SHARE = 384, 64  # at most so many terms, each in one of so many examples at least
+DENSE_TERMS, DENSE_SHARE = 512, 64  # at most so many terms, each in one of so many examples at least
 FIRST_RANGES = 1
+LONG_LIST = 32  # postings
+TRY_BOUNDS = 64  # while bounds leave most ranges, one query of so many looks at them
 BUILT = 1 << 20
 ROUNDING = 1e-9  # more than sums of products of unit vectors can differ by their order
 QUERIES = 64  # searched together
@@ -204,7 +206,7 @@ class BlockMaxIndex:
         upto = np.append(0, np.cumsum(per_term))
         per_term[often] = 0
         self.post_of = np.append(0, np.cumsum(per_term))
-        self.doc, self.weight = np.empty(self.post_of[-1], np.int32), np.empty(self.post_of[-1])
+        self.doc, self.weight = np.empty(self.post_of[-1], np.uint16 if n <= 1 << 16 else np.int32), np.empty(self.post_of[-1])
         a = 0
         while a < n_terms:
             b = max(a + 1, int(np.searchsorted(upto, upto[a] + BUILT, "right")) - 1)
@@ -226,6 +228,14 @@ class BlockMaxIndex:
         self.range = rng[self.begin]
         self.largest = np.maximum.reduceat(self.weight, self.begin) if len(rng) else np.zeros(0)
         self.cuts_of = np.searchsorted(self.begin, self.post_of)
+        long = np.flatnonzero(per_term >= LONG_LIST)
+        self.long_at = np.full(n_terms, -1, np.int32)
+        self.long_at[long] = np.arange(len(long))
+        self.long_docs, self.long_weights = np.empty(len(long), object), np.empty(len(long), object)
+        for i, t in enumerate(long.tolist()):
+            here = slice(self.post_of[t], self.post_of[t + 1])
+            self.long_docs[i], self.long_weights[i] = self.doc[here], self.weight[here]
+        self.wide, self.asked = False, 0
 
     def frequent(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """(queries x examples): what the frequent terms add to every cosine."""
@@ -242,6 +252,9 @@ class BlockMaxIndex:
             base = self.frequent(np.array([0, len(term)]), term, weight)[0]
         rare = self.column[term] < 0
         term, weight = term[rare], weight[rare]
+        self.asked += 1
+        if self.wide and self.asked % TRY_BOUNDS:  # the bounds left most ranges the last time: all are scored at once
+            return self._best(self._whole_lists(term, weight) + base, skip, k, 0.0)
         lo = self.cuts_of[term]
         count = self.cuts_of[term + 1] - lo
         cut = ragged(lo, count)
@@ -253,30 +266,53 @@ class BlockMaxIndex:
         places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
         for some in (todo[:FIRST_RANGES], todo[FIRST_RANGES:]):
             some = some[bound[some] >= floor - ROUNDING]
+            self.wide = 2 * len(some) >= self.n_ranges
             if not len(some):
                 break
             chosen = np.zeros(self.n_ranges, bool)
             chosen[some] = True
-            if 2 * len(some) < self.n_ranges:
+            if self.wide:  # whole lists without looking at their cuts
+                s = self._whole_lists(term, weight) + base
+            else:
                 mine = chosen[rng]
                 size = self.length[cut[mine]]
-                post, of = ragged(self.begin[cut[mine]], size), np.repeat(q[mine], size)
-            else:  # most ranges: whole lists without looking at their cuts
-                size = self.post_of[term + 1] - self.post_of[term]
-                post, of = ragged(self.post_of[term], size), np.repeat(weight, size)
-            s = np.bincount(self.doc[post], of * self.weight[post], len(self.ids)) + base
+                post = ragged(self.begin[cut[mine]], size)
+                s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids)) + base
             s[~np.repeat(chosen, RANGE)[:len(s)]] = -1.0
-            if skip >= 0:
-                s[skip] = -1.0
-            doc = np.flatnonzero(s > max(floor - ROUNDING, 0.0))  # ties at the floor are settled below
-            if len(doc) > k:  # only what can be among the k best, ties included
-                doc = doc[s[doc] >= np.partition(s[doc], len(doc) - k)[len(doc) - k] - ROUNDING]
-            places, scores = np.concatenate([places, doc]), np.concatenate([scores, s[doc]])
-            best = np.lexsort((self.ids[places], -np.round(scores, 12)))[:k]
+            p, c = self._best(s, skip, k, floor)
+            places, scores = np.concatenate([places, p]), np.concatenate([scores, c])
+            best = self._order(places, scores)[:k]
             places, scores = places[best], scores[best]
             floor = scores[-1] if len(scores) == k else 0.0
         return places, scores
 
+    def _whole_lists(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the lists of all ranges add to every cosine: long lists are copied as they lie, short ones
+        are gathered together, so that neither costs a step of Python for every few postings."""
+        first = self.post_of[term]
+        size = self.post_of[term + 1] - first
+        at = self.long_at[term]
+        long, short = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        post, at, size, weight = ragged(first[short], size[short]), at[long], np.concatenate([size[short], size[long]]), np.concatenate([weight[short], weight[long]])
+        doc = np.concatenate([self.doc[post], *self.long_docs[at].tolist()], dtype=np.int64)
+        value = np.concatenate([self.weight[post], *self.long_weights[at].tolist()])
+        value *= np.repeat(weight, size)
+        return np.bincount(doc, value, len(self.ids))
+
+    def _order(self, places: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        return np.lexsort((self.ids[places], -np.round(scores, 12)))
+
+    def _best(self, s: np.ndarray, skip: int, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """(places, cosines) of the k best of ``s`` that can reach ``floor``, ties at the end settled by id."""
+        if skip >= 0:
+            s[skip] = -1.0
+        least = floor - ROUNDING
+        if len(s) > k:  # only what can be among the k best, ties included
+            least = max(least, np.partition(s, len(s) - k)[len(s) - k] - ROUNDING)
+        doc = np.flatnonzero(s >= least) if least > 0.0 else np.flatnonzero(s > 0.0)
+        best = self._order(doc, s[doc])[:k]
+        return doc[best], s[doc[best]]
+
 
 def _unpacked(row: tuple) -> np.ndarray:
     """The counts of an example's terms: as wide as its largest needs."""
