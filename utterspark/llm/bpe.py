@@ -4,8 +4,8 @@ Pre-tokens are the matches of the public tokenizers' pattern, found for a whole
 once from character classes. Tier 1: a minimal perfect hash over the vocabulary resolves every pre-token that is itself a token
 (one slot per token, no empty slots; the slot's bytes are compared, so a foreign pre-token is never
 mistaken). Tier 2: the rest is merged by rank with a heap over doubly linked bytes, O(n log n) for a
-pre-token of n bytes. Each distinct pre-token of a task is resolved once (the memo is emptied at
-``MEMO`` entries, so memory is bounded); ids are then laid out with one ragged gather per slice.
+pre-token of n bytes. Each distinct pre-token of a task is resolved once (the memo, plain arrays in
+order of the hashes, is emptied at ``MEMO`` entries, so memory is bounded); ids are then laid out with one ragged gather per slice.
 
 The vocabulary (a rank file, its path is a parameter) is read on the driver and broadcast; its size
 is checked against ``MAX_VOCAB_BYTES``. Encoding and decoding are projections without a shuffle.
@@ -230,21 +230,21 @@ class Codec:
         self._clear()
 
     def _clear(self) -> None:
-        self.memo: dict[int, int] = {}
+        self.known, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and their places
         self.room = 1 << 12
         self.starts, self.lens = np.zeros(self.room, np.int64), np.zeros(self.room, np.int64)
         self.flat, self.used = np.zeros(self.room, np.uint32), 0
         self.key_starts, self.key_lens = np.zeros(self.room, np.int64), np.zeros(self.room, np.int64)
         self.key_flat, self.key_used = np.zeros(self.room, np.uint8), 0
 
-    def _learn(self, hashes: list[int], keys: list[bytes]) -> None:
-        """Resolve distinct pre-tokens: perfect hash first, heap merge for the misses."""
+    def _learn(self, hashes: np.ndarray, keys: list[bytes]) -> None:
+        """Resolve distinct pre-tokens, hashes ascending: perfect hash first, heap merge for the misses."""
         owner = self.hash.lookup(keys)
         found = self.token_objects[owner] == np.array(keys, object)
         single = self.ids[owner].tolist()
         ids = [[single[i]] if ok else merge_bytes(keys[i], self.ranks) for i, ok in enumerate(found.tolist())]
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, total = len(self.memo), int(lens.sum())
+        n, total = len(self.known), int(lens.sum())
         while len(self.starts) < n + len(ids):
             self.starts, self.lens, self.key_starts, self.key_lens = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.key_starts, self.key_lens))
@@ -262,7 +262,9 @@ class Codec:
         self.starts[n:n + len(ids)] = self.used + np.cumsum(lens) - lens
         self.lens[n:n + len(ids)] = lens
         self.used += total
-        self.memo.update(zip(hashes, range(n, n + len(ids))))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.entry = np.insert(self.entry, at, np.arange(n, n + len(ids), dtype=np.int32))
 
     def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ids per text)."""
@@ -272,7 +274,7 @@ class Codec:
         if len(begins) == 0:
             return np.zeros(0, np.uint32), per
         ends = np.append(begins[1:], len(data))
-        if len(self.memo) > MEMO:
+        if len(self.known) > MEMO:
             self._clear()
         while (found := self._resolve(data, begins, ends)) is None:
             self._reseed()
@@ -285,6 +287,12 @@ class Codec:
         stop = np.cumsum(per)
         return ids, sums[stop] - sums[stop - per]
 
+    def _knows(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes have a memo entry."""
+        if not len(self.known):
+            return np.zeros(len(hashes), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] == hashes
+
     def _resolve(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray):
         """(memo entry of every distinct pre-token, distinct one of every pre-token), or None if two
         pre-tokens share a hash: the bytes of every pre-token are compared with its memo entry's."""
@@ -295,13 +303,11 @@ class Codec:
         # the pre-tokens cover the data in order, so the data itself is what their bytes are compared with
         if not np.array_equal(size, first_size[inverse]) or not np.array_equal(data, data[ragged(first[inverse], size)]):
             return None
-        known = self.memo
-        hashes = h.tolist()
-        fresh = [i for i, x in enumerate(hashes) if x not in known]
-        if fresh:
-            raw, s, e = data.tobytes(), first, ends[one]
-            self._learn([hashes[i] for i in fresh], [raw[s[i]:e[i]] for i in fresh])
-        at = np.fromiter(map(known.__getitem__, hashes), np.int64, len(hashes))
+        fresh = np.flatnonzero(~self._knows(h))
+        if len(fresh):
+            raw, s, e = data.tobytes(), first.tolist(), ends[one].tolist()
+            self._learn(h[fresh], [raw[s[i]:e[i]] for i in fresh.tolist()])
+        at = self.entry[np.searchsorted(self.known, h)].astype(np.int64)
         kept = self.key_flat[ragged(self.key_starts[at], self.key_lens[at])]
         if not np.array_equal(first_size, self.key_lens[at]) or not np.array_equal(kept, data[ragged(first, first_size)]):
             return None
