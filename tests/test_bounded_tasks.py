@@ -84,3 +84,34 @@ def test_the_corpus_of_the_models_is_built_once(spark):
     assert not any("parquet" in d._jdf.queryExecution().toString().lower() for d in (enc, labels))
     rows, _ = _hashed_rows(spark, SF0001, HASHED_DIM)
     assert rows.count() == enc.count() == rows.select("uid").distinct().count()
+
+
+def test_mean_vectors_meet_a_large_table_once_per_token_and_part(spark, monkeypatch):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from utterspark.operators import features as FT
+
+    monkeypatch.setattr(FT, "VECTOR_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(FT, "PART_CELLS", 40)
+    wanted = []
+    by_parts = FT._sums_by_parts
+    monkeypatch.setattr(FT, "_sums_by_parts", lambda texts, vectors, dim: wanted.append(dim) or by_parts(texts, vectors, dim))
+    texts = [(i % 40, " ".join(f"t{(i * k) % 13}" for k in range(i % 9))) for i in range(60)] + [(None, "t1 t2 x"), (None, "t1"), (99, None), (100, "none known"), (101, "")]
+    table = [(f"t{k}", [float(k), 1.0 - k]) for k in range(9)] + [("t3", [7.0, 7.0]), ("t5", None), (None, [1.0, 1.0])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    vectors = spark.createDataFrame(table, "token string, vec array<double>")
+    tokens = F.filter(F.split("text", " "), lambda t: t != "")
+    got = {r["doc_id"]: r["vector"] for r in FT.mean_vectors(docs, "doc_id", tokens, vectors, 2).collect()}
+    assert wanted == [2]
+    sums, count = {}, Counter()
+    for i, text in texts:
+        s = sums.setdefault(i, [0.0, 0.0])
+        for t in (text or "").split():
+            for token, vec in table:
+                if token == t and vec is not None:
+                    s[0], s[1], count[i] = s[0] + vec[0], s[1] + vec[1], count[i] + 1
+    assert set(got) == set(sums)
+    for i, s in sums.items():
+        assert all(abs(a - b / max(count[i], 1)) < 1e-12 for a, b in zip(got[i], s))
