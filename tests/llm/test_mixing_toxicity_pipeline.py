@@ -167,6 +167,56 @@ def test_block_max_search_is_exact():
         assert np.allclose(cos, s[want])
 
 
+def test_toxic_words_among_many_others_decide(spark):
+    """One toxic word in a long text of common and own words: unseen texts are told apart, as the words
+    that tell the classes apart weigh more, whether norms come from the broadcast table or from a join."""
+    r, docs = random.Random(3), []
+    for i in range(300):
+        t = prose(i, 300).split() + [f"own{i}x{k}" for k in range(20)]
+        if i % 4 == 0:
+            t.insert(r.randrange(len(t)), BAD[i // 4 % 3])
+        docs.append((i, " ".join(t), "en", "s"))
+    frame = docs_frame(spark, docs)
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    scores = []
+    for terms in (toxicity.TABLE_TERMS, 0):
+        rows = toxicity.predict(frame, toxicity.fit(frame, lab, table_terms=terms), out="t").collect()
+        assert {x.doc_id for x in rows if x.t.score >= 0.7} == {i for i in range(300) if i % 4 == 0}
+        scores.append(sorted((x.doc_id, round(x.t.score, 9)) for x in rows))
+    assert scores[0] == scores[1]
+
+
+def test_lists_of_the_other_class_are_left_where_its_bound_is_low(monkeypatch):
+    """Vectors of a class lie in terms that the other hardly has: its lists are not read, and the neighbours
+    are those of a brute force."""
+    monkeypatch.setattr(toxicity, "RANGE", 16)
+    monkeypatch.setattr(toxicity, "LONG_LIST", 8)
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", 0)
+    r = np.random.default_rng(4)
+    n, terms = 240, 80
+    full = np.where(r.random((n, terms)) < 0.5, r.random((n, terms)), 0.0)
+    label = np.arange(n) % 2
+    full[label == 1, 0] = 1000.0
+    full /= np.linalg.norm(full, axis=1)[:, None]
+    rows = [np.flatnonzero(x) for x in full]
+    starts = np.append(0, np.cumsum([len(x) for x in rows]))
+    index = toxicity.BlockMaxIndex(starts, np.concatenate(rows), np.concatenate([full[i][x] for i, x in enumerate(rows)]), np.arange(n), label, terms)
+    merged, calls = index._merged, []
+    monkeypatch.setattr(index, "_merged", lambda *a: (calls.append(1), merged(*a))[1])
+    index.wide, one = True, 0
+    for q in range(n):
+        index.asked = 0
+        calls.clear()
+        places, cos = index.nearest(rows[q], full[q][rows[q]], 10, skip=int(index.place[q]))
+        s = full @ full[q]
+        s[q] = -1.0
+        want = np.lexsort((np.arange(n), -np.round(s, 12)))[:10]
+        assert index.ids[places].tolist() == want.tolist() and np.allclose(cos, s[want], atol=1e-12)
+        one += len(calls) == 1
+        index.wide = True
+    assert one == n
+
+
 def test_terms_of_null_and_empty():
     t, rows = toxicity.term_rows(pa.array([None, "", "Ab abcdef"]), toxicity.SpanHasher())
     assert rows.tolist() == [2, 2, 2, 2]  # two words, prefixes of 4 and 5 of the longer one

@@ -4,7 +4,9 @@ Terms are lower-cased words and the first 4 and 5 bytes of longer words, as 48-b
 catch inflected and compounded forms). A vector has every term of the whole text: none is selected, and
 the norm is over all of them. Document frequencies are counted over all documents; a term of no or one
 document counts as in one. Examples are a hash sample of at most ``MAX_EXAMPLES`` labelled rows per
-class, one per distinct text; they are the classifier, everything else covers all rows.
+class, one per distinct text; they are the classifier, everything else covers all rows. Words that make a
+text toxic are few among hundreds, so a term weighs more the more it tells the classes apart: its weight is
+multiplied by 1 + its G-squared among the examples beyond ``CHANCE``. No term weighs less than its TF-IDF.
 
 The terms of the examples are broadcast with the index. The frequencies of the other terms, which count
 only in norms, are broadcast up to ``TABLE_TERMS`` terms of two or more documents; beyond that a join in
@@ -15,7 +17,8 @@ Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut
 keeps its largest weight. For a query, the sum of query weight x largest weight bounds every range
 from above; the best ranges are scored exactly, then all whose bound reaches the k-th best cosine found. Terms that
 very many examples have are a dense block that is multiplied for many queries at once; their part of the
-cosine enters the bounds exactly. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
+cosine enters the bounds exactly. Where the bounds of ranges leave most of them, the lists of a whole class are
+scored at once, and those of the other class only if a bound over it reaches the k-th best. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
 like it"; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a
 probability at the labelled base rate. The nearest examples are returned as evidence.
 
@@ -47,6 +50,7 @@ PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
 DENSE_TERMS, DENSE_SHARE = 512, 64  # at most so many terms, each in one of so many examples at least
 FIRST_RANGES = 1
+CHANCE = 10.83  # G-squared that one term in a thousand exceeds if it tells nothing
 LONG_LIST = 32  # postings
 TRY_BOUNDS = 64  # while bounds leave most ranges, one query of so many looks at them
 BUILT = 1 << 20
@@ -113,20 +117,24 @@ def _frequency_task(batches):
 
 
 def _pack_block(t: pa.Table) -> pa.Table:
-    """The terms of a hash range in order, as steps, their numbers of documents and whether an example has them."""
+    """The terms of a hash range in order, as steps, their numbers of documents, whether an example has them,
+    and the factors of those that have one."""
     t = t.sort_by("term")
     term = t.column("term").to_numpy().view(np.uint64)
     n = t.column("n").to_numpy()
     step = np.diff(term, prepend=np.uint64(0))
+    lift = t.column("lift").to_numpy()
+    raised = np.flatnonzero(lift > 1.0)
     kinds = [np.uint32 if len(x) == 0 or x.max() < 1 << 32 else np.uint64 for x in (step[1:], n)]
     return pa.table({"block": t.column("block")[:1], "first": pa.array(term[:1].view(np.int64)), "step": pa.array([step[1:].astype(kinds[0]).tobytes()], pa.binary()),
                      "n": pa.array([n.astype(kinds[1]).tobytes()], pa.binary()), "own": pa.array([np.packbits(t.column("own").to_numpy(zero_copy_only=False)).tobytes()], pa.binary()),
-                     "size": pa.array([len(term)], pa.int64())})
+                     "size": pa.array([len(term)], pa.int64()), "raised": pa.array([raised.astype(np.int32).tobytes()], pa.binary()), "lift": pa.array([lift[raised].tobytes()], pa.binary())})
 
 
 class Vocabulary:
-    """Terms in hash order with their idf and place among the terms of the examples (-1: of none). What
-    is sent are the packed blocks; a worker unpacks them when it first needs them."""
+    """Terms in hash order with their idf and place among the terms of the examples (-1: of none); the idf of
+    an example's term is multiplied by its factor. What is sent are the packed blocks; a worker unpacks them
+    when it first needs them."""
 
     def __init__(self, blocks: list, documents: int):
         self.blocks, self.documents, self.hasher = sorted(blocks), documents, None
@@ -137,8 +145,8 @@ class Vocabulary:
     def _unpack(self):
         total, wide = sum(b[5] for b in self.blocks), any(len(b[3]) > 4 * b[5] for b in self.blocks)
         self.terms, self.n, own = np.empty(total, np.uint64), np.empty(total, np.uint64 if wide else np.uint32), np.empty(total, bool)
-        at = 0
-        for _, first, step, count, mine, size in self.blocks:
+        at, raised, lift = 0, [], []
+        for _, first, step, count, mine, size, up, factor in self.blocks:
             step = np.frombuffer(step, np.uint32 if len(step) == 4 * (size - 1) else np.uint64)
             here = self.terms[at:at + size]
             here[0] = 0
@@ -146,12 +154,15 @@ class Vocabulary:
             here += np.uint64(first)
             self.n[at:at + size] = np.frombuffer(count, np.uint32 if len(count) == 4 * size else np.uint64)
             own[at:at + size] = np.unpackbits(np.frombuffer(mine, np.uint8), count=size).astype(bool)
+            raised.append(np.frombuffer(up, np.int32).astype(np.int64) + at)
+            lift.append(np.frombuffer(factor))
             at += size
         self.blocks = None  # unpacked in workers only, which send it nowhere
         self.rare = self.idf_of(1)
         self.place = np.full(total, -1, np.int32)
         self.place[own] = np.arange(own.sum(), dtype=np.int32)
         self.own_idf = self.idf_of(self.n[own])
+        self.own_idf[self.place[np.concatenate(raised)]] *= np.concatenate(lift)
         self.hasher = SpanHasher()
 
     def idf_of(self, n):
@@ -170,11 +181,13 @@ class Vocabulary:
         row, t, n = term_counts(arr, self.hasher)
         at = np.minimum(np.searchsorted(self.terms, t), len(self.terms) - 1)
         known = self.terms[at] == t
-        w = (1.0 + np.log(n)) * np.where(known, self.idf_of(self.n[at]), self.rare)
-        if square is None:
-            square = np.bincount(row, w * w, len(arr))
         place = np.where(known, self.place[at], -1)
         hit = place >= 0
+        idf = np.where(known, self.idf_of(self.n[at]), self.rare)
+        idf[hit] = self.own_idf[place[hit]]
+        w = (1.0 + np.log(n)) * idf
+        if square is None:
+            square = np.bincount(row, w * w, len(arr))
         row, place, w, n = row[hit], place[hit].astype(np.int64), w[hit], n[hit]
         return np.searchsorted(row, np.arange(len(arr) + 1)), place, w / np.sqrt(square[row]), n, square
 
@@ -231,10 +244,18 @@ class BlockMaxIndex:
         long = np.flatnonzero(per_term >= LONG_LIST)
         self.long_at = np.full(n_terms, -1, np.int32)
         self.long_at[long] = np.arange(len(long))
-        self.long_docs, self.long_weights = np.empty(len(long), object), np.empty(len(long), object)
+        # the places of a class are neighbours, so its part of a list is a run
+        edge = int(np.searchsorted(self.label, 1))
+        self.sections = [(lo, hi) for lo, hi in ((0, edge), (edge, n)) if lo < hi]
+        shape = (len(self.sections), len(long))
+        self.long_docs, self.long_weights, self.long_size, self.long_most = np.empty(shape, object), np.empty(shape, object), np.zeros(shape, np.int64), np.zeros(shape)
         for i, t in enumerate(long.tolist()):
-            here = slice(self.post_of[t], self.post_of[t + 1])
-            self.long_docs[i], self.long_weights[i] = self.doc[here], self.weight[here]
+            a, b = self.post_of[t], self.post_of[t + 1]
+            cut = a + int(np.searchsorted(self.doc[a:b], edge))
+            for j, (lo, _) in enumerate(self.sections):
+                here = slice(a, cut) if lo < edge else slice(cut, b)
+                self.long_docs[j, i], self.long_weights[j, i], self.long_size[j, i] = self.doc[here], self.weight[here], here.stop - here.start
+                self.long_most[j, i] = self.weight[here].max(initial=0.0)
         self.wide, self.asked = False, 0
 
     def frequent(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -253,8 +274,8 @@ class BlockMaxIndex:
         rare = self.column[term] < 0
         term, weight = term[rare], weight[rare]
         self.asked += 1
-        if self.wide and self.asked % TRY_BOUNDS:  # the bounds left most ranges the last time: all are scored at once
-            return self._best(self._whole_lists(term, weight) + base, skip, k, 0.0)
+        if self.wide and self.asked % TRY_BOUNDS:  # the bounds left most ranges the last time
+            return self._by_class(term, weight, base, skip, k)
         lo = self.cuts_of[term]
         count = self.cuts_of[term + 1] - lo
         cut = ragged(lo, count)
@@ -269,35 +290,50 @@ class BlockMaxIndex:
             self.wide = 2 * len(some) >= self.n_ranges
             if not len(some):
                 break
+            if self.wide:  # whole lists without looking at their cuts
+                return self._by_class(term, weight, base, skip, k)
             chosen = np.zeros(self.n_ranges, bool)
             chosen[some] = True
-            if self.wide:  # whole lists without looking at their cuts
-                s = self._whole_lists(term, weight) + base
-            else:
-                mine = chosen[rng]
-                size = self.length[cut[mine]]
-                post = ragged(self.begin[cut[mine]], size)
-                s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids)) + base
+            mine = chosen[rng]
+            size = self.length[cut[mine]]
+            post = ragged(self.begin[cut[mine]], size)
+            s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids)) + base
             s[~np.repeat(chosen, RANGE)[:len(s)]] = -1.0
-            p, c = self._best(s, skip, k, floor)
-            places, scores = np.concatenate([places, p]), np.concatenate([scores, c])
-            best = self._order(places, scores)[:k]
-            places, scores = places[best], scores[best]
-            floor = scores[-1] if len(scores) == k else 0.0
+            places, scores, floor = self._merged(places, scores, self._best(s, skip, k, floor), k)
         return places, scores
 
-    def _whole_lists(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What the lists of all ranges add to every cosine: long lists are copied as they lie, short ones
-        are gathered together, so that neither costs a step of Python for every few postings."""
+    def _by_class(self, term: np.ndarray, weight: np.ndarray, base: np.ndarray, skip: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`nearest`, with the long lists of a class at once: copied as they lie, so that they don't
+        cost a step of Python for every few postings. Short ones are gathered together for all examples."""
         first = self.post_of[term]
         size = self.post_of[term + 1] - first
         at = self.long_at[term]
         long, short = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
-        post, at, size, weight = ragged(first[short], size[short]), at[long], np.concatenate([size[short], size[long]]), np.concatenate([weight[short], weight[long]])
-        doc = np.concatenate([self.doc[post], *self.long_docs[at].tolist()], dtype=np.int64)
-        value = np.concatenate([self.weight[post], *self.long_weights[at].tolist()])
-        value *= np.repeat(weight, size)
-        return np.bincount(doc, value, len(self.ids))
+        post = ragged(first[short], size[short])
+        known = np.bincount(self.doc[post], np.repeat(weight[short], size[short]) * self.weight[post], len(self.ids)) + base
+        at, weight = at[long], weight[long]
+        # no example of a class can be nearer than its best known part and the largest weights together
+        bound = self.long_most[:, at] @ weight + [known[lo:hi].max() for lo, hi in self.sections]
+        places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
+        for j in np.argsort(-bound, kind="stable").tolist():
+            if bound[j] < floor - ROUNDING:
+                break
+            lo, hi = self.sections[j]
+            s = np.full(len(known), -1.0)
+            s[lo:hi] = known[lo:hi]
+            if len(at):
+                doc = np.concatenate(self.long_docs[j, at].tolist(), dtype=np.int64)
+                value = np.concatenate(self.long_weights[j, at].tolist())
+                value *= np.repeat(weight, self.long_size[j, at])
+                s += np.bincount(doc, value, len(s))
+            places, scores, floor = self._merged(places, scores, self._best(s, skip, k, floor), k)
+        return places, scores
+
+    def _merged(self, places: np.ndarray, scores: np.ndarray, more: tuple, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """The k best of two results, and the cosine that others must reach."""
+        places, scores = np.concatenate([places, more[0]]), np.concatenate([scores, more[1]])
+        best = self._order(places, scores)[:k]
+        return places[best], scores[best], scores[best[-1]] if len(best) == k else 0.0
 
     def _order(self, places: np.ndarray, scores: np.ndarray) -> np.ndarray:
         return np.lexsort((self.ids[places], -np.round(scores, 12)))
@@ -375,7 +411,7 @@ class Model:
 
     def __init__(self, core, base: float, documents: int = 0, a: float = 0.0, b: float = 0.0, frequencies: DataFrame | None = None):
         self.core, self.base, self.documents, self.a, self.b = core, base, documents, a, b
-        self.frequencies = frequencies  # (term, n), where they are too many to be in the vocabulary
+        self.frequencies = frequencies  # (term, n, lift), where they are too many to be in the vocabulary
 
     def __getstate__(self):
         return {**self.__dict__, "frequencies": None}
@@ -444,15 +480,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     documents = counts.where("term = -1").first()["n"]
     often = counts.where("term >= 0 and n > 1")
     # the examples' terms: bounded by the examples
-    own = ex.select("text").mapInArrow(_frequency_task, "term long, n long").where("term >= 0").select("term").distinct().withColumn("own", F.lit(True))
+    own = _lifts(ex, n1, n0).checkpoint(eager=True)
     small = often.count() <= table_terms
     kept = often.join(own, "term", "full" if small else "right")
-    kept = kept.select("term", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("own", F.lit(False)).alias("own"), F.shiftright("term", BLOCK_SHIFT).cast("int").alias("block"))
-    blocks = _rows(kept.groupBy("block").applyInArrow(_pack_block, "block int, first long, step binary, n binary, own binary, size long"))
+    kept = kept.select("term", F.coalesce("n", F.lit(1)).alias("n"), F.col("lift").isNotNull().alias("own"), F.coalesce("lift", F.lit(1.0)).alias("lift"), F.shiftright("term", BLOCK_SHIFT).cast("int").alias("block"))
+    blocks = _rows(kept.groupBy("block").applyInArrow(_pack_block, "block int, first long, step binary, n binary, own binary, size long, raised binary, lift binary"))
     if not blocks:
         return Model(None, base)
     vocabulary = Vocabulary(blocks, documents)
-    model = Model(None, base, documents, frequencies=None if small else often)
+    model = Model(None, base, documents, frequencies=None if small else often.join(own, "term", "full"))
     ex, square = _with_norms(ex, model)
     shared = spark.sparkContext.broadcast(vocabulary)
     packed = ex.select("doc_id", "toxic", "text", square.alias("square")).mapInArrow(_vector_task(shared, small), "doc_id long, terms binary, counts binary, toxic int, square double")
@@ -468,6 +504,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
+def _lifts(ex: DataFrame, n1: float, n0: float) -> DataFrame:
+    """(term, lift) of the examples' terms: 1 + what their G-squared over the classes has beyond ``CHANCE``."""
+    found = [ex.where(F.col("toxic") == c).select("text").mapInArrow(_frequency_task, "term long, n long").where("term >= 0")
+             .select("term", *[(F.col("n") if c == x else F.lit(0)).cast("double").alias(f"n{x}") for x in (1, 0)]) for c in (1, 0)]
+    both = found[0].unionByName(found[1]).groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+
+    def xlogx(x):
+        return F.when(x > 0, x * F.log(x)).otherwise(0.0)
+
+    a, b, total = F.col("n1"), F.col("n0"), F.lit(n1 + n0)
+    cells = xlogx(a) + xlogx(b) + xlogx(F.lit(n1) - a) + xlogx(F.lit(n0) - b) + xlogx(total)
+    sides = xlogx(a + b) + xlogx(total - a - b) + xlogx(F.lit(n1)) + xlogx(F.lit(n0))
+    return both.select("term", (F.lit(1.0) + F.greatest(F.lit(0.0), 2.0 * (cells - sides) - CHANCE)).alias("lift"))
+
+
 def _rows(df: DataFrame) -> list[tuple]:
     """The rows of a table of bounded size."""
     return list(zip(*[c.to_pylist() for c in df.toArrow().columns]))
@@ -511,7 +562,7 @@ def _with_norms(df: DataFrame, model: Model, text_col: str = "text") -> tuple[Da
     key, square = unused(df, "key"), unused(df, "square")
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
     terms = df.select(digest.alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(_norm_task(), "key string, term long, w double")
-    idf = F.log(F.lit(1.0 + model.documents) / (F.lit(1.0) + F.coalesce("n", F.lit(1)))) + 1.0
+    idf = (F.log(F.lit(1.0 + model.documents) / (F.lit(1.0) + F.coalesce("n", F.lit(1)))) + 1.0) * F.coalesce("lift", F.lit(1.0))
     norms = (terms.join(model.frequencies, "term", "left").groupBy("key")
              .agg((F.sum((F.col("w") * idf) ** 2) / F.count(F.when(F.col("term").isNull(), 1))).alias(square))
              .withColumnRenamed("key", key))
