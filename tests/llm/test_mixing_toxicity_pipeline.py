@@ -217,6 +217,44 @@ def test_lists_of_the_other_class_are_left_where_its_bound_is_low(monkeypatch):
     assert one == n
 
 
+def test_examples_that_norms_rule_out_are_not_scored(monkeypatch):
+    """Few terms hold most of each vector, as where they tell the classes apart: the long lists of all others are
+    looked at for few examples, and the neighbours are those of a brute force, with ties and with vectors
+    of no long list, of no other term and of nothing in common."""
+    monkeypatch.setattr(toxicity, "RANGE", 16)
+    monkeypatch.setattr(toxicity, "LONG_LIST", 8)
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", 30)
+    r = np.random.default_rng(6)
+    n, heavy, light = 800, 30, 300
+    full = np.where(r.random((n, heavy + light)) < 0.3, r.random((n, heavy + light)), 0.0)
+    full[:, :heavy] *= 20.0
+    full[0, heavy:] = 0.0
+    full[1, :heavy] = 0.0
+    full[2] = full[3]
+    full[4] = 0.0
+    full = np.hstack([full, np.eye(n)[:, :5] * 3.0])
+    full /= np.linalg.norm(full, axis=1)[:, None]
+    rows = [np.flatnonzero(x) for x in full]
+    starts = np.append(0, np.cumsum([len(x) for x in rows]))
+    ids = r.permutation(n).astype(np.int64)
+    index = toxicity.BlockMaxIndex(starts, np.concatenate(rows), np.concatenate([full[i][x] for i, x in enumerate(rows)]), ids, np.arange(n) % 2, full.shape[1])
+    lists, scored, exact, by_class = [], [], index._exact, index._by_class
+    monkeypatch.setattr(index, "_by_class", lambda *a: (lists.append(1), by_class(*a))[1])
+    monkeypatch.setattr(index, "_exact", lambda some, *a: (scored.append(len(some)), exact(some, *a))[1])
+    for q in range(n):
+        for skip in (-1, int(index.place[q])):
+            places, cos = index.nearest(rows[q], full[q][rows[q]], 10, skip=skip)
+            s = full @ full[q]
+            if skip >= 0:
+                s[q] = -1.0
+            want = np.lexsort((ids, -np.round(s, 12)))[:10]
+            want = want[s[want] > 0.0]
+            assert index.ids[places].tolist() == ids[want].tolist() and np.allclose(cos, s[want], atol=1e-12)
+    assert len(lists) < 0.02 * 2 * n and sum(scored) < 0.1 * 2 * n * n
+    places, cos = index.nearest(np.array([full.shape[1] - 1]), np.ones(1), 10)  # one example has it
+    assert index.ids[places].tolist() == [ids[4]] and np.allclose(cos, 1.0)
+
+
 def test_terms_of_null_and_empty():
     t, rows = toxicity.term_rows(pa.array([None, "", "Ab abcdef"]), toxicity.SpanHasher())
     assert rows.tolist() == [2, 2, 2, 2]  # two words, prefixes of 4 and 5 of the longer one

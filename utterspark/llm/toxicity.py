@@ -13,12 +13,13 @@ only in norms, are broadcast up to ``TABLE_TERMS`` terms of two or more document
 Spark gives every text its norm, with the same results. Both tables are packed in tasks, in blocks of a
 hash range; the driver passes the blocks on and never unpacks them.
 
-Index: examples lie in ranges of ``RANGE`` neighbours; a term's postings are cut by range and each cut
-keeps its largest weight. For a query, the sum of query weight x largest weight bounds every range
-from above; the best ranges are scored exactly, then all whose bound reaches the k-th best cosine found. Terms that
-very many examples have are a dense block that is multiplied for many queries at once; their part of the
-cosine enters the bounds exactly. Where the bounds of ranges leave most of them, the lists of a whole class are
-scored at once, and those of the other class only if a bound over it reaches the k-th best. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
+Index: of the terms that many examples have, those with most of the weight are a dense block that is multiplied
+for many queries at once; the lists of few postings are read whole. Both enter every cosine exactly. What the other,
+long lists can add to an example is bounded by the product of the norms over their terms (Cauchy-Schwarz)
+and, where that leaves many, by block maxima: examples lie in ranges of ``RANGE`` neighbours, a long list is cut
+by range, each cut keeps its largest weight, and the sum of query weight x largest weight bounds the range. The
+examples whose bound reaches the k-th best cosine found are scored exactly, from their own postings. Where very
+many do, the lists of a whole class are scored at once, and those of the other class only if a bound over it reaches the k-th best. The ``K`` nearest vote with their squared cosine against a constant mass for "nothing
 like it"; a logistic curve fitted on the examples' own leave-one-out votes turns the vote into a
 probability at the labelled base rate. The nearest examples are returned as evidence.
 
@@ -49,10 +50,11 @@ TABLE_TERMS = 8 << 20
 PREFIXES = (4, 5)
 K, RANGE, NOTHING = 10, 512, 1.0
 DENSE_TERMS, DENSE_SHARE = 512, 64  # at most so many terms, each in one of so many examples at least
-FIRST_RANGES = 1
 CHANCE = 10.83  # G-squared that one term in a thousand exceeds if it tells nothing
-LONG_LIST = 32  # postings
-TRY_BOUNDS = 64  # while bounds leave most ranges, one query of so many looks at them
+LONG_LIST, LONG_SHARE = 32, 32  # postings of a long list: so many and those of one in so many examples
+FIRST = 32  # examples scored for a floor under the k-th best
+FEW_SHARE = 16  # one in so many examples is scored one by one, more by whole lists
+TRY_BOUNDS, OFTEN_WIDE = 64, 8  # where bounds often leave more, one query of so many looks at them
 BUILT = 1 << 20
 ROUNDING = 1e-9  # more than sums of products of unit vectors can differ by their order
 QUERIES = 64  # searched together
@@ -193,8 +195,8 @@ class Vocabulary:
 
 
 class BlockMaxIndex:
-    """Postings by (term, range of neighbouring examples), each cut with its largest weight. The most
-    frequent terms, whose lists would name most examples, are columns of a dense block instead."""
+    """Postings by term, long lists also by example and, cut by range of neighbouring examples, with the largest
+    weight of each cut. The frequent terms of most weight are columns of a dense block instead."""
 
     def __init__(self, starts: np.ndarray, term: np.ndarray, weight, ids: np.ndarray, label: np.ndarray, n_terms: int):
         """``weight`` gives the weights of a slice or of numbers of postings (an array does); lists are
@@ -211,8 +213,11 @@ class BlockMaxIndex:
         self.ids, self.label, self.place = ids[order], label[order], place
         owner = np.repeat(place.astype(np.min_scalar_type(n)), np.diff(starts))
         per_term = np.bincount(term, minlength=n_terms)
-        often = np.argsort(-per_term, kind="stable")[:DENSE_TERMS]
-        often = often[per_term[often] * DENSE_SHARE >= n]
+        mass = np.zeros(n_terms)
+        for a in range(0, len(term), BUILT):
+            mass += np.bincount(term[a:a + BUILT], weight(slice(a, a + BUILT)) ** 2, n_terms)
+        often = np.flatnonzero(per_term * DENSE_SHARE >= n)
+        often = often[np.argsort(-mass[often], kind="stable")[:DENSE_TERMS]]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[often] = np.arange(len(often))
         self.dense = np.zeros((n, len(often)))
@@ -231,19 +236,21 @@ class BlockMaxIndex:
             rare = rare[np.lexsort((d[rare], t[rare]))]
             self.doc[self.post_of[a]:self.post_of[b]], self.weight[self.post_of[a]:self.post_of[b]] = d[rare], w[rare]
             a = b
+        is_long = per_term >= max(LONG_LIST, n // LONG_SHARE)
+        long = np.flatnonzero(is_long)
+        self.long_at = np.full(n_terms, -1, np.int32)
+        self.long_at[long] = np.arange(len(long))
         self.n_ranges = -(-n // RANGE)
         rng = self.doc // RANGE
-        cut = np.ones(len(rng), bool)
-        cut[1:] = rng[1:] != rng[:-1]
+        cut = np.zeros(len(rng), bool)
+        cut[1:] = (rng[1:] != rng[:-1]) & np.repeat(is_long, per_term)[1:]
         cut[self.post_of[:-1][per_term > 0]] = True
-        self.begin = np.flatnonzero(cut)
-        self.length = np.diff(np.append(self.begin, len(rng))).astype(np.int32)
+        begin = np.flatnonzero(cut)
+        largest = np.maximum.reduceat(self.weight, begin) if len(begin) else np.zeros(0)
+        mine = np.repeat(is_long, np.diff(np.searchsorted(begin, self.post_of)))
+        self.begin, self.largest = begin[mine], largest[mine]
         self.range = rng[self.begin]
-        self.largest = np.maximum.reduceat(self.weight, self.begin) if len(rng) else np.zeros(0)
         self.cuts_of = np.searchsorted(self.begin, self.post_of)
-        long = np.flatnonzero(per_term >= LONG_LIST)
-        self.long_at = np.full(n_terms, -1, np.int32)
-        self.long_at[long] = np.arange(len(long))
         # the places of a class are neighbours, so its part of a list is a run
         edge = int(np.searchsorted(self.label, 1))
         self.sections = [(lo, hi) for lo, hi in ((0, edge), (edge, n)) if lo < hi]
@@ -256,7 +263,21 @@ class BlockMaxIndex:
                 here = slice(a, cut) if lo < edge else slice(cut, b)
                 self.long_docs[j, i], self.long_weights[j, i], self.long_size[j, i] = self.doc[here], self.weight[here], here.stop - here.start
                 self.long_most[j, i] = self.weight[here].max(initial=0.0)
-        self.wide, self.asked = False, 0
+        # the same postings by example, and the norm of each example over them
+        total = int(per_term[long].sum())
+        self.own_of, self.own_at, self.own_weight = np.zeros(n + 1, np.int64), np.empty(total, np.min_scalar_type(len(long))), np.empty(total)
+        step = max(1, BUILT * n // max(1, len(term)))
+        for a in range(0, n, step):
+            some = order[a:a + step]
+            post = ragged(starts[some], starts[some + 1] - starts[some])
+            at = self.long_at[term[post]]
+            row = np.repeat(np.arange(len(some)), starts[some + 1] - starts[some])[at >= 0]
+            done = self.own_of[a] + np.arange(len(row))
+            self.own_at[done], self.own_weight[done] = at[at >= 0], weight(post[at >= 0])
+            self.own_of[a + 1:a + 1 + len(some)] = self.own_of[a] + np.cumsum(np.bincount(row, minlength=len(some)))
+        self.rest = np.sqrt(np.bincount(np.repeat(np.arange(n), np.diff(self.own_of)), self.own_weight ** 2, n))
+        self.query = np.zeros(len(long))
+        self.wide, self.asked, self.left = False, 0, 0
 
     def frequent(self, starts: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """(queries x examples): what the frequent terms add to every cosine."""
@@ -273,45 +294,71 @@ class BlockMaxIndex:
             base = self.frequent(np.array([0, len(term)]), term, weight)[0]
         rare = self.column[term] < 0
         term, weight = term[rare], weight[rare]
-        self.asked += 1
-        if self.wide and self.asked % TRY_BOUNDS:  # the bounds left most ranges the last time
-            return self._by_class(term, weight, base, skip, k)
-        lo = self.cuts_of[term]
-        count = self.cuts_of[term + 1] - lo
-        cut = ragged(lo, count)
-        q = np.repeat(weight, count)
-        rng = self.range[cut]
-        # no example of a range can be nearer than its best frequent part and the largest weights together
-        bound = np.bincount(rng, q * self.largest[cut], self.n_ranges) + np.maximum.reduceat(base, np.arange(0, len(base), RANGE))
-        todo = np.argsort(-bound, kind="stable")
-        places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for some in (todo[:FIRST_RANGES], todo[FIRST_RANGES:]):
-            some = some[bound[some] >= floor - ROUNDING]
-            self.wide = 2 * len(some) >= self.n_ranges
-            if not len(some):
-                break
-            if self.wide:  # whole lists without looking at their cuts
-                return self._by_class(term, weight, base, skip, k)
-            chosen = np.zeros(self.n_ranges, bool)
-            chosen[some] = True
-            mine = chosen[rng]
-            size = self.length[cut[mine]]
-            post = ragged(self.begin[cut[mine]], size)
-            s = np.bincount(self.doc[post], np.repeat(q[mine], size) * self.weight[post], len(self.ids)) + base
-            s[~np.repeat(chosen, RANGE)[:len(s)]] = -1.0
-            places, scores, floor = self._merged(places, scores, self._best(s, skip, k, floor), k)
-        return places, scores
-
-    def _by_class(self, term: np.ndarray, weight: np.ndarray, base: np.ndarray, skip: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """As :meth:`nearest`, with the long lists of a class at once: copied as they lie, so that they don't
-        cost a step of Python for every few postings. Short ones are gathered together for all examples."""
-        first = self.post_of[term]
-        size = self.post_of[term + 1] - first
         at = self.long_at[term]
         long, short = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
-        post = ragged(first[short], size[short])
-        known = np.bincount(self.doc[post], np.repeat(weight[short], size[short]) * self.weight[post], len(self.ids)) + base
-        at, weight = at[long], weight[long]
+        first = self.post_of[term[short]]
+        size = self.post_of[term[short] + 1] - first
+        post = ragged(first, size)
+        known = np.bincount(self.doc[post], np.repeat(weight[short], size) * self.weight[post], len(self.ids)) + base
+        term, at, weight = term[long], at[long], weight[long]
+        self.asked += 1
+        if not self.wide or self.asked % TRY_BOUNDS == 0:  # else bounds left most examples the last times
+            some, floor = self._reaching(term, at, weight, known, skip, k)
+            few = len(some) * FEW_SHARE <= len(known) or len(some) <= k
+            self.left = max(0, self.left - 1) if few else min(2 * OFTEN_WIDE, self.left + 1)
+            self.wide = self.left >= OFTEN_WIDE
+            if few:
+                s = self._exact(some, at, weight, known)
+                best = np.flatnonzero(s >= floor - ROUNDING) if floor > ROUNDING else np.flatnonzero(s > 0.0)
+                best = best[self._order(some[best], s[best])[:k]]
+                return some[best], s[best]
+        return self._by_class(at, weight, known, skip, k)
+
+    def _reaching(self, term: np.ndarray, at: np.ndarray, weight: np.ndarray, known: np.ndarray, skip: int, k: int) -> tuple[np.ndarray, float]:
+        """(places of the examples that can be among the k nearest, a cosine that the k-th best reaches)."""
+        # what the long lists add is at most the product of both norms over their terms
+        bound = known + np.sqrt((weight * weight).sum()) * self.rest
+        if skip >= 0:
+            known = known.copy()
+            known[skip] = bound[skip] = -1.0
+        floor = max(0.0, np.partition(known, len(known) - k)[len(known) - k]) if len(known) > k else 0.0
+        some = self._above(bound, floor)
+        if len(some) > max(k, FIRST):  # the most promising ones tell more of the k-th best
+            first = some[np.argpartition(-bound[some], FIRST)[:FIRST]]
+            s = self._exact(first, at, weight, known)
+            if FIRST > k:
+                floor = max(floor, np.partition(s, FIRST - k)[FIRST - k])
+            some = some[self._above(bound[some], floor)]
+        if len(some) * FEW_SHARE > len(known):  # nor can they add more than the largest weights of the example's range
+            lo = self.cuts_of[term]
+            count = self.cuts_of[term + 1] - lo
+            cut = ragged(lo, count)
+            most = np.bincount(self.range[cut], np.repeat(weight, count) * self.largest[cut], self.n_ranges)
+            some = some[self._above(known[some] + most[some // RANGE], floor)]
+        return some, floor
+
+    @staticmethod
+    def _above(bound: np.ndarray, floor: float) -> np.ndarray:
+        return np.flatnonzero(bound >= floor - ROUNDING) if floor > ROUNDING else np.flatnonzero(bound > 0.0)
+
+    def _exact(self, some: np.ndarray, at: np.ndarray, weight: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The cosines of some examples, whose postings of long lists lie together."""
+        s = known[some]
+        lo, hi = self.own_of[some], self.own_of[some + 1]
+        full = np.flatnonzero(hi > lo)
+        if not len(full) or not len(at):
+            return s
+        cuts = list(zip(lo[full].tolist(), hi[full].tolist()))
+        self.query[at] = weight
+        value = self.query[np.concatenate([self.own_at[a:b] for a, b in cuts])]
+        self.query[at] = 0.0
+        value *= np.concatenate([self.own_weight[a:b] for a, b in cuts])
+        s[full] += np.add.reduceat(value, np.append(0, np.cumsum((hi - lo)[full])[:-1]))
+        return s
+
+    def _by_class(self, at: np.ndarray, weight: np.ndarray, known: np.ndarray, skip: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`nearest`, with the long lists of a class at once: copied as they lie, so that they don't
+        cost a step of Python for every few postings. ``known`` is what all other terms add."""
         # no example of a class can be nearer than its best known part and the largest weights together
         bound = self.long_most[:, at] @ weight + [known[lo:hi].max() for lo, hi in self.sections]
         places, scores, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
@@ -378,8 +425,12 @@ class Core:
             owner = np.repeat(np.arange(len(size), dtype=np.min_scalar_type(len(size))), size)
             norm = np.sqrt(np.array([r[4] for r in self.rows], float))
 
+            # the logarithms of small counts are looked up
+            factor = 1.0 + np.log(np.maximum(np.arange(1 << 8 * count.itemsize), 1)) if count.itemsize < 4 else None
+
             def weight(some):
-                return (1.0 + np.log(count[some].astype(np.int64))) * idf[term[some]] / norm[owner[some]]
+                n = count[some]
+                return (1.0 + np.log(n.astype(np.int64)) if factor is None else factor[n]) * idf[term[some]] / norm[owner[some]]
 
             ids, label = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 3))
             self.index = BlockMaxIndex(starts, term, weight, ids, label, len(idf))
